@@ -122,3 +122,75 @@ ORACLE_SQL["g1_gold"] = gold_sql(LINEITEM_GAPS, LI_KEYS, LINEITEM_COLS, LINEITEM
 ORACLE_SQL["g7_reapply"] = gold_sql(LINEITEM_GAPS, LI_KEYS, LINEITEM_COLS, LINEITEM_STRATEGIES,
                                     fit_filter="l_orderkey % 2 = 0", apply_filter="src.l_orderkey % 2 = 1")
 ORACLE_SQL["o5_drop"] = gold_sql(LINEITEM_GAPS, LI_KEYS, LINEITEM_COLS, LINEITEM_STRATEGIES, mode="drop")
+
+_SUFFIX = "(CASE WHEN day(o_orderdate) IN (1,21,31) THEN 'st' WHEN day(o_orderdate) IN (2,22) THEN 'nd' WHEN day(o_orderdate) IN (3,23) THEN 'rd' ELSE 'th' END)"
+_TOKENS = "('[●]','[•]','—','-','NA','N/A','null','None','')"
+
+ORACLE_SQL["p1_missing"] = f"""
+WITH r AS (SELECT o_orderkey, CASE o_orderkey % 10 WHEN 0 THEN '[●]' WHEN 1 THEN ' NA ' WHEN 2 THEN 'N/A'
+  WHEN 3 THEN '—' WHEN 4 THEN 'n/a' WHEN 5 THEN '  ' WHEN 6 THEN 'None' ELSE ' ' || o_orderpriority || chr(9) END AS raw
+  FROM orders)
+SELECT o_orderkey, raw, CASE WHEN trim(raw, ' ' || chr(9)) IN {_TOKENS} THEN NULL ELSE trim(raw, ' ' || chr(9)) END AS cleaned FROM r"""
+
+ORACLE_SQL["p2_ordinal"] = "SELECT o_orderkey, day(o_orderdate) || ' ' || strftime(o_orderdate, '%B %Y') AS stripped FROM orders"
+
+ORACLE_SQL["p3_money"] = """SELECT o_orderkey, round(CASE o_orderkey % 5 WHEN 0 THEN o_totalprice WHEN 1 THEN o_totalprice / 100
+  WHEN 2 THEN o_totalprice WHEN 3 THEN o_totalprice ELSE NULL END, 6) AS crore FROM orders"""
+
+ORACLE_SQL["p4_number"] = """SELECT c_custkey, round(CASE WHEN c_custkey % 5 IN (0, 1) THEN NULL ELSE c_acctbal END, 6) AS value
+FROM customer"""
+
+ORACLE_SQL["p5_percent"] = """SELECT l_orderkey, l_linenumber,
+  round(CASE WHEN l_linenumber % 3 = 2 THEN NULL ELSE l_discount * 100 END, 6) AS pct FROM lineitem"""
+
+ORACLE_SQL["p6_date"] = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS parsed FROM orders"
+
+ORACLE_SQL["p7_slug"] = r"""SELECT p_partkey, nullif(trim(regexp_replace(regexp_replace(regexp_replace(
+  lower(trim(' ' || p_name || ' & Co.  Ltd. ' || p_brand)), '\s+', '_', 'g'), '[^a-z0-9_]+', '_', 'g'), '_+', '_', 'g'), '_'), '') AS slug
+FROM part"""
+
+ORACLE_SQL["p9_listtext"] = r"""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE
+  trim(regexp_replace('[''' || p_name || ''',' || chr(10) || '   ''' || p_type || ''']  ', '\s+', ' ', 'g')) END AS objects
+FROM part"""
+
+ORACLE_SQL["p10_dispatch"] = """SELECT
+  lower(c_name).regexp_replace('[^a-z0-9_]+', '_', 'g').regexp_replace('_+', '_', 'g').trim('_') AS company,
+  round(c_acctbal, 6) AS issue_price,
+  round(CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE c_acctbal END, 6) AS net_worth,
+  round(CAST(c_nationkey AS DOUBLE), 6) AS allocation_qib,
+  round(c_nationkey + 0.5, 6) AS subscription_retail_investors,
+  CAST(DATE '2020-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS DATE) AS open_date,
+  c_mktsegment AS exchange,
+  round(CAST(c_nationkey AS DOUBLE), 6) AS pre_issue_promoter_holding
+FROM customer"""
+
+_X1 = "html"
+for _pat, _rep in [(r"(?is)<!--.*?-->", " "), (r"(?is)<!doctype[^>]*>", " "),
+                   (r"(?is)<(script|style|template)\b[^>]*>.*?</(script|style|template)\s*>", " "),
+                   (r"(?s)<[^>]*>", " "), ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"),
+                   ("&middot;", "·"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"), (" ", " "), (r"\s+", " ")]:
+    _X1 = f"regexp_replace({_X1}, '{_pat.replace(chr(39), chr(39) * 2)}', '{_rep.replace(chr(39), chr(39) * 2)}', 'g')"
+ORACLE_SQL["x1_text"] = f"SELECT page_id, trim({_X1}) AS text, length(trim({_X1})) AS n_chars FROM pages"
+
+ORACLE_SQL["x13_first_number"] = "SELECT o_orderkey, round(o_totalprice, 6) AS gmp FROM orders"
+
+_CAT_KEYS = ["anchor_investors", "qib_ex_anchor", "non_institutional_buyers", "bnii_bids_above_10l",
+             "snii_bids_below_10l", "retail_investors", "employees", "shareholders", "market_maker", "qib",
+             "retail_individual_investors_riis", "nii_hni_above_10_lakh"]
+ORACLE_SQL["x19_category"] = ("SELECT c_custkey, CASE c_custkey % 12 " +
+                              " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_CAT_KEYS)) +
+                              " END AS category_key FROM customer")
+
+ORACLE_SQL["x20_slugify"] = r"""SELECT c_custkey, trim(regexp_replace(replace(replace(lower(c_name || ' & ' || c_mktsegment || ' (₹10L)'),
+  '&', ' and '), '₹', ''), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM customer"""
+
+ORACLE_SQL["x22_space"] = r"""SELECT p_partkey, p_type || ' ' || p_brand AS header, lower(p_type || ' ' || p_brand) AS header_norm FROM part"""
+
+ORACLE_SQL["c5_url_id"] = r"""WITH p AS (SELECT page_id, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, coalesce(list_filter(string_split(path, '/'), lambda s: regexp_full_match(s, '\d+'))[-1],
+  nullif(regexp_extract(path, '(\d+)/?$', 1), '')) AS ipo_id FROM p"""
+
+ORACLE_SQL["c6_storage_key"] = "SELECT p_partkey, replace(lower(p_name || ' ' || p_brand), ' ', '_') AS key FROM part"
+
+ORACLE_SQL["c8_json"] = r"""SELECT event_id AS id, 'events' AS src, regexp_matches(ltrim(props), '^[\[{]') AS is_json FROM events
+UNION ALL SELECT page_id, 'pages', regexp_matches(ltrim(html), '^[\[{]') FROM pages"""

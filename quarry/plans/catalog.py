@@ -62,3 +62,183 @@ def o5_drop(spark, sf_dir):
     src = lineitem_with_gaps(spark, sf_dir)
     res = create_gold(src, LINEITEM_STRATEGIES, LINEITEM_COLS, mode="drop", keep=["l_orderkey", "l_linenumber"])
     return round_doubles(res.features)
+
+
+# ---------------------------------------------------------------------------------------------
+# Scalar cleaners (P1-P12) over strings rendered from the provided tables
+# ---------------------------------------------------------------------------------------------
+from ..functions import clean as C  # noqa: E402
+from ..functions import text as X  # noqa: E402
+from ..functions import url as U  # noqa: E402
+
+
+def _ordinal_suffix(day: F.Column) -> F.Column:
+    return (F.when(day.isin(1, 21, 31), "st").when(day.isin(2, 22), "nd")
+            .when(day.isin(3, 23), "rd").otherwise("th"))
+
+
+@query("p1_missing")
+def p1_missing(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 10
+    raw = (F.when(k == 0, "[●]").when(k == 1, " NA ").when(k == 2, "N/A").when(k == 3, "—")
+           .when(k == 4, "n/a").when(k == 5, "  ").when(k == 6, "None")
+           .otherwise(F.concat(F.lit(" "), F.col("o_orderpriority"), F.lit("\t"))))
+    return o.select("o_orderkey", raw.alias("raw")).select("o_orderkey", "raw", C.missing_to_null("raw").alias("cleaned"))
+
+
+@query("p2_ordinal")
+def p2_ordinal(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    d = F.dayofmonth("o_orderdate")
+    raw = F.concat(d.cast("string"), _ordinal_suffix(d), F.lit(" "), F.date_format("o_orderdate", "MMMM yyyy"))
+    return o.select("o_orderkey", C.strip_ordinal(raw).alias("stripped"))
+
+
+@query("p3_money")
+def p3_money(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 5
+    amt = F.format_number("o_totalprice", 2)
+    raw = (F.when(k == 0, F.concat(F.lit("₹ "), amt, F.lit(" Cr.")))
+           .when(k == 1, F.concat(F.lit("₹ "), amt, F.lit(" Lakh")))
+           .when(k == 2, amt)
+           .when(k == 3, F.concat(amt, F.lit(" crore")))
+           .otherwise(F.lit("[●]")))
+    return round_doubles(o.select("o_orderkey", C.parse_money_crore(raw).alias("crore")))
+
+
+@query("p4_number")
+def p4_number(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 5
+    raw = F.when(k == 0, "N/A").when(k == 1, "abc").otherwise(F.format_number("c_acctbal", 2))
+    return round_doubles(c.select("c_custkey", C.parse_number(raw).alias("value")))
+
+
+@query("p5_percent")
+def p5_percent(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    k = F.col("l_linenumber") % 3
+    pct = (F.col("l_discount") * 100).cast("string")
+    raw = F.when(k == 0, F.concat(pct, F.lit("%"))).when(k == 1, pct).otherwise(F.lit("[•]"))
+    return round_doubles(li.select("l_orderkey", "l_linenumber", C.parse_percentage(raw).alias("pct")))
+
+
+@query("p6_date")
+def p6_date(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    d = F.col("o_orderdate")
+    k = F.col("o_orderkey") % 6
+    day = F.dayofmonth(d)
+    raw = (F.when(k == 0, F.concat(day.cast("string"), _ordinal_suffix(day), F.lit(" "), F.date_format(d, "MMMM yyyy")))
+           .when(k == 1, F.date_format(d, "d MMM yyyy"))
+           .when(k == 2, F.date_format(d, "yyyy-MM-dd"))
+           .when(k == 3, F.date_format(d, "dd/MM/yyyy"))
+           .when(k == 4, F.date_format(d, "d-M-yyyy"))
+           .otherwise(F.date_format(d, "MMMM d, yyyy")))
+    return o.select("o_orderkey", C.parse_date(raw).alias("parsed"))
+
+
+@query("p7_slug")
+def p7_slug(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    raw = F.concat(F.lit(" "), F.col("p_name"), F.lit(" & Co.  Ltd. "), F.col("p_brand"))
+    return p.select("p_partkey", C.company_slug(raw).alias("slug"))
+
+
+@query("p9_listtext")
+def p9_listtext(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    raw = F.when(F.col("p_partkey") % 4 == 0, F.lit("—")).otherwise(
+        F.concat(F.lit("['"), F.col("p_name"), F.lit("',\n   '"), F.col("p_type"), F.lit("']  ")))
+    return p.select("p_partkey", C.parse_listlike_text(raw).alias("objects"))
+
+
+def listing_raw(spark, sf_dir) -> DataFrame:
+    """An all-string 'raw section table' rendered from customer, with listing column names."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey") % 4
+    bal = F.format_number("c_acctbal", 2)
+    return c.select(
+        F.col("c_name").alias("company"),
+        F.concat(F.lit("₹ "), bal, F.when(k == 0, F.lit(" Cr.")).otherwise(F.lit(""))).alias("issue_price"),
+        F.when(k == 1, F.lit("[●]")).otherwise(bal).alias("net_worth"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("%")).alias("allocation_qib"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit(".5")).alias("subscription_retail_investors"),
+        F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), F.col("c_custkey").cast("int") % 1000),
+                      "d MMMM yyyy").alias("open_date"),
+        F.concat(F.lit("  "), F.col("c_mktsegment"), F.lit(" ")).alias("exchange"),
+        F.concat(F.col("c_nationkey").cast("string"), F.lit("%")).alias("pre_issue_promoter_holding"),
+    )
+
+
+@query("p10_dispatch")
+def p10_dispatch(spark, sf_dir):
+    return round_doubles(C.clean_df(listing_raw(spark, sf_dir)))
+
+
+@query("x1_text")
+def x1_text(spark, sf_dir):
+    pg = read_table(spark, sf_dir, "pages")
+    t = X.html_text("html")
+    return pg.select("page_id", t.alias("text"), F.length(t).alias("n_chars"))
+
+
+@query("x13_first_number")
+def x13_first_number(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    raw = F.concat(F.lit("₹"), F.format_number("o_totalprice", 2), F.lit(" <img src='up.png'> (+"),
+                   F.col("o_custkey").cast("string"), F.lit(")"))
+    return round_doubles(o.select("o_orderkey", X.first_signed_decimal(raw).alias("gmp")))
+
+
+# ---- fixed values: investor-category labels as printed on subscription pages ---------------
+CATEGORY_LABELS = ["Anchor Investors", "QIB (Ex Anchor)", "Non-Institutional Buyers", "bNII (bids above ₹10L)",
+                   "sNII (bids below ₹10L)", "Retail Investors", "Employees**", "Shareholders", "- Market Maker",
+                   "Qualified Institutional Buyers (QIB)", "Retail Individual Investors (RIIs)",
+                   "NII (HNI) above 10 lakh"]
+
+
+@query("x19_category")
+def x19_category(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer")
+    labels = F.array(*[F.lit(s) for s in CATEGORY_LABELS])
+    raw = F.concat(F.element_at(labels, (F.col("c_custkey") % len(CATEGORY_LABELS) + 1).cast("int")),
+                   F.lit(" "), F.when(F.col("c_custkey") % 2 == 0, F.lit("*")).otherwise(F.lit("")))
+    return c.select("c_custkey", X.canonical_category(raw).alias("category_key"))
+
+
+@query("x20_slugify")
+def x20_slugify(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer")
+    raw = F.concat(F.col("c_name"), F.lit(" & "), F.col("c_mktsegment"), F.lit(" (₹10L)"))
+    return c.select("c_custkey", X.slugify(raw).alias("slug"))
+
+
+@query("x22_space")
+def x22_space(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    raw = F.concat(F.lit("\t "), F.col("p_type"), F.lit(" \n\n  "), F.col("p_brand"), F.lit("   "))
+    return p.select("p_partkey", C.collapse_ws(raw).alias("header"), X.norm_header(raw).alias("header_norm"))
+
+
+@query("c5_url_id")
+def c5_url_id(spark, sf_dir):
+    pg = read_table(spark, sf_dir, "pages")
+    return pg.select("page_id", U.url_numeric_id("url").alias("ipo_id"))
+
+
+@query("c6_storage_key")
+def c6_storage_key(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    return p.select("p_partkey", U.storage_key(F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"))).alias("key"))
+
+
+@query("c8_json")
+def c8_json(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.lit("events").alias("src"),
+                                                     F.col("props").alias("body"))
+    pg = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.lit("pages").alias("src"),
+                                                    F.col("html").alias("body"))
+    return ev.unionByName(pg).select("id", "src", U.looks_like_json("body").alias("is_json"))
