@@ -194,3 +194,123 @@ ORACLE_SQL["c6_storage_key"] = "SELECT p_partkey, replace(lower(p_name || ' ' ||
 
 ORACLE_SQL["c8_json"] = r"""SELECT event_id AS id, 'events' AS src, regexp_matches(ltrim(props), '^[\[{]') AS is_json FROM events
 UNION ALL SELECT page_id, 'pages', regexp_matches(ltrim(html), '^[\[{]') FROM pages"""
+
+
+# ---------------------------------------------------------------------------------------------
+# Section pages rendered from customer: expected fields straight from the customer row
+# ---------------------------------------------------------------------------------------------
+_CU = "(SELECT *, lower(replace(c_name, '#', '_')) AS company, abs(c_acctbal) AS ab, c_custkey AS c, c_nationkey AS n FROM customer)"
+_T = "c % 3 = 0"  # table-only financial pages
+
+FIN_EXPECTED = f"""SELECT company,
+  CASE WHEN {_T} THEN NULL ELSE ab + 1000 END AS assets,
+  CASE WHEN {_T} THEN ab + 1 ELSE ab END AS net_worth,
+  CASE WHEN {_T} THEN NULL ELSE n * 10 + 0.5 END AS total_debt,
+  ab * 2 AS revenue,
+  CASE WHEN {_T} THEN NULL ELSE c % 500 + 0.75 END AS ebitda,
+  c % 300 + 0.5 AS pat,
+  n + 0.5 AS ebitda_margin,
+  n + 0.25 AS pat_margin,
+  CASE WHEN {_T} THEN NULL ELSE c_acctbal / 100 END AS eps,
+  CASE WHEN {_T} THEN NULL ELSE n - 9.5 END AS roe,
+  CASE WHEN {_T} THEN NULL ELSE n * 2.0 END AS roce,
+  CASE WHEN {_T} THEN NULL ELSE n / 4 END AS roa,
+  n / 10 AS debt_to_equity,
+  CASE WHEN {_T} THEN NULL ELSE ab * 3 END AS market_capitalisation,
+  CASE WHEN {_T} THEN NULL ELSE c % 40 + 0.5 END AS ev_ebitda,
+  CASE WHEN {_T} THEN NULL ELSE n / 5 END AS pb_multiple,
+  CASE WHEN {_T} THEN NULL ELSE c_acctbal / 10 END AS nav,
+  CASE WHEN {_T} THEN NULL ELSE ab + 500 END AS enterprise_value,
+  CASE WHEN {_T} THEN NULL ELSE c % 60 + 0.5 END AS pe_multiple
+FROM {_CU}"""
+
+PERF_EXPECTED = f"""SELECT company, CASE WHEN c % 2 = 0 THEN 10.0 ELSE 5.0 END AS face_value, ab AS issue_price,
+  ab + 5 AS listing_price, n - 12.5 AS listing_gain FROM {_CU}"""
+
+_OBJ = " || ' | ' || ".join(["'The net proceeds will be used for:'"] +
+                              [f"'Item {i}: capex for ' || company" for i in range(1, 10)])
+INFO_EXPECTED = f"""SELECT company,
+  CASE WHEN c % 2 = 0 THEN 'Mainboard' ELSE 'SME' END AS ipo_category,
+  CASE WHEN c % 2 = 0 THEN 'BSE, NSE' ELSE 'NSE SME' END AS exchange,
+  CASE WHEN c % 3 = 0 THEN 'Fixed Price' ELSE 'Book Built' END AS issue_type,
+  ab AS issue_price, c % 60 + 1.5 AS pe_multiple, (c % 400) / 4.0 AS subscription,
+  n * 3 + 0.5 AS pre_issue_promoter_holding, n * 2 + 0.5 AS post_issue_promoter_holding,
+  CAST(DATE '2020-01-01' + CAST(c % 1000 AS INTEGER) - 60 AS DATE) AS dhrp_date,
+  CAST(DATE '2020-01-01' + CAST(c % 1000 AS INTEGER) AS DATE) AS open_date,
+  CAST(DATE '2020-01-01' + CAST(c % 1000 AS INTEGER) + 2 AS DATE) AS close_date,
+  CAST(DATE '2020-01-01' + CAST(c % 1000 AS INTEGER) + 5 AS DATE) AS allotment_date,
+  CAST(DATE '2020-01-01' + CAST(c % 1000 AS INTEGER) + 7 AS DATE) AS listing_date,
+  {_OBJ} AS object_of_issue
+FROM {_CU}"""
+
+GMP_EXPECTED = f"""SELECT company, CAST(n AS DOUBLE) AS ipo_open_gmp, CAST(c % 100 - 50 AS DOUBLE) AS ipo_close_gmp,
+  CASE WHEN c % 2 = 0 THEN ab END AS ipo_allotment_gmp, CASE WHEN c % 2 = 0 THEN c * 10.0 END AS ipo_listing_gmp
+FROM {_CU}"""
+
+_P = "c % 5 = 0"  # pending subscription pages (no table)
+SUB_EXPECTED = f"""SELECT company,
+  CASE WHEN {_P} THEN NULL ELSE 30.0 + n % 10 END AS allocation_anchor_investors,
+  CASE WHEN {_P} THEN NULL ELSE 20.0 END AS allocation_qib_ex_anchor,
+  CASE WHEN {_P} THEN NULL ELSE 35.5 END AS allocation_retail_investors,
+  CASE WHEN {_P} THEN NULL ELSE 100.0 END AS allocation_total_ipo_subscription,
+  CASE WHEN {_P} THEN NULL ELSE 1.0 END AS subscription_anchor_investors,
+  CASE WHEN {_P} THEN NULL ELSE n + 0.25 END AS subscription_bnii_bids_above_10l,
+  CASE WHEN {_P} THEN NULL ELSE n / 2 END AS subscription_employees,
+  CASE WHEN {_P} THEN NULL ELSE n + 0.73 END AS subscription_non_institutional_buyers,
+  CASE WHEN {_P} THEN NULL ELSE c % 50 + 0.06 END AS subscription_qib_ex_anchor,
+  CASE WHEN {_P} THEN NULL ELSE c % 30 + 0.04 END AS subscription_retail_investors,
+  CASE WHEN {_P} THEN NULL ELSE n + 0.68 END AS subscription_snii_bids_below_10l
+FROM {_CU}"""
+
+
+def _rounded(sql: str, cols_text: list[str]) -> str:
+    """Wrap a select so that every DOUBLE column is rounded to 6 digits."""
+    return f"SELECT * REPLACE ({', '.join(f'round(CAST({c} AS DOUBLE), 6) AS {c}' for c in cols_text)}) FROM ({sql})"
+
+
+_FIN_COLS = ["assets", "net_worth", "total_debt", "revenue", "ebitda", "pat", "ebitda_margin", "pat_margin", "eps",
+             "roe", "roce", "roa", "debt_to_equity", "market_capitalisation", "ev_ebitda", "pb_multiple", "nav",
+             "enterprise_value", "pe_multiple"]
+ORACLE_SQL["x5_financials"] = _rounded(FIN_EXPECTED, _FIN_COLS)
+ORACLE_SQL["x6_performance"] = _rounded(PERF_EXPECTED, ["face_value", "issue_price", "listing_price", "listing_gain"])
+ORACLE_SQL["x7_x8_information"] = _rounded(
+    f"SELECT *, CAST(10 AS INTEGER) AS n_objects FROM ({INFO_EXPECTED})",
+    ["issue_price", "pe_multiple", "subscription", "pre_issue_promoter_holding", "post_issue_promoter_holding"])
+ORACLE_SQL["x11_x15_gmp"] = _rounded(GMP_EXPECTED, ["ipo_open_gmp", "ipo_close_gmp", "ipo_allotment_gmp",
+                                                    "ipo_listing_gmp"])
+_SUB_COLS = ["allocation_anchor_investors", "allocation_qib_ex_anchor", "allocation_retail_investors",
+             "allocation_total_ipo_subscription", "subscription_anchor_investors", "subscription_bnii_bids_above_10l",
+             "subscription_employees", "subscription_non_institutional_buyers", "subscription_qib_ex_anchor",
+             "subscription_retail_investors", "subscription_snii_bids_below_10l"]
+ORACLE_SQL["x17_x18_subscription"] = _rounded(SUB_EXPECTED, _SUB_COLS)
+ORACLE_SQL["s7_discovered_keys"] = ("SELECT field, count(*) AS pages FROM (SELECT unnest([" +
+                                    ", ".join(f"'{k}'" for k in _SUB_COLS) +
+                                    f"]) AS field FROM {_CU} WHERE NOT ({_P})) GROUP BY field")
+ORACLE_SQL["c9_complete"] = f"SELECT company, NOT ({_P}) AS complete FROM {_CU}"
+
+SILVER_EXPECTED = f"""SELECT CASE WHEN cu.c % 2 = 0 THEN 'mainboard' ELSE 'sme' END AS segment, cu.company,
+  {", ".join("f." + c for c in _FIN_COLS if c != "pe_multiple")},
+  g.ipo_open_gmp, g.ipo_close_gmp, g.ipo_allotment_gmp, g.ipo_listing_gmp,
+  i.ipo_category, i.exchange, i.issue_type, i.pe_multiple, i.subscription, i.pre_issue_promoter_holding,
+  i.post_issue_promoter_holding, i.dhrp_date, i.open_date, i.close_date, i.allotment_date, i.listing_date,
+  i.object_of_issue,
+  p.face_value, p.issue_price, p.listing_price, p.listing_gain,
+  {", ".join("s." + c for c in _SUB_COLS)}
+FROM {_CU} cu
+LEFT JOIN ({FIN_EXPECTED}) f ON f.company = cu.company
+LEFT JOIN ({GMP_EXPECTED}) g ON g.company = cu.company
+LEFT JOIN ({INFO_EXPECTED}) i ON i.company = cu.company
+LEFT JOIN ({PERF_EXPECTED}) p ON p.company = cu.company
+LEFT JOIN ({SUB_EXPECTED}) s ON s.company = cu.company"""
+_SILVER_DOUBLES = ([c for c in _FIN_COLS if c != "pe_multiple"] +
+                   ["ipo_open_gmp", "ipo_close_gmp", "ipo_allotment_gmp", "ipo_listing_gmp", "pe_multiple",
+                    "subscription", "pre_issue_promoter_holding", "post_issue_promoter_holding", "face_value",
+                    "issue_price", "listing_price", "listing_gain"] + _SUB_COLS)
+ORACLE_SQL["s14_silver"] = _rounded(SILVER_EXPECTED, _SILVER_DOUBLES)
+
+from quarry.plans.gold import FEATURE_GROUPS  # noqa: E402
+from quarry.registry import Registry  # noqa: E402
+
+_REG = Registry().strategy_map()
+_CUSTOM = FEATURE_GROUPS["custom"]
+ORACLE_SQL["g1_listing_gold"] = gold_sql(SILVER_EXPECTED, ["company"], _CUSTOM, _REG)

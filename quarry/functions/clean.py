@@ -39,13 +39,18 @@ def collapse_ws(x) -> Column:
 
 
 def finite_or_null(x: Column) -> Column:
-    return F.when(F.isnan(x) | (F.abs(x) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(x)
+    """NaN -> NULL (single reference to ``x``: no duplicated sub-expression)."""
+    return F.nanvl(x, F.lit(None).cast("double"))
+
+
+_TOKENS_RX = "^(?:" + "|".join(
+    "".join("\\" + ch if ch in "[]().*+?^$|/\\{}" else ch for ch in t) for t in PLACEHOLDER_TOKENS if t) + ")$"
 
 
 def missing_to_null(x) -> Column:
-    """Strip; placeholder tokens -> NULL."""
+    """Strip; placeholder tokens (exact, case-sensitive) and blanks -> NULL."""
     s = ustrip(_c(x).cast("string"))
-    return F.when(s.isin(PLACEHOLDER_TOKENS), F.lit(None).cast("string")).otherwise(s)
+    return F.nullif(F.regexp_replace(s, _TOKENS_RX, ""), F.lit(""))
 
 
 def strip_ordinal(x) -> Column:
@@ -148,7 +153,14 @@ def cleaner_kind(name: str, overrides: dict[str, str] | None = None) -> str:
 
 
 def clean_df(df: DataFrame, overrides: dict[str, str] | None = None, keep: list[str] | None = None) -> DataFrame:
-    """Clean every column with its dispatched cleaner in one projection (no shuffle)."""
+    """Clean every column with its dispatched cleaner (narrow projections, no shuffle).
+
+    The placeholder/strip step is staged in its own projection so that parsers
+    which read their input several times (dates try several layouts) reference a
+    column instead of repeating the string expression.
+    """
     keep = set(keep or [])
-    return df.select(*[(F.col(c) if c in keep else CLEANERS[cleaner_kind(c, overrides)](F.col(c)).alias(c))
-                       for c in df.columns])
+    todo = [c for c in df.columns if c not in keep]
+    staged = df.select(*[F.col(c) if c in keep else missing_to_null(F.col(c)).alias(c) for c in df.columns])
+    return staged.select(*[(F.col(c) if c in keep else CLEANERS[cleaner_kind(c, overrides)](F.col(c)).alias(c))
+                           for c in df.columns]) if todo else staged

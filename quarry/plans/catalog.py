@@ -242,3 +242,83 @@ def c8_json(spark, sf_dir):
     pg = read_table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.lit("pages").alias("src"),
                                                     F.col("html").alias("body"))
     return ev.unionByName(pg).select("id", "src", U.looks_like_json("body").alias("is_json"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Extraction over section pages rendered from ``customer`` (X2-X25), layers
+# ---------------------------------------------------------------------------------------------
+from ..operators import extract as XT  # noqa: E402
+from ..operators.layers import map_to_columns  # noqa: E402
+from ..registry import Registry  # noqa: E402
+from .fixtures import render_pages  # noqa: E402
+from .gold import FEATURE_GROUPS  # noqa: E402
+from .medallion import pages_to_silver  # noqa: E402
+
+
+def listing_pages(spark, sf_dir) -> DataFrame:
+    return render_pages(read_table(spark, sf_dir, "customer"))
+
+
+def _section(spark, sf_dir, s) -> DataFrame:
+    return listing_pages(spark, sf_dir).where(F.col("section") == s)
+
+
+@query("x5_financials")
+def x5_financials(spark, sf_dir):
+    return round_doubles(C.clean_df(XT.extract_financials(_section(spark, sf_dir, "financials"))))
+
+
+@query("x6_performance")
+def x6_performance(spark, sf_dir):
+    return round_doubles(C.clean_df(XT.extract_performance(_section(spark, sf_dir, "performance_report"))))
+
+
+@query("x7_x8_information")
+def x7_x8_information(spark, sf_dir):
+    raw = XT.extract_information(_section(spark, sf_dir, "ipo_information"))
+    raw = raw.withColumn("n_objects", F.size("object_of_issue")) \
+             .withColumn("object_of_issue", F.array_join("object_of_issue", " | "))
+    return round_doubles(C.clean_df(raw, keep=["n_objects"]))
+
+
+@query("x11_x15_gmp")
+def x11_x15_gmp(spark, sf_dir):
+    return round_doubles(C.clean_df(XT.extract_gmp(_section(spark, sf_dir, "gmp"))))
+
+
+SUBSCRIPTION_KEYS = ["allocation_anchor_investors", "allocation_qib_ex_anchor", "allocation_retail_investors",
+                     "allocation_total_ipo_subscription", "subscription_anchor_investors",
+                     "subscription_bnii_bids_above_10l", "subscription_employees",
+                     "subscription_non_institutional_buyers", "subscription_qib_ex_anchor",
+                     "subscription_retail_investors", "subscription_snii_bids_below_10l"]
+
+
+@query("x17_x18_subscription")
+def x17_x18_subscription(spark, sf_dir):
+    raw = XT.extract_subscription(_section(spark, sf_dir, "subscription"))
+    return round_doubles(C.clean_df(map_to_columns(raw, "fields")))
+
+
+@query("s7_discovered_keys")
+def s7_discovered_keys(spark, sf_dir):
+    raw = XT.extract_subscription(_section(spark, sf_dir, "subscription"))
+    return raw.select(F.explode(F.map_keys("fields")).alias("field")).groupBy("field").agg(F.count("*").alias("pages"))
+
+
+@query("c9_complete")
+def c9_complete(spark, sf_dir):
+    from ..operators.frontier import page_complete
+    p = _section(spark, sf_dir, "subscription")
+    return page_complete(p, key="company")
+
+
+@query("s14_silver")
+def s14_silver(spark, sf_dir):
+    return round_doubles(pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS))
+
+
+@query("g1_listing_gold")
+def g1_listing_gold(spark, sf_dir):
+    silver = pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS)
+    res = create_gold(silver, Registry().strategy_map(), FEATURE_GROUPS["custom"], keep=["company"])
+    return round_doubles(res.features)
