@@ -123,17 +123,21 @@ def label_table_fields(page: Column) -> dict[str, Column]:
 
 
 def extract_financials(pages: DataFrame, key: str = "company", html: str = "html") -> DataFrame:
-    """X3 + X5: regex fields on the text; pages with no hit fall back to the table read."""
-    staged = pages.select(key, html, html_text(html).alias("_text"))
-    fields = {k: _field(F.col("_text"), "(?iu)" + p) for k, p in FINANCIAL_PATTERNS.items()}
-    base = staged.select(key, html, *[v.alias(k) for k, v in fields.items()])
-    none_hit = F.coalesce(*[F.col(k) for k in FINANCIAL_PATTERNS]).isNull()
-    hit = base.where(~none_hit).drop(html)
-    # parse only the pages that need the structural fallback
-    miss = base.where(none_hit).select(key, parse_page(html).alias("_page"))
+    """X3 + X5: regex fields on the visible text; a page where no field matched takes
+    the label/value table read (X4) instead.
+
+    One pass per page: the text and the structure are staged once, the choice is a
+    per-row CASE (a filter/union split would re-inline all regexes into the filter).
+    """
+    staged = pages.select(key, html_text(html).alias("_text"), parse_page(html).alias("_page"))
+    regex = {k: _field(F.col("_text"), "(?iu)" + p) for k, p in FINANCIAL_PATTERNS.items()}
+    s2 = staged.select(key, F.struct(*[v.alias(k) for k, v in regex.items()]).alias("_rx"), "_page")
     tab = label_table_fields(F.col("_page"))
-    miss = miss.select(key, *[tab[k].alias(k) for k in FINANCIAL_PATTERNS])
-    return hit.unionByName(miss)
+    none_hit = F.coalesce(*[F.col("_rx")[k] for k in FINANCIAL_PATTERNS]).isNull()
+    s3 = s2.select(key, "_rx", F.struct(*[v.alias(k) for k, v in tab.items()]).alias("_tb"),
+                   none_hit.alias("_miss"))
+    return s3.select(key, *[F.when(F.col("_miss"), F.col("_tb")[k]).otherwise(F.col("_rx")[k]).alias(k)
+                            for k in FINANCIAL_PATTERNS])
 
 
 # ---------------------------------------------------------------------------------------------

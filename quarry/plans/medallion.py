@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import clean_df
 from ..operators.extract import EXTRACTORS, SECTIONS
 from ..operators.layers import dedup_first, join_chain, map_to_columns, resolve_clashes
+from ..session import cut_lineage
 
 # ---- fixed values: silver clash resolution (performance issue price, information PE) -------
 SILVER_DROP = ["issue_price_x", "pe_multiple_x"]
@@ -66,6 +67,19 @@ def silver(bronze_df: DataFrame) -> DataFrame:
     return resolve_clashes(bronze_df, SILVER_DROP, SILVER_RENAME)
 
 
-def pages_to_silver(pages: DataFrame, subscription_keys: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write a layer once: to ``path`` as Parquet, else a reliable checkpoint in the
+    cluster's checkpoint dir.  Cuts lineage (executor loss replays one layer only)."""
+    if path is None:
+        return cut_lineage(df)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def pages_to_silver(pages: DataFrame, subscription_keys: list[str] | None = None,
+                    layer_root: str | None = None) -> DataFrame:
+    """Pages -> silver; each cleaned section table is materialised before the join chain."""
     raw = raw_sections(pages, extra_keys=["segment"])
-    return silver(bronze(clean_sections(raw, ["segment", "company"], subscription_keys)))
+    cleaned = clean_sections(raw, ["segment", "company"], subscription_keys)
+    cleaned = {s: materialize(df, f"{layer_root}/cleaned/{s}" if layer_root else None) for s, df in cleaned.items()}
+    return silver(bronze(cleaned))
