@@ -314,3 +314,173 @@ from quarry.registry import Registry  # noqa: E402
 _REG = Registry().strategy_map()
 _CUSTOM = FEATURE_GROUPS["custom"]
 ORACLE_SQL["g1_listing_gold"] = gold_sql(SILVER_EXPECTED, ["company"], _CUSTOM, _REG)
+
+
+# ---------------------------------------------------------------------------------------------
+# Aggregations, imputation, outliers, normalisation, artifacts
+# ---------------------------------------------------------------------------------------------
+from urllib.parse import quote_plus  # noqa: E402
+
+from quarry.operators.frontier import LIST_PARAMS  # noqa: E402
+from quarry.plans.catalog import (CUSTOMER_NORM, EVENTS_STRATEGIES, LI_NUM, ORDERS_OUTLIER,  # noqa: E402
+                                  PROBS)
+
+ORACLE_SQL["a1_a2_quantiles"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, CAST({p} AS DOUBLE) AS prob, round(quantile_cont({c}, {p}), 6) AS value FROM lineitem"
+    for c in LI_NUM for p in PROBS)
+
+_ORD_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORACLE_SQL["a6_profile"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count({c}) AS non_null, count(*) - count({c}) AS nulls, "
+    f"count(DISTINCT {c}) AS \"distinct\" FROM orders" for c in _ORD_COLS)
+
+ORACLE_SQL["a7_describe"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+    f"round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+    f"round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max FROM lineitem" for c in LI_NUM)
+
+EVENTS_GAPS = """SELECT event_id,
+  CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value,
+  CASE WHEN event_type = 'error' THEN NULL ELSE json_extract_string(props, '$.k') END AS k,
+  CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id END AS user_id
+FROM events"""
+ORACLE_SQL["i1_i4_impute"] = gold_sql(EVENTS_GAPS, ["event_id"], list(EVENTS_STRATEGIES), EVENTS_STRATEGIES)
+ORACLE_SQL["i6_fill_zero"] = f"""SELECT event_id, round(coalesce(value, 0), 6) AS value,
+  round(coalesce(CAST(k AS DOUBLE), 0), 6) AS k, coalesce(user_id, 0) AS user_id FROM ({EVENTS_GAPS})"""
+
+ORDERS_OUT_SRC = """SELECT o_orderkey, o_totalprice, o_custkey,
+  CAST(substring(o_orderpriority, 1, 1) AS INTEGER) AS o_shippriority FROM orders"""
+ORACLE_SQL["o2_o4_clip"] = gold_sql(ORDERS_OUT_SRC, ["o_orderkey"], list(ORDERS_OUTLIER), ORDERS_OUTLIER)
+ORACLE_SQL["o5_o6_drop_orders"] = gold_sql(ORDERS_OUT_SRC, ["o_orderkey"], list(ORDERS_OUTLIER), ORDERS_OUTLIER,
+                                           mode="drop")
+
+CUSTOMER_NORM_SRC = "SELECT c_custkey, " + ", ".join(f"c_acctbal AS {n}" for n in CUSTOMER_NORM) + " FROM customer"
+ORACLE_SQL["z1_z7_normalize"] = gold_sql(CUSTOMER_NORM_SRC, ["c_custkey"], list(CUSTOMER_NORM), CUSTOMER_NORM)
+
+
+def artifact_sql(src: str, cols: list[str], strategies) -> str:
+    """Expected artifact rows (column, stat, value) from the same stats as ``gold_sql``."""
+    rows = []
+    for i, c in enumerate(cols):
+        s = strategies[c]
+        if s.imputer in _MED:
+            rows.append((c, "median", f"s{i}_med"))
+        if s.imputer in _ZERO:
+            rows.append((c, "zero_fill", "0.0"))
+        if s.imputer in _IND:
+            rows.append((c, "missing_indicator", "1.0"))
+        if s.outlier != O.NONE:
+            rows += [(c, "hard_min", _lit(s.hard_min)), (c, "hard_max", _lit(s.hard_max))]
+        if s.outlier in _PCTL:
+            rows += [(c, "pctl_low", f"s{i}_plo"), (c, "pctl_high", f"s{i}_phi")]
+        elif s.outlier == O.IQR_FILTER:
+            rows += [(c, "iqr_low", f"s{i}_q1 - {s.iqr_k} * (s{i}_q3 - s{i}_q1)"),
+                     (c, "iqr_high", f"s{i}_q3 + {s.iqr_k} * (s{i}_q3 - s{i}_q1)")]
+        if s.normalization == N.LOG1P:
+            rows.append((c, "log1p_shift", f"CASE WHEN s{i}_min <= -1 THEN -s{i}_min + 1 ELSE 0.0 END"))
+        elif s.normalization == N.ROBUST_Z:
+            rows += [(c, "robust_median", f"s{i}_rmed"),
+                     (c, "robust_iqr", f"CASE WHEN s{i}_rq3 - s{i}_rq1 IS NULL OR s{i}_rq3 - s{i}_rq1 = 0 THEN 1.0 "
+                                       f"ELSE s{i}_rq3 - s{i}_rq1 END")]
+        elif s.normalization == N.MINMAX:
+            rows += [(c, "minmax_min", f"s{i}_min"), (c, "minmax_max", f"s{i}_max")]
+    st = f"(SELECT {stats_select(cols, strategies)} FROM ({src}))"
+    return " UNION ALL ".join(f"SELECT '{c}' AS column, '{k}' AS stat, round(CAST({e} AS DOUBLE), 6) AS value FROM {st}"
+                              for c, k, e in rows)
+
+
+ORACLE_SQL["s12_artifacts"] = artifact_sql(LINEITEM_GAPS, LINEITEM_COLS, LINEITEM_STRATEGIES)
+
+ORACLE_SQL["q5_iqr_filter"] = """SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS l_quantity FROM lineitem,
+  (SELECT quantile_cont(l_quantity, 0.25) AS q1, quantile_cont(l_quantity, 0.75) AS q3 FROM lineitem) s
+WHERE l_quantity >= q1 - 0.5 * (q3 - q1) AND l_quantity <= q3 + 0.5 * (q3 - q1)"""
+ORACLE_SQL["q6_pctl_filter"] = """SELECT l_orderkey, l_linenumber, round(l_extendedprice, 6) AS l_extendedprice FROM lineitem,
+  (SELECT quantile_cont(l_extendedprice, 0.01) AS lo, quantile_cont(l_extendedprice, 0.99) AS hi FROM lineitem) s
+WHERE l_extendedprice >= lo AND l_extendedprice <= hi"""
+
+_seq = [f"t0 AS (SELECT l_orderkey, l_linenumber, " +
+        ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in LI_NUM) + f" FROM ({LINEITEM_GAPS}))"]
+for _i, _c in enumerate(LI_NUM, 1):
+    _seq.append(f"t{_i} AS (SELECT t{_i-1}.* FROM t{_i-1}, (SELECT quantile_cont({_c}, 0.25) AS q1, "
+                f"quantile_cont({_c}, 0.75) AS q3 FROM t{_i-1}) s WHERE {_c} >= q1 - 1.0 * (q3 - q1) "
+                f"AND {_c} <= q3 + 1.0 * (q3 - q1))")
+ORACLE_SQL["q7_sequential_iqr"] = ("WITH " + ", ".join(_seq) + " SELECT l_orderkey, l_linenumber, " +
+                                   ", ".join(f"round({c}, 6) AS {c}" for c in LI_NUM) + f" FROM t{len(LI_NUM)}")
+
+_RANKS = "r AS (SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r{i}" for i, c in enumerate(LI_NUM)
+) + " FROM lineitem)"
+_SPEARMAN = (f"WITH {_RANKS} " + " UNION ALL ".join(
+    f"SELECT {i} AS i, {j} AS j, '{a}' AS col_i, '{b}' AS col_j, "
+    + (f"CAST(1.0 AS DOUBLE) AS rho" if i == j else f"round(corr(r{i}, r{j}), 6) AS rho FROM r")
+    for i, a in enumerate(LI_NUM) for j, b in enumerate(LI_NUM)))
+ORACLE_SQL["m1_spearman"] = _SPEARMAN
+ORACLE_SQL["m2_weak_correlation"] = (f"SELECT col_j AS column, max(CASE WHEN abs(rho) < 0.2 THEN 1 ELSE 0 END) = 1 "
+                                     f"AS weak FROM ({_SPEARMAN}) WHERE i < j GROUP BY col_j")
+ORACLE_SQL["m3_standardize"] = ("SELECT " + ", ".join(f"round(({c} - m{i}) / s{i}, 6) AS {c}" for i, c in enumerate(LI_NUM)) +
+                                " FROM lineitem, (SELECT " +
+                                ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(LI_NUM)) +
+                                " FROM lineitem) st")
+
+# ---------------------------------------------------------------------------------------------
+# Projection, joins, unions, dedup
+# ---------------------------------------------------------------------------------------------
+_CHAIN = """WITH c AS (SELECT c_custkey AS key, c_name AS name, c_acctbal AS bal, c_mktsegment FROM customer),
+o AS (SELECT o_custkey AS key, o_orderkey, o_totalprice AS bal, o_orderstatus FROM orders WHERE o_custkey IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1),
+s AS (SELECT s_suppkey AS key, s_name AS name, s_acctbal AS bal FROM supplier)"""
+ORACLE_SQL["j1_join_chain"] = _CHAIN + """
+SELECT c.key, c.name AS name_x, round(c.bal, 6) AS bal_x, c.c_mktsegment, o.o_orderkey, round(o.bal, 6) AS bal_y,
+  o.o_orderstatus, s.name AS name_y, round(s.bal, 6) AS bal
+FROM c LEFT JOIN o ON c.key = o.key LEFT JOIN s ON c.key = s.key"""
+ORACLE_SQL["j2_resolve"] = _CHAIN + """
+SELECT c.key, c.c_mktsegment, o.o_orderkey, round(o.bal, 6) AS order_total, o.o_orderstatus, round(s.bal, 6) AS bal,
+  coalesce(s.name, c.name) AS name
+FROM c LEFT JOIN o ON c.key = o.key LEFT JOIN s ON c.key = s.key"""
+
+_UNION = """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+UNION ALL BY NAME SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, o_custkey FROM orders"""
+ORACLE_SQL["u1_s7_union"] = f"SELECT * REPLACE (round(o_totalprice, 6) AS o_totalprice) FROM ({_UNION})"
+ORACLE_SQL["a5_u2_dedup"] = f"""SELECT * REPLACE (round(o_totalprice, 6) AS o_totalprice) FROM ({_UNION})
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_totalprice NULLS FIRST,
+  o_orderdate NULLS FIRST, o_orderpriority NULLS FIRST) = 1"""
+ORACLE_SQL["q1_q3_projection"] = "SELECT o_orderkey, round(o_totalprice, 6) AS total FROM orders"
+
+# ---------------------------------------------------------------------------------------------
+# Crawl work-list and I/O
+# ---------------------------------------------------------------------------------------------
+_BASE = "https://listings.example"
+_dyn = {"draw": "CAST(page AS VARCHAR)", "start": "CAST((page - 1) * 10 AS VARCHAR)",
+        "_": "CAST(1700000000000 + page AS VARCHAR)"}
+_parts = [f"'{quote_plus(k)}=' || {_dyn[k]}" if k in _dyn else f"'{quote_plus(k)}={quote_plus(v)}'"
+          for k, v in LIST_PARAMS.items()]
+ORACLE_SQL["c1_manifest"] = f"""SELECT c_mktsegment, CAST(page AS INTEGER) AS page,
+  '{_BASE}/main-board/index?' || {" || '&' || ".join(_parts)} AS url
+FROM (SELECT c_mktsegment, unnest(generate_series(1, CAST(ceil(count(*) / 10) AS BIGINT))) AS page
+      FROM customer GROUP BY c_mktsegment)"""
+
+_FAN_BASE = "(SELECT c_custkey AS id, replace(lower(c_name || ' Ltd'), ' ', '_') AS company, lower(replace(c_name, '#', '-')) AS slug FROM customer)"
+_TPL = [("ipo_information", "/ipo/"), ("financials", "/ipo/financial-report/"), ("subscription", "/ipo/subscription/"),
+        ("peers", "/ipo/peer-comparison/"), ("performance_report", "/ipo/performance-report/"),
+        ("review", "/ipo/review/")]
+_FANOUT = " UNION ALL ".join(
+    [f"SELECT company, '{s}' AS section, '{_BASE}{p}' || slug || '/' || id AS url FROM {_FAN_BASE}" for s, p in _TPL] +
+    [f"SELECT company, 'gmp' AS section, '{_BASE}/gmp/' || slug || '/' || id || '/' AS url FROM {_FAN_BASE} WHERE id % 3 <> 0"])
+ORACLE_SQL["c2_c4_fanout"] = f"""SELECT company, section, url, CASE WHEN contains(url, '/gmp/') THEN 'gmp'
+  WHEN contains(url, '/subscription/') THEN 'subscription' ELSE 'generic' END AS handler FROM ({_FANOUT})"""
+ORACLE_SQL["c3_pending"] = f"""SELECT company, section FROM ({_FANOUT})
+WHERE section NOT IN ('financials', 'gmp', 'ipo_information', 'performance_report', 'subscription')"""
+
+ORACLE_SQL["c7_status"] = r"""WITH l AS (SELECT event_id,
+  CASE event_type WHEN 'error' THEN 503 WHEN 'click' THEN 429 WHEN 'signup' THEN 404 ELSE 200 END AS status,
+  CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 10 = 0 THEN '{"msg": 0, "error": "blocked"}'
+       ELSE props END AS body FROM events)
+SELECT event_id, status, CASE
+  WHEN status BETWEEN 200 AND 299 AND regexp_matches(ltrim(body), '^[\[{]') AND json_extract(body, '$.k') IS NOT NULL THEN 'success'
+  WHEN status = 429 OR status BETWEEN 500 AND 599 OR (status BETWEEN 200 AND 299 AND json_extract(body, '$.error') IS NOT NULL
+       AND json_extract(body, '$.msg') IS NOT NULL) THEN 'retry'
+  ELSE 'fail' END AS outcome FROM l"""
+
+ORACLE_SQL["s8_payload"] = "SELECT o_orderkey, o_orderstatus FROM orders"
+ORACLE_SQL["s4_s6_csv_roundtrip"] = """SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice,
+  CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"""

@@ -322,3 +322,299 @@ def g1_listing_gold(spark, sf_dir):
     silver = pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS)
     res = create_gold(silver, Registry().strategy_map(), FEATURE_GROUPS["custom"], keep=["company"])
     return round_doubles(res.features)
+
+
+# ---------------------------------------------------------------------------------------------
+# Aggregations, imputation, outliers, normalisation, artifacts
+# ---------------------------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from ..operators import profile as PR  # noqa: E402
+from ..operators.apply import handle_outliers, impute, normalize  # noqa: E402
+from ..operators.fit import quantiles  # noqa: E402
+from ..registry import (ColumnStrategy, ImputerPolicy, NormalizationPolicy,  # noqa: E402
+                        OutlierPolicy)
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources import io as IO  # noqa: E402
+
+PROBS = [0.01, 0.25, 0.5, 0.75, 0.99]
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def scratch_path(spark, name: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint dir (never machine-local on a cluster)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("a1_a2_quantiles")
+def a1_a2_quantiles(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    q = quantiles(li, LI_NUM, PROBS)
+    entries = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("prob"), F.col(c)[i].alias("value"))
+               for c in LI_NUM for i, p in enumerate(PROBS)]
+    return round_doubles(q.select(F.inline(F.array(*entries))))
+
+
+@query("a6_profile")
+def a6_profile(spark, sf_dir):
+    return PR.profile(read_table(spark, sf_dir, "orders")).drop("dtype")
+
+
+@query("a7_describe")
+def a7_describe(spark, sf_dir):
+    return round_doubles(PR.describe(read_table(spark, sf_dir, "lineitem"), LI_NUM))
+
+
+EVENTS_STRATEGIES = {
+    "value": ColumnStrategy(ImputerPolicy.MEDIAN_WITH_MISSING_INDICATOR),
+    "k": ColumnStrategy(ImputerPolicy.ZERO_WITH_MISSING_INDICATOR),
+    "user_id": ColumnStrategy(ImputerPolicy.MEDIAN),
+}
+
+
+def events_with_gaps(spark, sf_dir) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("value")).alias("value"),
+        F.when(F.col("event_type") == "error", None).otherwise(F.get_json_object("props", "$.k")).alias("k"),
+        F.when(F.col("event_id") % 5 == 0, None).otherwise(F.col("user_id")).alias("user_id"))
+
+
+@query("i1_i4_impute")
+def i1_i4_impute(spark, sf_dir):
+    src = events_with_gaps(spark, sf_dir)
+    art = fit(src, EVENTS_STRATEGIES)
+    out = impute(src, art, list(EVENTS_STRATEGIES))
+    return round_doubles(out.select("event_id", "value", "k", "user_id", "k__is_missing", "value__is_missing"))
+
+
+@query("i6_fill_zero")
+def i6_fill_zero(spark, sf_dir):
+    src = events_with_gaps(spark, sf_dir).withColumn("k", F.col("k").cast("double"))
+    return round_doubles(src.fillna(0, subset=["value", "k", "user_id"]))
+
+
+ORDERS_OUTLIER = {
+    "o_totalprice": ColumnStrategy(outlier=OutlierPolicy.PCTL_CLIP, pctl_low=0.05, pctl_high=0.95),
+    "o_custkey": ColumnStrategy(outlier=OutlierPolicy.IQR_FILTER, iqr_k=0.5),
+    "o_shippriority": ColumnStrategy(outlier=OutlierPolicy.CLIP_THEN_PCTL_CLIP, hard_min=2.0, hard_max=4.0),
+}
+
+
+def orders_for_outliers(spark, sf_dir) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_totalprice", "o_custkey",
+                    F.substring("o_orderpriority", 1, 1).cast("int").alias("o_shippriority"))
+
+
+@query("o2_o4_clip")
+def o2_o4_clip(spark, sf_dir):
+    src = orders_for_outliers(spark, sf_dir)
+    art = fit(src, ORDERS_OUTLIER)
+    return round_doubles(handle_outliers(src, art, list(ORDERS_OUTLIER), mode="clip")
+                         .select("o_orderkey", *ORDERS_OUTLIER))
+
+
+@query("o5_o6_drop_orders")
+def o5_o6_drop_orders(spark, sf_dir):
+    src = orders_for_outliers(spark, sf_dir)
+    art = fit(src, ORDERS_OUTLIER)
+    return round_doubles(handle_outliers(src, art, list(ORDERS_OUTLIER), mode="drop")
+                         .select("o_orderkey", *ORDERS_OUTLIER))
+
+
+CUSTOMER_NORM = {
+    "acct_log": ColumnStrategy(normalization=NormalizationPolicy.LOG1P),
+    "acct_robust": ColumnStrategy(normalization=NormalizationPolicy.ROBUST_Z),
+    "acct_minmax": ColumnStrategy(normalization=NormalizationPolicy.MINMAX),
+}
+
+
+@query("z1_z7_normalize")
+def z1_z7_normalize(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer")
+    src = c.select("c_custkey", *[F.col("c_acctbal").alias(n) for n in CUSTOMER_NORM])
+    art = fit(src, CUSTOMER_NORM)
+    return round_doubles(normalize(src, art, list(CUSTOMER_NORM)))
+
+
+@query("s12_artifacts")
+def s12_artifacts(spark, sf_dir):
+    src = lineitem_with_gaps(spark, sf_dir)
+    path = scratch_path(spark, "artifacts")
+    IO.save_artifacts(fit(src, LINEITEM_STRATEGIES, LINEITEM_COLS), path)
+    return round_doubles(IO.load_artifacts(spark, path))
+
+
+@query("q5_iqr_filter")
+def q5_iqr_filter(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return round_doubles(PR.iqr_filter(li, "l_quantity", factor=0.5))
+
+
+@query("q6_pctl_filter")
+def q6_pctl_filter(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return round_doubles(PR.percentile_filter(li, "l_extendedprice", 0.01, 0.99))
+
+
+@query("q7_sequential_iqr")
+def q7_sequential_iqr(spark, sf_dir):
+    src = lineitem_with_gaps(spark, sf_dir)
+    return round_doubles(PR.sequential_iqr_filter(src, LI_NUM, factor=1.0))
+
+
+@query("m1_spearman")
+def m1_spearman(spark, sf_dir):
+    return round_doubles(PR.spearman(read_table(spark, sf_dir, "lineitem"), LI_NUM))
+
+
+@query("m2_weak_correlation")
+def m2_weak_correlation(spark, sf_dir):
+    return PR.weak_correlation(PR.spearman(read_table(spark, sf_dir, "lineitem"), LI_NUM), 0.2)
+
+
+@query("m3_standardize")
+def m3_standardize(spark, sf_dir):
+    return round_doubles(PR.standardize(read_table(spark, sf_dir, "lineitem"), LI_NUM))
+
+
+@query("m4_a9_pca_variance")
+def m4_a9_pca_variance(spark, sf_dir):
+    var, _ = PR.pca(read_table(spark, sf_dir, "lineitem"), LI_NUM)
+    return round_doubles(var)
+
+
+@query("m5_m6_importance")
+def m5_m6_importance(spark, sf_dir):
+    var, load = PR.pca(read_table(spark, sf_dir, "lineitem"), LI_NUM)
+    return round_doubles(PR.importance(var, load))
+
+
+# ---------------------------------------------------------------------------------------------
+# Projection, joins, unions, dedup
+# ---------------------------------------------------------------------------------------------
+from ..operators.layers import coalesce_clashes, dedup_first, join_chain, project, resolve_clashes, union_all  # noqa: E402,E501
+
+
+def _chain_tables(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+                                                      F.col("c_acctbal").alias("bal"), "c_mktsegment")
+    o = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), "o_orderkey",
+                                                    F.col("o_totalprice").alias("bal"), "o_orderstatus")
+    s = read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"),
+                                                      F.col("s_acctbal").alias("bal"))
+    return [c, o, s]
+
+
+@query("j1_join_chain")
+def j1_join_chain(spark, sf_dir):
+    return round_doubles(join_chain(_chain_tables(spark, sf_dir), ["key"]))
+
+
+@query("j2_resolve")
+def j2_resolve(spark, sf_dir):
+    joined = join_chain(_chain_tables(spark, sf_dir), ["key"])
+    out = resolve_clashes(joined, drop=["bal_x"], rename={"bal_y": "order_total"})
+    return round_doubles(coalesce_clashes(out, ["name"], prefer="_y", other="_x"))
+
+
+def _two_projections(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    a = o.select("o_orderkey", "o_custkey", "o_totalprice")
+    b = o.select("o_orderkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority", "o_custkey")
+    return a, b
+
+
+@query("u1_s7_union")
+def u1_s7_union(spark, sf_dir):
+    return round_doubles(union_all(list(_two_projections(spark, sf_dir))))
+
+
+@query("a5_u2_dedup")
+def a5_u2_dedup(spark, sf_dir):
+    u = union_all(list(_two_projections(spark, sf_dir)))
+    return round_doubles(dedup_first(u, ["o_custkey"], order=["o_orderkey"]))
+
+
+@query("q1_q3_projection")
+def q1_q3_projection(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    p = project(o, ["o_orderkey", "ipo_size", "o_totalprice", "o_orderstatus", "not_there"])
+    return round_doubles(resolve_clashes(p, drop=["o_orderstatus"], rename={"o_totalprice": "total"}))
+
+
+# ---------------------------------------------------------------------------------------------
+# Crawl work-list (C1-C4, C7) and I/O round trips
+# ---------------------------------------------------------------------------------------------
+from ..operators import frontier as FR  # noqa: E402
+
+BASE_URL = "https://listings.example"
+
+
+@query("c1_manifest")
+def c1_manifest(spark, sf_dir):
+    c = read_table(spark, sf_dir, "customer")
+    counts = FR.pages_needed(c, ["c_mktsegment"], page_size=10)
+    return FR.page_manifest(counts, "n_pages", BASE_URL + "/main-board/index", cache_buster_ms=1_700_000_000_000,
+                            keys=["c_mktsegment"])
+
+
+def _list_rows(spark, sf_dir) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    slug = F.lower(F.regexp_replace("c_name", "#", "-"))
+    gain = F.when(F.col("c_custkey") % 3 == 0, None).otherwise(
+        F.concat(F.lit(BASE_URL + "/gmp/"), slug, F.lit("/"), F.col("c_custkey").cast("string"), F.lit("/")))
+    return c.select(F.col("c_custkey").alias("id"), F.concat(F.col("c_name"), F.lit(" Ltd")).alias("company_name"),
+                    slug.alias("slug"), gain.alias("investor_gain"), "c_mktsegment")
+
+
+@query("c2_c4_fanout")
+def c2_c4_fanout(spark, sf_dir):
+    f = FR.fan_out(_list_rows(spark, sf_dir), BASE_URL)
+    return f.select("company", "section", "url", FR.route("url").alias("handler"))
+
+
+@query("c3_pending")
+def c3_pending(spark, sf_dir):
+    frontier = FR.fan_out(_list_rows(spark, sf_dir), BASE_URL)
+    fetched = listing_pages(spark, sf_dir).select(
+        F.regexp_replace("company", "_", "#").alias("c"), "section")
+    fetched = fetched.select(F.concat(F.col("c"), F.lit("_ltd")).alias("company"), "section")
+    return FR.pending(frontier, fetched, ["company", "section"]).select("company", "section")
+
+
+@query("c7_status")
+def c7_status(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    status = (F.when(F.col("event_type") == "error", 503).when(F.col("event_type") == "click", 429)
+              .when(F.col("event_type") == "signup", 404).otherwise(200))
+    body = F.when(F.get_json_object("props", "$.k").cast("int") % 10 == 0,
+                  F.lit('{"msg": 0, "error": "blocked"}')).otherwise(F.col("props"))
+    log = ev.select("event_id", status.alias("status"), body.alias("body"))
+    return log.select("event_id", "status", FR.classify_response("status", "body", success_key="k").alias("outcome"))
+
+
+@query("s8_payload")
+def s8_payload(spark, sf_dir):
+    o = read_table(spark, sf_dir, "orders")
+    pages = (o.groupBy((F.col("o_orderkey") / 10).cast("long").alias("page"))
+             .agg(F.to_json(F.struct(F.collect_list(F.struct("o_orderkey", "o_custkey", "o_orderstatus"))
+                                     .alias("data"))).alias("payload")))
+    return IO.parse_payload(pages, "payload", "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING",
+                            fields=["o_orderkey", "o_orderstatus", "missing_field"])
+
+
+@query("s4_s6_csv_roundtrip")
+def s4_s6_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv")
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "d MMMM yyyy").alias("o_orderdate"),
+        "o_orderpriority")
+    IO.write_csv(o, path)
+    raw = IO.read_csv_text(spark, path)
+    typed = raw.select(C.parse_number("o_orderkey").cast("long").alias("o_orderkey"),
+                       C.parse_number("o_totalprice").alias("o_totalprice"),
+                       C.parse_date("o_orderdate").alias("o_orderdate"), C.parse_text("o_orderpriority").alias("o_orderpriority"))
+    return round_doubles(typed)
