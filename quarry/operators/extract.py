@@ -112,12 +112,16 @@ def _label_key(label: Column) -> Column:
     return e
 
 
-def label_table_fields(page: Column) -> dict[str, Column]:
-    """label/value rows of every table; later rows overwrite earlier ones."""
-    pairs = F.flatten(F.transform(page["tables"], lambda t: F.transform(
+def label_table_pairs(page: Column) -> Column:
+    """(key, value) for every label/value row of every table, in document order."""
+    return F.flatten(F.transform(page["tables"], lambda t: F.transform(
         F.filter(t["rows"], lambda r: F.size(r["cells"]) >= 2),
         lambda r: F.struct(_label_key(F.lower(r["cells"][0]["tight"])).alias("key"),
                            r["cells"][1]["tight"].alias("value")))))
+
+
+def label_table_fields(pairs: Column) -> dict[str, Column]:
+    """Per key the last row wins (``pairs`` should be a staged column)."""
     return {k: F.try_element_at(F.filter(pairs, _field_is("key", k)), F.lit(-1))["value"]
             for k in FINANCIAL_PATTERNS}
 
@@ -131,8 +135,9 @@ def extract_financials(pages: DataFrame, key: str = "company", html: str = "html
     """
     staged = pages.select(key, html_text(html).alias("_text"), parse_page(html).alias("_page"))
     regex = {k: _field(F.col("_text"), "(?iu)" + p) for k, p in FINANCIAL_PATTERNS.items()}
-    s2 = staged.select(key, F.struct(*[v.alias(k) for k, v in regex.items()]).alias("_rx"), "_page")
-    tab = label_table_fields(F.col("_page"))
+    s2 = staged.select(key, F.struct(*[v.alias(k) for k, v in regex.items()]).alias("_rx"),
+                       label_table_pairs(F.col("_page")).alias("_pairs"))
+    tab = label_table_fields(F.col("_pairs"))
     none_hit = F.coalesce(*[F.col("_rx")[k] for k in FINANCIAL_PATTERNS]).isNull()
     s3 = s2.select(key, "_rx", F.struct(*[v.alias(k) for k, v in tab.items()]).alias("_tb"),
                    none_hit.alias("_miss"))
@@ -281,15 +286,12 @@ def _index_of(arr: Column, pred) -> Column:
     return (F.nullif(F.array_position(F.transform(arr, pred), F.lit(True)), F.lit(0)) - 1).cast("int")
 
 
-def _category_pairs(t: Column, prefix: str, value_pred, skip: list[str]) -> Column:
-    """Rows after the header row -> (prefix + canonical category, value text); NULL if unusable."""
-    hdr = _header_row(t)
-    norm = F.transform(hdr["headers"], F.lower)
-    staged = F.struct(t["rows"].alias("rows"), hdr["idx"].alias("h"),
-                      _index_of(norm, lambda h: h.contains("category")).alias("ci"),
-                      _index_of(norm, value_pred).alias("vi"))
-    # materialise the per-table header facts once, then read them by field
-    return F.transform(F.array(staged), lambda y: _pairs_after_header(y, prefix, skip))[0]
+def header_tables(page: Column) -> Column:
+    """X16 for every table once: array<struct<rows, h, headers>> (shared by X17 and X18)."""
+    staged = F.transform(page["tables"], lambda t: F.struct(t["rows"].alias("rows"), _header_row(t).alias("hdr")))
+    return F.transform(staged, lambda x: F.struct(
+        x["rows"].alias("rows"), x["hdr"]["idx"].alias("h"),
+        F.transform(x["hdr"]["headers"], F.lower).alias("headers")))
 
 
 def _pairs_after_header(y: Column, prefix: str, skip: list[str]) -> Column:
@@ -307,31 +309,46 @@ def _pairs_after_header(y: Column, prefix: str, skip: list[str]) -> Column:
     return F.when(y["ci"].isNotNull() & y["vi"].isNotNull(), out)
 
 
+def _category_pairs(tables: Column, prefix: str, value_pred, skip: list[str]) -> Column:
+    """Per table: rows after the header -> (prefix + canonical category, value); first non-empty table wins."""
+    located = F.transform(tables, lambda x: F.struct(
+        x["rows"].alias("rows"), x["h"].alias("h"),
+        _index_of(x["headers"], lambda h: h.contains("category")).alias("ci"),
+        _index_of(x["headers"], value_pred).alias("vi")))
+    per_table = F.transform(located, lambda y: _pairs_after_header(y, prefix, skip))
+    return F.coalesce(_first(per_table, lambda a: F.size(a) > 0), F.array().cast(_PAIRS))
+
+
 def _last_wins_map(pairs: Column) -> Column:
+    """Pairs -> map, the last pair per key winning (``pairs`` must be a column: it is read per element)."""
     dedup = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, 1_000_000), lambda q: q["key"] == p["key"]))
     return F.map_from_entries(dedup)
 
 
-def subscription_pairs(page: Column) -> Column:
-    """Category -> subscription times, from the first table that yields any row."""
-    per_table = F.transform(page["tables"], lambda t: _category_pairs(
-        t, "subscription_", lambda h: h.contains("subscription") & h.contains("time"), SUBSCRIPTION_SKIP))
-    return F.coalesce(_first(per_table, lambda a: F.size(a) > 0), F.array().cast(_PAIRS))
+def subscription_pairs(tables: Column) -> Column:
+    """Category -> subscription times (headers 'category' and 'subscription ... time')."""
+    return _category_pairs(tables, "subscription_", lambda h: h.contains("subscription") & h.contains("time"),
+                           SUBSCRIPTION_SKIP)
 
 
-def allocation_pairs(page: Column) -> Column:
+def allocation_pairs(tables: Column) -> Column:
     """Category -> allocation %, header '%' with size/allocation/issue."""
-    per_table = F.transform(page["tables"], lambda t: _category_pairs(
-        t, "allocation_", lambda h: h.contains("%") & (h.contains("size") | h.contains("allocation") | h.contains("issue")),
-        ALLOCATION_SKIP))
-    return F.coalesce(_first(per_table, lambda a: F.size(a) > 0), F.array().cast(_PAIRS))
+    return _category_pairs(
+        tables, "allocation_",
+        lambda h: h.contains("%") & (h.contains("size") | h.contains("allocation") | h.contains("issue")),
+        ALLOCATION_SKIP)
 
 
 def extract_subscription(pages: DataFrame, key: str = "company", html: str = "html") -> DataFrame:
-    """One dynamic record per page as ``map<string,string>`` (keys disjoint by prefix)."""
-    parsed = pages.select(key, parse_page(html).alias("_page"))
-    return parsed.select(key, F.map_concat(_last_wins_map(subscription_pairs(F.col("_page"))),
-                                           _last_wins_map(allocation_pairs(F.col("_page")))).alias("fields"))
+    """One dynamic record per page as ``map<string,string>`` (keys disjoint by prefix).
+
+    Staged projections: parse -> header facts per table -> pairs -> map, so no
+    intermediate array is recomputed inside a lambda.
+    """
+    t = (pages.select(key, parse_page(html).alias("_page"))
+         .select(key, header_tables(F.col("_page")).alias("_tabs"))
+         .select(key, subscription_pairs(F.col("_tabs")).alias("_sp"), allocation_pairs(F.col("_tabs")).alias("_ap")))
+    return t.select(key, F.map_concat(_last_wins_map(F.col("_sp")), _last_wins_map(F.col("_ap"))).alias("fields"))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -256,7 +256,10 @@ from .medallion import pages_to_silver  # noqa: E402
 
 
 def listing_pages(spark, sf_dir) -> DataFrame:
-    return render_pages(read_table(spark, sf_dir, "customer"))
+    """Section pages for every customer.  The customer rows (small) are hash-partitioned
+    first so that rendering, parsing and extraction spread over all tasks."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return render_pages(read_table(spark, sf_dir, "customer").repartition(n, "c_custkey"))
 
 
 def _section(spark, sf_dir, s) -> DataFrame:
@@ -296,7 +299,7 @@ SUBSCRIPTION_KEYS = ["allocation_anchor_investors", "allocation_qib_ex_anchor",
 @query("x17_x18_subscription")
 def x17_x18_subscription(spark, sf_dir):
     raw = XT.extract_subscription(_section(spark, sf_dir, "subscription"))
-    return round_doubles(C.clean_df(map_to_columns(raw, "fields")))
+    return round_doubles(C.clean_df(map_to_columns(raw, "fields", SUBSCRIPTION_KEYS)))
 
 
 @query("s7_discovered_keys")
