@@ -30,7 +30,7 @@ def read_html_dir(spark: SparkSession, root: str, pattern: str = "*/*/*.html") -
 
     One row per file (``wholetext``); files are split across tasks by Spark.
     """
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", "*.html").text(f"{root.rstrip('/')}/{pattern}")
+    df = spark.read.text(f"{root.rstrip('/')}/{pattern}", wholetext=True)
     fp = F.col("_metadata.file_path")
     return df.select(path_part(fp, 2).alias("segment"), path_part(fp, 1).alias("section"),
                      path_key(fp).alias("company"), F.col("value").alias("html"))
