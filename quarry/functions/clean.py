@@ -81,11 +81,23 @@ def parse_money_crore(x) -> Column:
     return F.when(unit.startswith("la"), val / F.lit(100.0)).otherwise(val)
 
 
+_W = r"[^\d\s,./-]+"  # a month-name token
+# Shape of each layout: a superset of the strings it can parse.  A layout is only tried on
+# matching strings, so failed parses (exceptions inside the parser) are skipped cheaply.
+DATE_SHAPES: dict[str, str] = {
+    "d MMMM yyyy": rf"^\d+ {_W} \d+$", "d MMM yyyy": rf"^\d+ {_W} \d+$", "yyyy-MM-dd": r"^\d+-\d+-\d+$",
+    "d/M/yyyy": r"^\d+/\d+/\d+$", "d-M-yyyy": r"^\d+-\d+-\d+$", "MMMM d, yyyy": rf"^{_W} \d+, \d+$",
+    "MMM d, yyyy": rf"^{_W} \d+, \d+$", "MMMM d yyyy": rf"^{_W} \d+ \d+$", "MMM d yyyy": rf"^{_W} \d+ \d+$",
+    "d MMM yy": rf"^\d+ {_W} \d+$", "d.M.yyyy": r"^\d+\.\d+\.\d+$", "yyyy/M/d": r"^\d+/\d+/\d+$",
+    "d MMMM, yyyy": rf"^\d+ {_W}, \d+$", "d MMM, yyyy": rf"^\d+ {_W}, \d+$",
+}
+
+
 def parse_date(x, extra: bool = True) -> Column:
-    """Ordinal-tolerant, ordered formats -> DATE (ISO text via ``date_format`` on export)."""
+    """Ordinal-tolerant, ordered formats (first that parses wins) -> DATE."""
     s = ustrip(strip_ordinal(missing_to_null(x)))
     fmts = DATE_FORMATS + (EXTRA_DATE_FORMATS if extra else [])
-    return F.coalesce(*[F.try_to_date(s, f) for f in fmts])
+    return F.coalesce(*[F.when(s.rlike(DATE_SHAPES[f]), F.try_to_date(s, f)) for f in fmts])
 
 
 def company_slug(x) -> Column:

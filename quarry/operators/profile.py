@@ -107,12 +107,60 @@ def _vectors(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="_v").transform(clean).select("_v")
 
 
+def average_ranks(values: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
+    """Exact average rank (ties share the mean of their positions) of every distinct value.
+
+    Distinct values with counts (map-side combined) are range-partitioned; each
+    partition ranks locally and adds the count of all smaller partitions.  Only
+    one total per partition reaches the driver, so this scales with the data.
+    """
+    spark = values.sparkSession
+    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = values.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    d = d.repartitionByRange(p, col).withColumn("_pid", F.spark_partition_id())
+    d = cut_lineage(d)  # pin the range boundaries: totals and ranks must see the same partitions
+    totals = sorted((r["_pid"], r["_t"]) for r in d.groupBy("_pid").agg(F.sum("_n").alias("_t")).collect())
+    offsets, run = {}, 0
+    for pid, t in totals:
+        offsets[pid] = run
+        run += t
+    off = F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(float(o)))]) \
+        if offsets else F.create_map().cast("map<int,double>")
+    w = Window.partitionBy("_pid").orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cum = F.sum("_n").over(w)
+    return d.select(col, (off[F.col("_pid")] + cum - (F.col("_n") - 1) / 2.0).alias("_rank"))
+
+
 def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
     """M1: Spearman matrix (average ranks for ties) on complete rows -> long (i, j, col_i, col_j, rho).
 
-    Ranks come from MLlib's distributed sort; the driver receives the k x k matrix.
+    Ranks per column from ``average_ranks`` joined back by value (AQE broadcasts
+    small rank tables and splits skewed values); all pairwise correlations are
+    one aggregate.
     """
     cols = select_existing(df, cols)
+    base = df.select(*[as_double(df, c).alias(c) for c in cols]).dropna()
+    ranked = base
+    for i, c in enumerate(cols):
+        ranked = ranked.join(average_ranks(base.select(c), c).withColumnRenamed("_rank", f"_r{i}"), on=c)
+    k = len(cols)
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    row = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"c{i}_{j}") for i, j in pairs]).first() if pairs else None
+    rows = []
+    for i in range(k):
+        for j in range(k):
+            if i == j:
+                v = 1.0
+            else:
+                a, b = min(i, j), max(i, j)
+                v = row[f"c{a}_{b}"]
+            rows.append((i, j, cols[i], cols[j], None if v is None else float(v)))
+    return df.sparkSession.createDataFrame(rows, "i INT, j INT, col_i STRING, col_j STRING, rho DOUBLE")
+
+
+def spearman_mllib(df: DataFrame, cols: list[str]) -> DataFrame:
+    """M1 via MLlib's ``Correlation`` (same result; kept for comparison)."""
+    cols = select_existing(df, cols)
     m = Correlation.corr(_vectors(df, cols), "_v", "spearman").first()[0].toArray()
     rows = [(i, j, cols[i], cols[j], float(m[i][j])) for i in range(len(cols)) for j in range(len(cols))]
     return df.sparkSession.createDataFrame(rows, "i INT, j INT, col_i STRING, col_j STRING, rho DOUBLE")
