@@ -119,6 +119,7 @@ LINEITEM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LI_KEYS = ["l_orderkey", "l_linenumber"]
 
 ORACLE_SQL["g1_gold"] = gold_sql(LINEITEM_GAPS, LI_KEYS, LINEITEM_COLS, LINEITEM_STRATEGIES)
+ORACLE_SQL["g1_gold_distributed"] = ORACLE_SQL["g1_gold"]
 ORACLE_SQL["g7_reapply"] = gold_sql(LINEITEM_GAPS, LI_KEYS, LINEITEM_COLS, LINEITEM_STRATEGIES,
                                     fit_filter="l_orderkey % 2 = 0", apply_filter="src.l_orderkey % 2 = 1")
 ORACLE_SQL["o5_drop"] = gold_sql(LINEITEM_GAPS, LI_KEYS, LINEITEM_COLS, LINEITEM_STRATEGIES, mode="drop")

@@ -6,10 +6,15 @@ policy needs, plus ``min``/``max``.  Spark does map-side partial aggregation, so
 only one small buffer per column and task crosses the shuffle.  The result is a
 long artifact DataFrame ``(column, stat, value)`` that stays lazy until applied.
 
-``method="exact"`` uses ``percentile`` (linear interpolation, equal to pandas
-``quantile`` and DuckDB ``quantile_cont``).  Its buffer is a value->count map, so
-for columns with very many distinct values choose ``method="approx"``
-(``percentile_approx`` with an explicit ``accuracy``) -- never applied silently.
+Quantile methods (all chosen explicitly, never switched silently):
+
+* ``"exact"``: ``percentile`` (linear interpolation, equal to pandas ``quantile``
+  and DuckDB ``quantile_cont``).  Its buffer is a value->count map merged in one
+  final task, so it suits low/moderate cardinality (or many duplicates).
+* ``"distributed"``: the same exact values via histogram narrowing
+  (``distributed_quantiles``): a few bucketed-count passes, no whole-column
+  buffer anywhere -- the method for high-cardinality columns at cluster scale.
+* ``"approx"``: ``percentile_approx`` with an explicit ``accuracy``.
 """
 
 from __future__ import annotations
@@ -75,8 +80,8 @@ def fit(df: DataFrame, strategies: dict[str, ColumnStrategy], cols=None, *,
     ``cols`` restricts the fit to requested columns that exist (Q1 semantics);
     columns without a strategy are skipped.
     """
-    if method not in {"exact", "approx"}:
-        raise ValueError("method must be 'exact' or 'approx'")
+    if method not in {"exact", "approx", "distributed"}:
+        raise ValueError("method must be 'exact', 'approx' or 'distributed'")
     target = [c for c in select_existing(df, cols if cols is not None else list(strategies))
               if c in strategies and strategies[c].is_numeric]
     aggs: list[Column] = []
@@ -99,7 +104,20 @@ def fit(df: DataFrame, strategies: dict[str, ColumnStrategy], cols=None, *,
     spark = df.sparkSession
     if not plan:
         return spark.createDataFrame([], ARTIFACT_SCHEMA)
-    if not aggs:  # only zero-fill / hard bounds: no data pass needed, but keep it a frame
+    if method == "distributed":
+        # exact, without a whole-column buffer in one task: statistics arrive as literals
+        res = distributed_quantiles(df, {c: qs for c, _, qs, _, _ in plan})
+        lits = []
+        for i, (c, _s, qs, need_min, need_max) in enumerate(plan):
+            vals, mn, mx = res[c]
+            if qs:
+                lits.append(F.array(*[F.lit(v).cast("double") for v in vals]).alias(f"q{i}"))
+            if need_min:
+                lits.append(F.lit(mn).cast("double").alias(f"mn{i}"))
+            if need_max:
+                lits.append(F.lit(mx).cast("double").alias(f"mx{i}"))
+        stats = spark.range(1).select(*(lits or [F.lit(1).alias("_")]))
+    elif not aggs:  # only zero-fill / hard bounds: no data pass needed, but keep it a frame
         stats = spark.range(1).select(F.lit(1).alias("_"))
     else:
         stats = df.agg(*aggs)
@@ -157,3 +175,93 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, method: str
         return df.agg(*[F.percentile(as_double(df, c), qarr).alias(c) for c in cols])
     return df.agg(*[F.percentile_approx(as_double(df, c), qarr, F.lit(accuracy)).cast("array<double>").alias(c)
                     for c in cols])
+
+
+def distributed_quantiles(df: DataFrame, cols: dict[str, list[float]], *, buckets: int = 4096,
+                          max_slice_rows: int = 1_000_000) -> dict[str, tuple[list[float | None], float | None,
+                                                                                float | None]]:
+    """Exact linear-interpolated quantiles without merging a whole column in one task.
+
+    Histogram narrowing: every pass groups the rows of each unresolved target into
+    ``buckets`` equal-width buckets of its current value range (map-side combined,
+    so at most ``buckets`` counts per target reach the driver), keeps the bucket
+    holding the wanted rank and shrinks the range to that bucket's [min, max].  A
+    bucket that is a single value (a hot value holding a third of all rows, say)
+    resolves at once; otherwise, once at most ``max_slice_rows`` rows remain, the
+    rank is read from that bounded slice.  Returns {col: (values, min, max)}.
+    """
+    names = list(cols)
+    xs = {c: as_double(df, c) for c in names}
+    first = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(names)],
+                   *[F.min(xs[c]).alias(f"lo{i}") for i, c in enumerate(names)],
+                   *[F.max(xs[c]).alias(f"hi{i}") for i, c in enumerate(names)]).first()
+    # targets: (col, rank) for the lower and upper neighbour of every requested position
+    state: dict[tuple[str, int], dict] = {}
+    plan: dict[str, list[tuple[int, int, float]]] = {}
+    for i, c in enumerate(names):
+        n, lo, hi = first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]
+        plan[c] = []
+        for p in cols[c]:
+            if n == 0:
+                plan[c].append((-1, -1, 0.0))
+                continue
+            pos = p * (n - 1)
+            k0, k1 = int(pos // 1), min(int(pos // 1) + 1, n - 1)
+            plan[c].append((k0, k1, pos - k0))
+            for k in (k0, k1):
+                state.setdefault((c, k), {"lo": lo, "hi": hi, "below": 0, "cnt": n, "value": None})
+    while True:
+        active = [(c, k) for (c, k), s in state.items() if s["value"] is None]
+        for key in active:
+            s = state[key]
+            if s["lo"] == s["hi"]:
+                s["value"] = s["lo"]
+        active = [(c, k) for (c, k), s in state.items() if s["value"] is None]
+        if not active:
+            break
+        small = [key for key in active if state[key]["cnt"] <= max_slice_rows]
+        wide = [key for key in active if state[key]["cnt"] > max_slice_rows]
+        for c, k in small:  # bounded slice: sort it in one task and read the rank
+            s = state[(c, k)]
+            x = xs[c]
+            arr = df.where((x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))).agg(
+                F.sort_array(F.collect_list(x)).alias("v")).first()["v"]
+            s["value"] = arr[k - s["below"]]
+        if not wide:
+            continue
+        parts = []
+        for t, (c, k) in enumerate(wide):
+            s = state[(c, k)]
+            x = xs[c]
+            width = (s["hi"] - s["lo"]) / buckets
+            b = F.least(F.floor((x - F.lit(s["lo"])) / F.lit(width)), F.lit(buckets - 1)).cast("int")
+            parts.append(df.where((x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"])))
+                         .select(F.lit(t).alias("t"), b.alias("b"), x.alias("x")))
+        u = parts[0]
+        for p_ in parts[1:]:
+            u = u.unionByName(p_)
+        hist = (u.groupBy("t", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+                .collect())
+        by_t: dict[int, list] = {}
+        for r in hist:
+            by_t.setdefault(r["t"], []).append(r)
+        for t, (c, k) in enumerate(wide):
+            s = state[(c, k)]
+            want = k - s["below"]
+            acc = 0
+            for r in sorted(by_t[t], key=lambda r: r["b"]):
+                if acc + r["n"] > want:
+                    s.update(lo=r["mn"], hi=r["mx"], below=s["below"] + acc, cnt=r["n"])
+                    break
+                acc += r["n"]
+    out = {}
+    for i, c in enumerate(names):
+        vals = []
+        for k0, k1, frac in plan[c]:
+            if k0 < 0:
+                vals.append(None)
+                continue
+            a, b = state[(c, k0)]["value"], state[(c, k1)]["value"]
+            vals.append(a if (k1 == k0 or a == b) else (1 - frac) * a + frac * b)
+        out[c] = (vals, first[f"lo{i}"], first[f"hi{i}"])
+    return out

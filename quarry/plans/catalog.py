@@ -48,6 +48,15 @@ def g1_gold(spark, sf_dir):
     return round_doubles(res.features)
 
 
+@query("g1_gold_distributed")
+def g1_gold_distributed(spark, sf_dir):
+    """G1 with the distributed exact quantile method (same result as ``g1_gold``)."""
+    src = lineitem_with_gaps(spark, sf_dir)
+    res = create_gold(src, LINEITEM_STRATEGIES, LINEITEM_COLS, keep=["l_orderkey", "l_linenumber"],
+                      method="distributed")
+    return round_doubles(res.features)
+
+
 @query("g7_reapply")
 def g7_reapply(spark, sf_dir):
     src = lineitem_with_gaps(spark, sf_dir)

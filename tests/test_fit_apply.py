@@ -103,3 +103,15 @@ def test_approx_method_close_to_exact(spark):
     exact = Artifacts.from_frame(fit(src, s)).get("median")["l_extendedprice"]
     approx = Artifacts.from_frame(fit(src, s, method="approx")).get("median")["l_extendedprice"]
     assert abs(exact - approx) / exact < 0.01
+
+
+def test_distributed_quantiles_exact_with_hot_value(spark):
+    from quarry.operators.fit import distributed_quantiles
+    src = _src(spark).withColumn("hot", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7.0))
+                                 .otherwise(F.col("l_extendedprice")))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    cols = {"hot": probs, "l_quantity": probs, "l_tax": probs}
+    got = distributed_quantiles(src, cols, buckets=16, max_slice_rows=50)
+    want = src.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]).first()
+    for c in cols:
+        assert [round(v, 9) for v in got[c][0]] == [round(v, 9) for v in want[c]]
