@@ -485,3 +485,13 @@ SELECT event_id, status, CASE
 ORACLE_SQL["s8_payload"] = "SELECT o_orderkey, o_orderstatus FROM orders"
 ORACLE_SQL["s4_s6_csv_roundtrip"] = """SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice,
   CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"""
+
+_GROUPS = {g: cols for g, cols in FEATURE_GROUPS.items() if g != "all_cols"}
+_SILVER_COLS = set(_SILVER_DOUBLES)
+_UNION_COLS = []
+for _cols in _GROUPS.values():
+    _UNION_COLS += [c for c in _cols if c in _SILVER_COLS and c not in _UNION_COLS]
+_GOLD_ALL = gold_sql(SILVER_EXPECTED, ["company"], _UNION_COLS, _REG)
+ORACLE_SQL["g2_groups"] = " UNION ALL ".join(
+    f"SELECT '{g}' AS \"group\", company, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM ({_GOLD_ALL})"
+    for g, cols in _GROUPS.items() for c in cols if c in _SILVER_COLS)

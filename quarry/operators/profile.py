@@ -65,7 +65,9 @@ def _bounds(df: DataFrame, col: str, lo_q: float, hi_q: float) -> tuple[float |
 def _between(df: DataFrame, col: str, lo, hi) -> DataFrame:
     if lo is None or hi is None:  # all-NULL column: nothing compares true
         return df.where(F.lit(False))
-    x = as_double(df, col)
+    # numeric columns compare directly (NaN sorts above every bound, so it drops like NULL),
+    # which lets the predicate reach the Parquet scan; text columns are parsed first
+    x = as_double(df, col) if isinstance(df.schema[col].dataType, T.StringType) else F.col(col)
     return df.where((x >= F.lit(float(lo))) & (x <= F.lit(float(hi))))
 
 

@@ -630,3 +630,21 @@ def s4_s6_csv_roundtrip(spark, sf_dir):
                        C.parse_number("o_totalprice").alias("o_totalprice"),
                        C.parse_date("o_orderdate").alias("o_orderdate"), C.parse_text("o_orderpriority").alias("o_orderpriority"))
     return round_doubles(typed)
+
+
+@query("g2_groups")
+def g2_groups(spark, sf_dir):
+    """Every feature group from one shared fit, long form (group, company, feature, value)."""
+    from .gold import create_gold_groups
+    silver = pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS)
+    groups = {g: cols for g, cols in FEATURE_GROUPS.items() if g != "all_cols"}
+    frames, _ = create_gold_groups(silver, Registry().strategy_map(), groups, keep=["company"])
+    parts = []
+    for g, df in frames.items():
+        feats = [c for c in df.columns if c != "company"]
+        parts.append(df.select(F.lit(g).alias("group"), "company", F.inline(F.array(*[
+            F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in feats]))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return round_doubles(out)

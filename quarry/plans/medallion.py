@@ -78,8 +78,9 @@ def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
 
 def pages_to_silver(pages: DataFrame, subscription_keys: list[str] | None = None,
                     layer_root: str | None = None) -> DataFrame:
-    """Pages -> silver; each cleaned section table is materialised before the join chain."""
+    """Pages -> silver.  Each cleaned section table is materialised before the join chain,
+    and silver itself once (the gold fit and every feature-group projection read it)."""
     raw = raw_sections(pages, extra_keys=["segment"])
     cleaned = clean_sections(raw, ["segment", "company"], subscription_keys)
     cleaned = {s: materialize(df, f"{layer_root}/cleaned/{s}" if layer_root else None) for s, df in cleaned.items()}
-    return silver(bronze(cleaned))
+    return materialize(silver(bronze(cleaned)), f"{layer_root}/silver" if layer_root else None)
