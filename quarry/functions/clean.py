@@ -28,9 +28,13 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# every character for which Python's str.isspace() is true (what str.strip() removes)
+_PY_SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def ustrip(x) -> Column:
-    """Strip Unicode whitespace at both ends (``trim`` only strips ASCII spaces)."""
-    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
+    """Strip Unicode whitespace at both ends, as Python's ``str.strip()`` (native ``btrim``)."""
+    return F.btrim(_c(x), F.lit(_PY_SPACES))
 
 
 def collapse_ws(x) -> Column:
