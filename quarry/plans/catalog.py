@@ -267,7 +267,8 @@ from .medallion import pages_to_silver  # noqa: E402
 def listing_pages(spark, sf_dir) -> DataFrame:
     """Section pages for every customer.  The customer rows (small) are hash-partitioned
     first so that rendering, parsing and extraction spread over all tasks."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # sized by the cluster's cores, not by bytes: each small customer row becomes ~5 large pages
+    n = max(2 * spark.sparkContext.defaultParallelism, 1)
     return render_pages(read_table(spark, sf_dir, "customer").repartition(n, "c_custkey"))
 
 
