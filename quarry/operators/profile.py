@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..registry import select_existing
 from ..session import cut_lineage
-from .fit import as_double
+from .fit import as_double, distributed_quantiles
 
 
 def profile(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool = False) -> DataFrame:
@@ -42,10 +42,16 @@ def describe(df: DataFrame, cols: list[str] | None = None, method: str = "exact"
     num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
     cols = [c for c in select_existing(df, cols or df.columns) if isinstance(df.schema[c].dataType, num)]
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    dist = distributed_quantiles(df, {c: [0.25, 0.5, 0.75] for c in cols}) if method == "distributed" else {}
     aggs = []
     for i, c in enumerate(cols):
         x = as_double(df, c)
-        q = F.percentile(x, probs) if method == "exact" else F.percentile_approx(x, probs, F.lit(100_000)).cast("array<double>")
+        if method == "exact":
+            q = F.percentile(x, probs)
+        elif method == "distributed":  # exact values computed above, no whole-column buffer
+            q = F.first(F.array(*[F.lit(v).cast("double") for v in dist[c][0]]))
+        else:
+            q = F.percentile_approx(x, probs, F.lit(100_000)).cast("array<double>")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
     row = df.agg(*aggs)
@@ -57,7 +63,10 @@ def describe(df: DataFrame, cols: list[str] | None = None, method: str = "exact"
     return row.select(F.inline(F.array(*entries)))
 
 
-def _bounds(df: DataFrame, col: str, lo_q: float, hi_q: float) -> tuple[float | None, float | None]:
+def _bounds(df: DataFrame, col: str, lo_q: float, hi_q: float, method: str = "exact") -> tuple[float | None, float | None]:
+    if method == "distributed":
+        v = distributed_quantiles(df, {col: [lo_q, hi_q]})[col][0]
+        return (v[0], v[1])
     r = df.agg(F.percentile(as_double(df, col), F.array(F.lit(lo_q), F.lit(hi_q))).alias("q")).first()["q"]
     return (r[0], r[1]) if r else (None, None)
 
@@ -71,23 +80,24 @@ def _between(df: DataFrame, col: str, lo, hi) -> DataFrame:
     return df.where((x >= F.lit(float(lo))) & (x <= F.lit(float(hi))))
 
 
-def iqr_filter(df: DataFrame, col: str, factor: float = 1.5) -> DataFrame:
+def iqr_filter(df: DataFrame, col: str, factor: float = 1.5, method: str = "exact") -> DataFrame:
     """Q5: keep rows inside [q1 - f*iqr, q3 + f*iqr] (NULLs drop)."""
-    q1, q3 = _bounds(df, col, 0.25, 0.75)
+    q1, q3 = _bounds(df, col, 0.25, 0.75, method)
     if q1 is None:
         return _between(df, col, None, None)
     iqr = q3 - q1
     return _between(df, col, q1 - factor * iqr, q3 + factor * iqr)
 
 
-def percentile_filter(df: DataFrame, col: str, low_q: float = 0.01, high_q: float = 0.99) -> DataFrame:
+def percentile_filter(df: DataFrame, col: str, low_q: float = 0.01, high_q: float = 0.99,
+                      method: str = "exact") -> DataFrame:
     """Q6: keep rows inside the [low_q, high_q] percentiles (NULLs drop)."""
-    lo, hi = _bounds(df, col, low_q, high_q)
+    lo, hi = _bounds(df, col, low_q, high_q, method)
     return _between(df, col, lo, hi)
 
 
 def sequential_iqr_filter(df: DataFrame, cols: list[str], factor: float = 1.0, fill_zero: bool = True,
-                          checkpoint_every: int = 5) -> DataFrame:
+                          checkpoint_every: int = 5, method: str = "exact") -> DataFrame:
     """Q7: IQR filter per column in turn, each bound refitted on the rows kept so far.
 
     A true data dependency: one small aggregation job per column.  The plan of
@@ -98,7 +108,7 @@ def sequential_iqr_filter(df: DataFrame, cols: list[str], factor: float = 1.0, f
     out = df.select(*[F.coalesce(as_double(df, c), F.lit(0.0)).alias(c) if fill_zero else as_double(df, c).alias(c)
                       for c in cols], *[c for c in df.columns if c not in cols])
     for i, c in enumerate(cols, 1):
-        out = iqr_filter(out, c, factor)
+        out = iqr_filter(out, c, factor, method)
         if checkpoint_every and i % checkpoint_every == 0 and i < len(cols):
             out = cut_lineage(out)
     return out
