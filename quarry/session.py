@@ -20,6 +20,9 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # whole HTML pages are large rows: keep Arrow batches to the Python parser small
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # no Python call-site capture per Column call: plan building for wide extraction
+    # expressions is dominated by py4j round trips otherwise (static, so set at build time)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
