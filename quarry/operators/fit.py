@@ -183,7 +183,7 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, method: str
 
 
 def distributed_quantiles(df: DataFrame, cols: dict[str, list[float]], *, buckets: int = 4096,
-                          max_slice_rows: int = 1_000_000) -> dict[str, tuple[list[float | None], float | None,
+                          max_slice_rows: int = 20_000) -> dict[str, tuple[list[float | None], float | None,
                                                                                 float | None]]:
     """Exact linear-interpolated quantiles without merging a whole column in one task.
 
@@ -226,35 +226,48 @@ def distributed_quantiles(df: DataFrame, cols: dict[str, list[float]], *, bucket
             break
         small = [key for key in active if state[key]["cnt"] <= max_slice_rows]
         wide = [key for key in active if state[key]["cnt"] > max_slice_rows]
-        for c, k in small:  # bounded slice: sort it in one task and read the rank
-            s = state[(c, k)]
-            x = xs[c]
-            arr = df.where((x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"]))).agg(
-                F.sort_array(F.collect_list(x)).alias("v")).first()["v"]
-            s["value"] = arr[k - s["below"]]
+
+        def ranges_of(keys):
+            # targets of one column share a value range until they diverge: one entry per range
+            rid: dict[tuple, int] = {}
+            for c, k in keys:
+                s = state[(c, k)]
+                rid.setdefault((c, s["lo"], s["hi"]), len(rid))
+            return rid
+
+        if small:  # bounded slices, all ranges in one job: sort each slice and read the ranks
+            rid = ranges_of(small)
+            entries = [F.when((xs[c] >= F.lit(lo)) & (xs[c] <= F.lit(hi)),
+                              F.struct(F.lit(r).alias("t"), xs[c].alias("x"))) for (c, lo, hi), r in rid.items()]
+            got = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
+                   .groupBy(F.col("e.t").alias("t")).agg(F.sort_array(F.collect_list("e.x")).alias("v")).collect())
+            by_r = {r["t"]: r["v"] for r in got}
+            for c, k in small:
+                s = state[(c, k)]
+                s["value"] = by_r[rid[(c, s["lo"], s["hi"])]][k - s["below"]]
         if not wide:
             continue
-        parts = []
-        for t, (c, k) in enumerate(wide):
-            s = state[(c, k)]
+        rid = ranges_of(wide)
+        entries = []
+        for (c, lo, hi), r in rid.items():
             x = xs[c]
-            width = (s["hi"] - s["lo"]) / buckets
-            b = F.least(F.floor((x - F.lit(s["lo"])) / F.lit(width)), F.lit(buckets - 1)).cast("int")
-            parts.append(df.where((x >= F.lit(s["lo"])) & (x <= F.lit(s["hi"])))
-                         .select(F.lit(t).alias("t"), b.alias("b"), x.alias("x")))
-        u = parts[0]
-        for p_ in parts[1:]:
-            u = u.unionByName(p_)
-        hist = (u.groupBy("t", "b").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+            b = F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / buckets)), F.lit(buckets - 1)).cast("int")
+            entries.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
+                                  F.struct(F.lit(r).alias("t"), b.alias("b"), x.alias("x"))))
+        hist = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
+                .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
                 .collect())
-        by_t: dict[int, list] = {}
+        by_r: dict[int, list] = {}
         for r in hist:
-            by_t.setdefault(r["t"], []).append(r)
-        for t, (c, k) in enumerate(wide):
+            by_r.setdefault(r["t"], []).append(r)
+        for r_ in by_r.values():
+            r_.sort(key=lambda r: r["b"])
+        for c, k in wide:
             s = state[(c, k)]
             want = k - s["below"]
             acc = 0
-            for r in sorted(by_t[t], key=lambda r: r["b"]):
+            for r in by_r[rid[(c, s["lo"], s["hi"])]]:
                 if acc + r["n"] > want:
                     s.update(lo=r["mn"], hi=r["mx"], below=s["below"] + acc, cnt=r["n"])
                     break
