@@ -54,3 +54,24 @@ def test_page_without_gmp_table_gives_nulls(spark):
     df = spark.createDataFrame([("a", "<p>no table</p>"), ("b", None)], "company string, html string")
     rows = extract_gmp(df).collect()
     assert all(r.ipo_open_gmp is None and r.ipo_listing_gmp is None for r in rows) and len(rows) == 2
+
+
+def test_distributed_method_in_quantiles_and_describe(spark):
+    from quarry.functions.util import read_table
+    from quarry.operators.fit import quantiles
+    from quarry.operators.profile import describe
+    from tests.conftest import SF_SMALL
+    li = read_table(spark, SF_SMALL, "lineitem")
+    cols = ["l_quantity", "l_extendedprice"]
+    a = quantiles(li, cols, [0.05, 0.5, 0.95]).first()
+    b = quantiles(li, cols, [0.05, 0.5, 0.95], method="distributed").first()
+    assert all(abs(x - y) < 1e-9 for c in cols for x, y in zip(a[c], b[c]))
+    assert [tuple(r) for r in describe(li, cols).collect()] == \
+        [tuple(r) for r in describe(li, cols, method="distributed").collect()]
+
+
+def test_rows_to_frame_and_named_layers(spark):
+    from quarry.sources import io as IO
+    df = IO.rows_to_frame(spark, [{"id": 1, "company_name": "A"}, {"id": 2}], "id int, company_name string")
+    IO.register_layers({"combined": df})
+    assert spark.sql("SELECT count(*) AS n, count(company_name) AS c FROM combined").first() == (2, 1)
