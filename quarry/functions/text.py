@@ -20,11 +20,18 @@ HTML_TEXT_CHAIN: list[tuple[str, str]] = [
 ]
 
 
+_REGEX_STEPS = {r"(?is)<!--.*?-->", r"(?is)<!doctype[^>]*>",
+                r"(?is)<(script|style|template)\b[^>]*>.*?</(script|style|template)\s*>", r"(?s)<[^>]*>", r"\s+"}
+
+
 def html_text(x) -> Column:
-    """Visible text of a page, text nodes joined by one space (no script/style/comments)."""
+    """Visible text of a page, text nodes joined by one space (no script/style/comments).
+
+    Tag and whitespace steps are regular expressions; entity steps are literal replacements.
+    """
     s = _c(x)
     for pat, rep in HTML_TEXT_CHAIN:
-        s = F.regexp_replace(s, pat, rep)
+        s = F.regexp_replace(s, pat, rep) if pat in _REGEX_STEPS else F.replace(s, F.lit(pat), F.lit(rep))
     return F.trim(s)
 
 
