@@ -8,6 +8,7 @@ tests and ``bench.py`` rely on when they run on ``local[N]``.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,16 +31,23 @@ _LOCAL_DEFAULTS = {
 
 def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions: int = 8,
               driver_memory: str = "8g") -> SparkSession:
-    """Return the active session, or build a local one with sane defaults."""
+    """Return the active session, or build one; settings the submission already made are kept.
+
+    Only what is unset is filled in: a job submitted to a cluster keeps its master, its shuffle
+    partitions and everything else.
+    """
     active = SparkSession.getActiveSession()
     if active is not None:
         ensure_checkpoint_dir(active)
         return active
-    b = SparkSession.builder.appName(app).master(master or "local[8]")
-    for k, v in _LOCAL_DEFAULTS.items():
-        b = b.config(k, v)
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    b = b.config("spark.driver.memory", driver_memory)
+    from pyspark import SparkConf
+    given = SparkConf()
+    wanted = {**_LOCAL_DEFAULTS, "spark.sql.shuffle.partitions": str(shuffle_partitions),
+              "spark.driver.memory": driver_memory, "spark.master": master or "local[8]", "spark.app.name": app}
+    b = SparkSession.builder
+    for k, v in wanted.items():
+        if not given.contains(k):
+            b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -47,9 +55,14 @@ def get_spark(master: str | None = None, app: str = "quarry", shuffle_partitions
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a scratch folder only on a local master.
+
+    On any other master a missing setting is an error: executors would write to their own disks.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:  # local runs and tests only: a cluster names a shared folder in its configuration
+    if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir=os.environ.get("QUARRY_SCRATCH", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)
