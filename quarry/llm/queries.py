@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from . import op4_packing, op5_mixing, op7_rans
+from . import op4_packing, op5_mixing, op6_toxicity, op7_rans, op9_html, op10_lz
 
 QUERIES = {
     "op4_packing": op4_packing.op4_packing,
     "op5_mixing": op5_mixing.op5_mixing,
+    "op6_toxicity": op6_toxicity.op6_toxicity,
     "op7_rans": op7_rans.op7_rans,
+    "op9_html": op9_html.op9_html,
+    "op10_lz": op10_lz.op10_lz,
 }
 
 ORACLE_SQL = {
