@@ -190,7 +190,8 @@ def shingles(words: np.ndarray, off: np.ndarray, n: int = 5) -> tuple[np.ndarray
     at = off[:-1][row] + np.arange(out_off[-1]) - out_off[:-1][row]
     h = acc[at]
     for r in np.flatnonzero((cnt > 0) & (cnt < n)):       # short rows: all their words, no neighbour's
-        h[out_off[r]] = sum((words[off[r] + k] * mult[k] for k in range(cnt[r])), np.uint64(cnt[r]))
+        own = words[off[r]:off[r + 1]] * np.array(mult[:cnt[r]], dtype=np.uint64)
+        h[out_off[r]] = np.append(own, np.uint64(cnt[r])).sum(dtype=np.uint64)
     return mix(h), out_off
 
 

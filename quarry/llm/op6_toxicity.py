@@ -81,7 +81,7 @@ def _indexer(index: dict[str, int]):
 
 
 def fit_nnpu(pos: list[list[int]], unl: list[list[int]], n_features: int, prior: float,
-             epochs: int = 400, rate: float = 0.1, l2: float = 1e-5) -> tuple[np.ndarray, float]:
+             epochs: int = 400, rate: float = 0.1, l2: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear model under the non-negative PU risk (logistic loss, Adam)."""
     def csr(rows):
         return (np.repeat(np.arange(len(rows)), [len(r) for r in rows]),
