@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -215,3 +216,34 @@ def min_hash(h: np.ndarray, off: np.ndarray, mults: np.ndarray, block: int = 1 <
                 sig[i + full, k] = (np.minimum.reduceat(x * a, st) >> np.uint64(32)).astype(np.uint32)
         i = j
     return sig
+
+
+# ---- a size-bounded filter for large joins --------------------------------------------------
+
+FILTER_BITS = 26               # 8 MiB whatever the table size
+
+
+def member_filter(nodes: DataFrame, col: str = "node"):
+    """A test "may be in ``nodes``" as a column function: a bitmap of fixed size, made by native
+    bitmap aggregates and broadcast.  It only thins out the large side before an exact join; with a
+    very large ``nodes`` it lets more rows through and the join's result stays the same."""
+    slot = F.pmod(F.col(col), F.lit(1 << FILTER_BITS))
+    parts = (nodes.select(slot.alias("s")).groupBy(F.expr("bitmap_bucket_number(s)").alias("k"))
+             .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(s))").alias("bits")).collect())  # 8 MiB at most
+    bits = np.zeros((1 << FILTER_BITS) // 8 + 8192, dtype=np.uint8)
+    for r in parts:                                  # bucket k holds the values (k - 1) * 32768 + 1 and on
+        at = (r["k"] - 1) * 4096
+        if at >= 0:
+            bits[at:at + 4096] |= np.frombuffer(r["bits"], dtype=np.uint8)[:4096]
+    zero = any(r["k"] == 0 for r in parts)           # value 0 has a bucket of its own
+    held = nodes.sparkSession.sparkContext.broadcast((bits, zero))
+
+    @F.pandas_udf("boolean")
+    def may_hold(node: pd.Series) -> pd.Series:
+        b, z = held.value
+        s = np.mod(node.to_numpy(dtype=np.int64), np.int64(1 << FILTER_BITS))
+        p = np.maximum(s - 1, 0)
+        hit = (b[p >> 3] >> (p & 7).astype(np.uint8)) & 1
+        return pd.Series(np.where(s == 0, z, hit == 1))
+
+    return may_hold
