@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity, op7_rans, op8_lattice, op9_html, op10_lz
+from . import op1_secrets, op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity, op7_rans, op8_lattice, op9_html, op10_lz
 
 QUERIES = {
+    "op1_secrets": op1_secrets.op1_secrets,
     "op2_ngram_join": op2_ngram_join.op2_ngram_join,
     "op3_suffix_dedup": op3_suffix_dedup.op3_suffix_dedup,
     "op4_packing": op4_packing.op4_packing,
