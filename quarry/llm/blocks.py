@@ -25,13 +25,15 @@ def candidate_clusters(keys: DataFrame, label: str) -> DataFrame:
     return components(stars, label)
 
 
-def chunk_pairs(items: DataFrame, max_items: int, max_size: int) -> DataFrame:
-    """Add group (root, i, j) and ``mine`` (the row's own chunk) to ``items(root, node, size, ...)``.
+def chunk_pairs(items: DataFrame, sizes: DataFrame, max_items: int, max_size: int) -> DataFrame:
+    """Add group (root, i, j) and ``mine`` (the row's own chunk) to ``items(root, node, ...)``.
+
+    ``sizes(root, node, size)`` is the slim table of the same items (so that they are built once).
 
     A chunk holds about ``max_items`` items or ``max_size`` size units; an item goes to every pair of
     chunks that contains its own.
     """
-    per = items.groupBy("root").agg(F.count(F.lit(1)).alias("_m"), F.sum("size").alias("_s"))
+    per = sizes.groupBy("root").agg(F.count(F.lit(1)).alias("_m"), F.sum("size").alias("_s"))
     per = per.select(F.col("root").alias("_root"), F.ceil(F.greatest(F.col("_m") / max_items, F.col("_s") / max_size))
                      .cast("int").alias("chunks"))
     c = items.join(per, items["root"] == per["_root"]).drop("_root")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import candidate_clusters, chunk_pairs, summarise, verify
-from .common import hash_family, hash_words, min_hash, mix, read, shingles, staged, text_chunks, text_or_empty
+from .common import hash_family, hash_words, member_filter, min_hash, mix, read, shingles, staged, text_chunks, text_or_empty
 
 THRESHOLD, WORDS = 0.8, 5
 
@@ -117,9 +117,10 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS,
     members = staged(clusters.join(nodes, "node").select(
         "root", "node", F.col("first_id").alias("doc_id"), F.col("n").alias("size"), F.col("n_copies").alias("weight")),
         "jac-members")
-    texts = d.join(members, (d["node"] == members["node"]) & d["doc_id"].eqNullSafe(members["doc_id"])).select(
+    near = member_filter(members)
+    texts = d.where(near("node")).join(members, (d["node"] == members["node"]) & d["doc_id"].eqNullSafe(members["doc_id"])).select(
         "root", members["node"], "size", "weight", "text")
-    links = verify(chunk_pairs(_sets(texts, n), 512, 1 << 19), jaccard_links(threshold))
+    links = verify(chunk_pairs(_sets(texts, n), members, 512, 1 << 19), jaccard_links(threshold))
     per_node = summarise(nodes.select("node", "first_id", "n_copies", (F.col("n") == 0).alias("alone")), links, "jac")
     res = per_node.join(nodes.select("node", "n_copies"), "node")
     out = signed.select("doc_id", "node").join(res, "node")

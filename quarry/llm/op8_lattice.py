@@ -147,8 +147,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("size").alias("size"),
         F.first("data").alias("data"), F.first("keys").alias("keys")), "e8-nodes")
     clusters = candidate_clusters(nodes.select("node", F.explode("keys").alias("key")), "e8-cand")
-    items = clusters.join(nodes, "node").select("root", "node", "size", F.col("n_copies").alias("weight"), "data")
-    links = verify(chunk_pairs(items, 1024, 1 << 20), cosine_links(threshold))
+    items = staged(clusters.join(nodes, "node").select("root", "node", "size", F.col("n_copies").alias("weight"), "data"),
+                   "e8-items")
+    links = verify(chunk_pairs(items, items.select("root", "size"), 1024, 1 << 20), cosine_links(threshold))
     per_node = summarise(nodes.select("node", "first_id", "n_copies", F.lit(False).alias("alone")), links, "e8")
     of = keyed.select("vec_id", "node").join(per_node, "node").groupBy("vec_id").agg(
         F.max("n_links").alias("n_links"), F.min("component").alias("component"))
