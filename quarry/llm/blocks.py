@@ -70,12 +70,12 @@ def verify(groups: DataFrame, linked) -> DataFrame:
     def run(batches):
         out, held, key = [], [], None
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            for row in zip(*cols):
-                if row[:3] != key:
-                    out += one(held)
-                    held, key = [], row[:3]
-                held.append(row)
+            for lo in range(0, b.num_rows, 128):
+                for row in zip(*[c.to_pylist() for c in b.slice(lo, 128).columns]):
+                    if row[:3] != key:
+                        out += one(held)
+                        held, key = [], row[:3]
+                    held.append(row)
             if len(out) > 5000:
                 yield _batch(out)
                 out = []

@@ -40,9 +40,11 @@ def choose_bands(threshold: float = THRESHOLD, recall: float = 0.999, max_hashes
     return best
 
 
-def _shingled(texts: pa.Array, n: int):
-    for first, data, off in text_chunks(pc.utf8_lower(texts)):
-        yield first, *shingles(*hash_words(data, off), n)
+def _shingled(texts: pa.Array, n: int, rows: int = 256):
+    for lo in range(0, len(texts), rows):              # lower-cased in small slices to keep memory flat
+        for first, data, off in text_chunks(pc.utf8_lower(texts.slice(lo, rows))):
+            yield lo + first, *shingles(*hash_words(data, off), n)
+    pa.default_memory_pool().release_unused()
 
 
 def _signed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
