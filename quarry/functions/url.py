@@ -31,4 +31,4 @@ def storage_key(x) -> Column:
 
 def looks_like_json(x) -> Column:
     """Text starting (after leading whitespace) with '{' or '['."""
-    return F.coalesce(F.ltrim(_c(x)).rlike(r"^[\[{]"), F.lit(False))
+    return F.coalesce(_c(x).rlike(r"(?U)^\s*[\[{]"), F.lit(False))
