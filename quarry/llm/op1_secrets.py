@@ -8,9 +8,9 @@ Labelled findings are a table (doc_id, nth, label).  Without one, ``rule_labels`
 quoted values assigned to a credential-like name are secrets; e-mail hosts, dotted names, paths and
 plain numbers are not; everything else stays unlabelled and is only scored.
 
-Bounds (parameters): at most ``max_labelled`` labelled findings train the forest, at most
-``max_words`` frequent words of ``dictionary_docs`` documents make the dictionary.  All documents are
-scanned whole.
+Bounds (parameters): at most ``max_labelled`` labelled findings train the forest; the ``max_words``
+words that stand in the most documents, counted over all of them, make the dictionary.  All documents
+are scanned whole.
 
 Edge cases: NULL, empty or blank text has no findings; repeated rows give repeated findings; without
 labelled findings of both kinds the rule label is the score (unlabelled: 0.5); very long texts and runs
@@ -55,12 +55,11 @@ def findings(docs: DataFrame) -> DataFrame:
                     F.char_length("candidate").cast("long").alias("length"), "candidate", "before", "after")
 
 
-def dictionary(docs: DataFrame, dictionary_docs: int, max_words: int) -> list[str]:
-    """The most frequent words of four or more letters in a fixed sample of documents."""
-    some = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(dictionary_docs).distinct()
-    words = (docs.select("doc_id", F.lower(text_or_empty()).alias("t")).join(F.broadcast(some), "doc_id")
-             .select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(r"\p{L}{4,}"), F.lit(0)))).alias("w"))
-             .groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+def dictionary(docs: DataFrame, max_words: int) -> list[str]:
+    """The words of four or more letters that stand in the most documents (at least two), counted over all of them."""
+    words = (docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
+        F.lower(text_or_empty()), F.lit(r"\p{L}{4,}"), F.lit(0)))).alias("w"))
+        .groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     return [r["w"] for r in words.orderBy(F.col("n").desc(), "w").limit(max_words).collect()]
 
 
@@ -99,14 +98,14 @@ def rule_labels(x: DataFrame) -> Column:
     return F.when(secret, F.lit(1)).when(other, F.lit(0)).cast("double")
 
 
-def scan(docs: DataFrame, labelled: DataFrame | None = None, max_labelled: int = 20000, dictionary_docs: int = 2000,
-         max_words: int = 2000, trees: int = 20, depth: int = 5) -> DataFrame:
+def scan(docs: DataFrame, labelled: DataFrame | None = None, max_labelled: int = 20000, max_words: int = 2000,
+         trees: int = 20, depth: int = 5) -> DataFrame:
     """Findings with score (probability of a secret) and is_secret."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    x = staged(with_features(findings(docs), dictionary(docs, dictionary_docs, max_words)), "sec-features")
+    x = staged(with_features(findings(docs), dictionary(docs, max_words)), "sec-features")
     if labelled is None:
         x = x.withColumn("label", rule_labels(x))
     else:
