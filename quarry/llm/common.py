@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
-CHUNK_BYTES = 2 << 20          # text bytes hashed at once inside a task
+CHUNK_BYTES = 1 << 19          # text bytes hashed at once inside a task (a longer text goes alone)
 INDEX_BITS = 33                # monotonically_increasing_id: partition number above, row number below
 
 
