@@ -132,12 +132,19 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS,
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
-    """``docs`` with one document of each group of linked texts; repeated rows of it stay once."""
-    kept = staged(jaccard_join(docs, threshold, n).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct(), "jac-kept")
-    d = docs.withColumn("_h", F.xxhash64(text_or_empty()))
-    d = d.join(kept, d["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (d["_h"] == kept["_node"]), "left_semi")
-    return d.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+    """``docs`` with one document of each group of linked texts; repeated rows of it stay once.
+
+    The join and the removal of repeated rows use the same plain keys, so whole texts are shuffled once.
+    """
+    keys = ["_jac_id", "_jac_null", "_jac_h"]
+    num = F.col("doc_id").cast("long")
+
+    def keyed(df: DataFrame, h) -> DataFrame:
+        return df.withColumns({"_jac_id": F.coalesce(num, F.lit(0).cast("long")), "_jac_null": num.isNull(), "_jac_h": h})
+
+    kept = staged(keyed(jaccard_join(docs, threshold, n).where("kept"), F.col("node")).select(*keys).distinct(), "jac-kept")
+    d = keyed(docs, F.xxhash64(text_or_empty())).join(kept, keys, "left_semi")
+    return d.dropDuplicates(keys).select(*docs.columns)
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
