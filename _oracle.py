@@ -229,7 +229,7 @@ PERF_EXPECTED = f"""SELECT company, CASE WHEN c % 2 = 0 THEN 10.0 ELSE 5.0 END A
   ab + 5 AS listing_price, n - 12.5 AS listing_gain FROM {_CU}"""
 
 _OBJ = " || ' | ' || ".join(["'The net proceeds will be used for:'"] +
-                              [f"'Item {i}: capex for ' || company" for i in range(1, 10)])
+                              [f"'Item {i}: capex for ' || company" for i in range(1, 13)])
 INFO_EXPECTED = f"""SELECT company,
   CASE WHEN c % 2 = 0 THEN 'Mainboard' ELSE 'SME' END AS ipo_category,
   CASE WHEN c % 2 = 0 THEN 'BSE, NSE' ELSE 'NSE SME' END AS exchange,
@@ -275,7 +275,7 @@ _FIN_COLS = ["assets", "net_worth", "total_debt", "revenue", "ebitda", "pat", "e
 ORACLE_SQL["x5_financials"] = _rounded(FIN_EXPECTED, _FIN_COLS)
 ORACLE_SQL["x6_performance"] = _rounded(PERF_EXPECTED, ["face_value", "issue_price", "listing_price", "listing_gain"])
 ORACLE_SQL["x7_x8_information"] = _rounded(
-    f"SELECT *, CAST(10 AS INTEGER) AS n_objects FROM ({INFO_EXPECTED})",
+    f"SELECT *, CAST(13 AS INTEGER) AS n_objects FROM ({INFO_EXPECTED})",
     ["issue_price", "pe_multiple", "subscription", "pre_issue_promoter_holding", "post_issue_promoter_holding"])
 ORACLE_SQL["x11_x15_gmp"] = _rounded(GMP_EXPECTED, ["ipo_open_gmp", "ipo_close_gmp", "ipo_allotment_gmp",
                                                     "ipo_listing_gmp"])

@@ -43,8 +43,16 @@ def collapse_ws(x) -> Column:
 
 
 def finite_or_null(x: Column) -> Column:
-    """NaN -> NULL (single reference to ``x``: no duplicated sub-expression)."""
-    return F.nanvl(x, F.lit(None).cast("double"))
+    """NaN and infinities -> NULL (an infinity times zero is NaN; any finite number stays as it is)."""
+    return F.nanvl(x + x * F.lit(0.0), F.lit(None).cast("double"))
+
+
+_NUMBER_RX = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
+def strict_double(x: Column) -> Column:
+    """A plain decimal number -> DOUBLE; other text ('1d', 'inf') and numbers beyond the range -> NULL."""
+    return finite_or_null(F.regexp_extract(x, _NUMBER_RX, 0).try_cast("double"))
 
 
 _TOKENS_RX = "^(?:" + "|".join(
@@ -65,14 +73,14 @@ def strip_ordinal(x) -> Column:
 def parse_number(x) -> Column:
     """Thousands commas allowed; non-numbers and non-finite values -> NULL."""
     s = missing_to_null(x)
-    return finite_or_null(ustrip(F.replace(s, F.lit(","), F.lit(""))).try_cast("double"))
+    return strict_double(ustrip(F.replace(s, F.lit(","), F.lit(""))))
 
 
 def parse_percentage(x) -> Column:
     """P5: optional trailing '%', commas; the value stays in percent units."""
     s = missing_to_null(x)
     s = F.regexp_replace(s, r"(?U)\s*%$", "")
-    return finite_or_null(ustrip(F.replace(s, F.lit(","), F.lit(""))).try_cast("double"))
+    return strict_double(ustrip(F.replace(s, F.lit(","), F.lit(""))))
 
 
 def parse_money_crore(x) -> Column:
@@ -81,7 +89,7 @@ def parse_money_crore(x) -> Column:
     s = F.lower(missing_to_null(x))
     unit = F.regexp_extract(s, r"(crores?|cr\.?|lakhs?|lacs?)(?![a-z])", 1)
     num = F.regexp_replace(s, r"(?U)[₹,\s]|crores?|cr\.?|lakhs?|lacs?", "")
-    val = finite_or_null(F.nullif(num, F.lit("")).try_cast("double"))
+    val = strict_double(num)
     return F.when(unit.startswith("la"), val / F.lit(100.0)).otherwise(val)
 
 

@@ -163,8 +163,8 @@ def _trimmed(text: Column, pattern: str, trailer: str) -> Column:
     return F.when(g != "", F.trim(F.regexp_replace(collapse_ws(g), trailer, ""))).otherwise(F.lit(None).cast("string"))
 
 
-def objects_of_issue(page: Column, limit: int = 10) -> Column:
-    """Items after the first 'object ... issue' heading that has any; at most ``limit``."""
+def objects_of_issue(page: Column) -> Column:
+    """All items after the first 'object ... issue' heading that has any."""
     def keep(f):
         t = f["text"]
         return (((f["kind"] == "text") & (F.length(t) > 10) & ~t.startswith("<"))
@@ -174,8 +174,7 @@ def objects_of_issue(page: Column, limit: int = 10) -> Column:
     cands = F.transform(
         F.filter(page["headings"], lambda h: F.lower(h["flat"]).contains("object") & F.lower(h["flat"]).contains("issue")),
         lambda h: F.transform(F.filter(h["followers"], keep), lambda f: f["text"]))
-    first = F.try_element_at(F.filter(cands, lambda a: F.size(a) > 0), F.lit(1))
-    return F.slice(first, 1, limit)
+    return F.try_element_at(F.filter(cands, lambda a: F.size(a) > 0), F.lit(1))
 
 
 def extract_information(pages: DataFrame, key: str = "company", html: str = "html",
@@ -244,7 +243,7 @@ def extract_gmp(pages: DataFrame, key: str = "company", html: str = "html") -> D
     gmp_i = F.coalesce(F.nullif(F.array_position("_h", "gmp"), F.lit(0)) - 1, F.lit(2)).cast("int")
     has_tbody = F.exists("_rows", lambda r: r["group"] == "tbody")
     body = F.when(has_tbody, F.filter("_rows", lambda r: (r["group"] == "tbody") & (r["group_no"] == 0))) \
-        .otherwise(F.slice("_rows", 2, 1_000_000))
+        .otherwise(F.slice("_rows", F.lit(2), F.greatest(F.size("_rows"), F.lit(0))))
     t = t.select(key, body.alias("_body"), date_i.alias("_di"), gmp_i.alias("_gi"))
 
     def cells(r):
@@ -270,8 +269,8 @@ def extract_gmp(pages: DataFrame, key: str = "company", html: str = "html") -> D
 # X16-X23 subscription / allocation
 # ---------------------------------------------------------------------------------------------
 def _header_row(t: Column) -> Column:
-    """First of the first six rows that looks like a header -> struct<idx (0-based), headers>."""
-    cand = F.transform(F.slice(t["rows"], 1, 6),
+    """The first row that looks like a header -> struct<idx (0-based), headers>."""
+    cand = F.transform(t["rows"],
                        lambda r, i: F.struct(i.alias("idx"), F.transform(r["cells"], lambda c: c["flat"]).alias("headers")))
 
     def looks(h):
@@ -308,7 +307,7 @@ def _pairs_after_header(y: Column, prefix: str, skip: list[str]) -> Column:
         return F.when(good, F.struct(F.concat(F.lit(prefix), canonical_category(cat)).alias("key"),
                                      val.alias("value")))
 
-    rows = F.slice(y["rows"], (y["h"] + 2).cast("int"), 1_000_000)
+    rows = F.slice(y["rows"], (y["h"] + 2).cast("int"), F.size(y["rows"]))
     out = F.filter(F.transform(rows, pair), lambda p: p.isNotNull())
     return F.when(y["ci"].isNotNull() & y["vi"].isNotNull(), out)
 
@@ -325,7 +324,7 @@ def _category_pairs(tables: Column, prefix: str, value_pred, skip: list[str]) ->
 
 def _last_wins_map(pairs: Column) -> Column:
     """Pairs -> map, the last pair per key winning (``pairs`` must be a column: it is read per element)."""
-    dedup = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, 1_000_000), lambda q: q["key"] == p["key"]))
+    dedup = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
     return F.map_from_entries(dedup)
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.clean import finite_or_null, strict_double, ustrip
 from ..registry import (ColumnStrategy, ImputerPolicy, NormalizationPolicy, OutlierPolicy,
                         select_existing)
 
@@ -39,14 +40,14 @@ _PCTL = {OutlierPolicy.PCTL_CLIP, OutlierPolicy.PCTL_FILTER, OutlierPolicy.CLIP_
 
 
 def as_double(df: DataFrame, c: str) -> Column:
-    """Coerce to DOUBLE; unparsable text and NaN become NULL."""
+    """Coerce to DOUBLE; unparsable text, NaN and infinities become NULL."""
     dtype = df.schema[c].dataType
     x = F.col(c)
     if isinstance(dtype, T.StringType):
-        x = x.try_cast("double")
-    elif not isinstance(dtype, T.DoubleType):
+        return strict_double(ustrip(x))
+    if not isinstance(dtype, T.DoubleType):
         x = x.cast("double")
-    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+    return finite_or_null(x)
 
 
 def ensure_numeric(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -170,14 +170,6 @@ def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "i INT, j INT, col_i STRING, col_j STRING, rho DOUBLE")
 
 
-def spearman_mllib(df: DataFrame, cols: list[str]) -> DataFrame:
-    """M1 via MLlib's ``Correlation`` (same result; kept for comparison)."""
-    cols = select_existing(df, cols)
-    m = Correlation.corr(_vectors(df, cols), "_v", "spearman").first()[0].toArray()
-    rows = [(i, j, cols[i], cols[j], float(m[i][j])) for i in range(len(cols)) for j in range(len(cols))]
-    return df.sparkSession.createDataFrame(rows, "i INT, j INT, col_i STRING, col_j STRING, rho DOUBLE")
-
-
 def weak_correlation(corr_long: DataFrame, threshold: float = 0.2) -> DataFrame:
     """M2: per column j, whether any |rho(i, j)| above the diagonal (i < j) is below the threshold."""
     return (corr_long.where(F.col("i") < F.col("j"))

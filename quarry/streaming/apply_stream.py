@@ -31,6 +31,7 @@ def start_parquet_sink(features: DataFrame, path: str, checkpoint: str, trigger_
     return w.start()
 
 
-def parquet_stream(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
-    """A file stream over a Parquet directory (schema declared, never inferred)."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+def parquet_stream(spark: SparkSession, path: str, schema, max_files: int | None = None) -> DataFrame:
+    """A file stream over a Parquet directory (schema declared, never inferred); no file limit unless given."""
+    r = spark.readStream.schema(schema)
+    return (r.option("maxFilesPerTrigger", max_files) if max_files else r).parquet(path)

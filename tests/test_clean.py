@@ -75,3 +75,12 @@ def test_cleaners_are_total_and_slug_idempotent(spark, values):
     slugs = [r["s"] for r in out]
     again = _one(spark, C.company_slug, slugs)
     assert again == slugs
+
+
+def test_only_finite_plain_numbers(spark):
+    rows = [("1,617.30", 1617.3), ("-3.", -3.0), (".5", 0.5), ("2e3", 2000.0), ("1d", None), ("5f", None), ("inf", None),
+            ("-Infinity", None), ("NaN", None), ("1e400", None), ("", None)]
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(rows)], "i int, s string")
+    for parse in (C.parse_number, C.parse_percentage, C.parse_money_crore):
+        got = [r[0] for r in df.orderBy("i").select(parse(df["s"])).collect()]
+        assert got == [v for _, v in rows]

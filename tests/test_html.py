@@ -46,10 +46,10 @@ def test_subscription_extraction(spark):
                       "subscription_employees": "3", "allocation_total_ipo_subscription": "100%"}
 
 
-def test_objects_limit(spark):
+def test_objects_all_kept(spark):
     df = spark.createDataFrame([("a", OBJ)], "company string, html string")
     objs = XT.extract_information(df).first().object_of_issue
-    assert len(objs) == 10 and objs[0] == "Net proceeds are used for:" and objs[-1] == "Object number 8"
+    assert objs == ["Net proceeds are used for:"] + [f"Object number {i}" for i in range(12)]
 
 
 def test_financial_table_fallback(spark):
@@ -60,3 +60,10 @@ def test_financial_table_fallback(spark):
     rows = {r.company: r for r in XT.extract_financials(df).collect()}
     assert rows["a"].pat_margin == "3.5" and rows["a"].pat is None and rows["a"].net_worth == "2"
     assert rows["b"].net_worth == "5" and rows["b"].ebitda_margin == "12.5" and rows["b"].ebitda is None
+
+
+def test_header_row_far_down(spark):
+    html = "<table>" + "<tr><td>note</td></tr>" * 8 + SUB[SUB.index("<table") + 7:].split(">", 1)[1]
+    df = spark.createDataFrame([("a", SUB), ("b", html)], "company string, html string")
+    rows = {r.company: r.fields for r in XT.extract_subscription(df).collect()}
+    assert rows["b"] == rows["a"]
