@@ -25,7 +25,15 @@ INDEX_BITS = 33                # monotonically_increasing_id: partition number a
 
 # ---- tables ---------------------------------------------------------------------------------
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Keep Arrow batches of whole texts small; a value the session was given stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(rows))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -35,6 +43,7 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     The files are shared by all executors, so losing one replays nothing that was written.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-llm/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -154,25 +163,45 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+HASH_BLOCK = 1 << 16           # bytes of a chunk whose words are hashed in one step
+
+
+def _block_end(data: np.ndarray, lo: int) -> int:
+    """End of the block from ``lo``: after its last white space, or the next one where it has none."""
+    hi = lo + HASH_BLOCK
+    if hi >= len(data):
+        return len(data)
+    at = np.flatnonzero(_SPACE[data[lo:hi]])
+    if len(at):
+        return lo + int(at[-1]) + 1
+    while hi < len(data):
+        at = np.flatnonzero(_SPACE[data[hi:hi + HASH_BLOCK]])
+        if len(at):
+            return hi + int(at[0]) + 1
+        hi += HASH_BLOCK
+    return len(data)
+
+
 def hash_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (runs of bytes other than ASCII white space) and word offsets by row."""
-    rows = len(off) - 1
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(rows + 1, np.int64)
-    word = ~_SPACE[data]
-    edge = np.zeros(len(data) + 1, dtype=bool)
-    edge[off[off < len(data)]] = True
-    edge[len(data)] = True
-    before = np.empty(len(data), dtype=bool)
-    before[0] = False
-    before[1:] = word[:-1]
-    s = np.flatnonzero(word & (~before | edge[:-1]))
-    after = np.empty(len(data), dtype=bool)
-    after[-1] = False
-    after[:-1] = word[1:]
-    e = np.flatnonzero(word & (~after | edge[1:])) + 1
-    h = range_hash(prefix_hash(data), s, e)
-    return h, np.searchsorted(s, off)
+    """Hashes of all words (runs of bytes other than ASCII white space) and word offsets by row.
+
+    The bytes are taken in blocks that end at white space, so scratch memory stays small for a text of
+    any length.
+    """
+    hashes, starts, lo = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while lo < len(data):
+        hi = _block_end(data, lo)
+        part = data[lo:hi]
+        word = ~_SPACE[part]
+        edge = np.zeros(hi - lo + 1, dtype=bool)
+        edge[off[np.searchsorted(off, lo):np.searchsorted(off, hi)] - lo] = True
+        edge[-1] = True
+        s = np.flatnonzero(word & (np.append(True, ~word[:-1]) | edge[:-1]))
+        e = np.flatnonzero(word & (np.append(~word[1:], True) | edge[1:])) + 1
+        hashes.append(range_hash(prefix_hash(part), s, e))
+        starts.append(s + lo)
+        lo = hi
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), off)
 
 
 def shingles(words: np.ndarray, off: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:

@@ -72,11 +72,13 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
     """Sorted distinct shingle hashes of each text as bytes."""
     def run(batches):
         for b in batches:
-            data = []
-            for _, h, off in _shingled(b.column(b.num_columns - 1), n):
-                data += [np.unique(h[s:e]).tobytes() for s, e in zip(off, off[1:])]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(data, pa.binary())],
-                                             names=["root", "node", "size", "weight", "data"])
+            for lo in range(0, b.num_rows, 128):               # sets are larger than texts: few at once
+                part = b.slice(lo, 128)
+                data = []
+                for _, h, off in _shingled(part.column(part.num_columns - 1), n):
+                    data += [np.unique(h[s:e]).tobytes() for s, e in zip(off, off[1:])]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(data, pa.binary())],
+                                                 names=["root", "node", "size", "weight", "data"])
 
     return rows.select("root", "node", "size", "weight", "text").mapInArrow(
         run, "root long, node long, size long, weight long, data binary")

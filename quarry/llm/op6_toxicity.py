@@ -20,6 +20,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,6 +32,7 @@ from .common import read, staged, text_or_empty
 
 _WORD = re.compile(r"[^\W\d_]+")
 THRESHOLD = 0.7
+CACHED_WORDS = 100_000         # words whose feature numbers a task keeps at once
 
 
 def held_out(doc_id: Column | str = "doc_id") -> Column:
@@ -66,7 +68,7 @@ def _indexer(index: dict[str, int]):
     cache: dict[str, tuple] = {}
 
     def features(text: str) -> list[int]:
-        if len(cache) > 1_000_000:
+        if len(cache) > CACHED_WORDS:
             cache.clear()
         found: set[int] = set()
         for w in set(_WORD.findall(text.lower())):
@@ -183,11 +185,12 @@ def keep_clean(docs: DataFrame, model, threshold: float = THRESHOLD) -> DataFram
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def toxic(batches: pd.Series) -> pd.Series:
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index, w, bias = held.value
         features = _indexer(index)
-        z = batches.map(lambda t: bias + sum(w[i] for i in features(t))).astype(float)
-        return 1 / (1 + np.exp(-z.clip(-40, 40)))
+        for texts in batches:
+            z = texts.map(lambda t: bias + sum(w[i] for i in features(t))).astype(float)
+            yield 1 / (1 + np.exp(-z.clip(-40, 40)))
 
     return docs.where(toxic(text_or_empty()) < threshold)
 
