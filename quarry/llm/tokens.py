@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from .common import mix, prefix_hash, range_hash, text_chunks
 
-MAX_CHUNKS = 2_400_000          # cached chunks per Python worker (then the table starts again)
+MAX_CHUNKS = 700_000            # cached chunks per Python worker (then the table starts again)
 _ENCODERS: dict[tuple, "ChunkEncoder"] = {}
 _LEAD = np.zeros(256, dtype=bool)          # lead bytes of some non-ASCII white space
 _LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -71,7 +71,7 @@ class ChunkEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.bits = 23
+        self.bits = 21
         self.keys = np.zeros(1 << self.bits, dtype=np.uint64)
         self.slot = np.full(1 << self.bits, -1, dtype=np.int32)
         self.pool = np.zeros(1 << 20, dtype=np.uint32)
