@@ -320,9 +320,6 @@ ORACLE_SQL["g1_listing_gold"] = gold_sql(SILVER_EXPECTED, ["company"], _CUSTOM,
 # ---------------------------------------------------------------------------------------------
 # Aggregations, imputation, outliers, normalisation, artifacts
 # ---------------------------------------------------------------------------------------------
-from urllib.parse import quote_plus  # noqa: E402
-
-from quarry.operators.frontier import LIST_PARAMS  # noqa: E402
 from quarry.plans.catalog import (CUSTOMER_NORM, EVENTS_STRATEGIES, LI_NUM, ORDERS_OUTLIER,  # noqa: E402
                                   PROBS)
 
@@ -332,7 +329,9 @@ ORACLE_SQL["a1_a2_quantiles"] = " UNION ALL ".join(
 
 _ORD_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 ORACLE_SQL["a6_profile"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS column, count({c}) AS non_null, count(*) - count({c}) AS nulls, "
+    f"SELECT '{c}' AS column, (SELECT CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+    f"WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(typeof({c})) END FROM orders LIMIT 1) AS dtype, "
+    f"count({c}) AS non_null, count(*) - count({c}) AS nulls, "
     f"count(DISTINCT {c}) AS \"distinct\" FROM orders" for c in _ORD_COLS)
 
 ORACLE_SQL["a7_describe"] = " UNION ALL ".join(
@@ -408,13 +407,22 @@ for _i, _c in enumerate(LI_NUM, 1):
 ORACLE_SQL["q7_sequential_iqr"] = ("WITH " + ", ".join(_seq) + " SELECT l_orderkey, l_linenumber, " +
                                    ", ".join(f"round({c}, 6) AS {c}" for c in LI_NUM) + f" FROM t{len(LI_NUM)}")
 
-_RANKS = "r AS (SELECT " + ", ".join(
-    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS r{i}" for i, c in enumerate(LI_NUM)
-) + " FROM lineitem)"
-_SPEARMAN = (f"WITH {_RANKS} " + " UNION ALL ".join(
+
+
+def _pair_rho(a: str, b: str) -> str:
+    rank = "rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0"
+    return (f"round(corr(x, y), 6) AS rho FROM (SELECT {rank.format('a')} AS x, {rank.format('b')} AS y FROM "
+            f"(SELECT CAST({a} AS DOUBLE) AS a, CAST({b} AS DOUBLE) AS b FROM ({LINEITEM_GAPS})) "
+            f"WHERE a IS NOT NULL AND b IS NOT NULL)")
+
+
+_SPEARMAN = " UNION ALL ".join(
     f"SELECT {i} AS i, {j} AS j, '{a}' AS col_i, '{b}' AS col_j, "
-    + (f"CAST(1.0 AS DOUBLE) AS rho" if i == j else f"round(corr(r{i}, r{j}), 6) AS rho FROM r")
-    for i, a in enumerate(LI_NUM) for j, b in enumerate(LI_NUM)))
+    + ("CAST(1.0 AS DOUBLE) AS rho" if i == j else _pair_rho(a, b))
+    for i, a in enumerate(LI_NUM) for j, b in enumerate(LI_NUM))
+ORACLE_SQL["m4_m5_pca_correlation"] = " UNION ALL ".join(
+    f"SELECT '{a}' AS col_i, '{b}' AS col_j, round(corr({a}, {b}), 6) AS corr, CAST(1.0 AS DOUBLE) AS all_ratios "
+    f"FROM lineitem" for a in LI_NUM for b in LI_NUM)
 ORACLE_SQL["m1_spearman"] = _SPEARMAN
 ORACLE_SQL["m2_weak_correlation"] = (f"SELECT col_j AS column, max(CASE WHEN abs(rho) < 0.2 THEN 1 ELSE 0 END) = 1 "
                                      f"AS weak FROM ({_SPEARMAN}) WHERE i < j GROUP BY col_j")
@@ -453,12 +461,30 @@ ORACLE_SQL["q1_q3_projection"] = "SELECT o_orderkey, round(o_totalprice, 6) AS t
 _BASE = "https://listings.example"
 _dyn = {"draw": "CAST(page AS VARCHAR)", "start": "CAST((page - 1) * 10 AS VARCHAR)",
         "_": "CAST(1700000000000 + page AS VARCHAR)"}
-_parts = [f"'{quote_plus(k)}=' || {_dyn[k]}" if k in _dyn else f"'{quote_plus(k)}={quote_plus(v)}'"
-          for k, v in LIST_PARAMS.items()]
-ORACLE_SQL["c1_manifest"] = f"""SELECT c_mktsegment, CAST(page AS INTEGER) AS page,
-  '{_BASE}/main-board/index?' || {" || '&' || ".join(_parts)} AS url
-FROM (SELECT c_mktsegment, unnest(generate_series(1, CAST(ceil(count(*) / 10) AS BIGINT))) AS page
-      FROM customer GROUP BY c_mktsegment)"""
+_LISTS = {
+    "sme": ("SME", ["company_link company_name", "listing_year listing_year", "city_sme company_location",
+                    "sector sectors.name", "ipo_sizee ipo_size", "pe+Ratio price_to_earning", "exchange exchange",
+                    "merchant_banker merchant_banker"]),
+    "mainboard": ("MainBoard", ["company_link company_name", "ipo_year_mb ipo_year", "city company_location",
+                                "sector sectors.name", "ipo_sizee ipo_size", "pe+Ratio price_to_earning",
+                                "merchant_banker_mainboard merchant_banker_mainboard"]),
+}
+
+
+def _list_url(segment: str) -> str:
+    kind, columns = _LISTS[segment]
+    cols = "".join("&columns%5B{0}%5D%5Bdata%5D={1}&columns%5B{0}%5D%5Bname%5D={2}&columns%5B{0}%5D%5Bsearchable%5D=true"
+                   "&columns%5B{0}%5D%5Borderable%5D=true&columns%5B{0}%5D%5Bsearch%5D%5Bvalue%5D="
+                   "&columns%5B{0}%5D%5Bsearch%5D%5Bregex%5D=false".format(i, *c.split(" ")) for i, c in enumerate(columns))
+    return (f"'{_BASE}/main-board/index?draw=' || {_dyn['draw']} || '{cols}&start=' || {_dyn['start']} || "
+            f"'&length=10&search%5Bvalue%5D=&search%5Bregex%5D=false&ipo_type={kind}&_=' || {_dyn['_']}")
+
+
+ORACLE_SQL["c1_manifest"] = f"""SELECT c_mktsegment, segment, CAST(page AS INTEGER) AS page,
+  CASE segment WHEN 'sme' THEN {_list_url('sme')} ELSE {_list_url('mainboard')} END AS url
+FROM (SELECT c_mktsegment, segment, unnest(generate_series(1, CAST(ceil(count(*) / 10) AS BIGINT))) AS page
+      FROM (SELECT *, CASE WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN 'sme' ELSE 'mainboard' END AS segment
+            FROM customer) GROUP BY c_mktsegment, segment)"""
 
 _FAN_BASE = "(SELECT c_custkey AS id, replace(lower(c_name || ' Ltd'), ' ', '_') AS company, lower(replace(c_name, '#', '-')) AS slug FROM customer)"
 _TPL = [("ipo_information", "/ipo/"), ("financials", "/ipo/financial-report/"), ("subscription", "/ipo/subscription/"),
@@ -486,12 +512,16 @@ ORACLE_SQL["s8_payload"] = "SELECT o_orderkey, o_orderstatus FROM orders"
 ORACLE_SQL["s4_s6_csv_roundtrip"] = """SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice,
   CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders"""
 
-_GROUPS = {g: cols for g, cols in FEATURE_GROUPS.items() if g != "all_cols"}
+_GROUPS = FEATURE_GROUPS
 _SILVER_COLS = set(_SILVER_DOUBLES)
 _UNION_COLS = []
 for _cols in _GROUPS.values():
     _UNION_COLS += [c for c in _cols if c in _SILVER_COLS and c not in _UNION_COLS]
 _GOLD_ALL = gold_sql(SILVER_EXPECTED, ["company"], _UNION_COLS, _REG)
+_LABELS = ["ipo_category", "exchange", "issue_type", "dhrp_date", "open_date", "close_date", "allotment_date",
+           "listing_date", "object_of_issue"]
 ORACLE_SQL["g2_groups"] = " UNION ALL ".join(
-    f"SELECT '{g}' AS \"group\", company, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM ({_GOLD_ALL})"
-    for g, cols in _GROUPS.items() for c in cols if c in _SILVER_COLS)
+    [f"SELECT '{g}' AS \"group\", company, '{c}' AS feature, CAST({c} AS DOUBLE) AS value, CAST(NULL AS VARCHAR) AS label "
+     f"FROM ({_GOLD_ALL})" for g, cols in _GROUPS.items() for c in cols if c in _SILVER_COLS] +
+    [f"SELECT 'all_cols' AS \"group\", company, '{c}' AS feature, CAST(NULL AS DOUBLE) AS value, "
+     f"CAST({c} AS VARCHAR) AS label FROM ({SILVER_EXPECTED})" for c in _LABELS])

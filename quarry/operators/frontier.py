@@ -14,22 +14,33 @@ from pyspark.sql import functions as F
 from ..functions.url import looks_like_json
 from .html import parse_page
 
-# ---- fixed values: list-API query parameters (order kept) and page size ----------------------
-LIST_PARAMS: dict[str, str] = {
-    "draw": "1",
-    "columns[0][data]": "company_link",
-    "columns[0][name]": "company_name",
-    "columns[0][searchable]": "true",
-    "columns[0][orderable]": "true",
-    "columns[0][search][value]": "",
-    "columns[0][search][regex]": "false",
-    "start": "0",
-    "length": "10",
-    "search[value]": "",
-    "search[regex]": "false",
-    "ipo_type": "SME",
-    "_": "0",
+# ---- fixed values: columns (data, name) of each segment's list, its list type ---
+LIST_COLUMNS: dict[str, list[tuple[str, str]]] = {
+    "sme": [
+        ("company_link", "company_name"), ("listing_year", "listing_year"), ("city_sme", "company_location"),
+        ("sector", "sectors.name"), ("ipo_sizee", "ipo_size"), ("pe Ratio", "price_to_earning"),
+        ("exchange", "exchange"), ("merchant_banker", "merchant_banker"),
+    ],
+    "mainboard": [
+        ("company_link", "company_name"), ("ipo_year_mb", "ipo_year"), ("city", "company_location"),
+        ("sector", "sectors.name"), ("ipo_sizee", "ipo_size"), ("pe Ratio", "price_to_earning"),
+        ("merchant_banker_mainboard", "merchant_banker_mainboard"),
+    ],
 }
+LIST_TYPE = {"sme": "SME", "mainboard": "MainBoard"}
+PAGE_SIZE = 10
+
+
+def list_params(segment: str) -> dict[str, str]:
+    """Query parameters of a segment's list API, in request order."""
+    params = {"draw": "1"}
+    for i, (data, name) in enumerate(LIST_COLUMNS[segment]):
+        for field, value in (("[data]", data), ("[name]", name), ("[searchable]", "true"), ("[orderable]", "true"),
+                             ("[search][value]", ""), ("[search][regex]", "false")):
+            params[f"columns[{i}]{field}"] = value
+    return params | {"start": "0", "length": str(PAGE_SIZE), "search[value]": "", "search[regex]": "false",
+                     "ipo_type": LIST_TYPE[segment], "_": "0"}
+
 
 # ---- fixed values: per-section page templates; a keyed section takes its URL from a column --
 SECTION_TEMPLATES: list[tuple[str, str | None, str | None]] = [
@@ -43,26 +54,38 @@ SECTION_TEMPLATES: list[tuple[str, str | None, str | None]] = [
 ]
 
 
-def page_manifest(counts: DataFrame, n_col: str, api_url: str, params: dict[str, str] | None = None,
-                  cache_buster_ms: int = 0, keys: list[str] | None = None) -> DataFrame:
+def _page_query(params: dict[str, str], page: Column, cache_buster_ms: int) -> Column:
+    length = int(params.get("length", PAGE_SIZE))
+    dyn = {"draw": page.cast("string"), "start": ((page - 1) * length).cast("string"),
+           "_": (F.lit(cache_buster_ms).cast("long") + page).cast("string")}
+    return F.concat_ws("&", *[F.concat(F.url_encode(F.lit(k)), F.lit("="), F.url_encode(dyn.get(k, F.lit(v))))
+                              for k, v in {**params, **{k: "" for k in dyn if k not in params}}.items()])
+
+
+def page_manifest(counts: DataFrame, n_col: str, api_url: str | dict[str, str], params: dict[str, str] | None = None,
+                  cache_buster_ms: int = 0, keys: list[str] | None = None, segment: str | None = None) -> DataFrame:
     """One row per list page 1..n with draw=p, start=(p-1)*length, _=ts+p, URL-encoded query.
 
     ``n_col`` holds the number of pages per input row (e.g. per segment); the
-    cache-buster base is an argument so manifests are reproducible.
+    cache-buster base is an argument so manifests are reproducible.  With ``segment`` (a column
+    of segment names) each row takes the address and parameters of its own segment; an unknown
+    segment has no list and gives a NULL url.
     """
-    params = dict(LIST_PARAMS if params is None else params)
-    length = int(params.get("length", 10))
     keys = [k for k in (keys or []) if k != n_col]
-    pages = counts.select(*keys, F.explode(F.sequence(F.lit(1), F.col(n_col).cast("int"))).alias("page"))
-    p = F.col("page")
-    dyn = {"draw": p.cast("string"), "start": ((p - 1) * length).cast("string"),
-           "_": (F.lit(cache_buster_ms).cast("long") + p).cast("string")}
-    parts = [F.concat(F.url_encode(F.lit(k)), F.lit("="), F.url_encode(dyn.get(k, F.lit(v))))
-             for k, v in params.items()]
-    for k in ("draw", "start", "_"):
-        if k not in params:
-            parts.append(F.concat(F.lit(k + "="), dyn[k]))
-    return pages.select(*keys, "page", F.concat(F.lit(api_url + "?"), F.concat_ws("&", *parts)).alias("url"))
+    named = [segment] if segment and segment not in keys else []
+    pages = counts.select(*keys, *named, F.explode(F.sequence(F.lit(1), F.col(n_col).cast("int"))).alias("page"))
+
+    def address(url: str, p: dict[str, str]) -> Column:
+        return F.concat(F.lit(url + "?"), _page_query(p, F.col("page"), cache_buster_ms))
+
+    if segment is None:
+        url = address(api_url, list_params("sme") if params is None else params)
+    else:
+        url = F.lit(None).cast("string")
+        for name in LIST_COLUMNS:
+            own = api_url[name] if isinstance(api_url, dict) else api_url
+            url = F.when(F.col(segment) == name, address(own, params or list_params(name))).otherwise(url)
+    return pages.select(*keys, "page", url.alias("url"))
 
 
 def pages_needed(df: DataFrame, group: list[str], page_size: int = 10) -> DataFrame:

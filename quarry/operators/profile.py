@@ -123,50 +123,56 @@ def average_ranks(values: DataFrame, col: str, partitions: int | None = None) ->
     """Exact average rank (ties share the mean of their positions) of every distinct value.
 
     Distinct values with counts (map-side combined) are range-partitioned; each
-    partition ranks locally and adds the count of all smaller partitions.  Only
-    one total per partition reaches the driver, so this scales with the data.
+    partition ranks locally and adds the count of all smaller partitions, a table
+    of one row per partition that is joined back.
     """
     spark = values.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     d = values.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
     d = d.repartitionByRange(p, col).withColumn("_pid", F.spark_partition_id())
     d = cut_lineage(d)  # pin the range boundaries: totals and ranks must see the same partitions
-    totals = sorted((r["_pid"], r["_t"]) for r in d.groupBy("_pid").agg(F.sum("_n").alias("_t")).collect())
-    offsets, run = {}, 0
-    for pid, t in totals:
-        offsets[pid] = run
-        run += t
-    off = F.create_map(*[x for pid, o in offsets.items() for x in (F.lit(pid), F.lit(float(o)))]) \
-        if offsets else F.create_map().cast("map<int,double>")
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (d.groupBy("_pid").agg(F.sum("_n").alias("_t"))
+               .select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off")))
     w = Window.partitionBy("_pid").orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = F.sum("_n").over(w)
-    return d.select(col, (off[F.col("_pid")] + cum - (F.col("_n") - 1) / 2.0).alias("_rank"))
+    return (d.withColumn("_cum", F.sum("_n").over(w)).join(offsets, "_pid")
+            .select(col, (F.col("_off") + F.col("_cum") - (F.col("_n") - 1) / 2.0).alias("_rank")))
+
+
+def _rank_corr(base: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
+    """Rank correlation of every pair of ``cols``, none of which holds a NULL."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    if not pairs:
+        return {}
+    ranked = base.select(*cols)
+    for i, c in enumerate(cols):
+        ranked = ranked.join(average_ranks(base.select(c), c).withColumnRenamed("_rank", f"_r{i}"), on=c)
+    row = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    return {(cols[i], cols[j]): row[f"c{i}_{j}"] for i, j in pairs}
 
 
 def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
-    """M1: Spearman matrix (average ranks for ties) on complete rows -> long (i, j, col_i, col_j, rho).
+    """M1: Spearman matrix (average ranks for ties) -> long (i, j, col_i, col_j, rho).
 
-    Ranks per column from ``average_ranks`` joined back by value (AQE broadcasts
-    small rank tables and splits skewed values); all pairwise correlations are
-    one aggregate.
+    NULLs are left out pair by pair: rho of two columns uses the rows where both have a value.
+    Columns without NULLs are ranked once and correlated in one aggregate; a pair with a column
+    that has some is ranked on its own complete rows.  Ranks are joined back by value (AQE
+    broadcasts small rank tables and splits skewed values).
     """
     cols = select_existing(df, cols)
-    base = df.select(*[as_double(df, c).alias(c) for c in cols]).dropna()
-    ranked = base
-    for i, c in enumerate(cols):
-        ranked = ranked.join(average_ranks(base.select(c), c).withColumnRenamed("_rank", f"_r{i}"), on=c)
-    k = len(cols)
-    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-    row = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"c{i}_{j}") for i, j in pairs]).first() if pairs else None
+    base = df.select(*[as_double(df, c).alias(c) for c in cols])
+    nulls = base.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    full = [c for c in cols if not nulls[c]]
+    rho = _rank_corr(base, full)
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            if (a, b) not in rho:
+                rho |= _rank_corr(base.select(a, b).dropna(), [a, b])
     rows = []
-    for i in range(k):
-        for j in range(k):
-            if i == j:
-                v = 1.0
-            else:
-                a, b = min(i, j), max(i, j)
-                v = row[f"c{a}_{b}"]
-            rows.append((i, j, cols[i], cols[j], None if v is None else float(v)))
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            v = 1.0 if i == j else rho[(a, b) if i < j else (b, a)]
+            rows.append((i, j, a, b, None if v is None else float(v)))
     return df.sparkSession.createDataFrame(rows, "i INT, j INT, col_i STRING, col_j STRING, rho DOUBLE")
 
 

@@ -370,7 +370,7 @@ def a1_a2_quantiles(spark, sf_dir):
 
 @query("a6_profile")
 def a6_profile(spark, sf_dir):
-    return PR.profile(read_table(spark, sf_dir, "orders")).drop("dtype")
+    return PR.profile(read_table(spark, sf_dir, "orders"))
 
 
 @query("a7_describe")
@@ -480,12 +480,12 @@ def q7_sequential_iqr(spark, sf_dir):
 
 @query("m1_spearman")
 def m1_spearman(spark, sf_dir):
-    return round_doubles(PR.spearman(read_table(spark, sf_dir, "lineitem"), LI_NUM))
+    return round_doubles(PR.spearman(lineitem_with_gaps(spark, sf_dir), LI_NUM))
 
 
 @query("m2_weak_correlation")
 def m2_weak_correlation(spark, sf_dir):
-    return PR.weak_correlation(PR.spearman(read_table(spark, sf_dir, "lineitem"), LI_NUM), 0.2)
+    return PR.weak_correlation(PR.spearman(lineitem_with_gaps(spark, sf_dir), LI_NUM), 0.2)
 
 
 @query("m3_standardize")
@@ -499,6 +499,16 @@ def m4_a9_pca_variance(spark, sf_dir):
     return round_doubles(var)
 
 
+@query("m4_m5_pca_correlation")
+def m4_m5_pca_correlation(spark, sf_dir):
+    """The components put together again: k * sum(ratio * loading_a * loading_b) is the correlation matrix."""
+    var, load = PR.pca(read_table(spark, sf_dir, "lineitem"), LI_NUM)
+    other = load.select(F.col("feature").alias("col_j"), "pc", F.col("loading").alias("l_j"))
+    return round_doubles(load.join(other, "pc").join(var, "pc").groupBy(F.col("feature").alias("col_i"), "col_j")
+                         .agg((F.sum(F.col("explained_ratio") * F.col("loading") * F.col("l_j")) * len(LI_NUM)).alias("corr"),
+                              F.max("cumulative").alias("all_ratios")))
+
+
 @query("m5_m6_importance")
 def m5_m6_importance(spark, sf_dir):
     var, load = PR.pca(read_table(spark, sf_dir, "lineitem"), LI_NUM)
@@ -569,9 +579,10 @@ BASE_URL = "https://listings.example"
 @query("c1_manifest")
 def c1_manifest(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer")
-    counts = FR.pages_needed(c, ["c_mktsegment"], page_size=10)
-    return FR.page_manifest(counts, "n_pages", BASE_URL + "/main-board/index", cache_buster_ms=1_700_000_000_000,
-                            keys=["c_mktsegment"])
+    c = c.withColumn("segment", F.when(F.col("c_mktsegment").isin("BUILDING", "FURNITURE"), "sme").otherwise("mainboard"))
+    counts = FR.pages_needed(c, ["c_mktsegment", "segment"], page_size=10)
+    return FR.page_manifest(counts, "n_pages", BASE_URL + "/main-board/index",
+                            cache_buster_ms=1_700_000_000_000, keys=["c_mktsegment", "segment"], segment="segment")
 
 
 def _list_rows(spark, sf_dir) -> DataFrame:
@@ -635,16 +646,19 @@ def s4_s6_csv_roundtrip(spark, sf_dir):
 
 @query("g2_groups")
 def g2_groups(spark, sf_dir):
-    """Every feature group from one shared fit, long form (group, company, feature, value)."""
+    """Every feature group from one shared fit, long form (group, company, feature, value or label)."""
     from .gold import create_gold_groups
     silver = pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS)
-    groups = {g: cols for g, cols in FEATURE_GROUPS.items() if g != "all_cols"}
-    frames, _ = create_gold_groups(silver, Registry().strategy_map(), groups, keep=["company"])
+    frames, _ = create_gold_groups(silver, Registry().strategy_map(), FEATURE_GROUPS, keep=["company"])
     parts = []
     for g, df in frames.items():
-        feats = [c for c in df.columns if c != "company"]
-        parts.append(df.select(F.lit(g).alias("group"), "company", F.inline(F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in feats]))))
+        entries = []
+        for f in [c for c in df.columns if c != "company"]:
+            number = df.schema[f].dataType.typeName() not in ("string", "date")
+            entries.append(F.struct(F.lit(f).alias("feature"),
+                                    (F.col(f) if number else F.lit(None)).cast("double").alias("value"),
+                                    (F.lit(None) if number else F.col(f)).cast("string").alias("label")))
+        parts.append(df.select(F.lit(g).alias("group"), "company", F.inline(F.array(*entries))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
