@@ -1,31 +1,28 @@
-"""One-pass fitting of imputation / outlier / normalisation statistics.
+"""Fitting of imputation / outlier / normalisation statistics.
 
-Every statistic for every column comes out of a single global ``agg``: per column
-one ``percentile(x, array(q1, q2, ...))`` buffer holding all quantiles that any
-policy needs, plus ``min``/``max``.  Spark does map-side partial aggregation, so
-only one small buffer per column and task crosses the shuffle.  The result is a
-long artifact DataFrame ``(column, stat, value)`` that stays lazy until applied.
+All statistics of all columns come out of one pass over the rows: quantiles that any policy
+needs, plus ``min``/``max``.  The result is a long artifact DataFrame ``(column, stat, value)``.
 
 Quantile methods (all chosen explicitly, never switched silently):
 
-* ``"exact"``: ``percentile`` (linear interpolation, equal to pandas ``quantile``
-  and DuckDB ``quantile_cont``).  Its buffer is a value->count map merged in one
-  final task, so it suits low/moderate cardinality (or many duplicates).
-* ``"distributed"``: the same exact values via histogram narrowing
-  (``distributed_quantiles``): a few bucketed-count passes, no whole-column
-  buffer anywhere -- the method for high-cardinality columns at cluster scale.
+* ``"distributed"``, the default: exact values (linear interpolation, equal to pandas
+  ``quantile`` and DuckDB ``quantile_cont``) by rank over range-partitioned value counts
+  (``distributed_quantiles``); no task holds a whole column.
+* ``"exact"``: the same values by ``percentile``, lazy and in one aggregation.  Its buffer is a
+  value->count map merged in one final task, so it only suits columns of few distinct values.
 * ``"approx"``: ``percentile_approx`` with an explicit ``accuracy``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.clean import finite_or_null, strict_double, ustrip
 from ..registry import (ColumnStrategy, ImputerPolicy, NormalizationPolicy, OutlierPolicy,
                         select_existing)
+from ..session import cut_lineage
 
 ARTIFACT_SCHEMA = T.StructType([
     T.StructField("column", T.StringType(), False),
@@ -75,8 +72,8 @@ def _needs(s: ColumnStrategy) -> tuple[list[float], bool, bool]:
 
 
 def fit(df: DataFrame, strategies: dict[str, ColumnStrategy], cols=None, *,
-        method: str = "exact", accuracy: int = 100_000) -> DataFrame:
-    """I1 + O1 + Z1/Z3/Z5 in one aggregation job; returns the artifact frame.
+        method: str = "distributed", accuracy: int = 100_000) -> DataFrame:
+    """I1 + O1 + Z1/Z3/Z5 in one pass over the rows; returns the artifact frame.
 
     ``cols`` restricts the fit to requested columns that exist (Q1 semantics);
     columns without a strategy are skipped.
@@ -107,10 +104,10 @@ def fit(df: DataFrame, strategies: dict[str, ColumnStrategy], cols=None, *,
         return spark.createDataFrame([], ARTIFACT_SCHEMA)
     if method == "distributed":
         # exact, without a whole-column buffer in one task: statistics arrive as literals
-        res = distributed_quantiles(df, {c: qs for c, _, qs, _, _ in plan})
+        res = distributed_quantiles(df, {c: qs for c, _, qs, lo, hi in plan if qs or lo or hi})
         lits = []
         for i, (c, _s, qs, need_min, need_max) in enumerate(plan):
-            vals, mn, mx = res[c]
+            vals, mn, mx = res.get(c, ([], None, None))
             if qs:
                 lits.append(F.array(*[F.lit(v).cast("double") for v in vals]).alias(f"q{i}"))
             if need_min:
@@ -167,7 +164,7 @@ def fit(df: DataFrame, strategies: dict[str, ColumnStrategy], cols=None, *,
     return stats.select(F.inline(F.array(*rows)))
 
 
-def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, method: str = "exact",
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, method: str = "distributed",
               accuracy: int = 100_000) -> DataFrame:
     """A1/A2/A3: one row, one ``array<double>`` per column, all in one job
     (``method="distributed"``: exact values without a whole-column buffer)."""
@@ -183,104 +180,45 @@ def quantiles(df: DataFrame, cols: list[str], probs: list[float], *, method: str
                     for c in cols])
 
 
-def distributed_quantiles(df: DataFrame, cols: dict[str, list[float]], *, buckets: int = 4096,
-                          max_slice_rows: int = 20_000) -> dict[str, tuple[list[float | None], float | None,
-                                                                                float | None]]:
-    """Exact linear-interpolated quantiles without merging a whole column in one task.
+def distributed_quantiles(df: DataFrame, cols: dict[str, list[float]]) -> dict[str, tuple[list[float | None], float | None,
+                                                                                        float | None]]:
+    """Exact linear-interpolated quantiles without a whole column in one task.
 
-    Histogram narrowing: every pass groups the rows of each unresolved target into
-    ``buckets`` equal-width buckets of its current value range (map-side combined,
-    so at most ``buckets`` counts per target reach the driver), keeps the bucket
-    holding the wanted rank and shrinks the range to that bucket's [min, max].  A
-    bucket that is a single value (a hot value holding a third of all rows, say)
-    resolves at once; otherwise, once at most ``max_slice_rows`` rows remain, the
-    rank is read from that bounded slice.  Returns {col: (values, min, max)}.
+    The distinct values of all columns with their counts (map-side combined, so a hot value is one
+    row) are range-partitioned by (column, value).  Each partition sums its counts, the totals of the
+    partitions before it give its first rank, and only the rows that hold a wanted rank, two per
+    probability, reach the driver.  Infinite values rank like any other.  Returns
+    {col: (values, min, max)}, Nones for a column without values.
     """
     names = list(cols)
-    xs = {c: as_double(df, c) for c in names}
-    first = df.agg(*[F.count(xs[c]).alias(f"n{i}") for i, c in enumerate(names)],
-                   *[F.min(xs[c]).alias(f"lo{i}") for i, c in enumerate(names)],
-                   *[F.max(xs[c]).alias(f"hi{i}") for i, c in enumerate(names)]).first()
-    # targets: (col, rank) for the lower and upper neighbour of every requested position
-    state: dict[tuple[str, int], dict] = {}
-    plan: dict[str, list[tuple[int, int, float]]] = {}
+    if not names:
+        return {}
+    entries = F.array(*[F.struct(F.lit(i).alias("i"), as_double(df, c).alias("x")) for i, c in enumerate(names)])
+    counts = (df.select(F.inline(entries)).where("x is not null and not isnan(x)")
+              .groupBy("i", "x").agg(F.count(F.lit(1)).alias("n")))
+    counts = cut_lineage(counts.repartitionByRange("i", "x").withColumn("pid", F.spark_partition_id()))
+    part = counts.groupBy("i", "pid").agg(F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    whole = {r["i"]: r for r in part.groupBy("i").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"),
+                                                      F.max("hi").alias("hi")).collect()}      # a row per column
+    spots: dict[str, list[tuple[int, int, float]]] = {}
     for i, c in enumerate(names):
-        n, lo, hi = first[f"n{i}"], first[f"lo{i}"], first[f"hi{i}"]
-        plan[c] = []
-        for p in cols[c]:
-            if n == 0:
-                plan[c].append((-1, -1, 0.0))
-                continue
-            pos = p * (n - 1)
-            k0, k1 = int(pos // 1), min(int(pos // 1) + 1, n - 1)
-            plan[c].append((k0, k1, pos - k0))
-            for k in (k0, k1):
-                state.setdefault((c, k), {"lo": lo, "hi": hi, "below": 0, "cnt": n, "value": None})
-    while True:
-        active = [(c, k) for (c, k), s in state.items() if s["value"] is None]
-        for key in active:
-            s = state[key]
-            if s["lo"] == s["hi"]:
-                s["value"] = s["lo"]
-        active = [(c, k) for (c, k), s in state.items() if s["value"] is None]
-        if not active:
-            break
-        small = [key for key in active if state[key]["cnt"] <= max_slice_rows]
-        wide = [key for key in active if state[key]["cnt"] > max_slice_rows]
-
-        def ranges_of(keys):
-            # targets of one column share a value range until they diverge: one entry per range
-            rid: dict[tuple, int] = {}
-            for c, k in keys:
-                s = state[(c, k)]
-                rid.setdefault((c, s["lo"], s["hi"]), len(rid))
-            return rid
-
-        if small:  # bounded slices, all ranges in one job: sort each slice and read the ranks
-            rid = ranges_of(small)
-            entries = [F.when((xs[c] >= F.lit(lo)) & (xs[c] <= F.lit(hi)),
-                              F.struct(F.lit(r).alias("t"), xs[c].alias("x"))) for (c, lo, hi), r in rid.items()]
-            got = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
-                   .groupBy(F.col("e.t").alias("t")).agg(F.sort_array(F.collect_list("e.x")).alias("v")).collect())
-            by_r = {r["t"]: r["v"] for r in got}
-            for c, k in small:
-                s = state[(c, k)]
-                s["value"] = by_r[rid[(c, s["lo"], s["hi"])]][k - s["below"]]
-        if not wide:
-            continue
-        rid = ranges_of(wide)
-        entries = []
-        for (c, lo, hi), r in rid.items():
-            x = xs[c]
-            b = F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / buckets)), F.lit(buckets - 1)).cast("int")
-            entries.append(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)),
-                                  F.struct(F.lit(r).alias("t"), b.alias("b"), x.alias("x"))))
-        hist = (df.select(F.explode(F.array(*entries)).alias("e")).where(F.col("e").isNotNull())
-                .groupBy(F.col("e.t").alias("t"), F.col("e.b").alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min("e.x").alias("mn"), F.max("e.x").alias("mx"))
-                .collect())
-        by_r: dict[int, list] = {}
-        for r in hist:
-            by_r.setdefault(r["t"], []).append(r)
-        for r_ in by_r.values():
-            r_.sort(key=lambda r: r["b"])
-        for c, k in wide:
-            s = state[(c, k)]
-            want = k - s["below"]
-            acc = 0
-            for r in by_r[rid[(c, s["lo"], s["hi"])]]:
-                if acc + r["n"] > want:
-                    s.update(lo=r["mn"], hi=r["mx"], below=s["below"] + acc, cnt=r["n"])
-                    break
-                acc += r["n"]
+        last = whole[i]["n"] - 1 if i in whole else -1
+        spots[c] = [(int(p * last), min(int(p * last) + 1, last), p * last - int(p * last)) for p in cols[c]] \
+            if last >= 0 else []
+    wanted = sorted({(i, k) for i, c in enumerate(names) for spot in spots[c] for k in spot[:2]})
+    before = Window.partitionBy("i").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    first = part.select("i", "pid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
+    upto = Window.partitionBy("i", "pid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (counts.withColumn("run", F.sum("n").over(upto)).join(first, ["i", "pid"])
+              .select("i", "x", (F.col("off") + F.col("run")).alias("end"), "n"))
+    ranks = df.sparkSession.createDataFrame(wanted, "i int, k long")
+    at = {(r["i"], r["k"]): r["x"] for r in ranked.join(F.broadcast(ranks), "i")
+          .where("k >= end - n and k < end").select("i", "k", "x").collect()} if wanted else {}
     out = {}
     for i, c in enumerate(names):
-        vals = []
-        for k0, k1, frac in plan[c]:
-            if k0 < 0:
-                vals.append(None)
-                continue
-            a, b = state[(c, k0)]["value"], state[(c, k1)]["value"]
-            vals.append(a if (k1 == k0 or a == b) else (1 - frac) * a + frac * b)
-        out[c] = (vals, first[f"lo{i}"], first[f"hi{i}"])
+        vals: list[float | None] = [None] * len(cols[c])
+        for j, (k0, k1, frac) in enumerate(spots[c]):
+            a, b = at[(i, k0)], at[(i, k1)]
+            vals[j] = a if frac == 0 or a == b else (1 - frac) * a + frac * b
+        out[c] = (vals, whole[i]["lo"] if i in whole else None, whole[i]["hi"] if i in whole else None)
     return out

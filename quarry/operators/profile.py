@@ -37,7 +37,7 @@ def profile(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool
     return row.select(F.inline(F.array(*entries)))
 
 
-def describe(df: DataFrame, cols: list[str] | None = None, method: str = "exact") -> DataFrame:
+def describe(df: DataFrame, cols: list[str] | None = None, method: str = "distributed") -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (exact by default), max per numeric column."""
     num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
     cols = [c for c in select_existing(df, cols or df.columns) if isinstance(df.schema[c].dataType, num)]
@@ -63,7 +63,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, method: str = "exact"
     return row.select(F.inline(F.array(*entries)))
 
 
-def _bounds(df: DataFrame, col: str, lo_q: float, hi_q: float, method: str = "exact") -> tuple[float | None, float | None]:
+def _bounds(df: DataFrame, col: str, lo_q: float, hi_q: float, method: str = "distributed") -> tuple[float | None, float | None]:
     if method == "distributed":
         v = distributed_quantiles(df, {col: [lo_q, hi_q]})[col][0]
         return (v[0], v[1])
@@ -80,7 +80,7 @@ def _between(df: DataFrame, col: str, lo, hi) -> DataFrame:
     return df.where((x >= F.lit(float(lo))) & (x <= F.lit(float(hi))))
 
 
-def iqr_filter(df: DataFrame, col: str, factor: float = 1.5, method: str = "exact") -> DataFrame:
+def iqr_filter(df: DataFrame, col: str, factor: float = 1.5, method: str = "distributed") -> DataFrame:
     """Q5: keep rows inside [q1 - f*iqr, q3 + f*iqr] (NULLs drop)."""
     q1, q3 = _bounds(df, col, 0.25, 0.75, method)
     if q1 is None:
@@ -90,14 +90,14 @@ def iqr_filter(df: DataFrame, col: str, factor: float = 1.5, method: str = "exac
 
 
 def percentile_filter(df: DataFrame, col: str, low_q: float = 0.01, high_q: float = 0.99,
-                      method: str = "exact") -> DataFrame:
+                      method: str = "distributed") -> DataFrame:
     """Q6: keep rows inside the [low_q, high_q] percentiles (NULLs drop)."""
     lo, hi = _bounds(df, col, low_q, high_q, method)
     return _between(df, col, lo, hi)
 
 
 def sequential_iqr_filter(df: DataFrame, cols: list[str], factor: float = 1.0, fill_zero: bool = True,
-                          checkpoint_every: int = 5, method: str = "exact") -> DataFrame:
+                          checkpoint_every: int = 5, method: str = "distributed") -> DataFrame:
     """Q7: IQR filter per column in turn, each bound refitted on the rows kept so far.
 
     A true data dependency: one small aggregation job per column.  The plan of

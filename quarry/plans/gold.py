@@ -64,7 +64,7 @@ class GoldResult:
 
 
 def create_gold(df: DataFrame, strategies: dict[str, ColumnStrategy], cols=None, *, mode: str = "clip",
-                keep: list[str] | None = None, method: str = "exact") -> GoldResult:
+                keep: list[str] | None = None, method: str = "distributed") -> GoldResult:
     """G1: fit on raw ``df`` -> apply to ``df``; returns features and the artifact frame."""
     art = fit(df, strategies, cols, method=method)
     a = Artifacts.from_frame(art)
@@ -74,7 +74,7 @@ def create_gold(df: DataFrame, strategies: dict[str, ColumnStrategy], cols=None,
 
 def create_gold_groups(df: DataFrame, strategies: dict[str, ColumnStrategy], groups: dict[str, list[str]], *,
                        mode: str = "clip", keep: list[str] | None = None,
-                       method: str = "exact") -> tuple[dict[str, DataFrame], DataFrame]:
+                       method: str = "distributed") -> tuple[dict[str, DataFrame], DataFrame]:
     """One shared fit over the union of group columns, one projection per group."""
     union: list[str] = []
     for cols in groups.values():

@@ -111,7 +111,18 @@ def test_distributed_quantiles_exact_with_hot_value(spark):
                                  .otherwise(F.col("l_extendedprice")))
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
     cols = {"hot": probs, "l_quantity": probs, "l_tax": probs}
-    got = distributed_quantiles(src, cols, buckets=16, max_slice_rows=50)
+    got = distributed_quantiles(src, cols)
     want = src.agg(*[F.percentile(c, F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]).first()
     for c in cols:
         assert [round(v, 9) for v in got[c][0]] == [round(v, 9) for v in want[c]]
+
+
+def test_distributed_quantiles_of_tiny_ranges_heavy_tails_and_no_values(spark):
+    from quarry.operators.fit import distributed_quantiles
+    src = spark.range(25_000).select(
+        F.when(F.col("id") < 3, F.col("id") * 5e-324).alias("tiny"),
+        F.pow(F.lit(1.02), F.col("id") % 30_000).alias("tail"), F.lit(None).cast("double").alias("none"))
+    got = distributed_quantiles(src, {"tiny": [0.0, 0.5, 1.0], "tail": [0.0, 0.5], "none": [0.5]})
+    assert got["tiny"][0] == [0.0, 5e-324, 1e-323]
+    assert got["tail"][0][0] == 1.0 and got["tail"][1] == 1.0
+    assert got["none"] == ([None], None, None)
