@@ -1,7 +1,9 @@
 """Operator 9: main text of web pages by composite text density.
 
-Each page becomes a light tree.  Parts that are never article text (scripts, menus, forms, adverts,
-notices, comments and so on, by tag, role or class words) are cut off.  For every remaining node the
+Each page becomes a light tree.  Parts that are never article text (scripts, controls, hidden parts) are
+cut off.  Tags, roles and whole class names of menus, forms, adverts, notices, comments and so on only vote
+against a node: what holds the article, the core or a large share of the text stays, and so does text with
+a weak name (notice, related ...) inside an article.  For every remaining node the
 link-adjusted characters per tag are computed, the densities of its children are summed, and the node
 with the largest sum is the core.  The lowest density on the path from the core to the body is the
 threshold: every node reaching it joins the main text, which is the smallest subtree holding them,
@@ -38,47 +40,67 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
             "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
             "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
             "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"})}
-DROP_TAGS = set("script style noscript template iframe object embed svg canvas nav aside footer form button select "
-                "textarea input menu dialog head title".split())
+DROP_TAGS = set("script style noscript template iframe object embed svg canvas button select textarea input head "
+                "title".split())
+VOTE_TAGS = set("nav aside footer form menu dialog".split())
 DROP_ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-DROP_WORDS = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner "
-                 "cookie cookies consent gdpr notice alert sidebar comment comments disqus reply replies menu nav navbar "
-                 "navigation footer header masthead breadcrumb breadcrumbs share sharing social related recommended "
-                 "newsletter subscribe signup popup modal overlay pagination pager widget toolbar skip".split())
+STRONG = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr "
+             "sidebar comment comments disqus reply replies menu nav navbar navigation masthead breadcrumb breadcrumbs "
+             "share sharing newsletter subscribe signup popup modal overlay pagination pager toolbar".split())
+WEAK = set("promo promotion banner notice alert footer header social related recommended widget skip".split())
+# words that may stand beside them in a whole name of a role, in any and in names with a strong word
+BESIDE = set("site main page top bottom left right container wrapper wrap box list area section block inner outer bar "
+             "link links button buttons icon icons form item items slot unit primary secondary global mobile desktop "
+             "fixed sticky media module panel group posts articles stories".split())
+OF_TEXT = set("post entry article content story".split())
 KEEP_TAGS = {"html", "body", "article", "main"}
 
 
 class Node:
-    __slots__ = ("tag", "kids", "parent", "cut", "chars", "tags", "links", "link_chars", "density", "total")
+    __slots__ = ("tag", "kids", "parent", "cut", "vote", "inside", "chars", "tags", "links", "link_chars", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", cut: bool = False):
-        self.tag, self.parent, self.cut = tag, parent, cut
+    def __init__(self, tag: str, parent: "Node | None", cut: bool = False, vote: str = ""):
+        self.tag, self.parent, self.cut, self.vote, self.inside = tag, parent, cut, vote, frozenset()
         self.kids: list = []
         self.chars = self.tags = self.links = self.link_chars = 0
         self.density = self.total = 0.0
 
 
-def _unwanted(tag: str, attrs: str, inside_article: bool) -> bool:
-    if tag in DROP_TAGS or (tag == "header" and not inside_article):
-        return True
+def _role_name(name: str) -> str:
+    """"strong" or "weak" when the whole name is one of a role, such as site-header, but not has-sidebar."""
+    words = {w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", name) if w and not w[0].isdigit()}
+    if words & STRONG and words <= STRONG | WEAK | BESIDE | OF_TEXT:
+        return "strong"
+    return "weak" if words & WEAK and words <= WEAK | BESIDE else ""
+
+
+def _judge(tag: str, attrs: str) -> tuple[bool, str]:
+    """(never text, vote against it): the votes are "strong", "weak", "header" or none."""
+    if tag in DROP_TAGS:
+        return True, ""
+    vote = "strong" if tag in VOTE_TAGS else "header" if tag == "header" else ""
     if not attrs.strip() or tag in KEEP_TAGS:
-        return False
+        return False, vote
     for m in _ATTR.finditer(attrs):
         name, value = m.group(1).lower(), (m.group(2) or m.group(3) or m.group(4) or "")
-        if name in ("class", "id") and not DROP_WORDS.isdisjoint(w.lower() for w in re.split(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])", value)):
-            return True
-        if name == "role" and value.lower() in DROP_ROLES:
-            return True
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (
                 name == "style" and re.search(r"display\s*:\s*none", value)):
-            return True
-    return False
+            return True, ""
+        found = ""
+        if name in ("class", "id"):
+            roles = {_role_name(v) for v in value.split()}
+            found = "strong" if "strong" in roles else "weak" if "weak" in roles else ""
+        elif name == "role" and value.lower() in DROP_ROLES:
+            found = "strong"
+        if found == "strong" or not vote:
+            vote = found or vote
+    return False, vote
 
 
 def parse(page: str) -> Node:
     """The page as a tree; text is kept as strings among a node's children."""
     root = Node("#root", None)
-    cur, body, pos, articles = root, None, 0, 0
+    cur, body, pos = root, None, 0
     n = len(page)
     while pos < n:
         m = _TOKEN.search(page, pos)
@@ -97,8 +119,6 @@ def parse(page: str) -> Node:
             while node is not None and node.tag != tag and not (tag in INLINE and node.tag not in INLINE):
                 node = node.parent
             if node is not None and node.tag == tag and node.parent is not None:
-                if tag in ("article", "main"):
-                    articles = max(0, articles - 1)
                 cur = node.parent
             continue
         if tag == "body" and body is not None:
@@ -116,12 +136,10 @@ def parse(page: str) -> Node:
                 node = node.parent
             if found is not None:
                 cur = found.parent
-        node = Node(tag, cur, _unwanted(tag, m.group(3), articles > 0))
+        node = Node(tag, cur, *_judge(tag, m.group(3)))
         cur.kids.append(node)
         if tag == "body":
             body = node
-        if tag in ("article", "main"):
-            articles += 1
         if tag in RAW:                                      # up to its own end tag
             e = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
             pos = e.end() if e else n
@@ -144,7 +162,7 @@ def measure(body: Node) -> list[Node]:
     nodes = list(_walk(body))
     for x in reversed(nodes):
         x.chars = sum(len(" ".join(k.split())) for k in x.kids if isinstance(k, str))
-        x.tags = 1
+        x.tags, x.links, x.link_chars, x.density = 1, 0, 0, 0.0
         for k in x.kids:
             if isinstance(k, Node) and not k.cut:
                 x.chars += k.chars
@@ -173,11 +191,72 @@ def _path(x: Node, top: Node) -> list[Node]:
     return out
 
 
+def _linked(x: Node) -> bool:
+    return x.link_chars * 2 > x.chars
+
+
+def settle(body: Node) -> list[Node]:
+    """Cut the nodes whose vote stands; the nodes that are kept, measured.
+
+    A vote never cuts what holds the page's article or main, nor, where these hold little, the core or a large
+    share of the text outside links.  A weak word does not cut text inside an article or the core.
+    """
+    nodes = measure(body)
+    voted = [x for x in nodes if x.vote]
+    if not voted:
+        return nodes
+    plain = {id(x): x.chars - x.link_chars for x in nodes}
+    bodies = [x for x in nodes if x.tag in ("article", "main")]
+    most = max([plain[id(x)] for x in bodies], default=0)
+    holds, with_article = set(), set()
+    for x in bodies:
+        up = x
+        while x.tag == "article" and up is not body and id(up.parent) not in with_article:
+            up = up.parent
+            with_article.add(id(up))
+        if most and plain[id(x)] * 2 >= most:
+            while id(x) not in holds:
+                holds.add(id(x))
+                if x is body:
+                    break
+                x = x.parent
+    for x in nodes:                                         # parents first
+        if x is not body:
+            p = x.parent
+            x.inside = p.inside | ({p.tag} if p.tag in ("article", "main") else set()) | (
+                {"text"} if p.tag == "article" or (p.tag == "main" and id(p) not in with_article) else set()) | (
+                {"code"} if p.tag in ("pre", "code") else set()) if p.tag in ("article", "main", "pre", "code") else p.inside
+    core = set(map(id, _path(max(nodes, key=lambda x: x.total), body)))
+    spared = []
+    for x in voted:
+        if "code" in x.inside or id(x) in holds or (x.vote == "header" and x.inside & {"article", "main"}):
+            continue
+        if x.tag in VOTE_TAGS | {"header"} and x.tag != "form":    # says what it is: spared if nothing else has the text
+            if not most and plain[id(x)] * 2 > plain[id(body)]:
+                continue
+        elif most * 4 < plain[id(x)] and (id(x) in core or plain[id(x)] * 5 >= plain[id(body)] * 2):
+            continue
+        if x.vote == "weak" and not _linked(x):
+            if "text" in x.inside:
+                continue
+            spared.append(x)
+        x.cut = x is not body
+    nodes = measure(body)
+    core, back = max(nodes, key=lambda x: x.total), False
+    for x in spared:
+        up = x.parent
+        while up is not core and up is not body and not up.cut:
+            up = up.parent
+        if up is core and (core is not body or x.tag == "p"):
+            x.cut, back = False, True
+    return measure(body) if back else nodes
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     body = parse(page)
-    nodes = measure(body)
+    nodes = settle(body)
     core = max(nodes, key=lambda x: x.total)
     limit = min(x.density for x in _path(core, body))
     dense = [x for x in nodes if x.chars and x.density >= limit and x.tag not in INLINE and x is not body] or [core]

@@ -260,3 +260,27 @@ def test_token_chunks():
         for _, ids, at in encode_column(enc, pa.array(odd)):
             got += [ids[a:b].tolist() for a, b in zip(at, at[1:])]
         assert got == [enc.whole(t) for t in odd]
+
+
+PARAS = "".join(f"<p>Paragraph {k} " + "of plain article text that goes on " * 10 + "</p>" for k in range(5))
+
+
+def test_html_votes():
+    whole = " ".join(op9_html.entities.unescape(PARAS.replace("<p>", " ").replace("</p>", " ")).split())
+    menu = "<nav><a href=x>menu</a></nav>"
+    for page in (f'<div class="has-sidebar">{PARAS}</div>', f'<div id="page-with-footer">{PARAS}</div>',
+                 f'<form id=aspnetForm action="x">{menu}<div>{PARAS}</div></form>',
+                 f'<form>{menu}<article>{PARAS}</article></form>', f'<div class="sidebar"><main>{PARAS}</main></div>',
+                 f'<div class="layout widget">{menu}<div>{PARAS}</div></div>',
+                 f'<article>{PARAS}</article><div class="site-footer">foot</div><div class="cookie-banner">eat them</div>',
+                 f'<article>{PARAS}</article><div id=comments>' + "reader words " * 150 + "</div>",
+                 f'<article>{PARAS}<div class="ad">buy</div><ul class="share"><li>tell</ul></article>'):
+        assert op9_html.main_text(f"<html><body>{page}</body></html>") == whole, page[:60]
+    for tag in ('<section id="related-work">', '<p class="notice">', '<div class="alert">', '<div class="ResponsiveHeader">'):
+        part = f"{tag}Kept words stand here.</{tag[1:].split()[0]}>"
+        for box in ("article", "div"):
+            got = op9_html.main_text(f"<body>{menu}<{box}>{PARAS}{part}</{box}></body>")
+            assert got == whole + " Kept words stand here.", (tag, box)
+    short = "<article><h1>Short.</h1></article><footer>a much longer line at the foot of the page</footer>"
+    assert op9_html.main_text(f"<body>{menu}{short}</body>") == "Short."
+    assert "# why" in op9_html.main_text(f'<article>{PARAS}<pre>x <span class="comment"># why</span></pre></article>')
