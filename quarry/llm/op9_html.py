@@ -6,8 +6,9 @@ against a node: what holds the article, the core or a large share of the text st
 a weak name (notice, related ...) inside an article.  For every remaining node the
 link-adjusted characters per tag are computed, the densities of its children are summed, and the node
 with the largest sum is the core.  The lowest density on the path from the core to the body is the
-threshold: every node reaching it joins the main text, which is the smallest subtree holding them,
-without link lists below the threshold.
+threshold.  The main text is what is left of the body without the blocks below the threshold whose text
+is mostly links; of these an article keeps all, the core those after its first text, and any node those
+that stand between two texts.
 
 Edge cases: NULL or empty html gives empty text; unclosed and crossing tags follow HTML's implied ends;
 a page cut inside a tag ends there; very deep nesting is walked without recursion; repeated rows are
@@ -53,6 +54,8 @@ BESIDE = set("site main page top bottom left right container wrapper wrap box li
              "link links button buttons icon icons form item items slot unit primary secondary global mobile desktop "
              "fixed sticky media module panel group posts articles stories".split())
 OF_TEXT = set("post entry article content story".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
+PARAGRAPH = 100                # characters outside links that make a p a paragraph of text
 KEEP_TAGS = {"html", "body", "article", "main"}
 
 
@@ -252,35 +255,82 @@ def settle(body: Node) -> list[Node]:
     return measure(body) if back else nodes
 
 
+def _blocks(x: Node) -> list[tuple]:
+    """The kept children of a node as (block or None, kids, chars, link_chars); text, inline tags and br run together."""
+    out, run, chars, links = [], [], 0, 0
+    for k in [*x.kids, None]:
+        if isinstance(k, Node) and k.cut:
+            continue
+        if isinstance(k, str) or (k is not None and (k.tag in INLINE or k.tag in VOID)):
+            run.append(k)
+            chars += len(" ".join(k.split())) if isinstance(k, str) else k.chars
+            links += 0 if isinstance(k, str) else k.link_chars
+            continue
+        if run:
+            out.append((None, run, chars, links))
+            run, chars, links = [], 0, 0
+        if k is not None:
+            out.append((k, [k], k.chars, k.link_chars))
+    return out
+
+
+def _heading(k: Node | None) -> bool:
+    """A heading, or a box around nothing else."""
+    while k is not None and k.tag not in HEADINGS:
+        full = [b for b in _blocks(k) if b[2]]
+        k = full[0][0] if len(full) == 1 else None
+    return k is not None
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     body = parse(page)
     nodes = settle(body)
     core = max(nodes, key=lambda x: x.total)
-    limit = min(x.density for x in _path(core, body))
-    dense = [x for x in nodes if x.chars and x.density >= limit and x.tag not in INLINE and x is not body] or [core]
-    shared = _path(core, body)
-    for x in dense:                                         # smallest subtree holding them all
-        up = set(map(id, _path(x, body)))
-        shared = [p for p in shared if id(p) in up]
-    top, out, stack = shared[0], [], [(shared[0], 0)]
-    while stack:                                            # text in page order, blocks apart
-        node, i = stack.pop()
-        if i == 0 and node.tag not in INLINE:
+    path = _path(core, body)
+    limit, above = min(x.density for x in path), set(map(id, path[1:]))
+    texts = set(map(id, path))                              # blocks that hold the core or a paragraph of text
+    for x in reversed(nodes):
+        if id(x) in texts or (x.tag == "p" and x.chars - x.link_chars >= PARAGRAPH and not _linked(x)):
+            texts |= {id(x), id(x.parent)}
+    # text in page order, blocks apart: (text or node, kept whole, part of the core, inside a heading, inside a link)
+    out, seen, stack = [], 0, [(body, False, False, False, False)]
+    while stack:
+        x, whole, own, head, link = stack.pop()
+        if isinstance(x, str):
+            out.append(entities.unescape(x))
+            if own and not link and x.strip():
+                seen = max(seen, 1 if head else 2)
+            continue
+        if isinstance(whole, tuple):                        # a link list in the core: only after some of its text
+            if seen < whole[1] and id(x) not in texts:
+                continue
+            whole = seen >= whole[1]
+        if x.tag not in INLINE:
             out.append(" ")
-        while i < len(node.kids):
-            k = node.kids[i]
-            i += 1
-            if isinstance(k, str):
-                out.append(entities.unescape(k))
-            elif not k.cut and not (k.density < limit and k.link_chars * 2 > k.chars and k.tag not in INLINE and k is not top):
-                stack.append((node, i))
-                stack.append((k, 0))
-                break
-        else:
-            if node.tag not in INLINE:
-                out.append(" ")
+            stack.append((" ", True, False, False, False))
+        whole, own = whole or x.tag == "article", own or x is core or x.tag == "main"
+        head, link = head or x.tag in HEADINGS, link or x.tag == "a"
+        blocks = [] if whole else _blocks(x)
+        plain = [i for i, (k, _, n, m) in enumerate(blocks)
+                 if k is not None and id(k) in texts or n and m * 2 <= n and not _heading(k)]
+        kept = [(k, True) for k in x.kids if isinstance(k, str) or not k.cut] if whole else []
+        for i, (k, kids, n, m) in enumerate(blocks):
+            free = False
+            judged = id(x) in above and not own if k is None else k.density < limit and id(k) not in above and k is not core
+            if judged and m * 2 > n and not _heading(k):
+                if own and (core is not body or k is None or k.tag not in ("div", "section")):
+                    free = ("after", 2 if core is body else 1)
+                else:
+                    free = bool(plain) and plain[0] < i < plain[-1]
+                if not free and k is not None and id(k) in texts:
+                    free = None                             # its own blocks are judged
+                if free is False:
+                    continue
+            kept += [(c, free) for c in kids]
+        for c, free in reversed(kept):
+            stack.append((c, free, own, head, link))
     return " ".join("".join(out).split())
 
 

@@ -284,3 +284,24 @@ def test_html_votes():
     short = "<article><h1>Short.</h1></article><footer>a much longer line at the foot of the page</footer>"
     assert op9_html.main_text(f"<body>{menu}{short}</body>") == "Short."
     assert "# why" in op9_html.main_text(f'<article>{PARAS}<pre>x <span class="comment"># why</span></pre></article>')
+
+
+def test_html_layouts():
+    links = "<ul>" + "".join(f'<li><a href="r{k}">Reference number {k}</a></li>' for k in range(8)) + "</ul>"
+    lone = '<p><a href="x">A paragraph that is one link only</a></p>'
+    plain = lambda h: " ".join(op9_html.re.sub("<[^>]*>", " ", h).split())
+    second = "<div><h2>Second</h2><p>A short second section.</p></div>"
+    mixed = "<section><p>" + "More text of the page. " * 6 + "</p></section>"
+    for page in (f"<article>{PARAS}{links}</article>", f"<article>{links}{PARAS}</article>", f"<article>{lone}{PARAS}{lone}</article>",
+                 f"<div>{PARAS}{links}</div>", f"<div>{PARAS}<div>{links}</div>{PARAS}</div>", f"{PARAS}{links}{PARAS}{lone}",
+                 f"<h1>title</h1><div>{PARAS}</div>", f'<h1><a href="x">title</a></h1><div>{PARAS}</div>',
+                 f"<div>{PARAS}</div>{second}", f"<h1>title</h1><div><div>{PARAS}</div>{second}</div>Last words",
+                 f"<div>{PARAS}</div>{links}{mixed}{second}", f"<main><h1>title</h1>{PARAS}{links}</main>"):
+        assert op9_html.main_text(f"<body>{page}</body>") == plain(page), page[:80]
+    menu = '<a href="a">Home</a> | <a href="b">About us</a>'
+    for page in (f"{links}<h1>title</h1><div>{PARAS}</div>{links}", f"<div>{menu}</div><h1>title</h1><div>{PARAS}</div><div>{menu}</div>",
+                 f"{menu}<h1>title</h1><article>{PARAS}</article><div><h3>See</h3>{links}</div>",
+                 f"<ul><li>{menu}</ul><h1>title</h1>{PARAS}<div>{menu}</div>"):
+        assert op9_html.main_text(f"<body>{page}</body>") == "title " + plain(PARAS), page[:80]
+    tail = links.replace("<ul>", f"<section><p>{'Words of a section. ' * 6}</p><ul>").replace("</ul>", "</ul></section>") * 2
+    assert op9_html.main_text(f"<body><div>{PARAS}</div>{tail}</body>").count("Words of a section.") == 12
