@@ -8,12 +8,13 @@ Labelled findings are a table (doc_id, nth, label).  Without one, ``rule_labels`
 quoted values assigned to a credential-like name are secrets; e-mail hosts, dotted names, paths and
 plain numbers are not; everything else stays unlabelled and is only scored.
 
-Bounds (parameters): at most ``max_labelled`` labelled findings train the forest; the ``max_words``
+Bounds (parameters): at most ``max_labelled`` labelled findings, those of equal texts once and each kind with
+its share, train the forest; the ``max_words``
 words that stand in the most documents, counted over all of them, make the dictionary.  All documents
 are scanned whole.
 
 Edge cases: NULL, empty or blank text has no findings; repeated rows give repeated findings; without
-labelled findings of both kinds the rule label is the score (unlabelled: 0.5); very long texts and runs
+labelled findings of both kinds the label is the score, and unlabelled ones stay below the threshold; very long texts and runs
 are scanned like others; an empty table gives an empty result; other columns are not read.
 """
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import read, staged, text_or_empty
 
 THRESHOLD = 0.5
+UNKNOWN = 0.25                 # score of an unlabelled candidate when nothing tells the kinds apart
 MASK = "[SECRET]"
 CANDIDATE = (r"(?<![A-Za-z0-9_+/=.\-])(?:(?=[A-Za-z_+/=.\-]*+[0-9])[A-Za-z0-9_+/=.\-]{16,}+"
              r"|-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)")
@@ -98,6 +100,24 @@ def rule_labels(x: DataFrame) -> Column:
     return F.when(secret, F.lit(1)).when(other, F.lit(0)).cast("double")
 
 
+def training_rows(x: DataFrame, max_labelled: int) -> tuple[DataFrame, set[float]]:
+    """At most ``max_labelled`` distinct labelled rows in hash order, and their labels: findings of equal texts
+    count once, and each kind has its share of the rows, but a tenth of them at least (all of a rarer kind)."""
+    rows = staged(x.where("label is not null").select("h", "nth", "label", *FEATURES)
+                  .dropDuplicates(["h", "nth", "label"]), "sec-labelled")
+    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    total = sum(n.values())
+    take = {k: min(v, max(v * max_labelled // max(total, max_labelled), max_labelled // 10)) for k, v in n.items()}
+    if n:
+        most = max(take, key=lambda k: (take[k], k))
+        take[most] = min(take[most], max_labelled - sum(v for k, v in take.items() if k != most))
+    order = [F.xxhash64("h", "nth"), F.col("h"), F.col("nth")]
+    out = rows.limit(0)
+    for k in sorted(take):
+        out = out.unionByName(rows.where(F.col("label") == k).orderBy(*order).limit(take[k]))
+    return staged(out, "sec-train"), set(n)
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None, max_labelled: int = 20000, max_words: int = 2000,
          trees: int = 20, depth: int = 5) -> DataFrame:
     """Findings with score (probability of a secret) and is_secret."""
@@ -111,10 +131,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, max_labelled: int =
     else:
         x = x.join(labelled.select(F.col("doc_id"), F.col("nth"), F.col("label").cast("double")).dropDuplicates(
             ["doc_id", "nth"]), ["doc_id", "nth"], "left")
-    order = [F.xxhash64("h", "nth"), F.col("h"), F.col("nth")]
-    train = staged(x.where("label is not null").orderBy(*order).limit(max_labelled), "sec-train")
-    if train.select("label").distinct().count() < 2:
-        scored = x.withColumn("score", F.coalesce("label", F.lit(0.5)))
+    train, kinds = training_rows(x, max_labelled)
+    if len(kinds) < 2:
+        scored = x.withColumn("score", F.coalesce("label", F.lit(0.0 if kinds == {0.0} else UNKNOWN)))
     else:
         vec = VectorAssembler(inputCols=FEATURES, outputCol="features")
         forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth,

@@ -305,3 +305,22 @@ def test_html_layouts():
         assert op9_html.main_text(f"<body>{page}</body>") == "title " + plain(PARAS), page[:80]
     tail = links.replace("<ul>", f"<section><p>{'Words of a section. ' * 6}</p><ul>").replace("</ul>", "</ul></section>") * 2
     assert op9_html.main_text(f"<body><div>{PARAS}</div>{tail}</body>").count("Words of a section.") == 12
+
+
+def test_secrets_one_kind(spark):
+    r = random.Random(6)
+    odd = ["".join(r.choice("0123456789abcdef") for _ in range(40)), "0f8fad5b-d9cb-469f-a165-70867728950e", "some_file_name_2024_v2"]
+    rows = [(i, f"see commit {odd[0]} or {odd[1]} in {odd[2]} and 4929{i:012d}", "en", "s", 0, "x") for i in range(5)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = op1_secrets.scan(docs).collect()
+    assert {f.candidate for f in found} >= set(odd) and not any(f.is_secret for f in found)
+    assert {d.doc_id: d.text for d in op1_secrets.mask_secrets(docs).collect()} == {i: t for i, t, *_ in rows}
+    labels = spark.createDataFrame([(0, 0, 1)], "doc_id long, nth int, label int")
+    assert [(f.doc_id, f.nth) for f in op1_secrets.scan(docs, labels).collect() if f.is_secret] == [(0, 0)]
+    x = spark.createDataFrame([(k % 50 if k < 900 else k, 0, float(k >= 990)) + (0.0,) * len(op1_secrets.FEATURES) for k in range(1000)],
+                              ["h", "nth", "label", *op1_secrets.FEATURES])
+    train, kinds = op1_secrets.training_rows(x, 40)
+    got = train.collect()
+    assert kinds == {0.0, 1.0} and len(got) == len({t.h for t in got}) <= 40
+    assert 2 <= sum(t.label for t in got) <= 10
+    assert op1_secrets.training_rows(x, 5000)[0].count() == 150
