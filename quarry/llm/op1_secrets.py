@@ -1,21 +1,23 @@
 """Operator 1: secret scan with a random forest that removes false positives (native Spark only).
 
-Candidates are runs of 16 or more characters of keys and tokens that hold a digit, and private-key
-headers.  Each gets features of its length, character transitions, dictionary coverage, path form and
-neighbouring words; a random forest, trained on labelled findings, gives the probability of a secret.
+Candidates are runs of 16 or more characters of keys and tokens that hold a digit, shorter values given to
+a name with a credential word (without the name), and whole private-key blocks.  Each gets features of its
+length, character transitions, dictionary coverage, path form and neighbouring words; a random forest,
+trained on labelled findings, gives the probability of a secret.  Key blocks and known token prefixes are
+secrets whatever the forest says, unless labelled otherwise.
 
 Labelled findings are a table (doc_id, nth, label).  Without one, ``rule_labels`` marks the clear cases:
-quoted values assigned to a credential-like name are secrets; e-mail hosts, dotted names, paths and
-plain numbers are not; everything else stays unlabelled and is only scored.
+values given to a credential-like name, quoted or not, known token prefixes and private keys are secrets;
+e-mail hosts, dotted names, paths, calls, UUIDs and plain numbers are not; everything else stays unlabelled
+and is only scored.
 
-Bounds (parameters): at most ``max_labelled`` labelled findings, those of equal texts once and each kind with
-its share, train the forest; the ``max_words``
-words that stand in the most documents, counted over all of them, make the dictionary.  All documents
-are scanned whole.
+Bounds (parameters): at most ``max_labelled`` labelled findings, those of equal texts once and each kind
+with its share, train the forest; the ``max_words`` words that stand in the most documents, counted over all
+of them, make the dictionary.  All documents are scanned whole.
 
 Edge cases: NULL, empty or blank text has no findings; repeated rows give repeated findings; without
-labelled findings of both kinds the label is the score, and unlabelled ones stay below the threshold; very long texts and runs
-are scanned like others; an empty table gives an empty result; other columns are not read.
+labelled findings of both kinds the label is the score, and unlabelled ones stay below the threshold; very
+long texts and runs are scanned like others; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -28,11 +30,30 @@ from .common import read, staged, text_or_empty
 THRESHOLD = 0.5
 UNKNOWN = 0.25                 # score of an unlabelled candidate when nothing tells the kinds apart
 MASK = "[SECRET]"
-CANDIDATE = (r"(?<![A-Za-z0-9_+/=.\-])(?:(?=[A-Za-z_+/=.\-]*+[0-9])[A-Za-z0-9_+/=.\-]{16,}+"
-             r"|-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----)")
-# ---- fixed values: credential words, assignment before a value ------------------------------
+# ---- fixed values: credential words, assignment before a value, token prefixes --------------
 NAMES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|passphrase|api_?key|apikey|auth|bearer|credential|access_?key|private)"
-ASSIGNED = r"(?i)[a-z_\-]*(?:token|secret|passw(?:or)?d|pwd|passphrase|key|auth|bearer|credential)[a-z_\-]*[\"']?\s*(?:=>|:=|=|:|\s)\s*[\"'`]?$"
+ASSIGNED = r"(?i)[a-z0-9_\-]*(?:token|secret|passw(?:or)?d|pwd|passphrase|key|auth|bearer|credential)[a-z0-9_\-]*[\"']?\s*(?:=>|:=|={1,2}|:|\s)\s*[\"'`]?$"
+CREDENTIAL = (r"(?i:passw(?:or)?d|pwd|passphrase|secret|token|credential|(?:api|access|private|secret|auth|account|encryption)"
+              r"[_\-]?key)[A-Za-z0-9_\-]{0,30}+")
+GIVEN = r"[\"'`]?\s{0,4}+(?:=>|:=|={1,2}+|:)\s{0,4}+"          # between a name and its value
+NAMED = rf"^(?:{CREDENTIAL}{GIVEN}[\"'`]?)"                     # what stands before the value in a hit
+DIRECT = rf"(?:{CREDENTIAL}{GIVEN}|(?i:\bbearer)\s{{1,4}}+)[\"'`]?$"
+PREFIXES = (r"^(?:gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_\-]{16,}|sk-[A-Za-z0-9_\-]{20,}"
+            r"|[sr]k_(?:live|test)_[A-Za-z0-9]{10,}|xox[abeoprs]-[A-Za-z0-9\-]{10,}|(?:AKIA|ASIA)[A-Z0-9]{16}$"
+            r"|AIza[A-Za-z0-9_\-]{35}|npm_[A-Za-z0-9]{30,}|hf_[A-Za-z0-9]{30,}"
+            r"|eyJ[A-Za-z0-9_\-]{8,}\.eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]*)")
+REFERENCE = r"^[./~$%]|://|^[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)+$|^(?:\d{1,4}[\-./:]){1,5}\d{1,4}$"
+UUID = r"^(?i)[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"
+# a private key with its body up to its end line (or the lines of one that is cut off); a value after a credential
+# word; a run of key characters that is not itself such a name
+CANDIDATE = (r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+             r"(?:[^-]*+(?:-(?!----)[^-]*+){0,200}+-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+             r"|(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/=]{40,}+){0,200}+)"
+             rf"|{CREDENTIAL}{GIVEN}(?:(?:\"(?=[^\s\"]{{6,200}}\")(?=[^\s\"]*[^A-Za-z\"])[^\s\"]++|'(?=[^\s']{{6,200}}')(?=[^\s']*[^A-Za-z'])[^\s']++"
+             r"|`(?=[^\s`]{6,200}`)(?=[^\s`]*[^A-Za-z`])[^\s`]++)"
+             r"|(?=[^\s\"'`,;<>(){}\[\]&]*[0-9])(?=[^\s\"'`,;<>(){}\[\]&]*[A-Za-z])[^\s\"'`,;<>(){}\[\]&]{6,}+)"
+             r"|(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]*+[0-9])"
+             rf"(?![A-Za-z0-9_\-]*{CREDENTIAL}{GIVEN}[^\s=])[A-Za-z0-9_+/.\-]{{16,}}+={{0,2}}+")
 HEADER = r"^-----BEGIN"
 FEATURES = ["length", "transitions", "digits", "hex", "distinct", "vowels", "covered", "dots", "slashes", "at_before",
             "assigned", "named", "quoted_before", "quoted_after"]
@@ -48,8 +69,12 @@ def findings(docs: DataFrame) -> DataFrame:
     x = t.select("doc_id", "h", "row", F.posexplode(F.arrays_zip(
         F.slice("gap", F.lit(1), F.size("hit")).alias("b"), F.slice("gap", F.lit(2), F.size("hit")).alias("a"),
         F.col("hit").alias("c"))).alias("nth", "x"))
-    x = staged(x.select("doc_id", "h", "row", "nth", F.col("x.c").alias("candidate"),
-                        F.char_length("x.b").alias("lead"), F.right(F.col("x.b"), F.lit(80)).alias("before"),
+    # the name and the quote before a value are no part of the candidate
+    x = x.withColumn("name", F.regexp_extract(F.col("x.c"), NAMED, 0))
+    x = staged(x.select("doc_id", "h", "row", "nth",
+                        F.substr(F.col("x.c"), F.char_length("name") + 1).alias("candidate"),
+                        (F.char_length("x.b") + F.char_length("name")).alias("lead"),
+                        F.right(F.concat(F.right(F.col("x.b"), F.lit(80)), F.col("name")), F.lit(80)).alias("before"),
                         F.left(F.col("x.a"), F.lit(40)).alias("after")), "sec-found")
     w = Window.partitionBy("row").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("lead") + F.char_length("candidate")).over(w)
@@ -93,9 +118,13 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
 
 def rule_labels(x: DataFrame) -> Column:
     """1 for clear secrets, 0 for clear other things, NULL when unclear."""
+    c = F.col("candidate")
     quoted = (F.col("quoted_before") == 1) & (F.col("quoted_after") == 1)
-    secret = F.col("candidate").rlike(HEADER) | ((F.col("assigned") == 1) & quoted & (F.col("digits") < 1))
-    other = ((F.col("digits") == 1) | F.col("candidate").rlike(r"^[0-9.\-]+$") | (F.col("at_before") == 1)
+    plain = (F.col("before").rlike(DIRECT) & (F.char_length(c) >= 8) & c.rlike("[0-9]") & c.rlike("[A-Za-z]")
+             & ~c.rlike(REFERENCE) & ~F.col("after").rlike(r"^\s?[(\[]"))
+    secret = (c.rlike(HEADER) | c.rlike(PREFIXES) | plain
+              | ((F.col("assigned") == 1) & quoted & (F.col("digits") < 1) & ~c.rlike(REFERENCE)))
+    other = ((F.col("digits") == 1) | c.rlike(REFERENCE) | F.col("after").rlike(r"^\s?[(\[]") | c.rlike(UUID) | F.col("candidate").rlike(r"^[0-9.\-]+$") | (F.col("at_before") == 1)
              | F.col("candidate").rlike(r"^[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+$"))
     return F.when(secret, F.lit(1)).when(other, F.lit(0)).cast("double")
 
@@ -139,6 +168,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, max_labelled: int =
         forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=trees, maxDepth=depth,
                                         seed=1, subsamplingRate=0.7).fit(vec.transform(train.coalesce(2)))
         scored = forest.transform(vec.transform(x)).withColumn("score", vector_to_array("probability")[1])
+    certain = F.col("candidate").rlike(HEADER) | F.col("candidate").rlike(PREFIXES)   # unless labelled otherwise
+    scored = scored.withColumn("score", F.when(certain & (F.coalesce("label", F.lit(1.0)) == 1), F.lit(1.0)).otherwise(F.col("score")))
     return scored.select("doc_id", "h", "nth", "start", "length", "candidate", "score",
                          (F.col("score") >= THRESHOLD).alias("is_secret"))
 

@@ -324,3 +324,35 @@ def test_secrets_one_kind(spark):
     assert kinds == {0.0, 1.0} and len(got) == len({t.h for t in got}) <= 40
     assert 2 <= sum(t.label for t in got) <= 10
     assert op1_secrets.training_rows(x, 5000)[0].count() == 150
+
+
+def test_secrets_kinds(spark):
+    r = random.Random(7)
+    key = lambda n: "".join(r.choice("ABCDEFabcdefghij0123456789") for _ in range(n - 1)) + "7"
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + "\n".join(key(64) for _ in range(5)) + "\n-----END RSA PRIVATE KEY-----"
+    cut = "-----BEGIN PRIVATE KEY-----\n" + "\n".join(key(64) for _ in range(3))
+    want = [('password = "{}"', "hunter2!x"), ("AWS_SECRET_ACCESS_KEY={}\nnext", key(40) + "/+x"), ("token: {} end", "ghp_" + key(36)),
+            ("Authorization: Bearer {}", key(32)), ("DB_PASSWORD={}\nUSER=me", "s3cr3t-pw"), ("before {} after", pem), ("{}\n\nplain words", cut),
+            ("{{'api_key': '{}'}}", key(24)), ("use {} here", "AKIA" + "ABCDEFGH" + "23456789"[:8]), ("db2_password_2={} x", "abcd1234"),
+            ("url ?token={}&x=1", key(20)), ("a = {}", "sk_live_" + key(24))]
+    want += [(f"run{k} --api_token={{}} now", key(16 + k)) for k in range(20)]
+    clean = ["0f8fad5b-d9cb-469f-a165-70867728950e is an id", "the password: required by 4096 hosts", "token = get_token2(x)",
+             "secret: /var/run/secrets/db1", "password = config.password1", "see example-host1.example.com and 4929123412341234",
+             "password1 is not given, tokens are counted", "mail me at name1234567890@long-host-name1.example.org"]
+    rows = [(i, t.format(v), "en", "s", 0, "x") for i, (t, v) in enumerate(want)]
+    clean += [f"host{k}-{key(5)}.example{k}.com and 4929{k:012d} in /usr/lib{k}/{key(6)}/file{k}.txt" for k in range(20)]
+    clean += [f"token: /var/run{k}/{key(6)} and password = settings.s{key(8)} or secret = load_{key(6)}(x)" for k in range(20)]
+    rows += [(100 + i, t, "en", "s", 0, "x") for i, t in enumerate(clean)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    text = {i: t for i, t, *_ in rows}
+    found = op1_secrets.scan(docs).collect()
+    for f in found:
+        assert text[f.doc_id][f.start:f.start + f.length] == f.candidate
+    got = {(f.doc_id, f.candidate) for f in found if f.is_secret}
+    assert got == {(i, v) for i, (_, v) in enumerate(want)}, sorted((f.doc_id, f.candidate, f.score) for f in found)
+    masked = {m.doc_id: m.text for m in op1_secrets.mask_secrets(docs).collect()}
+    assert all(masked[i] == t.format(op1_secrets.MASK) for i, (t, _) in enumerate(want))
+    assert all(masked[i] == t for i, t in text.items() if i >= 100)
+    long = [(1, "a" * 300_000 + " password = '" + "b1" * 50_000, "en", "s", 0, "x"), (2, "-----BEGIN PRIVATE KEY-----" * 3000, "en", "s", 0, "x"),
+            (3, "x1_" * 100_000, "en", "s", 0, "x"), (4, "-----BEGIN PRIVATE KEY-----\n" + (key(64) + "\n") * 2000, "en", "s", 0, "x")]
+    assert op1_secrets.scan(spark.createDataFrame(long, SCHEMA)).count() >= 3003
