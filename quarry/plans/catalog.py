@@ -299,17 +299,11 @@ def x11_x15_gmp(spark, sf_dir):
     return round_doubles(C.clean_df(XT.extract_gmp(_section(spark, sf_dir, "gmp"))))
 
 
-SUBSCRIPTION_KEYS = ["allocation_anchor_investors", "allocation_qib_ex_anchor", "allocation_retail_investors",
-                     "allocation_total_ipo_subscription", "subscription_anchor_investors",
-                     "subscription_bnii_bids_above_10l", "subscription_employees",
-                     "subscription_non_institutional_buyers", "subscription_qib_ex_anchor",
-                     "subscription_retail_investors", "subscription_snii_bids_below_10l"]
-
-
 @query("x17_x18_subscription")
 def x17_x18_subscription(spark, sf_dir):
+    """A column for every category that is found on a page."""
     raw = XT.extract_subscription(_section(spark, sf_dir, "subscription"))
-    return round_doubles(C.clean_df(map_to_columns(raw, "fields", SUBSCRIPTION_KEYS)))
+    return round_doubles(C.clean_df(map_to_columns(raw, "fields")))
 
 
 @query("s7_discovered_keys")
@@ -327,12 +321,12 @@ def c9_complete(spark, sf_dir):
 
 @query("s14_silver")
 def s14_silver(spark, sf_dir):
-    return round_doubles(pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS))
+    return round_doubles(pages_to_silver(listing_pages(spark, sf_dir)))
 
 
 @query("g1_listing_gold")
 def g1_listing_gold(spark, sf_dir):
-    silver = pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS)
+    silver = pages_to_silver(listing_pages(spark, sf_dir))
     res = create_gold(silver, Registry().strategy_map(), FEATURE_GROUPS["custom"], keep=["company"])
     return round_doubles(res.features)
 
@@ -648,7 +642,7 @@ def s4_s6_csv_roundtrip(spark, sf_dir):
 def g2_groups(spark, sf_dir):
     """Every feature group from one shared fit, long form (group, company, feature, value or label)."""
     from .gold import create_gold_groups
-    silver = pages_to_silver(listing_pages(spark, sf_dir), SUBSCRIPTION_KEYS)
+    silver = pages_to_silver(listing_pages(spark, sf_dir))
     frames, _ = create_gold_groups(silver, Registry().strategy_map(), FEATURE_GROUPS, keep=["company"])
     parts = []
     for g, df in frames.items():
