@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import op1_secrets, op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity, op7_rans, op8_lattice, op9_html, op10_lz, op13_trie
+from . import (op1_secrets, op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity, op7_rans,
+               op8_lattice, op9_html, op10_lz, op11_pii, op12_repair, op13_trie)
 
 QUERIES = {
     "op1_secrets": op1_secrets.op1_secrets,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_lattice": op8_lattice.op8_lattice,
     "op9_html": op9_html.op9_html,
     "op10_lz": op10_lz.op10_lz,
+    "op11_pii": op11_pii.op11_pii,
+    "op12_repair": op12_repair.op12_repair,
     "op13_trie": op13_trie.op13_trie,
 }
 
