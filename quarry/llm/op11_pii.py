@@ -6,7 +6,8 @@ Regex, gazetteer and context labelers vote +1, 0 or -1 on every candidate, base
 expectation-maximisation over the counts of vote patterns estimates how often each labeler votes so for personal
 and other spans, and so a posterior per pattern; a logistic regression on features of shape and
 context is trained on the posteriors.  A further candidate becomes a span when its score is at least ``THRESHOLD``,
-its form is not ruled out (a card number must pass its check) and it overlaps no base span.
+its form is not ruled out (a card number must pass its check), its form or the words before it speak for it, and it
+overlaps no base span.
 
 Everything about one document is worked out in its row by array functions, so no document is split, joined or
 shuffled; only counts of vote patterns and of feature rows (both bounded by the number of patterns, not of rows)
@@ -29,7 +30,7 @@ from .common import read, staged, text_or_empty
 
 KINDS = ["email", "ip", "card", "phone"]
 THRESHOLD = 0.5
-STEPS = 12                     # of expectation-maximisation at most
+STEPS = 8                      # of expectation-maximisation at most
 CELL = 4096                    # code points; overlaps are looked up by cell
 RUN = 256                      # hits whose places are summed at once
 # ---- fixed values: the base patterns and checks, written so that no run of characters is read twice ----------
@@ -51,7 +52,7 @@ CARD_ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35)"
 CALLING_CODES = r"^(?:\+|00)\s?(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 BEFORE = {"email": r"e-?mail|mail|contact|correo|courriel|reach|write", "ip": r"\bip\b|address|host|server|client|from",
           "card": r"card|visa|master|amex|credit|payment|karte|carte|tarjeta", "phone": r"phone|tel|call|mobile|cell|fax|whatsapp|dial|handy|móvil"}
-OTHER = r"(?:version|release|build|section|isbn|issn|doi|order|invoice|ticket|serial|ref|sku|page|lines?|\bid|\bno|#|§|\bv)\W{0,3}$"
+OTHER = r"(?:version|release|build|section|isbn|issn|doi|order|invoice|ticket|serial|ref|sku|pages?|lines?|\bid|\bno|#|§|\bv)\W{0,3}$"
 DATE = (r"^\(?(?:(?:19|20)[0-9]{2}[-/. ][01]?[0-9][-/. ][0-3]?[0-9]|[0-3]?[0-9][-/. ][0-3]?[0-9][-/. ](?:19|20)[0-9]{2}"
         r"|(?:19|20)[0-9]{2}[01][0-9][0-3][0-9])|^[0-2]?[0-9]:[0-5][0-9](?::[0-5][0-9])?$|^(?:19|20)[0-9]{2}\s?[-/]\s?(?:19|20)[0-9]{2}$")
 VOTES = ["form", "listed", "context", "other", "edges", "date"]
@@ -125,7 +126,7 @@ def candidates(docs: DataFrame, keep: list[str]) -> DataFrame:
     """row (struct of ``keep``), base and wide: arrays of placed spans with their kind, text and surroundings."""
     t = F.col("text")
     d = docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), text_or_empty().alias("text"))
-    card = lambda s: (F.char_length(_digits(s["c"])) <= 19) & luhn(_digits(s["c"]))
+    card = lambda s: F.when(F.char_length(_digits(s["c"])) <= 19, luhn(_digits(s["c"]))).otherwise(False)
     phone = lambda s: F.char_length(_digits(s["c"])).between(8, 15)
     base = F.concat(
         _tagged(_hits(t, EMAIL, F.contains(t, F.lit("@")), lambda s: F.lit(True)), "email", True),
@@ -223,7 +224,7 @@ def posterior(patterns: DataFrame, steps: int = STEPS) -> Column:
             lo = lo + F.element_at(F.array(*[F.lit(r) for r in ratio]), F.col(v) + 2)
             now += ratio
         post = _sigmoid(lo)
-        if last is not None and max(abs(a - b) for a, b in zip(now, last)) < 1e-3:
+        if last is not None and max(abs(a - b) for a, b in zip(now, last)) < 1e-2:
             break
         last = now
     return post
@@ -245,7 +246,7 @@ def span_weights(spans: DataFrame) -> tuple[list[float], float] | None:
                                                  F.struct(F.lit(0.0).alias("label"), (F.col("n") * (1 - F.col("post"))).alias("weight")))).alias("y"))
     vec = VectorAssembler(inputCols=FEATURES, outputCol="features")
     model = LogisticRegression(weightCol="weight", regParam=0.001, maxIter=50).fit(
-        vec.transform(both.select(*FEATURES, "y.label", "y.weight").where("weight > 0")))
+        vec.transform(both.select(*FEATURES, "y.label", "y.weight").where("weight > 0").coalesce(2)))
     return [float(x) for x in model.coefficients], float(model.intercept)
 
 
@@ -259,7 +260,7 @@ def find_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
         for w, f in zip(model[0], FEATURES):
             lo = lo + F.lit(w) * s[f]
         return F.struct(*[s[x].alias(x) for x in ("kind", "start", "end", "base")],
-                        F.when(s["form"] >= 0, _sigmoid(lo)).otherwise(0.0).alias("score"))
+                        F.when((s["form"] >= 0) & (s["form"] + s["context"] > 0), _sigmoid(lo)).otherwise(0.0).alias("score"))
 
     spans = F.col("spans") if model else F.filter("spans", lambda s: F.lit(False))
     shaped = F.transform(spans, scored) if model else F.array().cast("array<struct<kind:int,start:int,end:int,base:boolean,score:double>>")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (op1_secrets, op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity, op7_rans,
+from . import (conversation_sql, op1_secrets, op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity, op7_rans,
                op8_lattice, op9_html, op10_lz, op11_pii, op12_repair, op13_trie)
 
 QUERIES = {
@@ -23,4 +23,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op5_mixing": op5_mixing.SQL,
+    "op12_repair": conversation_sql.REPAIR,
+    "op13_trie": conversation_sql.TRIE,
 }
