@@ -3,8 +3,8 @@
 Base spans (e-mail, IP, card, phone) follow four fixed patterns with checks and are always kept.  Wider patterns
 give further candidates: spelled-out e-mails, IPv6 and bracketed IPs, numbers in national phone or card layouts.
 Regex, gazetteer and context labelers vote +1, 0 or -1 on every candidate, base ones included;
-expectation-maximisation over the counts of vote patterns estimates how often each labeler votes so for personal
-and other spans, and so a posterior per pattern; a logistic regression on features of shape and
+expectation-maximisation over the counts of vote patterns, with the base spans as certain ones, estimates how often
+each labeler votes so for personal and other spans, and so a posterior per pattern; a logistic regression on features of shape and
 context is trained on the posteriors.  A further candidate becomes a span when its score is at least ``THRESHOLD``,
 its form is not ruled out (a card number must pass its check), its form or the words before it speak for it, and it
 overlaps no base span.
@@ -202,12 +202,14 @@ def _sigmoid(x: Column) -> Column:
 
 
 def posterior(patterns: DataFrame, steps: int = STEPS) -> Column:
-    """Expectation-maximisation over ``patterns`` (kind, votes, n): the probability that a span is personal data.
+    """Expectation-maximisation over ``patterns`` (kind, base, votes, n): the probability that a span is personal data.
 
-    Start: the labelers' majority.  Pseudo-counts keep a labeler from being turned round by few votes.
+    Base spans are certain, so they hold the two classes in place.  Start for the others: the labelers' majority.
+    Pseudo-counts keep a labeler from being turned round by few votes.
     """
+    certain = lambda p: F.when(F.col("base"), 1.0).otherwise(p)
     more = {(1, 1): 8.0, (1, 0): 4.0, (1, -1): 1.0, (0, 1): 1.0, (0, 0): 4.0, (0, -1): 8.0}
-    post, last = _sigmoid(1.5 * sum((F.col(v) for v in VOTES), F.lit(0))), None
+    post, last = certain(_sigmoid(1.5 * sum((F.col(v) for v in VOTES), F.lit(0)))), None
     for _ in range(steps):
         w = {1: F.col("n") * post, 0: F.col("n") * (1 - post)}
         sums = patterns.agg(
@@ -223,7 +225,7 @@ def posterior(patterns: DataFrame, steps: int = STEPS) -> Column:
                      for x in (-1, 0, 1)]
             lo = lo + F.element_at(F.array(*[F.lit(r) for r in ratio]), F.col(v) + 2)
             now += ratio
-        post = _sigmoid(lo)
+        post = certain(_sigmoid(lo))
         if last is not None and max(abs(a - b) for a, b in zip(now, last)) < 1e-2:
             break
         last = now
@@ -235,10 +237,10 @@ def span_weights(spans: DataFrame) -> tuple[list[float], float] | None:
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    names = list(dict.fromkeys(["kind", *VOTES, *FEATURES]))
+    names = list(dict.fromkeys(["kind", "base", *VOTES, *FEATURES]))
     rows = staged(spans.select(F.explode("spans").alias("s")).groupBy(*[F.col(f"s.{x}").alias(x) for x in names])
                   .agg(F.count(F.lit(1)).alias("n")), "pii-rows")
-    patterns = staged(rows.groupBy("kind", *VOTES).agg(F.sum("n").alias("n")).coalesce(1), "pii-patterns")
+    patterns = staged(rows.groupBy("kind", "base", *VOTES).agg(F.sum("n").alias("n")).coalesce(1), "pii-patterns")
     if not patterns.take(1):
         return None
     p = rows.withColumn("post", posterior(patterns))

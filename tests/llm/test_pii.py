@@ -66,7 +66,7 @@ def test_redact(spark, docs):
 
 def test_empty(spark, docs):
     assert op11_pii.find_spans(docs.limit(0), ["doc_id"]).count() == 0
-    none = op11_pii.find_spans(docs.where("doc_id = 6"), ["doc_id"]).collect()
+    none = op11_pii.find_spans(docs.where("text like 'xxx%'"), ["doc_id"]).collect()
     assert [len(r.spans) for r in none] == [0]
 
 
@@ -78,7 +78,7 @@ def test_posterior(spark):
         y = r.random() < 0.5
         votes = tuple((1 if y else -1) if r.random() < p else (-1 if y else 1) for p in (0.9, 0.85, 0.8, 0.5, 0.8, 0.85))
         rows[votes] = rows.get(votes, 0) + 1
-    p = spark.createDataFrame([(3, *v, n) for v, n in rows.items()], "kind int, " + ", ".join(f"{v} int" for v in op11_pii.VOTES) + ", n long")
+    p = spark.createDataFrame([(3, False, *v, n) for v, n in rows.items()], "kind int, base boolean, " + ", ".join(f"{v} int" for v in op11_pii.VOTES) + ", n long")
     got = p.withColumn("post", op11_pii.posterior(p)).collect()
     by = {tuple(x[v] for v in op11_pii.VOTES): x.post for x in got}
     flips = [abs(by[v] - by[w]) for v in by for w in [(*v[:3], -v[3], *v[4:])] if w in by]
