@@ -8,6 +8,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 import numpy as np
@@ -163,6 +164,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+LONG_WORD = 512                # bytes; from 1024 on, regular words can share a polynomial hash modulo 2^64
 HASH_BLOCK = 1 << 16           # bytes of a chunk whose words are hashed in one step
 
 
@@ -198,7 +200,10 @@ def hash_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
         edge[-1] = True
         s = np.flatnonzero(word & (np.append(True, ~word[:-1]) | edge[:-1]))
         e = np.flatnonzero(word & (np.append(~word[1:], True) | edge[1:])) + 1
-        hashes.append(range_hash(prefix_hash(part), s, e))
+        h = range_hash(prefix_hash(part), s, e)
+        for i in np.flatnonzero(e - s >= LONG_WORD):
+            h[i] = int.from_bytes(hashlib.blake2b(part[s[i]:e[i]].tobytes(), digest_size=8).digest(), "little")
+        hashes.append(h)
         starts.append(s + lo)
         lo = hi
     return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), off)

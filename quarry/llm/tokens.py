@@ -2,8 +2,9 @@
 
 A text is cut at single blanks and line feeds with a plain character on both sides.  Both public BPE
 files start a new pre-token there, so a chunk's ids do not depend on its neighbours.  Chunks are found
-and hashed (64 bit) on the Arrow bytes, known ones are looked up in a bounded per-worker table, and
-new ones go through the library many at a time, joined by a separator whose id marks the borders.
+and hashed (64 bit) on the Arrow bytes, known ones are looked up in a bounded per-worker table that keeps
+their bytes, and new ones go through the library many at a time, joined by a separator whose id marks the
+borders.  Bytes are compared on every hit: where two chunks share a hash, the rows are encoded whole.
 ASCII punctuation (not the apostrophe) next to an ASCII letter or digit is a border, too.  Any other
 white space stays inside a chunk, which is then encoded whole.
 """
@@ -18,7 +19,9 @@ import pyarrow as pa
 from .common import mix, prefix_hash, range_hash, text_chunks
 
 MAX_CHUNKS = 700_000            # cached chunks per Python worker (then the table starts again)
+LOOP_WORDS = 64                 # words of a chunk compared for all chunks at once
 _ENCODERS: dict[tuple, "ChunkEncoder"] = {}
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)       # the first k bytes of a word
 _LEAD = np.zeros(256, dtype=bool)          # lead bytes of some non-ASCII white space
 _LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _BLANK = np.zeros(256, dtype=bool)
@@ -29,6 +32,12 @@ _KIND[[c for c in range(128) if chr(c).isalnum()]] = 2
 _KIND[[10, 32]] = 1
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes (little endian, zeros after the end) from every position on."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
 def chunk_spans(data: np.ndarray, off: np.ndarray, keep_space: bool):
     """Chunk starts, ends and the first chunk of each row."""
     n = len(data)
@@ -76,8 +85,39 @@ class ChunkEncoder:
         self.slot = np.full(1 << self.bits, -1, dtype=np.int32)
         self.pool = np.zeros(1 << 20, dtype=np.uint32)
         self.start = np.zeros(MAX_CHUNKS + 1, dtype=np.int64)
+        self.size = np.zeros(MAX_CHUNKS, dtype=np.int64)               # bytes of a chunk
+        self.word = np.zeros(1 << 20, dtype=np.uint64)                 # the bytes, eight to a word
+        self.word_at = np.zeros(MAX_CHUNKS + 1, dtype=np.int64)
         self.n = 0
 
+    def _same(self, data: np.ndarray, s: np.ndarray, e: np.ndarray, entry: np.ndarray) -> bool:
+        """Whether every chunk has the bytes of its entry."""
+        if (self.size[entry] != e - s).any():
+            return False
+        words, left, at, k = _words(data), e - s, self.word_at[entry], 0
+        while len(left):
+            if k == LOOP_WORDS:                     # few are that long: compared one by one
+                return all((words[a:a + n:8] & _MASK[np.minimum(n - np.arange(0, n, 8), 8)] == self.word[w:w + (n + 7) // 8]).all()
+                           for a, n, w in zip(s, left, at + k))
+            if ((words[s] & _MASK[np.minimum(left, 8)]) != self.word[at + k]).any():
+                return False
+            go = left > 8
+            s, left, at, k = s[go] + 8, left[go] - 8, at[go], k + 1
+        return True
+
+    def _keep(self, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> None:
+        """Store the bytes of new chunks as entries n, n + 1, ..."""
+        n, size = self.n, e - s
+        count = (size + 7) // 8
+        end = self.word_at[n] + np.cumsum(count)
+        while end[-1] > len(self.word):
+            self.word = np.concatenate([self.word, np.zeros(len(self.word), dtype=np.uint64)])
+        part = np.arange(end[-1] - self.word_at[n]) - np.repeat(end - count - self.word_at[n], count)
+        left = np.minimum(np.repeat(size, count) - 8 * part, 8)
+        self.word[self.word_at[n]:end[-1]] = _words(data)[np.repeat(s, count) + 8 * part] & _MASK[left]
+        self.word_at[n + 1:n + 1 + len(s)] = end
+        self.size[n:n + len(s)] = size
+
     def whole(self, text: str) -> list[int]:
         return self.tok.encode(text, add_special_tokens=False).ids
 
@@ -135,6 +175,7 @@ class ChunkEncoder:
             self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), dtype=np.uint32)])
         self.pool[lo:lo + len(ids)] = ids
         self.start[self.n + 1:self.n + 1 + k] = lo + np.cumsum(size)
+        self._keep(data, s[order], e[order])
         self._insert(h[order], np.arange(self.n, self.n + k, dtype=np.int32))
         self.n += k
 
@@ -156,6 +197,8 @@ class ChunkEncoder:
                 return self._slow(data, off)
             self._learn(u, data, s[miss[k]], e[miss[k]])
             ent[miss] = self._find(h[miss])
+        if not self._same(data, s, e, ent):
+            return self._slow(data, off)
         size = self.start[ent + 1] - self.start[ent]
         end = np.cumsum(size)
         flat = np.arange(end[-1]) + np.repeat(self.start[ent] - end + size, size)

@@ -356,3 +356,33 @@ def test_secrets_kinds(spark):
     long = [(1, "a" * 300_000 + " password = '" + "b1" * 50_000, "en", "s", 0, "x"), (2, "-----BEGIN PRIVATE KEY-----" * 3000, "en", "s", 0, "x"),
             (3, "x1_" * 100_000, "en", "s", 0, "x"), (4, "-----BEGIN PRIVATE KEY-----\n" + (key(64) + "\n") * 2000, "en", "s", 0, "x")]
     assert op1_secrets.scan(spark.createDataFrame(long, SCHEMA)).count() >= 3003
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("name,keep", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_tokens_of_equal_hashes(name, keep):
+    """Chunks that share the polynomial hash (Thue-Morse words and their complements) keep their own ids."""
+    import public_tokenizers
+    from quarry.llm.common import mix, prefix_hash, range_hash
+    from quarry.llm.tokens import ChunkEncoder, encode_column
+    one = thue_morse(2048)
+    two = one.translate(str.maketrans("ab", "ba"))
+    both = np.frombuffer((one + two).encode(), dtype=np.uint8)
+    c = prefix_hash(both)
+    assert len(set(mix(range_hash(c, np.array([0, 2048]), np.array([2048, 4096]))).tolist())) == 1
+    enc = ChunkEncoder(public_tokenizers.path(name), keep)
+    texts = [one, two, f"x {one} y {two} z", "x", two * 40, "plain words here", one * 40, "a" * 9000 + " b", "", "é" * 700, "plain words"]
+    for _ in range(2):
+        got = [ids[at[k]:at[k + 1]].tolist() for _, ids, at in encode_column(enc, pa.array(texts)) for k in range(len(at) - 1)]
+        assert got == [enc.whole(t) for t in texts]
+
+
+def test_long_words_differ():
+    from quarry.llm.common import hash_words
+    one = thue_morse(2048)
+    data = np.frombuffer(f"{one} {one.translate(str.maketrans('ab', 'ba'))} {one}".encode(), dtype=np.uint8)
+    h, _ = hash_words(data, np.array([0, len(data)]))
+    assert h[0] == h[2] and h[0] != h[1]
