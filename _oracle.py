@@ -287,6 +287,16 @@ ORACLE_SQL["x17_x18_subscription"] = _rounded(SUB_EXPECTED, _SUB_COLS)
 ORACLE_SQL["s7_discovered_keys"] = ("SELECT field, count(*) AS pages FROM (SELECT unnest([" +
                                     ", ".join(f"'{k}'" for k in _SUB_COLS) +
                                     f"]) AS field FROM {_CU} WHERE NOT ({_P})) GROUP BY field")
+ORACLE_SQL["x1_references"] = """SELECT p_partkey, p_name || chr((p_partkey % 90 + 33)::INT) || chr((p_partkey % 90 + 8385)::INT)
+  || '’&lt; &bogus;₹ ½' AS text FROM part"""
+ORACLE_SQL["x3_labels"] = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN round(abs(c_acctbal), 2) END AS assets, c_nationkey::DOUBLE AS ebitda,
+  7.5::DOUBLE AS ebitda_margin, NULL::DOUBLE AS pat, round(abs(c_acctbal), 2) AS revenue, -c_nationkey::DOUBLE AS eps, NULL::DOUBLE AS ev_ebitda FROM customer"""
+ORACLE_SQL["x25_failures"] = r"""
+WITH h AS (SELECT page_id, substr(html, 1, CAST(floor(length(html) * (page_id % 5) / 4) AS BIGINT)) AS html FROM pages),
+e AS (SELECT page_id, CASE WHEN html IS NULL OR NOT regexp_matches(html, '\S') THEN 'no content'
+                           WHEN regexp_matches(html, '(?s)<[A-Za-z/!?][^>]*\z') THEN 'cut inside a tag'
+                           WHEN contains(lower(html), '<html') AND NOT contains(lower(html), '</html') THEN 'no end of page' END AS error FROM h)
+SELECT page_id, error, (SELECT count(*) FROM e) AS n_pages, (SELECT count(error) FROM e) AS n_failed FROM e WHERE error IS NOT NULL"""
 ORACLE_SQL["c9_complete"] = f"SELECT company, NOT ({_P}) AS complete FROM {_CU}"
 
 SILVER_EXPECTED = f"""SELECT CASE WHEN cu.c % 2 = 0 THEN 'mainboard' ELSE 'sme' END AS segment, cu.company,

@@ -6,7 +6,10 @@ is on in Spark 4, so parsing uses ``try_cast`` / ``try_to_date``).
 
 from __future__ import annotations
 
+import calendar
+import json
 from collections.abc import Callable
+from fnmatch import fnmatchcase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +19,8 @@ ColumnFn = Callable[[Column], Column]
 # ---- fixed values: cell contents that mean "missing" (exact, case-sensitive, after trim) ----
 PLACEHOLDER_TOKENS = ["[●]", "[•]", "—", "-", "NA", "N/A", "null", "None", ""]
 
-# ---- fixed values: date layouts tried in order (day-first), then lenient extras --------------
-DATE_FORMATS = ["d MMMM yyyy", "d MMM yyyy", "yyyy-MM-dd", "d/M/yyyy", "d-M-yyyy"]
-EXTRA_DATE_FORMATS = ["MMMM d, yyyy", "MMM d, yyyy", "MMMM d yyyy", "MMM d yyyy", "d MMM yy", "d.M.yyyy",
-                      "yyyy/M/d", "d MMMM, yyyy", "d MMM, yyyy"]
+# ---- month names: full, first three letters, and the four-letter form of September ----------
+MONTHS = {**{calendar.month_name[i].lower(): i for i in range(1, 13)}, **{calendar.month_abbr[i].lower(): i for i in range(1, 13)}, "sept": 9}
 
 _WS = r"(?U)\s"
 
@@ -93,23 +94,37 @@ def parse_money_crore(x) -> Column:
     return F.when(unit.startswith("la"), val / F.lit(100.0)).otherwise(val)
 
 
-_W = r"[^\d\s,./-]+"  # a month-name token
-# Shape of each layout: a superset of the strings it can parse.  A layout is only tried on
-# matching strings, so failed parses (exceptions inside the parser) are skipped cheaply.
-DATE_SHAPES: dict[str, str] = {
-    "d MMMM yyyy": rf"^\d+ {_W} \d+$", "d MMM yyyy": rf"^\d+ {_W} \d+$", "yyyy-MM-dd": r"^\d+-\d+-\d+$",
-    "d/M/yyyy": r"^\d+/\d+/\d+$", "d-M-yyyy": r"^\d+-\d+-\d+$", "MMMM d, yyyy": rf"^{_W} \d+, \d+$",
-    "MMM d, yyyy": rf"^{_W} \d+, \d+$", "MMMM d yyyy": rf"^{_W} \d+ \d+$", "MMM d yyyy": rf"^{_W} \d+ \d+$",
-    "d MMM yy": rf"^\d+ {_W} \d+$", "d.M.yyyy": r"^\d+\.\d+\.\d+$", "yyyy/M/d": r"^\d+/\d+/\d+$",
-    "d MMMM, yyyy": rf"^\d+ {_W}, \d+$", "d MMM, yyyy": rf"^\d+ {_W}, \d+$",
-}
+# shapes of a date (digit runs '9', letter runs 'a') by the order of its three groups; the second list is optional
+DAY_FIRST, YEAR_OR_DAY_FIRST = ["9 a 9"], ["9-9-9", "9/9/9"]
+EXTRA_DAY_FIRST, MONTH_FIRST = ["9 a, 9", "9.9.9"], ["a 9 9", "a 9, 9"]
 
 
 def parse_date(x, extra: bool = True) -> Column:
-    """Ordinal-tolerant, ordered formats (first that parses wins) -> DATE."""
+    """Ordinal-tolerant date in one of several layouts -> DATE; anything else, or no such day -> NULL.
+
+    The text is cut once into three groups; its shape says which is the day, the month and the year, months are looked
+    up by name, and one cast checks the result.  Day first: '31 March 2015', '31 Mar 2015', '31/03/2015',
+    '31-03-2015'; year first: '2015-03-31'; with ``extra`` also 'March 31, 2015', '31 March, 2015', '31.3.2015',
+    '2015/3/31' and a two-digit year after a three-letter month ('31 Mar 15').
+    """
     s = ustrip(strip_ordinal(missing_to_null(x)))
-    fmts = DATE_FORMATS + (EXTRA_DATE_FORMATS if extra else [])
-    return F.coalesce(*[F.when(s.rlike(DATE_SHAPES[f]), F.try_to_date(s, f)) for f in fmts])
+    shape = F.regexp_replace(F.regexp_replace(s, "[0-9]+", "9"), r"[^9\s,./-]+", "a")
+    g = F.split(s, "[ ,./-]+")
+    first, second, third = (F.try_element_at(g, F.lit(i)) for i in (1, 2, 3))
+    months = F.from_json(F.lit(json.dumps(MONTHS)), "map<string,string>")
+    month = lambda m: F.when(m.rlike("[^0-9]"), F.try_element_at(months, F.lower(m))).otherwise(m)
+    four = F.length(first) == 4
+    year = third
+    if extra:
+        year = F.when((shape == "9 a 9") & (F.length(third) == 2) & (F.length(second) == 3), F.concat(F.lit("20"), third)).otherwise(third)
+    year_first = (shape == "9-9-9") & four
+    if extra:
+        year_first = shape.isin(YEAR_OR_DAY_FIRST) & four
+    day_first = shape.isin(DAY_FIRST + YEAR_OR_DAY_FIRST + (EXTRA_DAY_FIRST if extra else []))
+    ymd = F.when(year_first, F.concat_ws("-", first, second, third)).when(day_first, F.concat_ws("-", year, month(second), first))
+    if extra:
+        ymd = ymd.when(shape.isin(MONTH_FIRST), F.concat_ws("-", third, month(first), second))
+    return F.regexp_extract(ymd, "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", 0).try_cast("date")
 
 
 def company_slug(x) -> Column:
@@ -156,24 +171,14 @@ CLEANER_BY_NAME: dict[str, str] = {
     "pre_issue_promoter_holding": "percent", "post_issue_promoter_holding": "percent",
     "object_of_issue": "listtext",
 }
-# ---- fixed values: name rules applied when no exact entry exists ---------------------------
-POLYMORPHIC_MONEY = {"market_capitalisation", "issue_price", "ipo_size"}
+# ---- fixed values: what a column's name says when it has no entry above ---------------------
+NAME_RULES: list[tuple[str, str]] = [("allocation_*", "percent"), ("subscription_*", "number"), ("*_date", "date")]
 
 
 def cleaner_kind(name: str, overrides: dict[str, str] | None = None) -> str:
-    """P10: exact map (with overrides), then prefix/suffix rules, else text."""
-    table = {**CLEANER_BY_NAME, **(overrides or {})}
-    if name in table:
-        return table[name]
-    if name.startswith("allocation_"):
-        return "percent"
-    if name.startswith("subscription_"):
-        return "number"
-    if name.endswith("_date"):
-        return "date"
-    if name in POLYMORPHIC_MONEY:
-        return "money"
-    return "text"
+    """The override or the entry of a column, else the first rule its name fits, else text."""
+    known = {**CLEANER_BY_NAME, **(overrides or {})}
+    return known.get(name) or next((kind for rule, kind in NAME_RULES if fnmatchcase(name, rule)), "text")
 
 
 def clean_df(df: DataFrame, overrides: dict[str, str] | None = None, keep: list[str] | None = None) -> DataFrame:

@@ -2,37 +2,56 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .clean import _c, collapse_ws
 
-# ---- fixed values: the visible-text chain (pattern -> replacement), applied in order --------
-HTML_TEXT_CHAIN: list[tuple[str, str]] = [
-    (r"(?is)<!--.*?-->", " "),
-    (r"(?is)<!doctype[^>]*>", " "),
-    (r"(?is)<(script|style|template)\b[^>]*>.*?</(script|style|template)\s*>", " "),
-    (r"(?s)<[^>]*>", " "),
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"),
-    ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-    ("\u00a0", " "),
-    (r"\s+", " "),
-]
+# what is no text, in the order it is removed; a tag's quoted attribute values may hold any character
+_COMMENT = r"(?s)<!--.*?-->"
+_HIDDEN = r"(?is)<(script|style|template)\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?</\1\s*>"
+_TAG = r"(?s)<[/!?]?[A-Za-z](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|<[/!?]?[A-Za-z][^>]*>"
+_REFERENCE = r"&(#[0-9]{1,8}|#[xX][0-9A-Fa-f]{1,7}|[A-Za-z][A-Za-z0-9]{1,31});"
+# named references as the language's standard library lists them; numbers 128 to 159 mean Windows-1252 characters
+_NAMED = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+_CP1252 = {str(i): bytes([i]).decode("cp1252", "replace") for i in range(128, 160)}
 
 
-_REGEX_STEPS = {r"(?is)<!--.*?-->", r"(?is)<!doctype[^>]*>",
-                r"(?is)<(script|style|template)\b[^>]*>.*?</(script|style|template)\s*>", r"(?s)<[^>]*>", r"\s+"}
+def _character(number: Column) -> Column:
+    """The character of a code point; U+FFFD where there is none."""
+    ok = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(ok, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+    windows = F.from_json(F.lit(json.dumps(_CP1252)), "map<string,string>")
+    return F.when(number.between(128, 159), F.try_element_at(windows, number.cast("string"))).otherwise(char)
 
 
-def html_text(x) -> Column:
-    """Visible text of a page, text nodes joined by one space (no script/style/comments).
+def decode_references(x) -> Column:
+    """Character references -> characters: numeric ones by code point, named ones by a look-up; unknown ones stay.
 
-    Tag and whitespace steps are regular expressions; entity steps are literal replacements.
+    The text is cut once at all references, so what a reference gives is never read as part of another one.
     """
     s = _c(x)
-    for pat, rep in HTML_TEXT_CHAIN:
-        s = F.regexp_replace(s, pat, rep) if pat in _REGEX_STEPS else F.replace(s, F.lit(pat), F.lit(rep))
-    return F.trim(s)
+    named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+
+    def one(r):
+        hexa = F.conv(F.substring(r, 3, 8), 16, 10).cast("int")
+        return (F.when(r.startswith("#x") | r.startswith("#X"), _character(hexa))
+                .when(r.startswith("#"), _character(F.substring(r, 2, 8).cast("int")))
+                .otherwise(F.coalesce(F.try_element_at(named, r), F.concat(F.lit("&"), r, F.lit(";")))))
+
+    text = F.transform(F.regexp_extract_all(s, F.lit(_REFERENCE), F.lit(1)), one)
+    pieces = F.zip_with(F.split(s, _REFERENCE, -1), text, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(s.rlike(_REFERENCE), F.array_join(pieces, "")).otherwise(s)
+
+
+def html_text(x) -> Column:
+    """Visible text of a page, text nodes joined by one space (no script, style, template or comment)."""
+    s = F.regexp_replace(_c(x), _COMMENT, " ")
+    s = F.regexp_replace(F.regexp_replace(s, _HIDDEN, " "), _TAG, " ")
+    return F.trim(F.regexp_replace(decode_references(s), r"[\s\u00a0]+", " "))
 
 
 def first_signed_decimal(x) -> Column:

@@ -9,37 +9,42 @@ Pages are parsed by the Python UDF only where a structural read is needed
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.clean import collapse_ws
 from ..functions.text import canonical_category, first_signed_decimal, html_text, norm_category_text
-from .html import parse_page
-
-# ---- fixed values: financial field patterns (case-insensitive, first match, group 1) --------
-# A leading word boundary keeps 'Net Assets' out of 'assets' / 'EV/EBITDA' out of 'ebitda';
-# the margin and debt-to-equity classes accept the closing parenthesis of '(%)' / '(x)'.
-FINANCIAL_PATTERNS: dict[str, str] = {
-    "assets": r"\b(?:Total\s+)?Assets?\s*[:\s]+₹?\s*([\d,.]+)",
-    "net_worth": r"\bNet\s+Worth\s*[:\s]+₹?\s*([\d,.]+)",
-    "total_debt": r"\bTotal\s+Debt\s*[:\s]+₹?\s*([\d,.]+)",
-    "revenue": r"\b(?:Total\s+)?Revenue\s*[:\s]+₹?\s*([\d,.]+)",
-    "ebitda": r"\bEBITDA\s*[:\s]+₹?\s*([\d,.]+)",
-    "pat": r"\bPAT\s*[:\s]+₹?\s*([\d,.]+)",
-    "ebitda_margin": r"\bEBITDA\s+margin\s*[:\s(%)]+\s*([\d.]+)",
-    "pat_margin": r"\bPAT\s+margin\s*[:\s(%)]+\s*([\d.]+)",
-    "eps": r"\bEPS\s*\(₹\)\s*([+-]?[\d.]+)",
-    "roe": r"\bROE\s*\(%\)\s*([+-]?[\d.]+)",
-    "roce": r"\bROCE\s*\(%\)\s*([+-]?[\d.]+)",
-    "roa": r"\bROA\s*\(%\)\s*([+-]?[\d.]+)",
-    "debt_to_equity": r"\bDebt\s+to\s+[Ee]quity\s*[:\s(x)]+\s*([\d.]+)",
-    "market_capitalisation": r"\bMarket\s+Capitalisation?\s*[:\s]+₹?\s*([\d,.]+)",
-    "ev_ebitda": r"\bEV\s*/\s*EBITDA\s*\(?times\)?\s*[:\s]+([+-]?[\d.]+)",
-    "pb_multiple": r"\bP\s*/\s*B\s*\(?times\)?\s*[:\s]+([+-]?[\d.]+)",
-    "nav": r"\bNAV\s*\(₹\)\s*[:\s]+([+-]?[\d.]+)",
-    "enterprise_value": r"\bEnterprise\s+Value\s*\(EV\)\s*\(₹\s*Cr\.\)\s*:\s*([\d,.]+)",
-    "pe_multiple": r"\bPE\s+Multiple\s*\(times\)\s*:\s*([\d.]+)",
+from ..session import cut_lineage
+from .html import followers, heading_text, parse_page, tables_of
+
+# ---- fixed values: financial labels and what follows each (case-insensitive, first match, group 1) ----
+# The margin and debt-to-equity classes accept the closing parenthesis of '(%)' / '(x)'.
+FINANCIAL_FIELDS: dict[str, tuple[str, str]] = {
+    "assets": (r"(?:Total\s+)?Assets?", r"\s*[:\s]+₹?\s*([\d,.]+)"),
+    "net_worth": (r"Net\s+Worth", r"\s*[:\s]+₹?\s*([\d,.]+)"),
+    "total_debt": (r"Total\s+Debt", r"\s*[:\s]+₹?\s*([\d,.]+)"),
+    "revenue": (r"(?:Total\s+)?Revenue", r"\s*[:\s]+₹?\s*([\d,.]+)"),
+    "ebitda": (r"EBITDA", r"\s*[:\s]+₹?\s*([\d,.]+)"),
+    "pat": (r"PAT", r"\s*[:\s]+₹?\s*([\d,.]+)"),
+    "ebitda_margin": (r"EBITDA\s+margin", r"\s*[:\s(%)]+\s*([\d.]+)"),
+    "pat_margin": (r"PAT\s+margin", r"\s*[:\s(%)]+\s*([\d.]+)"),
+    "eps": (r"EPS", r"\s*\(₹\)\s*([+-]?[\d.]+)"),
+    "roe": (r"ROE", r"\s*\(%\)\s*([+-]?[\d.]+)"),
+    "roce": (r"ROCE", r"\s*\(%\)\s*([+-]?[\d.]+)"),
+    "roa": (r"ROA", r"\s*\(%\)\s*([+-]?[\d.]+)"),
+    "debt_to_equity": (r"Debt\s+to\s+Equity", r"\s*[:\s(x)]+\s*([\d.]+)"),
+    "market_capitalisation": (r"Market\s+Capitalisation?", r"\s*[:\s]+₹?\s*([\d,.]+)"),
+    "ev_ebitda": (r"EV\s*/\s*EBITDA", r"\s*\(?times\)?\s*[:\s]+([+-]?[\d.]+)"),
+    "pb_multiple": (r"P\s*/\s*B", r"\s*\(?times\)?\s*[:\s]+([+-]?[\d.]+)"),
+    "nav": (r"NAV", r"\s*\(₹\)\s*[:\s]+([+-]?[\d.]+)"),
+    "enterprise_value": (r"Enterprise\s+Value", r"\s*\(EV\)\s*\(₹\s*Cr\.\)\s*:\s*([\d,.]+)"),
+    "pe_multiple": (r"PE\s+Multiple", r"\s*\(times\)\s*:\s*([\d.]+)"),
 }
+# ---- fixed values: labels of other figures that end in one of the labels above --------------
+OTHER_LABELS = [r"(?:Net|Current|Fixed|Other|Intangible|Non-current)\s+Assets?", r"(?:Other|Segment)\s+Revenue", r"Net\s+Debt\s+to\s+EBITDA",
+                r"(?:Cash|Adjusted|Adj\.)\s+(?:EBITDA|PAT|EPS)", r"Debt\s*/\s*EBITDA", r"(?:Tangible|Average)\s+Net\s+Worth"]
 
 # ---- fixed values: performance field patterns (case-insensitive) ----------------------------
 PERFORMANCE_PATTERNS: dict[str, str] = {
@@ -85,6 +90,11 @@ _PAIRS = "array<struct<key:string,value:string>>"
 SECTIONS = ["financials", "gmp", "ipo_information", "performance_report", "subscription"]
 
 
+def _page_column(pages: DataFrame, html: str) -> Column:
+    """The parsed page: the ``_page`` column where a caller has scanned the pages already."""
+    return F.col("_page") if "_page" in pages.columns else parse_page(html)
+
+
 def _field_is(name: str, value: str):
     """Predicate for array HOFs (a closure, not a default argument: Spark reads a
     second lambda parameter as the element index)."""
@@ -104,7 +114,7 @@ def _field(text: Column, pattern: str) -> Column:
 # ---------------------------------------------------------------------------------------------
 def _label_key(label: Column) -> Column:
     """X4 key of a table label: the first key (longest first) whose spaced name it contains."""
-    keys = sorted(FINANCIAL_PATTERNS, key=lambda k: (-len(k), list(FINANCIAL_PATTERNS).index(k)))
+    keys = sorted(FINANCIAL_FIELDS, key=lambda k: (-len(k), list(FINANCIAL_FIELDS).index(k)))
     e = None
     for k in keys:
         cond = label.contains(k.replace("_", " "))
@@ -112,9 +122,9 @@ def _label_key(label: Column) -> Column:
     return e
 
 
-def label_table_pairs(page: Column) -> Column:
+def label_table_pairs(tables: Column) -> Column:
     """(key, value) for every label/value row of every table, in document order."""
-    return F.flatten(F.transform(page["tables"], lambda t: F.transform(
+    return F.flatten(F.transform(tables, lambda t: F.transform(
         F.filter(t["rows"], lambda r: F.size(r["cells"]) >= 2),
         lambda r: F.struct(_label_key(F.lower(r["cells"][0]["tight"])).alias("key"),
                            r["cells"][1]["tight"].alias("value")))))
@@ -123,26 +133,59 @@ def label_table_pairs(page: Column) -> Column:
 def label_table_fields(pairs: Column) -> dict[str, Column]:
     """Per key the last row wins (``pairs`` should be a staged column)."""
     return {k: F.try_element_at(F.filter(pairs, _field_is("key", k)), F.lit(-1))["value"]
-            for k in FINANCIAL_PATTERNS}
+            for k in FINANCIAL_FIELDS}
+
+
+def _longest_first(patterns: list[str]) -> str:
+    return "|".join(sorted(patterns, key=lambda p: (-len(p), p)))
+
+
+# a label starts where no word, slash or hyphen stands before it; longer labels are tried first
+LABEL_RX = (r"(?iu)(?<![\p{L}\p{N}_/&-])(?:" + _longest_first(OTHER_LABELS + [lb for lb, _ in FINANCIAL_FIELDS.values()])
+            + r")(?![\p{L}\p{N}_])")
+
+
+def label_pieces(text: Column) -> Column:
+    """The text cut once at all labels: array<struct<label, rest>>, ``rest`` up to the next label."""
+    found = F.regexp_extract_all(text, F.lit(LABEL_RX), F.lit(0))
+    rest = F.slice(F.split(text, LABEL_RX, -1), F.lit(2), F.greatest(F.size(found), F.lit(0)))
+    return F.zip_with(found, rest, lambda a, b: F.struct(a.alias("label"), b.alias("rest")))
+
+
+def label_fields(pieces: Column) -> dict[str, Column]:
+    """Per field the value behind the first of its labels that has one (``pieces`` should be a staged column)."""
+    out = {}
+    for key, (label, value) in FINANCIAL_FIELDS.items():
+        mine = F.filter(pieces, _labelled(rf"(?iu)^{label}$"))
+        values = F.transform(mine, _value_of("(?iu)^" + value))
+        out[key] = F.try_element_at(F.filter(values, lambda v: v != ""), F.lit(1))
+    return out
+
+
+def _labelled(rx: str):
+    return lambda p: p["label"].rlike(rx)
+
+
+def _value_of(rx: str):
+    return lambda p: F.regexp_extract(p["rest"], rx, 1)
 
 
 def extract_financials(pages: DataFrame, key: str = "company", html: str = "html") -> DataFrame:
-    """X3 + X5: regex fields on the visible text; a page where no field matched takes
-    the label/value table read (X4) instead.
+    """X3 + X5: fields behind labels of the visible text; a page where none was found takes the label/value table
+    read (X4) instead, and only such pages are parsed.
 
-    One pass per page: the text and the structure are staged once, the choice is a
-    per-row CASE (a filter/union split would re-inline all regexes into the filter).
+    One pass per page: each step is staged as a column, the choice is a per-row CASE (a filter/union split would
+    read the pages twice).
     """
-    staged = pages.select(key, html_text(html).alias("_text"), parse_page(html).alias("_page"))
-    regex = {k: _field(F.col("_text"), "(?iu)" + p) for k, p in FINANCIAL_PATTERNS.items()}
-    s2 = staged.select(key, F.struct(*[v.alias(k) for k, v in regex.items()]).alias("_rx"),
-                       label_table_pairs(F.col("_page")).alias("_pairs"))
-    tab = label_table_fields(F.col("_pairs"))
-    none_hit = F.coalesce(*[F.col("_rx")[k] for k in FINANCIAL_PATTERNS]).isNull()
-    s3 = s2.select(key, "_rx", F.struct(*[v.alias(k) for k, v in tab.items()]).alias("_tb"),
-                   none_hit.alias("_miss"))
-    return s3.select(key, *[F.when(F.col("_miss"), F.col("_tb")[k]).otherwise(F.col("_rx")[k]).alias(k)
-                            for k in FINANCIAL_PATTERNS])
+    page = F.col("_page") if "_page" in pages.columns else None
+    s1 = pages.select(key, html, *([page] if page is not None else []), label_pieces(html_text(html)).alias("_pieces"))
+    s2 = s1.select(key, html, *([page] if page is not None else []),
+                   F.struct(*[v.alias(k) for k, v in label_fields(F.col("_pieces")).items()]).alias("_rx"))
+    none_hit = F.coalesce(*[F.col("_rx")[k] for k in FINANCIAL_FIELDS]).isNull()
+    s3 = s2.select(key, "_rx", (F.when(none_hit, page) if page is not None else parse_page(F.when(none_hit, F.col(html)))).alias("_page"))
+    s4 = s3.select(key, "_rx", label_table_pairs(tables_of(F.col("_page"), "tight")).alias("_pairs"))
+    s5 = s4.select(key, "_rx", F.struct(*[v.alias(k) for k, v in label_table_fields(F.col("_pairs")).items()]).alias("_tb"))
+    return s5.select(key, *[F.coalesce(F.col("_rx")[k], F.col("_tb")[k]).alias(k) for k in FINANCIAL_FIELDS])
 
 
 # ---------------------------------------------------------------------------------------------
@@ -171,21 +214,25 @@ def objects_of_issue(page: Column) -> Column:
                 | ((f["kind"] == "p") & (F.length(t) > 10))
                 | ((f["kind"] == "li") & (F.length(t) > 5)))
 
-    cands = F.transform(
-        F.filter(page["headings"], lambda h: F.lower(h["flat"]).contains("object") & F.lower(h["flat"]).contains("issue")),
-        lambda h: F.transform(F.filter(h["followers"], keep), lambda f: f["text"]))
+    def named(h):
+        t = F.lower(heading_text(page, h, flat=True))
+        return t.contains("object") & t.contains("issue")
+
+    cands = F.transform(F.filter(page["headings"], named),
+                        lambda h: F.transform(F.filter(followers(page, h), keep), lambda f: f["text"]))
     return F.try_element_at(F.filter(cands, lambda a: F.size(a) > 0), F.lit(1))
 
 
 def extract_information(pages: DataFrame, key: str = "company", html: str = "html",
                         with_objects: bool = True) -> DataFrame:
     """X7 + X8 merged (X9, dates win on clashes) + X10 objects."""
-    staged = pages.select(key, html, html_text(html).alias("_text"))
+    given = [_page_column(pages, html).alias("_page")] if with_objects else []
+    staged = pages.select(key, *given, html_text(html).alias("_text"))
     text = F.col("_text")
     cols = {k: _trimmed(text, p, INFORMATION_TRAILER) for k, p in INFORMATION_PATTERNS.items()}
     cols.update({k: _trimmed(text, p, DATE_TRAILER) for k, p in DATE_PATTERNS.items()})
     out = staged.select(key, *[v.alias(k) for k, v in cols.items()],
-                        *([parse_page(html).alias("_page")] if with_objects else []))
+                        *(["_page"] if with_objects else []))
     if with_objects:
         out = out.withColumn("object_of_issue", objects_of_issue(F.col("_page"))).drop("_page")
     return out
@@ -202,17 +249,20 @@ def _norm(s: Column) -> Column:
     return F.lower(collapse_ws(s))
 
 
-def gmp_table(page: Column) -> Column:
+def gmp_table(page: Column, tables: Column) -> Column:
     """X11: first table after an h2/h3 mentioning 'gmp' and 'trend'; else by thead headers."""
-    head = _first(page["headings"], lambda h: h["tag"].isin("h2", "h3") & _norm(h["text"]).contains("gmp")
-                  & _norm(h["text"]).contains("trend"))
-    by_heading = _first(page["tables"], lambda t: t["pos"] > head["pos"])
+    def named(h):
+        t = F.lower(heading_text(page, h))
+        return t.contains("gmp") & t.contains("trend")
+
+    head = _first(F.filter(page["headings"], lambda h: h["tag"].isin("h2", "h3")), named)
+    by_heading = _first(tables, lambda t: t["pos"] > head["open"])
 
     def thead_headers(t):
         r = _first(t["rows"], lambda r: (r["group"] == "thead") & (r["group_no"] == 0))
         return F.transform(r["cells"], lambda c: _norm(c["text"]))
 
-    by_header = _first(page["tables"], lambda t: F.coalesce(
+    by_header = _first(tables, lambda t: F.coalesce(
         F.array_contains(thead_headers(t), "gmp date") & F.array_contains(thead_headers(t), "gmp"), F.lit(False)))
     return F.coalesce(by_heading, by_header)
 
@@ -233,8 +283,9 @@ def extract_gmp(pages: DataFrame, key: str = "company", html: str = "html") -> D
 
     Staged as consecutive projections so each intermediate is computed once per row.
     """
-    t = (pages.select(key, parse_page(html).alias("_page"))
-         .select(key, gmp_table(F.col("_page")).alias("_t")))
+    t = (pages.select(key, _page_column(pages, html).alias("_page"))
+         .select(key, "_page", tables_of(F.col("_page"), "text", "badges").alias("_tables"))
+         .select(key, gmp_table(F.col("_page"), F.col("_tables")).alias("_t")))
     rows = F.col("_t.rows")
     hdr = F.coalesce(_first(rows, lambda r: (r["group"] == "thead") & (r["group_no"] == 0)),
                      F.try_element_at(rows, F.lit(1)))
@@ -289,9 +340,9 @@ def _index_of(arr: Column, pred) -> Column:
     return (F.nullif(F.array_position(F.transform(arr, pred), F.lit(True)), F.lit(0)) - 1).cast("int")
 
 
-def header_tables(page: Column) -> Column:
+def header_tables(tables: Column) -> Column:
     """X16 for every table once: array<struct<rows, h, headers>> (shared by X17 and X18)."""
-    staged = F.transform(page["tables"], lambda t: F.struct(t["rows"].alias("rows"), _header_row(t).alias("hdr")))
+    staged = F.transform(tables, lambda t: F.struct(t["rows"].alias("rows"), _header_row(t).alias("hdr")))
     return F.transform(staged, lambda x: F.struct(
         x["rows"].alias("rows"), x["hdr"]["idx"].alias("h"),
         F.transform(x["hdr"]["headers"], F.lower).alias("headers")))
@@ -323,9 +374,10 @@ def _category_pairs(tables: Column, prefix: str, value_pred, skip: list[str]) ->
 
 
 def _last_wins_map(pairs: Column) -> Column:
-    """Pairs -> map, the last pair per key winning (``pairs`` must be a column: it is read per element)."""
-    dedup = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["key"] == p["key"]))
-    return F.map_from_entries(dedup)
+    """Pairs -> map, the last pair per key winning: one look-up per distinct key from the end."""
+    keys = F.transform(pairs, lambda p: p["key"])
+    last = F.transform(F.array_distinct(keys), lambda k: F.struct(k.alias("key"), F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"].alias("value")))
+    return F.map_from_entries(last)
 
 
 def subscription_pairs(tables: Column) -> Column:
@@ -348,8 +400,9 @@ def extract_subscription(pages: DataFrame, key: str = "company", html: str = "ht
     Staged projections: parse -> header facts per table -> pairs -> map, so no
     intermediate array is recomputed inside a lambda.
     """
-    t = (pages.select(key, parse_page(html).alias("_page"))
-         .select(key, header_tables(F.col("_page")).alias("_tabs"))
+    t = (pages.select(key, _page_column(pages, html).alias("_page"))
+         .select(key, tables_of(F.col("_page"), "flat").alias("_tables"))
+         .select(key, header_tables(F.col("_tables")).alias("_tabs"))
          .select(key, subscription_pairs(F.col("_tabs")).alias("_sp"), allocation_pairs(F.col("_tabs")).alias("_ap")))
     return t.select(key, F.map_concat(_last_wins_map(F.col("_sp")), _last_wins_map(F.col("_ap"))).alias("fields"))
 
@@ -366,15 +419,42 @@ EXTRACTORS = {
 }
 
 
-def extract_sections(pages: DataFrame, key: str = "company", section: str = "section",
-                     html: str = "html", sections: list[str] | None = None) -> dict[str, DataFrame]:
-    """One raw table per known section.  Unknown sections are not fatal: see ``unsupported``."""
-    out = {}
-    for s in sections or SECTIONS:
-        if s not in EXTRACTORS:
-            raise ValueError(f"section {s!r} is not supported")
-        out[s] = EXTRACTORS[s](pages.where(F.col(section) == s), key=key, html=html)
-    return out
+def page_error(html: Column, page: Column) -> Column:
+    """Why a page gives no trustworthy record, NULL for a sound one.
+
+    No content; given up by the parser; cut inside a tag or comment; cut before the end of its html element.
+    """
+    low = F.lower(html)
+    return (F.when(html.isNull() | ~html.rlike(r"\S"), F.lit("no content"))
+            .when(page["error"].isNotNull(), page["error"])
+            .when(html.rlike(r"(?s)<[A-Za-z/!?][^>]*\z"), F.lit("cut inside a tag"))
+            .when(low.contains("<html") & ~low.contains("</html"), F.lit("no end of page")))
+
+
+class Scanned(NamedTuple):
+    pages: DataFrame           # sound pages with their scan in ``_page``: input of the extractors
+    failures: DataFrame        # the keys and ``error`` of the others
+    n_pages: int
+    n_failed: int
+
+
+def scan_pages(pages: DataFrame, keys: list[str], html: str = "html", path: str | None = None) -> Scanned:
+    """One scan of all pages, written once, that gives sound pages and a quarantine of failed ones.
+
+    The counts are observed by the job that writes.  ``path`` is a Parquet folder; without one the scan is a
+    reliable checkpoint.
+    """
+    counts = Observation()
+    s = pages.withColumn("_page", parse_page(html))
+    s = s.withColumn("error", page_error(F.col(html), F.col("_page"))).observe(
+        counts, F.count(F.lit(1)).alias("n_pages"), F.count("error").alias("n_failed"))
+    if path is None:
+        s = cut_lineage(s)
+    else:
+        s.write.mode("overwrite").parquet(path)
+        s = pages.sparkSession.read.parquet(path)
+    return Scanned(s.where(F.col("error").isNull()).drop("error"),
+                   s.where(F.col("error").isNotNull()).select(*keys, "error"), counts.get["n_pages"], counts.get["n_failed"])
 
 
 def unsupported(pages: DataFrame, section: str = "section") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.url import looks_like_json
-from .html import parse_page
+from .html import cut, flat_text, select_ranges
 
 # ---- fixed values: columns (data, name) of each segment's list, its list type ---
 LIST_COLUMNS: dict[str, list[tuple[str, str]]] = {
@@ -144,12 +144,15 @@ def classify_response(status, body, success_key: str | None = None) -> Column:
     return F.when(success, "success").when(retry, "retry").otherwise("fail")
 
 
-def page_complete(pages: DataFrame, key: str = "company", html: str = "html", min_rows: int = 1,
-                  placeholder: str = "[●]") -> DataFrame:
-    """A table with >= ``min_rows`` rows and some text, or visible text without the placeholder."""
-    from ..functions.text import html_text
-    staged = pages.select(key, parse_page(html).alias("_p"), html_text(html).alias("_t"))
-    table_ok = F.exists("_p.tables", lambda t: (F.size(t["rows"]) >= min_rows) & F.exists(
-        t["rows"], lambda r: F.exists(r["cells"], lambda c: c["text"] != "")))
-    text_ok = (F.length("_t") > 0) & ~F.col("_t").contains(placeholder)
-    return staged.select(key, (table_ok | text_ok).alias("complete"))
+def page_complete(pages: DataFrame, key: str = "company", html: str = "html", table: str = "div.panel-box table",
+                  panel: str = "div.panel-box", min_rows: int = 1, placeholder: str = "[●]") -> DataFrame:
+    """The first ``table`` element has ``min_rows`` body rows and text in one of them, or the first ``panel``
+    element has text without the placeholder.  Text elsewhere on the page (menus, footers) tells nothing."""
+    s = pages.select(key, select_ranges(html, [table, f"{table} tbody tr", panel]).alias("_s"))
+    strings, hits = F.col("_s.strings"), F.col("_s.hits")
+    t, p = F.try_element_at(hits[0], F.lit(1)), F.try_element_at(hits[2], F.lit(1))
+    s = s.select(key, "_s", F.filter(hits[1], lambda r: (t["open"] < r["open"]) & (r["open"] < t["close"])).alias("_rows"),
+                 flat_text(cut(strings, p["a"], p["b"])).alias("_text"))
+    rows_ok = (F.size("_rows") >= min_rows) & F.exists("_rows", lambda r: flat_text(cut(strings, r["a"], r["b"])) != "")
+    text_ok = (F.length("_text") > 0) & ~F.contains(F.col("_text"), F.lit(placeholder))
+    return s.select(key, (F.coalesce(rows_ok, F.lit(False)) | F.coalesce(text_ok, F.lit(False))).alias("complete"))

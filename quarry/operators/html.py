@@ -1,10 +1,13 @@
-"""HTML structure scan as one Arrow-batched pandas UDF.
+"""HTML structure scan as one Arrow-batched UDF that gives an interval index, and native views of it.
 
-The only Python on the hot path.  Each page is parsed once with the stdlib
-``html.parser`` into a light tree and reduced to the structures the extractors
-need: tables (rows of cells with text variants and badge texts) and heading-like
-elements with the content that follows them.  Every extractor after this is a
-native array expression on that struct.
+The only Python on the hot path.  One loop over the stdlib parser's events numbers the elements in document order and
+writes flat lists: visible strings, table rows, cells, badges, list items, headings and what follows them.  An
+element's descendants of any kind stand together in that kind's list, so a table is a range of rows, a row a range of
+cells, a cell a range of strings, and a heading a range of the items behind it.  The index is linear in the page
+however deep or unclosed its tags are; there is no tree and no recursion.
+
+``tables_of``, ``heading_text`` and ``followers`` cut those ranges with native array expressions.  ``select_ranges``
+evaluates descendant selectors (``div.panel-box table tbody tr``) in the same kind of scan.
 """
 
 from __future__ import annotations
@@ -12,43 +15,35 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CELL = T.StructType([
-    T.StructField("tag", T.StringType()),
-    T.StructField("text", T.StringType()),      # stripped strings joined by one space
-    T.StructField("flat", T.StringType()),      # all strings concatenated, whitespace collapsed
-    T.StructField("tight", T.StringType()),     # stripped strings concatenated without separator
-    T.StructField("badges", T.ArrayType(T.StringType())),
-])
-ROW = T.StructType([
-    T.StructField("group", T.StringType()),     # thead / tbody / tfoot / '' (direct child)
-    T.StructField("group_no", T.IntegerType()), # index of that group element within the table
-    T.StructField("cells", T.ArrayType(CELL)),
-])
-TABLE = T.StructType([
-    T.StructField("pos", T.IntegerType()),
-    T.StructField("rows", T.ArrayType(ROW)),
-])
-FOLLOWER = T.StructType([
-    T.StructField("kind", T.StringType()),      # text / p / li
-    T.StructField("text", T.StringType()),
-])
-HEADING = T.StructType([
-    T.StructField("pos", T.IntegerType()),
-    T.StructField("tag", T.StringType()),
-    T.StructField("text", T.StringType()),
-    T.StructField("flat", T.StringType()),
-    T.StructField("followers", T.ArrayType(FOLLOWER)),
-])
+from ..functions.clean import collapse_ws, ustrip
+
+
+def _ints(*names: str, tag: bool = False) -> T.ArrayType:
+    return T.ArrayType(T.StructType([T.StructField("tag", T.StringType())] * tag + [T.StructField(n, T.IntegerType()) for n in names]))
+
+
+# ranges are [a, b) into another list; open and close are element numbers: x lies inside e if e.open < x.open < e.close
 PAGE = T.StructType([
-    T.StructField("tables", T.ArrayType(TABLE)),
-    T.StructField("headings", T.ArrayType(HEADING)),
+    T.StructField("strings", T.ArrayType(T.StringType())),                                   # visible text nodes
+    T.StructField("tables", _ints("open", "rows_a", "rows_b", "groups_a", "groups_b")),
+    T.StructField("groups", _ints("open", "close", tag=True)),                               # thead, tbody, tfoot
+    T.StructField("rows", _ints("open", "cells_a", "cells_b")),
+    T.StructField("cells", _ints("a", "b", "badges_a", "badges_b", tag=True)),
+    T.StructField("badges", _ints("a", "b")),
+    T.StructField("headings", _ints("open", "a", "b", "items_a", "items_b", tag=True)),
+    T.StructField("items", _ints("a", "b", tag=True)),                                       # text, p or list (a range of lis)
+    T.StructField("lis", _ints("a", "b")),
     T.StructField("error", T.StringType()),
 ])
+SELECTED = T.StructType([
+    T.StructField("strings", T.ArrayType(T.StringType())),
+    T.StructField("hits", T.ArrayType(_ints("open", "close", "a", "b"))),                    # one list for each selector
+])
 
 # ---- fixed values: HTML void elements and ignored raw-text containers ----------------------
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
@@ -56,160 +51,313 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 HIDDEN = {"script", "style", "template"}
 HEADING_TAGS = {"h2", "h3", "h4", "strong", "b"}
 STOP_TAGS = {"h2", "h3", "h4"}
+GROUP_TAGS = {"thead", "tbody", "tfoot"}
 
-_WS = re.compile(r"\s+")
-
-
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "pos")
 
-    def __init__(self, tag, attrs, parent, pos):
-        self.tag, self.attrs, self.parent, self.pos = tag, attrs, parent, pos
-        self.children: list = []
+class _Events(HTMLParser):
+    """Element numbers, visible strings and balanced open/close calls for every element."""
 
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.n, self.hidden = 0, 0
+        self.strings: list[str] = []
+        self.stack: list[tuple] = []                  # (tag, what ``opened`` returned)
+        self.counts: dict[str, int] = {}              # open elements by tag: a stray end tag costs nothing
 
-class _Comment(str):
-    pass
+    def opened(self, tag: str, attrs: list, number: int):
+        raise NotImplementedError
 
+    def closed(self, tag: str, state) -> None:
+        raise NotImplementedError
 
-class _TreeBuilder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = _Node("#root", {}, None, -1)
-        self.cur = self.root
-        self.n = 0
+    def text(self, at: int) -> None:
+        pass
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, dict((k, v or "") for k, v in attrs), self.cur, self.n)
-        self.n += 1
-        self.cur.children.append(node)
-        if tag not in VOID:
-            self.cur = node
+        self.stack.append((tag, self.opened(tag, attrs, self._number())))
+        self.counts[tag] = self.counts.get(tag, 0) + 1
+        self.hidden += tag in HIDDEN
+        if tag in VOID:
+            self._pop()
 
     def handle_startendtag(self, tag, attrs):
-        node = _Node(tag, dict((k, v or "") for k, v in attrs), self.cur, self.n)
-        self.n += 1
-        self.cur.children.append(node)
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._pop()
+            if tag in self.CDATA_CONTENT_ELEMENTS:
+                self.clear_cdata_mode()
 
     def handle_endtag(self, tag):
-        node = self.cur
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.cur = node.parent
+        while self.counts.get(tag, 0) and self._pop() != tag:
+            pass
 
     def handle_data(self, data):
-        if self.cur.tag not in HIDDEN:
-            self.cur.children.append(data)
-
-    def handle_comment(self, data):
-        self.cur.children.append(_Comment(data))
-
-
-def _strings(node):
-    for ch in node.children:
-        if isinstance(ch, _Comment):
-            continue
-        if isinstance(ch, str):
-            yield ch
-        elif ch.tag not in HIDDEN:
-            yield from _strings(ch)
-
-
-def _texts(node) -> tuple[str, str, str]:
-    parts = list(_strings(node))
-    stripped = [p.strip() for p in parts]
-    text = " ".join(s for s in stripped if s)
-    flat = _WS.sub(" ", "".join(parts)).strip()
-    tight = "".join(stripped)
-    return _WS.sub(" ", text).strip(), flat, tight
-
-
-def _find_all(node, tags):
-    for ch in node.children:
-        if isinstance(ch, str):
-            continue
-        if ch.tag in tags:
-            yield ch
-        yield from _find_all(ch, tags)
-
-
-def _is_badge(n: _Node) -> bool:
-    cls = n.attrs.get("class", "")
-    if n.tag == "span":
-        return "badge" in cls
-    return n.tag == "div" and "badge" in cls.split()
-
-
-def _cell(c: _Node) -> dict:
-    text, flat, tight = _texts(c)
-    badges = [_texts(b)[0] for b in _find_all(c, {"span", "div"}) if _is_badge(b)]
-    return {"tag": c.tag, "text": text, "flat": flat, "tight": tight, "badges": badges}
-
-
-def _table(t: _Node) -> dict:
-    rows = []
-    counters: dict[str, int] = {}
-    group_of: dict[int, tuple[str, int]] = {}
-    for g in _find_all(t, {"thead", "tbody", "tfoot"}):
-        k = counters.get(g.tag, 0)
-        counters[g.tag] = k + 1
-        for tr in _find_all(g, {"tr"}):
-            group_of.setdefault(id(tr), (g.tag, k))
-    for tr in _find_all(t, {"tr"}):
-        group, no = group_of.get(id(tr), ("", 0))
-        rows.append({"group": group, "group_no": no,
-                     "cells": [_cell(c) for c in _find_all(tr, {"td", "th"})]})
-    return {"pos": t.pos, "rows": rows}
-
-
-def _followers(h: _Node) -> list[dict]:
-    """Siblings after a heading: text nodes, <p> texts, list items; stop at a list or h2-h4."""
-    out: list[dict] = []
-    sibs = h.parent.children
-    i = next(k for k, s in enumerate(sibs) if s is h)
-    for s in sibs[i + 1:]:
-        if isinstance(s, _Comment):
-            continue
-        if isinstance(s, str):
-            t = _WS.sub(" ", s).strip()
-            if t:
-                out.append({"kind": "text", "text": t})
-        elif s.tag in ("ul", "ol"):
-            out += [{"kind": "li", "text": _texts(li)[1]} for li in _find_all(s, {"li"})]
-            break
-        elif s.tag in STOP_TAGS:
-            break
-        elif s.tag == "p":
-            out.append({"kind": "p", "text": _texts(s)[1]})
-    return out
+        if not self.hidden:
+            self.strings.append(data)
+            self.text(len(self.strings) - 1)
+
+    def run(self, html: str):
+        self.feed(html)
+        self.close()
+        while self.stack:
+            self._pop()
+        return self
+
+    def _number(self) -> int:
+        self.n += 1
+        return self.n - 1
 
+    def _pop(self) -> str:
+        tag, state = self.stack.pop()
+        self.counts[tag] -= 1
+        self.hidden -= tag in HIDDEN
+        self.closed(tag, state)
+        return tag
 
-def parse_html(html: str | None) -> dict | None:
-    """Pure-Python page scan (also used directly by tests)."""
+
+class _Index(_Events):
+    def __init__(self):
+        super().__init__()
+        self.tables, self.groups, self.rows, self.cells, self.badges = [], [], [], [], []
+        self.headings, self.items, self.lis = [], [], []
+        self.children: list[list] = [[]]              # per open element: what may follow a heading in it
+
+    def opened(self, tag, attrs, number):
+        rec = None
+        if tag == "table":
+            rec = {"open": number, "rows_a": len(self.rows), "groups_a": len(self.groups)}
+            self.tables.append(rec)
+        elif tag in GROUP_TAGS:
+            rec = {"tag": tag, "open": number}
+            self.groups.append(rec)
+        elif tag == "tr":
+            rec = {"open": number, "cells_a": len(self.cells)}
+            self.rows.append(rec)
+        elif tag in ("td", "th"):
+            rec = {"tag": tag, "a": len(self.strings), "badges_a": len(self.badges)}
+            self.cells.append(rec)
+        elif tag == "li":
+            rec = {"a": len(self.strings)}
+            self.lis.append(rec)
+        elif tag in HEADING_TAGS:
+            rec = {"tag": tag, "open": number, "a": len(self.strings)}
+            self.headings.append(rec)
+        elif tag in ("span", "div"):
+            cls = next((v or "" for k, v in attrs if k == "class"), "")
+            if ("badge" in cls) if tag == "span" else ("badge" in cls.split()):
+                rec = {"a": len(self.strings)}
+                self.badges.append(rec)
+        elif tag == "p":
+            rec = {"a": len(self.strings)}
+        elif tag in ("ul", "ol"):
+            rec = {"a": len(self.lis)}
+        self.children.append([])
+        return rec
+
+    def closed(self, tag, rec):
+        self._follow(self.children.pop())
+        up = self.children[-1]
+        if tag == "table":
+            rec.update(rows_b=len(self.rows), groups_b=len(self.groups))
+        elif tag in GROUP_TAGS:
+            rec["close"] = self.n
+        elif tag == "tr":
+            rec["cells_b"] = len(self.cells)
+        elif tag in ("td", "th"):
+            rec.update(b=len(self.strings), badges_b=len(self.badges))
+        elif tag in HEADING_TAGS:
+            rec["b"] = len(self.strings)
+            up.append(rec)
+        elif tag in ("ul", "ol"):
+            up.append({"tag": "list", "a": rec["a"], "b": len(self.lis)})
+        elif rec is not None:
+            rec["b"] = len(self.strings)
+            if tag == "p":
+                up.append({"tag": "p", **rec})
+
+    def text(self, at):
+        self.children[-1].append({"tag": "text", "a": at, "b": at + 1})
+
+    def _follow(self, children: list) -> None:
+        """Items behind the headings of one element: up to and with a list, or up to the next h2 to h4."""
+        waiting: list[dict] = []
+        for c in children:
+            heading = "open" in c
+            if not heading and waiting:
+                self.items.append(c)
+            if waiting and (c["tag"] == "list" or c["tag"] in STOP_TAGS):
+                for h in waiting:
+                    h["items_b"] = len(self.items)
+                waiting = []
+            if heading:
+                c["items_a"] = len(self.items)
+                waiting.append(c)
+        for h in waiting:
+            h["items_b"] = len(self.items)
+
+    def page(self) -> dict:
+        self._follow(self.children.pop())
+        return {k: getattr(self, k) for k in PAGE.names if k != "error"} | {"error": None}
+
+
+def scan_html(html: str | None) -> dict | None:
+    """The interval index of one page; a page the parser gives up on has an ``error`` and empty lists."""
     if html is None:
         return None
     try:
-        b = _TreeBuilder()
-        b.feed(html)
-        b.close()
-        tables = [_table(t) for t in _find_all(b.root, {"table"})]
-        heads = []
-        for h in _find_all(b.root, HEADING_TAGS):
-            text, flat, _ = _texts(h)
-            heads.append({"pos": h.pos, "tag": h.tag, "text": text, "flat": flat, "followers": _followers(h)})
-        return {"tables": tables, "headings": heads, "error": None}
+        return _Index().run(html).page()
     except Exception as e:  # noqa: BLE001 - a broken page gives an error row, never a failed task
-        return {"tables": [], "headings": [], "error": f"{type(e).__name__}: {e}"[:500]}
+        return {k: [] for k in PAGE.names} | {"error": f"{type(e).__name__}: {e}"}
 
 
-@F.pandas_udf(PAGE)
-def _parse_page_udf(html: pd.Series) -> pd.DataFrame:
-    recs = [parse_html(h) for h in html]
-    empty = {"tables": None, "headings": None, "error": None}
-    return pd.DataFrame([r if r is not None else empty for r in recs], columns=["tables", "headings", "error"])
+def _arrow(schema: T.StructType) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+    return to_arrow_type(schema)
+
+
+@F.arrow_udf(PAGE)
+def _scan_udf(html: pa.Array) -> pa.Array:
+    return pa.array([scan_html(h) for h in html.to_pylist()], type=_arrow(PAGE))
 
 
 def parse_page(html) -> Column:
-    """``struct<tables, headings, error>`` for an HTML column (NULL html -> NULL fields)."""
-    return _parse_page_udf(F.col(html) if isinstance(html, str) else html)
+    """The interval index of an HTML column (NULL html -> NULL)."""
+    return _scan_udf(F.col(html) if isinstance(html, str) else html)
+
+
+# ---- selectors ------------------------------------------------------------------------------
+
+_COMPOUND = re.compile(r"^([a-z][a-z0-9]*|\*)?((?:[.#][A-Za-z0-9_-]+)*)$")
+
+
+def compile_selector(selector: str) -> list[tuple]:
+    """'div.panel-box table' -> [(tag, classes, id), ...]; compounds of a tag, classes and an id, descendants only."""
+    out = []
+    for part in selector.split():
+        m = _COMPOUND.match(part)
+        if not m:
+            raise ValueError(f"selector {selector!r}: only tags, .classes, #ids and spaces between them are known")
+        marks = re.findall(r"[.#][A-Za-z0-9_-]+", m[2])
+        ids = [x[1:] for x in marks if x[0] == "#"]
+        out.append((None if m[1] in (None, "", "*") else m[1], frozenset(x[1:] for x in marks if x[0] == "."), ids[0] if ids else None))
+    return out
+
+
+class _Select(_Events):
+    """Per open element and selector, how many of its compounds the ancestors have matched: one step an element."""
+
+    def __init__(self, selectors: list[list[tuple]]):
+        super().__init__()
+        self.selectors = selectors
+        self.hits: list[list[dict]] = [[] for _ in selectors]
+        self.reached: list[tuple[int, ...]] = [(0,) * len(selectors)]
+
+    def _step(self, reached: tuple, tag: str, classes: set, ident: str | None, hit) -> tuple:
+        new = list(reached)
+        for i, (sel, k) in enumerate(zip(self.selectors, reached)):
+            want, cls, idn = sel[k]
+            if (want is None or want == tag) and cls <= classes and (idn is None or idn == ident):
+                if k + 1 == len(sel):
+                    hit(i)
+                else:
+                    new[i] = k + 1
+        return tuple(new)
+
+    def opened(self, tag, attrs, number):
+        at = {k: v or "" for k, v in attrs}
+        reached = self.reached[-1]
+        if tag == "tr" and self.stack and self.stack[-1][0] == "table":      # a tbody that was left out
+            reached = self._step(reached, "tbody", set(), None, lambda i: None)
+        own = []
+
+        def hit(i):
+            self.hits[i].append({"open": number, "a": len(self.strings)})
+            own.append(self.hits[i][-1])
+
+        self.reached.append(self._step(reached, tag, set(at.get("class", "").split()), at.get("id"), hit))
+        return own
+
+    def closed(self, tag, own):
+        self.reached.pop()
+        for h in own:
+            h.update(close=self.n, b=len(self.strings))
+
+
+def select_ranges(html, selectors: list[str]) -> Column:
+    """Elements that match each descendant selector, in document order, as ranges of the page's visible strings."""
+    compiled = [compile_selector(s) for s in selectors]
+
+    @F.arrow_udf(SELECTED)
+    def run(pages: pa.Array) -> pa.Array:
+        out = []
+        for h in pages.to_pylist():
+            s = None if h is None else _Select(compiled).run(h)
+            out.append(s and {"strings": s.strings, "hits": s.hits})
+        return pa.array(out, type=_arrow(SELECTED))
+
+    return run(F.col(html) if isinstance(html, str) else html)
+
+
+# ---- native views of the index --------------------------------------------------------------
+
+def cut(values: Column, a: Column, b: Column) -> Column:
+    return F.slice(values, a + 1, b - a)
+
+
+def joined_text(strings: Column) -> Column:
+    """Stripped strings joined by one space, white space collapsed."""
+    return collapse_ws(F.array_join(F.filter(F.transform(strings, ustrip), lambda s: s != ""), " "))
+
+
+def flat_text(strings: Column) -> Column:
+    """All strings concatenated, white space collapsed."""
+    return collapse_ws(F.array_join(strings, ""))
+
+
+def tight_text(strings: Column) -> Column:
+    """Stripped strings concatenated without a separator."""
+    return F.array_join(F.transform(strings, ustrip), "")
+
+
+_VARIANTS = {"text": joined_text, "flat": flat_text, "tight": tight_text}
+
+
+def tables_of(page: Column, *what: str) -> Column:
+    """array<struct<pos, rows: array<struct<group, group_no, cells: array<struct<tag, ...>>>>>> of a parsed page.
+
+    ``what``: the cell fields wanted, of text, flat, tight and badges.  A row's group is the outermost thead, tbody or
+    tfoot of its table that holds it, with that group's number among those of the same tag; '' and 0 without one.
+    """
+    def cell(c):
+        own = cut(page["strings"], c["a"], c["b"])
+        out = [c["tag"].alias("tag")] + [f(own).alias(k) for k, f in _VARIANTS.items() if k in what]
+        if "badges" in what:
+            out.append(F.transform(cut(page["badges"], c["badges_a"], c["badges_b"]),
+                                   lambda b: joined_text(cut(page["strings"], b["a"], b["b"]))).alias("badges"))
+        return F.struct(*out)
+
+    def row(r, groups):
+        mine = F.try_element_at(F.filter(groups, lambda g: (g["open"] < r["open"]) & (r["open"] < g["close"])), F.lit(1))
+        before = F.filter(groups, lambda g: (g["tag"] == mine["tag"]) & (g["open"] < mine["open"]))
+        return F.struct(F.coalesce(mine["tag"], F.lit("")).alias("group"),
+                        F.when(mine.isNull(), 0).otherwise(F.size(before)).alias("group_no"),
+                        F.transform(cut(page["cells"], r["cells_a"], r["cells_b"]), cell).alias("cells"))
+
+    return F.transform(page["tables"], lambda t: F.struct(
+        t["open"].alias("pos"), F.transform(cut(page["rows"], t["rows_a"], t["rows_b"]),
+                                            lambda r: row(r, cut(page["groups"], t["groups_a"], t["groups_b"]))).alias("rows")))
+
+
+def heading_text(page: Column, h: Column, flat: bool = False) -> Column:
+    return (flat_text if flat else joined_text)(cut(page["strings"], h["a"], h["b"]))
+
+
+def followers(page: Column, h: Column) -> Column:
+    """array<struct<kind, text>> behind a heading: text nodes, paragraphs and the items of the first list."""
+    def one(kind, x):
+        return F.struct(F.lit(kind).alias("kind"), flat_text(cut(page["strings"], x["a"], x["b"])).alias("text"))
+
+    found = F.flatten(F.transform(cut(page["items"], h["items_a"], h["items_b"]), lambda i: F.when(
+        i["tag"] == "list", F.transform(cut(page["lis"], i["a"], i["b"]), lambda x: one("li", x)))
+        .otherwise(F.array(F.struct(i["tag"].alias("kind"), flat_text(cut(page["strings"], i["a"], i["b"])).alias("text"))))))
+    return F.filter(found, lambda f: (f["kind"] != "text") | (f["text"] != ""))

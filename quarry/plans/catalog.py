@@ -194,6 +194,16 @@ def x1_text(spark, sf_dir):
     return pg.select("page_id", t.alias("text"), F.length(t).alias("n_chars"))
 
 
+@query("x1_references")
+def x1_references(spark, sf_dir):
+    """Numeric, hexadecimal, named and unknown references whose expected characters the row itself tells."""
+    p = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey") % 90 + 33
+    html = F.concat(F.lit("<p title='a>b'>"), F.col("p_name"), F.lit("&#"), k.cast("string"), F.lit(";&#x"),
+                    F.lower(F.hex(k + 8352)), F.lit(";&rsquo;&amp;lt;&nbsp;&bogus;&#8377;</p><b>&frac12;</b>"))
+    return p.select("p_partkey", X.html_text(html).alias("text"))
+
+
 @query("x13_first_number")
 def x13_first_number(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
@@ -281,6 +291,19 @@ def x5_financials(spark, sf_dir):
     return round_doubles(C.clean_df(XT.extract_financials(_section(spark, sf_dir, "financials"))))
 
 
+@query("x3_labels")
+def x3_labels(spark, sf_dir):
+    """Labels that end in another label, repeated labels and labels without a value (given customers)."""
+    c, n, b = F.col("c_custkey"), F.col("c_nationkey"), F.format_number(F.abs("c_acctbal"), 2)
+    html = F.concat(
+        F.lit("<p>Net Assets : 5</p><p>EV/EBITDA : 12.5</p><p>Adjusted PAT : 9</p><p>EBITDA of the year</p><p>EBITDA : "), n.cast("string"),
+        F.when(c % 2 == 0, F.concat(F.lit("</p><p>Total Assets : ₹ "), b)).otherwise(F.lit("</p><p>Assets n/a")),
+        F.lit("</p><p>EBITDA margin (%) 7.5</p><p>Revenue : ₹ "), b, F.lit("</p><p>Revenue : 1</p><p>EPS (₹) -"), n.cast("string"), F.lit("</p>"))
+    pages = read_table(spark, sf_dir, "customer").select("c_custkey", html.alias("html"))
+    return round_doubles(C.clean_df(XT.extract_financials(pages, key="c_custkey").select(
+        "c_custkey", "assets", "ebitda", "ebitda_margin", "pat", "revenue", "eps", "ev_ebitda"), keep=["c_custkey"]))
+
+
 @query("x6_performance")
 def x6_performance(spark, sf_dir):
     return round_doubles(C.clean_df(XT.extract_performance(_section(spark, sf_dir, "performance_report"))))
@@ -319,6 +342,16 @@ def c9_complete(spark, sf_dir):
     return page_complete(p, key="company")
 
 
+@query("x25_failures")
+def x25_failures(spark, sf_dir):
+    """Given pages, most of them cut off at a place that depends on the row: the quarantine and its counts."""
+    k = F.col("page_id") % 5
+    p = read_table(spark, sf_dir, "pages").select(
+        "page_id", F.substring("html", F.lit(1), (F.length("html") * k / 4).cast("int")).alias("html"))
+    s = XT.scan_pages(p, ["page_id"])
+    return s.failures.withColumns({"n_pages": F.lit(s.n_pages).cast("long"), "n_failed": F.lit(s.n_failed).cast("long")})
+
+
 @query("s14_silver")
 def s14_silver(spark, sf_dir):
     return round_doubles(pages_to_silver(listing_pages(spark, sf_dir)))
