@@ -344,6 +344,10 @@ ORACLE_SQL["a6_profile"] = " UNION ALL ".join(
     f"count({c}) AS non_null, count(*) - count({c}) AS nulls, "
     f"count(DISTINCT {c}) AS \"distinct\" FROM orders" for c in _ORD_COLS)
 
+ORACLE_SQL["a6_profile_sketch"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count({c}) AS non_null, count(*) - count({c}) AS nulls, true AS within FROM orders"
+    for c in _ORD_COLS if c != "o_orderpriority")
+
 ORACLE_SQL["a7_describe"] = " UNION ALL ".join(
     f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
     f"round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
@@ -461,8 +465,8 @@ _UNION = """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
 UNION ALL BY NAME SELECT o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, o_custkey FROM orders"""
 ORACLE_SQL["u1_s7_union"] = f"SELECT * REPLACE (round(o_totalprice, 6) AS o_totalprice) FROM ({_UNION})"
 ORACLE_SQL["a5_u2_dedup"] = f"""SELECT * REPLACE (round(o_totalprice, 6) AS o_totalprice) FROM ({_UNION})
-QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey, o_totalprice NULLS FIRST,
-  o_orderdate NULLS FIRST, o_orderpriority NULLS FIRST) = 1"""
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey NULLS LAST, o_totalprice NULLS LAST,
+  o_orderdate NULLS LAST, o_orderpriority NULLS LAST) = 1"""
 ORACLE_SQL["q1_q3_projection"] = "SELECT o_orderkey, round(o_totalprice, 6) AS total FROM orders"
 
 # ---------------------------------------------------------------------------------------------

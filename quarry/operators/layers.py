@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..registry import select_existing
+from ..session import cut_lineage
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
@@ -31,42 +32,48 @@ def map_keys_of(df: DataFrame, map_col: str) -> list[str]:
 
 
 def map_to_columns(df: DataFrame, map_col: str, keys: list[str] | None = None) -> DataFrame:
-    """Dynamic record (map) -> one column per key (sorted); rows without a key get NULL."""
-    keys = map_keys_of(df, map_col) if keys is None else keys
+    """Dynamic record (map) -> one column per key (sorted); rows without a key get NULL.
+
+    Without ``keys`` the records are written once, then read for the keys and for the columns.
+    """
+    if keys is None:
+        df = cut_lineage(df)
+        keys = map_keys_of(df, map_col)
     rest = [c for c in df.columns if c != map_col]
     return df.select(*rest, *[F.col(map_col)[k].alias(k) for k in keys])
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """One row per key, the smallest by ``order`` (then by the remaining columns).
+    """One row per key, the smallest by ``order`` (then by the remaining columns), NULLs last.
 
-    Deterministic, shuffle-light (partial aggregation), skew-tolerant.  NULL keys
-    form their own group, as in pandas ``drop_duplicates``.
+    Deterministic, shuffle-light (partial aggregation: a hot key is one row a task), skew-tolerant.  NULL keys
+    form their own group, as in pandas ``drop_duplicates``.  Of rows that differ in a NULL only, the fuller one stays.
     """
     order = [c for c in (order or []) if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)],
-                      *[F.col(c) for c in rest]) if order else F.struct(*[F.col(c) for c in rest])
     if not rest and not order:
         return df.select(*keys).distinct()
+    # each value goes behind its own "is NULL": false sorts before true
+    packed = F.struct(*[x for i, c in enumerate(order + rest) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
     out = df.groupBy(*keys).agg(F.min(packed).alias("_r"))
-    return out.select(*keys, *[F.col(f"_r.o{i}").alias(c) for i, c in enumerate(order)],
-                      *[F.col(f"_r.{c}") for c in rest]).select(*df.columns)
+    return out.select(*keys, *[F.col(f"_r.v{i}").alias(c) for i, c in enumerate(order + rest)]).select(*df.columns)
 
 
 def join_chain(tables: list[DataFrame], keys: list[str], how: str = "left",
-               suffixes: tuple[str, str] = ("_x", "_y"), dedup: bool = True) -> DataFrame:
+               suffixes: tuple[str, str] = ("_x", "_y"), dedup: bool = True, reduce_left: bool = False) -> DataFrame:
     """J1 + J2: left-join a list of tables on ``keys`` with pandas-style clash suffixes.
 
     Null keys never match (they are dropped from the right sides).  With
     ``dedup`` each right side is first reduced to one row per key, so duplicate
     keys cannot multiply rows (a hot key would otherwise explode quadratically).
+    ``reduce_left`` does the same to the left side before the joins, where the result is
+    reduced to one row per key anyway.
     """
     def right(df: DataFrame) -> DataFrame:
         df = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
         return dedup_first(df, keys) if dedup else df
 
-    out = tables[0]
+    out = dedup_first(tables[0], keys) if reduce_left else tables[0]
     for t in tables[1:]:
         t = right(t)
         clash = [c for c in t.columns if c in out.columns and c not in keys]

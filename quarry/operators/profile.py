@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,23 +18,53 @@ from ..session import cut_lineage
 from .fit import as_double, distributed_quantiles
 
 
-def profile(df: DataFrame, cols: list[str] | None = None, approx_distinct: bool = False) -> DataFrame:
-    """A6 + A8: (column, dtype, non_null, nulls, distinct) for every column, one job.
+def _as_text(df: DataFrame, c: str) -> Column:
+    """A value as text that is equal for equal values; long ones by their SHA-256."""
+    kind = df.schema[c].dataType
+    x = F.col(c) + F.lit(0.0) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(c)        # -0.0 is 0.0
+    x = F.hex(x) if isinstance(kind, T.BinaryType) else x.cast("string")
+    return F.when(F.length(x) > 64, F.concat(F.lit("sha256:"), F.sha2(x, 256))).otherwise(x)
 
-    Exact distinct counts expand the input once per column inside the
-    aggregation; ``approx_distinct=True`` uses HyperLogLog++ instead (no expand).
+
+def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A6 + A8: (column, dtype, non_null, nulls, distinct) for every column, exact.
+
+    One grouped pass over (column, value): repeated values are counted in the tasks, each distinct one is shuffled
+    once, and the second aggregate counts them per column.
     """
     cols = select_existing(df, cols or df.columns)
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [F.count(F.col(c)).alias(f"nn{i}"), F.count_if(F.col(c).isNull()).alias(f"nu{i}"),
-                 (F.approx_count_distinct(c) if approx_distinct else F.count_distinct(F.col(c))).alias(f"d{i}")]
-    row = df.agg(*aggs)
     dtypes = dict(df.dtypes)
-    entries = [F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
-                        F.col(f"nn{i}").cast("long").alias("non_null"), F.col(f"nu{i}").cast("long").alias("nulls"),
-                        F.col(f"d{i}").cast("long").alias("distinct")) for i, c in enumerate(cols)]
-    return row.select(F.inline(F.array(*entries)))
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _as_text(df, c).alias("v")) for i, c in enumerate(cols)])).alias("x"))
+    counts = long.select("x.*").groupBy("i", "v").agg(F.count(F.lit(1)).alias("n"))
+    per = counts.groupBy("i").agg(F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
+                                  F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("nulls"), F.count("v").alias("distinct"))
+    every = df.sparkSession.createDataFrame([(i, c, dtypes[c]) for i, c in enumerate(cols)], "i INT, column STRING, dtype STRING")
+    return every.join(per, "i", "left").select(
+        "column", "dtype", *[F.coalesce(x, F.lit(0)).cast("long").alias(x) for x in ("non_null", "nulls", "distinct")])
+
+
+SKETCH_LG_K = 14               # 2^14 registers: a standard error of 0.65 % in the number of distinct values
+
+
+def profile_sketch(df: DataFrame, by: list[str], cols: list[str] | None = None) -> DataFrame:
+    """A6, mergeable: (by, column, dtype, rows, non_null, sketch) for each part of a layer, in one aggregate.
+
+    The sketches are small whatever the data; keep them beside the layer and renew those of the parts that change.
+    """
+    cols = [c for c in select_existing(df, cols or df.columns) if c not in by]
+    dtypes = dict(df.dtypes)
+    row = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *[x for i, c in enumerate(cols) for x in (
+        F.count(c).alias(f"_n{i}"), F.hll_sketch_agg(_as_text(df, c), SKETCH_LG_K).alias(f"_s{i}"))])
+    entries = [F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"), F.col("_rows").alias("rows"),
+                        F.col(f"_n{i}").alias("non_null"), F.col(f"_s{i}").alias("sketch")) for i, c in enumerate(cols)]
+    return row.select(*by, F.inline(F.array(*entries)))
+
+
+def merge_profiles(sketches: DataFrame) -> DataFrame:
+    """(column, dtype, non_null, nulls, distinct) from the sketches of any parts; ``distinct`` is an estimate."""
+    return sketches.groupBy("column", "dtype").agg(
+        F.sum("non_null").alias("non_null"), F.sum(F.col("rows") - F.col("non_null")).alias("nulls"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct"))
 
 
 def describe(df: DataFrame, cols: list[str] | None = None, method: str = "distributed") -> DataFrame:
@@ -119,59 +149,57 @@ def _vectors(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="_v").transform(clean).select("_v")
 
 
-def average_ranks(values: DataFrame, col: str, partitions: int | None = None) -> DataFrame:
-    """Exact average rank (ties share the mean of their positions) of every distinct value.
+def conditional_ranks(base: DataFrame, cols: list[str], holes: list[str]) -> DataFrame:
+    """(c, v, r): for every value of every column its average ranks (ties share the mean of their positions).
 
-    Distinct values with counts (map-side combined) are range-partitioned; each
-    partition ranks locally and adds the count of all smaller partitions, a table
-    of one row per partition that is joined back.
+    ``r[0]`` is the rank among all rows, ``r[1 + h]`` the one among the rows where ``holes[h]`` has a value.  One pass
+    counts every (column, value) for all of these sets at once (map-side combined); the counts are range-partitioned,
+    summed locally and completed by the totals of the partitions before, so no column is ranked in one task and the
+    number of scans does not grow with the pairs.
     """
-    spark = values.sparkSession
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = values.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
-    d = d.repartitionByRange(p, col).withColumn("_pid", F.spark_partition_id())
-    d = cut_lineage(d)  # pin the range boundaries: totals and ranks must see the same partitions
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (d.groupBy("_pid").agg(F.sum("_n").alias("_t"))
-               .select("_pid", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off")))
-    w = Window.partitionBy("_pid").orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (d.withColumn("_cum", F.sum("_n").over(w)).join(offsets, "_pid")
-            .select(col, (F.col("_off") + F.col("_cum") - (F.col("_n") - 1) / 2.0).alias("_rank")))
-
-
-def _rank_corr(base: DataFrame, cols: list[str]) -> dict[tuple[str, str], float | None]:
-    """Rank correlation of every pair of ``cols``, none of which holds a NULL."""
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if not pairs:
-        return {}
-    ranked = base.select(*cols)
-    for i, c in enumerate(cols):
-        ranked = ranked.join(average_ranks(base.select(c), c).withColumnRenamed("_rank", f"_r{i}"), on=c)
-    row = ranked.agg(*[F.corr(f"_r{i}", f"_r{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
-    return {(cols[i], cols[j]): row[f"c{i}_{j}"] for i, j in pairs}
+    sets = ["n0", *[f"n{i + 1}" for i in range(len(holes))]]
+    flags = [F.lit(1).cast("long").alias(sets[0]), *[F.col(h).isNotNull().cast("long").alias(n) for h, n in zip(holes, sets[1:])]]
+    long = base.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).alias("v"), *flags) for i, c in enumerate(cols)])).alias("x"))
+    n = long.select("x.*").where("v is not null").groupBy("c", "v").agg(*[F.sum(s).alias(s) for s in sets])
+    # written once: totals and ranks must see the same partitions
+    n = cut_lineage(n.repartitionByRange("c", "v").withColumn("_pid", F.spark_partition_id()))
+    before = Window.partitionBy("c").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = n.groupBy("c", "_pid").agg(*[F.sum(s).alias(s) for s in sets])
+    offsets = totals.select("c", "_pid", *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(f"{s}_off") for s in sets])
+    w = Window.partitionBy("c", "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = n.select("*", *[F.sum(s).over(w).alias(f"{s}_cum") for s in sets]).join(offsets, ["c", "_pid"])
+    return cut_lineage(ranked.select("c", "v", F.array(*[
+        F.col(f"{s}_off") + F.col(f"{s}_cum") - (F.col(s) - 1) / 2.0 for s in sets]).alias("r")))
 
 
 def spearman(df: DataFrame, cols: list[str]) -> DataFrame:
     """M1: Spearman matrix (average ranks for ties) -> long (i, j, col_i, col_j, rho).
 
-    NULLs are left out pair by pair: rho of two columns uses the rows where both have a value.
-    Columns without NULLs are ranked once and correlated in one aggregate; a pair with a column
-    that has some is ranked on its own complete rows.  Ranks are joined back by value (AQE
-    broadcasts small rank tables and splits skewed values).
+    NULLs are left out pair by pair: rho of two columns uses the rows where both have a value, so the rank of a value
+    depends on the other column only through which of its rows are present (``conditional_ranks``).  The ranks are
+    joined back by value, once a column (AQE broadcasts small rank tables and splits skewed values), and all pairs
+    are correlated in one aggregate, which skips a row where either rank is NULL.
     """
     cols = select_existing(df, cols)
-    base = df.select(*[as_double(df, c).alias(c) for c in cols])
-    nulls = base.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    full = [c for c in cols if not nulls[c]]
-    rho = _rank_corr(base, full)
-    for i, a in enumerate(cols):
-        for b in cols[i + 1:]:
-            if (a, b) not in rho:
-                rho |= _rank_corr(base.select(a, b).dropna(), [a, b])
+    base = df.select(*[as_double(df, c).alias(f"_c{i}") for i, c in enumerate(cols)])
+    names = base.columns
+    nulls = base.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()
+    holes = [c for c in names if nulls[c]]
+    ranks = conditional_ranks(base, names, holes)
+    joined = base
+    for i, c in enumerate(names):
+        joined = joined.join(ranks.where(F.col("c") == i).select(F.col("v").alias(c), F.col("r").alias(f"_r{i}")), c, "left")
+
+    def rank(i: int, j: int):
+        """Rank of column i among the rows where column j has a value."""
+        return F.col(f"_r{i}")[holes.index(names[j]) + 1 if names[j] in holes else 0]
+
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    rho = joined.agg(F.lit(0).alias("_"), *[F.corr(rank(i, j), rank(j, i)).alias(f"c{i}_{j}") for i, j in pairs]).first()
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            v = 1.0 if i == j else rho[(a, b) if i < j else (b, a)]
+            v = 1.0 if i == j else rho[f"c{min(i, j)}_{max(i, j)}"]
             rows.append((i, j, a, b, None if v is None else float(v)))
     return df.sparkSession.createDataFrame(rows, "i INT, j INT, col_i STRING, col_j STRING, rho DOUBLE")
 

@@ -400,6 +400,17 @@ def a6_profile(spark, sf_dir):
     return PR.profile(read_table(spark, sf_dir, "orders"))
 
 
+@query("a6_profile_sketch")
+def a6_profile_sketch(spark, sf_dir):
+    """Sketches of the parts of a layer, merged; the estimate lies within four standard errors of the exact number."""
+    o = read_table(spark, sf_dir, "orders")
+    merged = PR.merge_profiles(PR.profile_sketch(o, ["o_orderpriority"]))
+    exact = PR.profile(o).select("column", F.col("distinct").alias("exact"))
+    error = 4 * 1.04 / 2 ** (PR.SKETCH_LG_K / 2)
+    return merged.join(exact, "column").select("column", "non_null", "nulls", (
+        F.abs(F.col("distinct") - F.col("exact")) <= F.ceil(error * F.col("exact"))).alias("within"))
+
+
 @query("a7_describe")
 def a7_describe(spark, sf_dir):
     return round_doubles(PR.describe(read_table(spark, sf_dir, "lineitem"), LI_NUM))

@@ -52,12 +52,11 @@ def clean_sections(raw: dict[str, DataFrame], keys: list[str], subscription_keys
 
 
 def bronze(cleaned: dict[str, DataFrame], key: str = "company", segment: str | None = "segment") -> DataFrame:
-    """S14 bronze: per-segment left-join chain in section-name order, dedup on the key,
-    union of segments (one job: the segment is a join key), dedup on (key, open_date)."""
+    """S14 bronze: per-segment left-join chain in section-name order over one row a key (so the result has one
+    row a key, too), union of segments (one job: the segment is a join key), dedup on (key, open_date)."""
     keys = [segment, key] if segment else [key]
     tables = [cleaned[s] for s in sorted(cleaned)]
-    joined = join_chain(tables, keys)
-    per_segment = dedup_first(joined, keys)
+    per_segment = join_chain(tables, keys, reduce_left=True)
     has_open = "open_date" in per_segment.columns
     return dedup_first(per_segment, [key, "open_date"] if has_open else [key])
 
