@@ -43,6 +43,11 @@ def collapse_ws(x) -> Column:
     return ustrip(F.regexp_replace(_c(x), r"(?U)\s+", " "))
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def finite_or_null(x: Column) -> Column:
     """NaN and infinities -> NULL (an infinity times zero is NaN; any finite number stays as it is)."""
     return F.nanvl(x + x * F.lit(0.0), F.lit(None).cast("double"))
@@ -107,23 +112,24 @@ def parse_date(x, extra: bool = True) -> Column:
     '31-03-2015'; year first: '2015-03-31'; with ``extra`` also 'March 31, 2015', '31 March, 2015', '31.3.2015',
     '2015/3/31' and a two-digit year after a three-letter month ('31 Mar 15').
     """
-    s = ustrip(strip_ordinal(missing_to_null(x)))
-    shape = F.regexp_replace(F.regexp_replace(s, "[0-9]+", "9"), r"[^9\s,./-]+", "a")
-    g = F.split(s, "[ ,./-]+")
-    first, second, third = (F.try_element_at(g, F.lit(i)) for i in (1, 2, 3))
     months = F.from_json(F.lit(json.dumps(MONTHS)), "map<string,string>")
     month = lambda m: F.when(m.rlike("[^0-9]"), F.try_element_at(months, F.lower(m))).otherwise(m)
-    four = F.length(first) == 4
-    year = third
-    if extra:
-        year = F.when((shape == "9 a 9") & (F.length(third) == 2) & (F.length(second) == 3), F.concat(F.lit("20"), third)).otherwise(third)
-    year_first = (shape == "9-9-9") & four
-    if extra:
-        year_first = shape.isin(YEAR_OR_DAY_FIRST) & four
-    day_first = shape.isin(DAY_FIRST + YEAR_OR_DAY_FIRST + (EXTRA_DAY_FIRST if extra else []))
-    ymd = F.when(year_first, F.concat_ws("-", first, second, third)).when(day_first, F.concat_ws("-", year, month(second), first))
-    if extra:
-        ymd = ymd.when(shape.isin(MONTH_FIRST), F.concat_ws("-", third, month(first), second))
+    day_first = DAY_FIRST + YEAR_OR_DAY_FIRST + (EXTRA_DAY_FIRST if extra else [])
+
+    def cut(s):
+        shape = F.regexp_replace(F.regexp_replace(s, "[0-9]+", "9"), r"[^9\s,./-]+", "a")
+        return F.struct(shape.alias("shape"), F.split(s, "[ ,./-]+").alias("g"))
+
+    def order(p):
+        shape, first, second, third = p["shape"], *(F.try_element_at(p["g"], F.lit(i)) for i in (1, 2, 3))
+        short = (shape == "9 a 9") & (F.length(third) == 2) & (F.length(second) == 3) if extra else F.lit(False)
+        year_first = shape.isin(YEAR_OR_DAY_FIRST if extra else ["9-9-9"]) & (F.length(first) == 4)
+        return (F.when(year_first, F.concat_ws("-", first, second, third))
+                .when(shape.isin(day_first), F.concat_ws("-", F.when(short, F.concat(F.lit("20"), third)).otherwise(third), month(second), first))
+                .when(shape.isin(MONTH_FIRST if extra else []), F.concat_ws("-", third, month(first), second)))
+
+    # nested lambdas: each step is worked out once and no copy of the input's expression enters generated code
+    ymd = bind(bind(ustrip(strip_ordinal(missing_to_null(x))), cut), order)
     return F.regexp_extract(ymd, "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", 0).try_cast("date")
 
 
