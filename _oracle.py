@@ -318,6 +318,10 @@ _SILVER_DOUBLES = ([c for c in _FIN_COLS if c != "pe_multiple"] +
                     "subscription", "pre_issue_promoter_holding", "post_issue_promoter_holding", "face_value",
                     "issue_price", "listing_price", "listing_gain"] + _SUB_COLS)
 ORACLE_SQL["s14_silver"] = _rounded(SILVER_EXPECTED, _SILVER_DOUBLES)
+ORACLE_SQL["s11_s14_incremental"] = ORACLE_SQL["s14_silver"]
+ORACLE_SQL["s5_typed"] = """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN round(o_totalprice, 6) END AS o_totalprice,
+  CASE WHEN o_orderkey % 3 = 0 THEN 'say "' || o_orderpriority || '",' || chr(10) || 'then stop' ELSE o_orderpriority END AS note,
+  o_orderkey % 7 = 0 AS rejected FROM orders"""
 
 from quarry.plans.gold import FEATURE_GROUPS  # noqa: E402
 from quarry.registry import Registry  # noqa: E402

@@ -357,6 +357,17 @@ def s14_silver(spark, sf_dir):
     return round_doubles(pages_to_silver(listing_pages(spark, sf_dir)))
 
 
+@query("s11_s14_incremental")
+def s11_s14_incremental(spark, sf_dir):
+    """Two batches of pages, the second one the pages still pending; equal to one batch of all."""
+    from . import incremental as INC
+    root = scratch_path(spark, "layer")
+    pages = listing_pages(spark, sf_dir)
+    INC.add_pages(pages.where(F.crc32("company") % 3 != 0), root)
+    INC.add_pages(INC.pending_pages(pages, root), root)
+    return round_doubles(INC.silver_of(spark, root))
+
+
 @query("g1_listing_gold")
 def g1_listing_gold(spark, sf_dir):
     silver = pages_to_silver(listing_pages(spark, sf_dir))
@@ -682,6 +693,19 @@ def s4_s6_csv_roundtrip(spark, sf_dir):
     return round_doubles(typed)
 
 
+@query("s5_typed")
+def s5_typed(spark, sf_dir):
+    """Typed CSV with quotes and line ends inside values, and records whose price is no number."""
+    path = scratch_path(spark, "typed")
+    k = F.col("o_orderkey")
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(k % 7 == 0, "not known").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(k % 3 == 0, F.concat(F.lit('say "'), "o_orderpriority", F.lit('",\nthen stop'))).otherwise(F.col("o_orderpriority")).alias("note"))
+    IO.write_csv(o, path)
+    t = IO.read_csv_typed(spark, path, "o_orderkey long, o_totalprice double, note string")
+    return round_doubles(t.select("o_orderkey", "o_totalprice", "note", F.col(IO.REJECT).isNotNull().alias("rejected")))
+
+
 @query("g2_groups")
 def g2_groups(spark, sf_dir):
     """Every feature group from one shared fit, long form (group, company, feature, value or label)."""
