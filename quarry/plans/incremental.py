@@ -43,7 +43,8 @@ class Batch(NamedTuple):
 def _table(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
     """A table of the layer; no rows where it has not been written yet."""
     try:
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
+        t = spark.read.schema(schema).parquet(f"{root}/{name}")
+        return t.where("company is not null") if "company" in t.columns else t
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -74,12 +75,15 @@ def _as_map(df: DataFrame) -> DataFrame:
     return df.select("segment", "company", F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull())).alias("fields"))
 
 
-def _replace(new: DataFrame, old: DataFrame, gone: DataFrame, path: str) -> None:
-    """Write ``new`` and what is left of ``old`` over the partitions that stand in either.
+def _replace(new: DataFrame, old: DataFrame, gone: DataFrame, partitions: list[tuple[str, str]], path: str) -> None:
+    """Write ``new`` and what is left of ``old`` over ``partitions``.
 
-    ``gone``: keys of the batch, whose old rows go.
+    ``gone``: keys of the batch, whose old rows go.  A row without a company stands in every partition, as a
+    partition without rows would not be replaced; readers leave it out.
     """
-    kept = old.join(gone.select(*KEY).distinct(), KEY, "left_anti")
+    marks = new.sparkSession.createDataFrame(partitions, "segment string, section string").select(
+        *[F.col(f.name) if f.name in KEY[:2] else F.lit(None).cast(f.dataType).alias(f.name) for f in new.schema])
+    kept = old.join(gone.select(*KEY).distinct(), KEY, "left_anti").unionByName(marks)
     merged = cut_lineage(kept.unionByName(new).repartition("segment", "section", F.pmod(F.xxhash64("company"), F.lit(64))))
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("segment", "section").parquet(path)
 
@@ -101,8 +105,8 @@ def add_pages(pages: DataFrame, root: str) -> Batch:
     touched = sorted((r["segment"], r["section"]) for r in both.select("segment", "section").distinct().collect())   # segments x sections
     if not touched:
         return Batch(scanned.n_pages, scanned.n_failed, [])
-    _replace(new, _within(records(spark, root), touched), new, f"{root}/records")
-    _replace(scanned.failures.select("company", "error", "segment", "section"), _within(failures(spark, root), touched), both, f"{root}/failures")
+    _replace(new, _within(records(spark, root), touched), new, touched, f"{root}/records")
+    _replace(scanned.failures.select("company", "error", "segment", "section"), _within(failures(spark, root), touched), both, touched, f"{root}/failures")
     seen = new.select("section", F.explode(F.map_keys("fields")).alias("field")).distinct()
     fresh = cut_lineage(seen.join(_table(spark, root, "keys", KEYS), ["section", "field"], "left_anti"))
     if fresh.take(1):
