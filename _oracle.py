@@ -449,6 +449,26 @@ ORACLE_SQL["m3_standardize"] = ("SELECT " + ", ".join(f"round(({c} - m{i}) / s{i
                                 ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(LI_NUM)) +
                                 " FROM lineitem) st")
 
+# principal components from the correlation matrix: squaring it until one component is left, then taking that one out
+_EIGEN = f"""
+WITH RECURSIVE m AS (SELECT [{", ".join("[" + ", ".join("1.0" if a == b else f"corr({a}, {b})" for b in LI_NUM) + "]" for a in LI_NUM)}] AS a FROM lineitem),
+e AS (
+  SELECT 0 AS pc, a, CAST(NULL AS DOUBLE[]) AS v, CAST(0 AS DOUBLE) AS value FROM m
+  UNION ALL
+  SELECT pc, list_transform(a, lambda r, i: list_transform(r, lambda x, j: x - value * v[i] * v[j])), v, value
+  FROM (SELECT pc, a, v, list_dot_product(v, list_transform(a, lambda r: list_dot_product(r, v))) AS value
+  FROM (SELECT pc, a, list_transform(big, lambda x: x / sqrt(list_dot_product(big, big))) AS v
+  FROM (SELECT pc, a, list_extract(list_sort(list_transform(p, lambda r: {{'n': list_dot_product(r, r), 'r': r}}), 'DESC'), 1).r AS big
+  FROM (SELECT pc + 1 AS pc, a, list_reduce(list_prepend(a, list_transform(range(60), lambda i: a)), lambda q, x:
+          list_transform(q, lambda r: list_transform(q, lambda c: list_dot_product(r, c) / list_sum(list_transform(q, lambda t: list_dot_product(t, t)))))) AS p
+        FROM e WHERE pc < {len(LI_NUM)}))))),
+pcs AS (SELECT pc, value / {len(LI_NUM)} AS ratio, v FROM e WHERE pc > 0)
+"""
+ORACLE_SQL["m4_a9_pca_variance"] = _EIGEN + ("SELECT CAST(pc AS INT) AS pc, round(ratio, 6) AS explained_ratio, "
+                                             "round(sum(ratio) OVER (ORDER BY pc), 6) AS cumulative FROM pcs")
+ORACLE_SQL["m5_m6_importance"] = _EIGEN + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(sum(abs(v[{i + 1}]) * ratio), 6) AS importance FROM pcs" for i, c in enumerate(LI_NUM))
+
 # ---------------------------------------------------------------------------------------------
 # Projection, joins, unions, dedup
 # ---------------------------------------------------------------------------------------------
