@@ -50,6 +50,17 @@ def staged(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """``names``, each with underscores added until no column of ``taken`` is called so (in any case)."""
+    used, out = {c.lower() for c in taken}, []
+    for n in names:
+        while n.lower() in used:
+            n += "_"
+        used.add(n.lower())
+        out.append(n)
+    return out
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -17,7 +17,9 @@ of them, make the dictionary.  All documents are scanned whole.
 
 Edge cases: NULL, empty or blank text has no findings; repeated rows give repeated findings; without
 labelled findings of both kinds the label is the score, and unlabelled ones stay below the threshold; very
-long texts and runs are scanned like others; an empty table gives an empty result; other columns are not read.
+long texts, names, values and keys are scanned like others, without a limit; labels of a NULL doc_id belong to the
+texts without one; an empty table gives an empty result; other columns are not read.  Values made of letters alone
+are no candidates, quoted or not.
 """
 
 from __future__ import annotations
@@ -34,10 +36,12 @@ MASK = "[SECRET]"
 NAMES = r"(?i)(?:token|secret|passw(?:or)?d|pwd|passphrase|api_?key|apikey|auth|bearer|credential|access_?key|private)"
 ASSIGNED = r"(?i)[a-z0-9_\-]*(?:token|secret|passw(?:or)?d|pwd|passphrase|key|auth|bearer|credential)[a-z0-9_\-]*[\"']?\s*(?:=>|:=|={1,2}|:|\s)\s*[\"'`]?$"
 CREDENTIAL = (r"(?i:passw(?:or)?d|pwd|passphrase|secret|token|credential|(?:api|access|private|secret|auth|account|encryption)"
-              r"[_\-]?key)[A-Za-z0-9_\-]{0,30}+")
+              r"[_\-]?key)")
 GIVEN = r"[\"'`]?\s{0,4}+(?:=>|:=|={1,2}+|:)\s{0,4}+"          # between a name and its value
-NAMED = rf"^(?:{CREDENTIAL}{GIVEN}[\"'`]?)"                     # what stands before the value in a hit
-DIRECT = rf"(?:{CREDENTIAL}{GIVEN}|(?i:\bbearer)\s{{1,4}}+)[\"'`]?$"
+# a whole name that holds a credential word, and what is between it and its value; each name is read a fixed number of times
+NAME = rf"(?=[A-Za-z0-9_\-]*+{GIVEN})(?=[A-Za-z0-9_\-]*?{CREDENTIAL})[A-Za-z0-9_\-]++{GIVEN}"
+NAMED = rf"^(?:{NAME}[\"'`]?)(?=\S)"                           # what stands before the value in a hit
+DIRECT = rf"(?:(?<![A-Za-z0-9_\-]){NAME}|(?i:\bbearer)\s{{1,4}}+)[\"'`]?$"
 PREFIXES = (r"^(?:gh[pousr]_[A-Za-z0-9]{20,}|github_pat_[A-Za-z0-9_]{20,}|glpat-[A-Za-z0-9_\-]{16,}|sk-[A-Za-z0-9_\-]{20,}"
             r"|[sr]k_(?:live|test)_[A-Za-z0-9]{10,}|xox[abeoprs]-[A-Za-z0-9\-]{10,}|(?:AKIA|ASIA)[A-Z0-9]{16}$"
             r"|AIza[A-Za-z0-9_\-]{35}|npm_[A-Za-z0-9]{30,}|hf_[A-Za-z0-9]{30,}"
@@ -47,20 +51,21 @@ UUID = r"^(?i)[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"
 # a private key with its body up to its end line (or the lines of one that is cut off); a value after a credential
 # word; a run of key characters that is not itself such a name
 CANDIDATE = (r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
-             r"(?:[^-]*+(?:-(?!----)[^-]*+){0,200}+-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
-             r"|(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/=]{40,}+){0,200}+)"
-             rf"|{CREDENTIAL}{GIVEN}(?:(?:\"(?=[^\s\"]{{6,200}}\")(?=[^\s\"]*[^A-Za-z\"])[^\s\"]++|'(?=[^\s']{{6,200}}')(?=[^\s']*[^A-Za-z'])[^\s']++"
-             r"|`(?=[^\s`]{6,200}`)(?=[^\s`]*[^A-Za-z`])[^\s`]++)"
+             r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+             r"|(?:(?:\s|\\[nr]){1,4}+[A-Za-z0-9+/=]{40,}+)*+)"
+             rf"|(?<![A-Za-z0-9_\-]){NAME}(?:(?:\"(?=[^\s\"]{{6,}}+\")(?=[A-Za-z]*+[^A-Za-z\"])[^\s\"]++|'(?=[^\s']{{6,}}+')(?=[A-Za-z]*+[^A-Za-z'])[^\s']++"
+             r"|`(?=[^\s`]{6,}+`)(?=[A-Za-z]*+[^A-Za-z`])[^\s`]++)"
              r"|(?=[^\s\"'`,;<>(){}\[\]&]*[0-9])(?=[^\s\"'`,;<>(){}\[\]&]*[A-Za-z])[^\s\"'`,;<>(){}\[\]&]{6,}+)"
              r"|(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]*+[0-9])"
-             rf"(?![A-Za-z0-9_\-]*{CREDENTIAL}{GIVEN}[^\s=])[A-Za-z0-9_+/.\-]{{16,}}+={{0,2}}+")
+             rf"(?!{NAME}[^\s=])[A-Za-z0-9_+/.\-]{{16,}}+={{0,2}}+")
 HEADER = r"^-----BEGIN"
 FEATURES = ["length", "transitions", "digits", "hex", "distinct", "vowels", "covered", "dots", "slashes", "at_before",
             "assigned", "named", "quoted_before", "quoted_after"]
 
 
 def findings(docs: DataFrame) -> DataFrame:
-    """A row per candidate: doc_id, h (text hash), nth, start (code points), length, candidate, before, after."""
+    """A row per candidate: doc_id, h (text hash), nth, start (code points), length, candidate, before, after and given
+    (the value of a name with a credential word, however long)."""
     t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     t = t.where(F.col("text").rlike(CANDIDATE))
     t = t.select("doc_id", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"),
@@ -75,11 +80,11 @@ def findings(docs: DataFrame) -> DataFrame:
                         F.substr(F.col("x.c"), F.char_length("name") + 1).alias("candidate"),
                         (F.char_length("x.b") + F.char_length("name")).alias("lead"),
                         F.right(F.concat(F.right(F.col("x.b"), F.lit(80)), F.col("name")), F.lit(80)).alias("before"),
-                        F.left(F.col("x.a"), F.lit(40)).alias("after")), "sec-found")
+                        F.left(F.col("x.a"), F.lit(40)).alias("after"), (F.col("name") != "").alias("given")), "sec-found")
     w = Window.partitionBy("row").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("lead") + F.char_length("candidate")).over(w)
     return x.select("doc_id", "h", "row", "nth", (end - F.char_length("candidate")).cast("long").alias("start"),
-                    F.char_length("candidate").cast("long").alias("length"), "candidate", "before", "after")
+                    F.char_length("candidate").cast("long").alias("length"), "candidate", "before", "after", "given")
 
 
 def dictionary(docs: DataFrame, max_words: int) -> list[str]:
@@ -110,7 +115,7 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
             .withColumn("covered", F.aggregate(known, F.lit(0), lambda s, w: s + F.char_length(w)) / F.char_length(c))
             .withColumn("dots", _share(r"\.")).withColumn("slashes", _share("/"))
             .withColumn("at_before", flag(tail.rlike(r"[@/\\]|www|http")))
-            .withColumn("assigned", flag(F.col("before").rlike(ASSIGNED)))
+            .withColumn("assigned", flag(F.col("given") | F.col("before").rlike(ASSIGNED)))
             .withColumn("named", flag(F.regexp_extract("before", r"((?:\S+\s+){0,3}\S*)$", 1).rlike(NAMES)))
             .withColumn("quoted_before", flag(F.col("before").rlike("[\"'`]$")))
             .withColumn("quoted_after", flag(F.col("after").rlike("^[\"'`]"))))
@@ -120,7 +125,7 @@ def rule_labels(x: DataFrame) -> Column:
     """1 for clear secrets, 0 for clear other things, NULL when unclear."""
     c = F.col("candidate")
     quoted = (F.col("quoted_before") == 1) & (F.col("quoted_after") == 1)
-    plain = (F.col("before").rlike(DIRECT) & (F.char_length(c) >= 8) & c.rlike("[0-9]") & c.rlike("[A-Za-z]")
+    plain = ((F.col("given") | F.col("before").rlike(DIRECT)) & (F.char_length(c) >= 8) & c.rlike("[0-9]") & c.rlike("[A-Za-z]")
              & ~c.rlike(REFERENCE) & ~F.col("after").rlike(r"^\s?[(\[]"))
     secret = (c.rlike(HEADER) | c.rlike(PREFIXES) | plain
               | ((F.col("assigned") == 1) & quoted & (F.col("digits") < 1) & ~c.rlike(REFERENCE)))
@@ -158,8 +163,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, max_labelled: int =
     if labelled is None:
         x = x.withColumn("label", rule_labels(x))
     else:
-        x = x.join(labelled.select(F.col("doc_id"), F.col("nth"), F.col("label").cast("double")).dropDuplicates(
-            ["doc_id", "nth"]), ["doc_id", "nth"], "left")
+        known = labelled.select(F.col("doc_id").cast("long").alias("of"), F.col("nth").alias("at"), F.col("label").cast("double").alias("label"))
+        known = known.groupBy("of", "at").agg(F.max("label").alias("label"))
+        x = x.join(known, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("nth") == F.col("at")), "left").drop("of", "at")
     train, kinds = training_rows(x, max_labelled)
     if len(kinds) < 2:
         scored = x.withColumn("score", F.coalesce("label", F.lit(0.0 if kinds == {0.0} else UNKNOWN)))
@@ -177,20 +183,28 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, max_labelled: int =
 def mask_secrets(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """``docs`` with the secrets of each text replaced by a mask (and n_chars, if there, counted anew)."""
     bad = scan(docs, labelled).where("is_secret")
-    bad = staged(bad.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(
-        F.collect_set("candidate").alias("_bad")), "sec-mask")
+    bad = staged(bad.groupBy(F.col("doc_id").alias("of"), F.col("h").alias("of_h")).agg(
+        F.array_sort(F.collect_set(F.struct("start", "length"))).alias("bad")), "sec-mask")
     has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
-    d = docs.where(has)
-    j = d.join(bad, d["doc_id"].cast("long").eqNullSafe(bad["_id"]) & (F.xxhash64(d["text"]) == bad["_h"]), "left")
-    # the longest first, so that a secret inside another one leaves no rest
-    longest = F.array_sort("_bad", lambda a, b: F.char_length(b) - F.char_length(a))
-    clean = F.aggregate(F.coalesce(longest, F.array().cast("array<string>")), F.col("text"),
-                        lambda t, s: F.replace(t, s, F.lit(MASK)))
-    j = j.withColumn("text", clean)
-    if "n_chars" in docs.columns:
-        j = j.withColumn("n_chars", F.when(F.col("_bad").isNotNull(), F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                         .otherwise(F.col("n_chars")))
-    return j.select(*docs.columns).unionByName(docs.where(~has))
+    # the row travels as one struct, so its other columns may have any name
+    d = docs.where(has).select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
+                               F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"))
+    j = d.join(bad, F.col("id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left")
+    text = F.col("row.text").cast("string")
+    masked = F.aggregate(F.col("bad"), F.struct(F.lit(0).cast("long").alias("p"), F.lit("").alias("t")), lambda a, s: F.struct(
+        (s["start"] + s["length"]).alias("p"),
+        F.concat(a["t"], F.substr(text, (a["p"] + 1).cast("int"), (s["start"] - a["p"]).cast("int")), F.lit(MASK)).alias("t")),
+        lambda a: F.concat(a["t"], F.substr(text, (a["p"] + 1).cast("int"), F.char_length(text))))
+    j = j.select("row", F.when(F.col("bad").isNotNull(), masked).otherwise(text).alias("masked"), F.col("bad").isNotNull().alias("changed"))
+    out = []
+    for c in docs.columns:
+        x = F.col("row")[c]
+        if c == "text":
+            x = F.col("masked")
+        elif c == "n_chars":
+            x = F.when(F.col("changed"), F.char_length("masked").cast(docs.schema[c].dataType)).otherwise(x)
+        out.append(x.alias(c))
+    return j.select(*out).unionByName(docs.where(~has))
 
 
 def op1_secrets(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import candidate_clusters, chunk_pairs, summarise, verify
-from .common import hash_family, hash_words, member_filter, min_hash, mix, read, shingles, staged, text_chunks, text_or_empty
+from .common import fresh, hash_family, hash_words, member_filter, min_hash, mix, read, shingles, staged, text_chunks, text_or_empty
 
 THRESHOLD, WORDS = 0.8, 5
 
@@ -138,11 +138,11 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD, n: int = WOR
 
     The join and the removal of repeated rows use the same plain keys, so whole texts are shuffled once.
     """
-    keys = ["_jac_id", "_jac_null", "_jac_h"]
+    keys = fresh(docs.columns, "jac_id", "jac_null", "jac_h")
     num = F.col("doc_id").cast("long")
 
     def keyed(df: DataFrame, h) -> DataFrame:
-        return df.withColumns({"_jac_id": F.coalesce(num, F.lit(0).cast("long")), "_jac_null": num.isNull(), "_jac_h": h})
+        return df.withColumns(dict(zip(keys, [F.coalesce(num, F.lit(0).cast("long")), num.isNull(), h])))
 
     kept = staged(keyed(jaccard_join(docs, threshold, n).where("kept"), F.col("node")).select(*keys).distinct(), "jac-kept")
     d = keyed(docs, F.xxhash64(text_or_empty())).join(kept, keys, "left_semi")

@@ -8,7 +8,8 @@ once for each integer boundary its interval crosses.
 
 Edge cases: NULL or blank text has size 0 and is taken 0 words (its copies still follow the layout);
 a source without words has target 0; NULL sources form one source; repeated rows and ties are laid
-out side by side; an empty table gives an empty result; other columns are passed through.
+out side by side; very long texts count like others; an empty table gives an empty result; other columns are passed
+through whatever their names (the row travels as one struct).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import global_rank, read, staged, text_or_empty
+from .common import fresh, global_rank, read, staged, text_or_empty
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -50,42 +51,47 @@ def source_targets(sizes: DataFrame, max_repeat: int = 3) -> DataFrame:
     return per.withColumn("target", target)
 
 
-def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 42) -> DataFrame:
-    """All rows of ``docs`` plus size, source_size, target, copies and taken (= size * copies).
+ADDED = ["size", "source_size", "target", "copies", "taken"]
 
-    ``docs`` needs doc_id and source, and either text or an already counted ``mix_size``.
-    """
-    d = docs if "mix_size" in docs.columns else docs.withColumn("mix_size", word_count())
-    keep = [c for c in docs.columns if c != "mix_size"]
-    clash = {"size", "source_size", "weight", "target", "copies", "taken"} & set(keep)
-    for c in clash:          # clashing input columns are kept under another name
-        d = d.withColumnRenamed(c, f"in_{c}")
-    keep = [f"in_{c}" if c in clash else c for c in keep]
-    targets = source_targets(d.select("source", F.col("mix_size").alias("size")), max_repeat)
-    order = [F.col("mix_size"), F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("")), F.col("doc_id")]
-    ranked = global_rank(d, order, ["source"], "mix_rank")
-    t = targets.select(F.col("source").alias("_s"), "source_size", "target")
+
+def mix_rows(docs: DataFrame, size: Column, max_repeat: int = 3, seed: int = 42) -> DataFrame:
+    """row (struct of all columns of ``docs``) with size, source_size, target, copies and taken (= size * copies)."""
+    d = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("source").alias("source"),
+                    F.col("doc_id").alias("doc_id"), size.alias("size"))
+    targets = source_targets(d.select("source", "size"), max_repeat)
+    order = [F.col("size"), F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("")), F.col("doc_id")]
+    ranked = global_rank(d, order, ["source"], "place")
+    t = targets.select(F.col("source").alias("of"), "source_size", "target")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = offset_of(F.col("source"), seed)
-    copies = (F.floor(u + (F.col("mix_rank") + 1) * rate) - F.floor(u + F.col("mix_rank") * rate)).cast("long")
-    return (ranked.join(t, ranked["source"].eqNullSafe(t["_s"])).withColumn("copies", copies)
-            .withColumnRenamed("mix_size", "size").withColumn("taken", F.col("size") * F.col("copies"))
-            .select(*keep, "size", "source_size", "target", "copies", "taken"))
+    copies = (F.floor(u + (F.col("place") + 1) * rate) - F.floor(u + F.col("place") * rate)).cast("long")
+    return (ranked.join(t, ranked["source"].eqNullSafe(t["of"])).withColumn("copies", copies)
+            .withColumn("taken", F.col("size") * F.col("copies")).select("row", *ADDED))
+
+
+def mix(docs: DataFrame, max_repeat: int = 3, seed: int = 42, size: Column | None = None) -> DataFrame:
+    """All rows of ``docs`` plus size, source_size, target, copies and taken (= size * copies).
+
+    ``docs`` needs doc_id and source, and text unless ``size`` gives the words counted before.  Its own columns of
+    the added names are kept as ``in_<name>`` (underscores are added where that is taken, too).
+    """
+    m = mix_rows(docs, word_count() if size is None else size, max_repeat, seed)
+    clash = [c for c in docs.columns if c.lower() in ADDED]
+    names = dict(zip(clash, fresh(docs.columns + ADDED, *[f"in_{c}" for c in clash])))
+    return m.select(*[F.col("row")[c].alias(names.get(c, c)) for c in docs.columns], *ADDED)
 
 
 def sample(docs: DataFrame, max_repeat: int = 3, seed: int = 42) -> DataFrame:
     """The mixed documents themselves: the columns of ``docs``, a row per taken copy."""
-    m = mix(docs.select(*docs.columns), max_repeat, seed)
-    back = {f"in_{c}": c for c in docs.columns if f"in_{c}" in m.columns and f"in_{c}" not in docs.columns}
-    out = m.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    inv = {v: k for k, v in back.items()}
-    return out.select(*[F.col(inv[c]).alias(c) if c in inv else F.col(c) for c in docs.columns])
+    m = mix_rows(docs, word_count(), max_repeat, seed).where("copies > 0")
+    return m.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+        *[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    slim = staged(docs.select("doc_id", "source", word_count().alias("mix_size")), "mix-slim")
-    return mix(slim).select("doc_id", "size", "source_size", "target", "taken")
+    slim = staged(docs.select("doc_id", "source", word_count().alias("words")), "mix-slim")
+    return mix(slim, size=F.col("words")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 # source levels: with the sources sorted by size/weight, the first k are capped; the level of the

@@ -7,8 +7,9 @@ candidates; each candidate cluster is verified exactly by cosine in double preci
 
 Edge cases: vectors that are NULL, empty, zero, or hold NULL or non-finite components, and vectors with
 a NULL label, link to nothing; vectors of different lengths are never compared; equal vectors of a
-label are compared once and linked to each other; repeated rows count as copies; an empty table gives
-an empty result; other columns are not read.
+label are compared once and linked to each other; repeated rows count as copies; rows that share a vec_id but
+not the vector have their own results; labels that are no integers are compared by a 64-bit hash of their text; an
+empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .blocks import candidate_clusters, chunk_pairs, summarise, verify
 from .common import mix, read, staged
@@ -89,8 +91,10 @@ def lattice_keys(x: np.ndarray, label: np.ndarray, tables: int = TABLES, blocks:
 
 
 def _keyed(vectors: DataFrame) -> DataFrame:
-    """vec_id, node (class of equal vectors in a label), size, data (float64 bytes), keys; only usable rows."""
+    """vec_id, node (class of equal vectors in a label), size, data (float64 bytes), keys; NULL but for the id in rows
+    that link with nothing."""
     schema = "vec_id long, node long, size long, data binary, keys array<long>"
+    names = ["vec_id", "node", "size", "data", "keys"]
 
     def run(batches):
         for b in batches:
@@ -98,6 +102,7 @@ def _keyed(vectors: DataFrame) -> DataFrame:
             vec = b.column(1).cast(pa.large_list(pa.float64()))
             ids, labels, lists = b.column(0).to_pylist(), lab.to_pylist(), vec.to_pylist()
             by_dim: dict[int, list] = {}
+            usable: set[int] = set()
             for i, v in enumerate(lists):
                 if v and labels[i] is not None and not any(z is None for z in v):
                     by_dim.setdefault(len(v), []).append(i)
@@ -107,6 +112,7 @@ def _keyed(vectors: DataFrame) -> DataFrame:
                 rows, x = [r for r, o in zip(rows, ok) if o], x[ok] + 0.0        # -0.0 becomes 0.0
                 if not rows:
                     continue
+                usable.update(rows)
                 # by its largest component first, so that very large or small vectors keep their direction
                 unit = x / np.abs(x).max(axis=1, keepdims=True)
                 unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
@@ -121,7 +127,10 @@ def _keyed(vectors: DataFrame) -> DataFrame:
                     [pa.array([ids[i] for i in rows], pa.int64()), pa.array(node),
                      pa.array(np.full(len(rows), dim), pa.int64()), pa.array([u.tobytes() for u in unit], pa.binary()),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * k, pa.int32()), pa.array(keys.reshape(-1)))],
-                    names=["vec_id", "node", "size", "data", "keys"])
+                    names=names)
+            rest = [ids[i] for i in range(len(ids)) if i not in usable]
+            yield pa.RecordBatch.from_arrays([pa.array(rest, pa.int64()), *[pa.nulls(len(rest), t) for t in (
+                pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))]], names=names)
 
     return vectors.mapInArrow(run, schema)
 
@@ -140,10 +149,12 @@ def cosine_links(threshold: float):
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors(vec_id, embedding, label)``."""
+    whole = isinstance(vectors.schema["label"].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    label = F.col("label").cast("long") if whole else F.when(F.col("label").isNotNull(), F.xxhash64(F.col("label").cast("string")))
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),
-                       F.col("label").cast("long").alias("label"))
+                       label.alias("label"))
     keyed = staged(_keyed(v), "e8-keyed")
-    nodes = staged(keyed.groupBy("node").agg(
+    nodes = staged(keyed.where("node is not null").groupBy("node").agg(
         F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("size").alias("size"),
         F.first("data").alias("data"), F.first("keys").alias("keys")), "e8-nodes")
     clusters = candidate_clusters(nodes.select("node", F.explode("keys").alias("key")), "e8-cand")
@@ -151,9 +162,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                    "e8-items")
     links = verify(chunk_pairs(items, items.select("root", "size"), 1024, 1 << 20), cosine_links(threshold))
     per_node = summarise(nodes.select("node", "first_id", "n_copies", F.lit(False).alias("alone")), links, "e8")
-    of = keyed.select("vec_id", "node").join(per_node, "node").groupBy("vec_id").agg(
-        F.max("n_links").alias("n_links"), F.min("component").alias("component"))
-    out = v.select("vec_id").join(of.withColumnRenamed("vec_id", "_id"), F.col("vec_id").eqNullSafe(F.col("_id")), "left")
+    out = keyed.select("vec_id", "node").join(per_node, "node", "left")
     comp = F.coalesce("component", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       comp.alias("component_id"), F.col("vec_id").eqNullSafe(comp).alias("kept"))

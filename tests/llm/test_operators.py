@@ -326,6 +326,53 @@ def test_secrets_one_kind(spark):
     assert op1_secrets.training_rows(x, 5000)[0].count() == 150
 
 
+def test_secrets_have_no_size_limits(spark):
+    r = random.Random(8)
+    key = lambda n: "".join(r.choice("ABCDEFabcdefghij0123456789") for _ in range(n - 1)) + "7"
+    cut = "-----BEGIN PRIVATE KEY-----\n" + "\n".join(key(64) for _ in range(260))
+    dashes = "-----BEGIN PGP PRIVATE KEY BLOCK-----\n" + "\n".join(f"{key(20)}-{key(20)}" for _ in range(300)) + "\n-----END PGP PRIVATE KEY BLOCK-----"
+    want = [('password = "{}"', key(300)), ("token: '{}'", key(5000)), ("{}\n\nend", cut), ("{} end", dashes),
+            (f"my_password_{'x' * 40} = {{}}", "hunter2aa!"), (f"my_password_{'y' * 400}_z = {{}} end", "hunter2aab!"),
+            ("a secret_" * 3000 + "b={} c", "abc123def456")]
+    rows = [(None if i == 1 else i, t.format(v), "en", "s", 0, "x") for i, (t, v) in enumerate(want)]
+    rows += [(90, 'password = "abc123" then xabc123y', "en", "s", 0, "x"), (91, "password" * 30000, "en", "s", 0, "x"),
+             (92, "x_secret_key-" * 20000 + " = ", "en", "s", 0, "x")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {(f.doc_id, f.candidate) for f in op1_secrets.scan(docs).collect() if f.is_secret}
+    assert got == {(None if i == 1 else i, v) for i, (_, v) in enumerate(want)} | {(90, "abc123")}
+    masked = {m.doc_id: m.text for m in op1_secrets.mask_secrets(docs).collect()}
+    assert masked[90] == f'password = "{op1_secrets.MASK}" then xabc123y' and masked[None] == f"token: '{op1_secrets.MASK}'"
+    labels = spark.createDataFrame([(None, 0, 0), (0, 0, 1)], "doc_id long, nth int, label int")
+    marked = {f.doc_id: f.score for f in op1_secrets.scan(docs.where("doc_id is null or doc_id = 0"), labels).collect()}
+    assert marked[None] < 0.5 < marked[0]
+
+
+def test_columns_of_any_name(spark, rows):
+    """Extra columns keep their names and values in the operators that return whole documents."""
+    names = ["mix_size", "_pid", "_s", "size", "in_size", "mix_rank", "_copy", "_bad", "_id", "_h", "_jac_id", "jac_h", "row", "bad", "of",
+             "masked", "target", "_idx", "base", "spans", "place", "n", "node", "word", "score"]
+    docs = spark.createDataFrame([(i, t, lang, source, n, *[f"{c}{k}" for c in names]) for k, (i, t, lang, source, n, _) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names))
+    docs = docs.repartition(3)
+    mixed = op5_mixing.mix(docs)
+    assert mixed.count() == len(rows) and {"in_size_", "in_target", "size", "target"} <= set(mixed.columns)
+    model = op6_toxicity.train(docs, spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int"))
+    before = {tuple(r[c] for c in names) for r in docs.collect()}
+    for out in (op5_mixing.sample(docs), op1_secrets.mask_secrets(docs), op2_ngram_join.drop_near_copies(docs), op6_toxicity.keep_clean(docs, model)):
+        assert out.columns == docs.columns
+        assert {tuple(r[c] for c in names) for r in out.collect()} <= before
+
+
+def test_lattice_rows_have_their_own_results(spark):
+    v = np.random.default_rng(3).normal(size=(3, 16))
+    near = (v[0] * 1.001).tolist()
+    rows = [(1, v[0].tolist(), "a"), (2, near, "a"), (3, near, "a"), (1, None, "a"), (None, near, "a"), (None, v[1].tolist(), "a"),
+            (4, near, "b"), (5, v[0].tolist(), None), (1, v[2].tolist(), "a")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted(((g.vec_id or 0, g.n_links) for g in op8_lattice.near_vectors(df).collect()))
+    assert got == [(0, 0), (0, 3), (1, 0), (1, 0), (1, 3), (2, 3), (3, 3), (4, 0), (5, 0)]
+
+
 def test_secrets_kinds(spark):
     r = random.Random(7)
     key = lambda n: "".join(r.choice("ABCDEFabcdefghij0123456789") for _ in range(n - 1)) + "7"
