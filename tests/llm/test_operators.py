@@ -152,6 +152,38 @@ def test_toxicity(spark):
     assert op6_toxicity.score(empty(spark), model).count() == 0
 
 
+def test_toxicity_from_positives_alone(spark):
+    r = random.Random(3)
+    rows = [(i, words(r, 40) + (" you utter idiot" if i % 5 == 0 else ""), "en", "s", 0, "x") for i in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, 1, 1) for i in range(0, 300, 5)], "doc_id long, quality int, toxic int")
+    for prior in (None, 0.2):
+        model = op6_toxicity.train(docs, labels, prior=prior)
+        got = {x.doc_id: x.score for x in op6_toxicity.score(docs, model).collect()}
+        assert all((got[i] >= 0.7) == (i % 5 == 0) for i in got)
+    assert {d.doc_id for d in op6_toxicity.keep_clean(docs, model).collect()} == {i for i in range(600) if i % 5}
+
+
+def test_toxicity_gradient_and_prior():
+    g = np.random.default_rng(1)
+    data = lambda n, lift: [sorted(np.flatnonzero(g.random(12) < np.where(np.arange(12) < 4, lift, 0.3)).tolist()) for _ in range(n)]
+    pos, unl = data(200, 0.7), data(300, 0.1) + data(60, 0.7)
+    p, u = op6_toxicity._flat(pos), op6_toxicity._flat(unl)
+    w, b = g.normal(size=12) * 0.2, -0.3
+    assert op6_toxicity.risk_parts(w, b, p, u, 0.2)[1] > 0
+    got = op6_toxicity.risk_gradient(w, b, p, u, 0.2)
+    total = lambda x: sum(op6_toxicity.risk_parts(x[:-1], x[-1], p, u, 0.2))
+    x0, eps = np.append(w, b), 1e-6
+    want = [(total(x0 + eps * e) - total(x0 - eps * e)) / (2 * eps) for e in np.eye(13)]
+    assert np.allclose(got, want, atol=1e-7)
+    x = x0 * 0 + np.append(np.zeros(12), -30.0)                     # everything called negative: the second part is below zero
+    back = op6_toxicity.risk_gradient(x[:-1], x[-1], p, u, 0.9)
+    if op6_toxicity.risk_parts(x[:-1], x[-1], p, u, 0.9)[1] < 0:
+        part = lambda y: -op6_toxicity.risk_parts(y[:-1], y[-1], p, u, 0.9)[1]
+        assert np.allclose(back, [(part(x + eps * e) - part(x - eps * e)) / (2 * eps) for e in np.eye(13)], atol=1e-6)
+    assert 0.1 < op6_toxicity.estimate_prior(pos, unl, 12) < 0.3    # 60 of 360
+
+
 def test_rans(spark, docs, rows):
     r = np.random.default_rng(3)
     for ids in (r.zipf(1.3, 200_001) % 50257, np.zeros(70_000), np.array([7]), np.arange(50257)):
