@@ -6,9 +6,10 @@ against a node: what holds the article, the core or a large share of the text st
 a weak name (notice, related ...) inside an article.  For every remaining node the
 link-adjusted characters per tag are computed, the densities of its children are summed, and the node
 with the largest sum is the core.  The lowest density on the path from the core to the body is the
-threshold.  The main text is what is left of the body without the blocks below the threshold whose text
-is mostly links; of these an article keeps all, the core those after its first text, and any node those
-that stand between two texts.
+threshold.  Outside the core a block below the threshold goes, unless it holds a paragraph, a heading or stands
+between two texts; a block whose text is mostly links goes there and in the core, where an article keeps all, the core
+those after its first text, and any node those that stand between two texts.  Where articles (or else main elements)
+hold a good part of the text or the core, only they and the headings before them are the main text.
 
 Edge cases: NULL or empty html gives empty text; unclosed and crossing tags follow HTML's implied ends;
 a page cut inside a tag ends there; very deep nesting is walked without recursion; repeated rows are
@@ -46,13 +47,13 @@ DROP_TAGS = set("script style noscript template iframe object embed svg canvas b
 VOTE_TAGS = set("nav aside footer form menu dialog".split())
 DROP_ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 STRONG = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored cookie cookies consent gdpr "
-             "sidebar comment comments disqus reply replies menu nav navbar navigation masthead breadcrumb breadcrumbs "
+             "sidebar comment comments review reviews ratings disqus reply replies menu nav navbar navigation masthead breadcrumb breadcrumbs "
              "share sharing newsletter subscribe signup popup modal overlay pagination pager toolbar".split())
 WEAK = set("promo promotion banner notice alert footer header social related recommended widget skip".split())
 # words that may stand beside them in a whole name of a role, in any and in names with a strong word
 BESIDE = set("site main page top bottom left right container wrapper wrap box list area section block inner outer bar "
              "link links button buttons icon icons form item items slot unit primary secondary global mobile desktop "
-             "fixed sticky media module panel group posts articles stories".split())
+             "fixed sticky media module panel group posts articles stories user users customer reader readers".split())
 OF_TEXT = set("post entry article content story".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 PARAGRAPH = 100                # characters outside links that make a p a paragraph of text
@@ -105,6 +106,13 @@ def parse(page: str) -> Node:
     root = Node("#root", None)
     cur, body, pos = root, None, 0
     n = len(page)
+    opened: dict[str, int] = {}                             # open elements by tag
+
+    def leave(low: Node, high: Node) -> None:
+        while low is not high:
+            opened[low.tag] -= 1
+            low = low.parent
+
     while pos < n:
         m = _TOKEN.search(page, pos)
         if m is None:
@@ -118,10 +126,11 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if close:
-            node = cur
+            node = cur if opened.get(tag) else None       # a stray end tag costs one look-up
             while node is not None and node.tag != tag and not (tag in INLINE and node.tag not in INLINE):
                 node = node.parent
             if node is not None and node.tag == tag and node.parent is not None:
+                leave(cur, node.parent)
                 cur = node.parent
             continue
         if tag == "body" and body is not None:
@@ -138,6 +147,7 @@ def parse(page: str) -> Node:
                         break
                 node = node.parent
             if found is not None:
+                leave(cur, found.parent)
                 cur = found.parent
         node = Node(tag, cur, *_judge(tag, m.group(3)))
         cur.kids.append(node)
@@ -148,6 +158,7 @@ def parse(page: str) -> Node:
             pos = e.end() if e else n
         elif tag not in VOID and not m.group(3).endswith("/"):
             cur = node
+            opened[tag] = opened.get(tag, 0) + 1
     return body or root
 
 
@@ -282,12 +293,35 @@ def _heading(k: Node | None) -> bool:
     return k is not None
 
 
+def _articles(nodes: list[Node], body: Node, core: Node) -> list[Node]:
+    """The outermost article elements, or else main elements, if they hold a quarter of the text or the core."""
+    on_core = set(map(id, _path(core, body)))
+    for tag in ("article", "main"):
+        found, inner = [], set()
+        for x in nodes:                                     # parents first
+            if id(x.parent) in inner or x.tag == tag:
+                inner.add(id(x))
+                if id(x.parent) not in inner:
+                    found.append(x)
+        held = sum(x.chars - x.link_chars for x in found)
+        if held and (held * 4 >= body.chars - body.link_chars or any(id(x) in on_core for x in found)):
+            return found
+    return []
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     body = parse(page)
     nodes = settle(body)
     core = max(nodes, key=lambda x: x.total)
+    articles = _articles(nodes, body, core)
+    around = {id(y) for x in articles for y in _path(x, body)[1:]}           # what an article stands in
+    within = set(map(id, articles))
+    headed = set()                                          # nodes with a heading inside
+    for x in reversed(nodes):
+        if x.tag in HEADINGS or id(x) in headed:
+            headed |= {id(x), id(x.parent)}
     path = _path(core, body)
     limit, above = min(x.density for x in path), set(map(id, path[1:]))
     texts = set(map(id, path))                              # blocks that hold the core or a paragraph of text
@@ -316,8 +350,16 @@ def main_text(page: str | None) -> str:
         plain = [i for i, (k, _, n, m) in enumerate(blocks)
                  if k is not None and id(k) in texts or n and m * 2 <= n and not _heading(k)]
         kept = [(k, True) for k in x.kids if isinstance(k, str) or not k.cut] if whole else []
+        deep = [i for i, (k, *_) in enumerate(blocks) if k is not None and id(k) in texts]
+        arts = [i for i, (k, *_) in enumerate(blocks) if k is not None and (id(k) in within or id(k) in around)]
         for i, (k, kids, n, m) in enumerate(blocks):
             free = False
+            if id(x) in around:
+                if i not in arts and not (_heading(k) and i < arts[0]):
+                    continue
+            elif (id(x) in above and not own and k is not None and k is not core and k.density < limit
+                  and id(k) not in above and id(k) not in texts and id(k) not in headed and not (deep and deep[0] < i < deep[-1])):
+                continue
             judged = id(x) in above and not own if k is None else k.density < limit and id(k) not in above and k is not core
             if judged and m * 2 > n and not _heading(k):
                 if own and (core is not body or k is None or k.tag not in ("div", "section")):

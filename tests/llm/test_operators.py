@@ -339,6 +339,28 @@ def test_html_layouts():
     assert op9_html.main_text(f"<body><div>{PARAS}</div>{tail}</body>").count("Words of a section.") == 12
 
 
+def test_html_density_decides():
+    """Parts without a telling name: what is short and outside the densest subtree goes."""
+    whole = " ".join(op9_html.re.sub("<[^>]*>", " ", PARAS).split())
+    strays = ["<div class=c1>Buy two pairs of shoes today and get one for free</div>", "<p>Copyright 2024 Example Press</p>",
+              "<div>Sign in / Cart</div>", '<div class="user-reviews"><p>' + "A fine read, five of five. " * 9 + "</p></div>"]
+    for s in strays:
+        for page in (f"{s}<div>{PARAS}</div>", f"<div>{PARAS}</div>{s}", f"<div><div>{PARAS}</div>{s}</div>", f"{s}<article>{PARAS}</article>{s}"):
+            assert op9_html.main_text(f"<body>{page}</body>") == whole, page[:90]
+    comments = "<div>" + "<p>I do not agree with the writer, and here is why.</p>" * 9 + "</div>"
+    for box in ("article", "main"):
+        assert op9_html.main_text(f"<body>Sign in<{box}>{PARAS}</{box}>{comments}Copyright</body>") == whole
+        assert op9_html.main_text(f"<body><h1>T</h1><{box}>{PARAS}</{box}><h3>Comments</h3>{comments}</body>") == "T " + whole
+    assert op9_html.main_text(f"<body><main><article>{PARAS}</article>{comments}</main></body>") == whole
+
+
+def test_html_stray_end_tags_are_cheap():
+    import time
+    t0 = time.perf_counter()
+    op9_html.main_text("<p>" + "<b>" * 20000 + "x" + "</i>" * 20000)
+    assert time.perf_counter() - t0 < 5
+
+
 def test_secrets_one_kind(spark):
     r = random.Random(6)
     odd = ["".join(r.choice("0123456789abcdef") for _ in range(40)), "0f8fad5b-d9cb-469f-a165-70867728950e", "some_file_name_2024_v2"]
