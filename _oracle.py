@@ -291,6 +291,12 @@ ORACLE_SQL["x1_references"] = """SELECT p_partkey, p_name || chr((p_partkey % 90
   || '’&lt; &bogus;₹ ½' AS text FROM part"""
 ORACLE_SQL["x3_labels"] = """SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN round(abs(c_acctbal), 2) END AS assets, c_nationkey::DOUBLE AS ebitda,
   7.5::DOUBLE AS ebitda_margin, NULL::DOUBLE AS pat, round(abs(c_acctbal), 2) AS revenue, -c_nationkey::DOUBLE AS eps, NULL::DOUBLE AS ev_ebitda FROM customer"""
+ORACLE_SQL["s10_base_table"] = "SELECT c_mktsegment AS segment, c_custkey, c_name, round(c_acctbal, 6) AS c_acctbal FROM customer"
+ORACLE_SQL["q9_preview"] = """SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, o_orderpriority FROM orders
+ORDER BY o_orderpriority NULLS LAST, orders.o_totalprice NULLS LAST, o_orderkey LIMIT 20"""
+ORACLE_SQL["f4_override"] = """SELECT c_name AS company, CAST(NULL AS DOUBLE) AS issue_price,
+  CASE WHEN c_custkey % 4 <> 1 THEN format('{:,.2f}', c_acctbal) END AS net_worth, c_nationkey || '%' AS allocation_qib,
+  c_nationkey::DOUBLE AS pre_issue_promoter_holding FROM customer"""
 ORACLE_SQL["x25_failures"] = r"""
 WITH h AS (SELECT page_id, substr(html, 1, CAST(floor(length(html) * (page_id % 5) / 4) AS BIGINT)) AS html FROM pages),
 e AS (SELECT page_id, CASE WHEN html IS NULL OR NOT regexp_matches(html, '\S') THEN 'no content'

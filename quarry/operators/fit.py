@@ -185,9 +185,9 @@ def distributed_quantiles(df: DataFrame, cols: dict[str, list[float]]) -> dict[s
     """Exact linear-interpolated quantiles without a whole column in one task.
 
     The distinct values of all columns with their counts (map-side combined, so a hot value is one
-    row) are range-partitioned by (column, value).  Each partition sums its counts, the totals of the
-    partitions before it give its first rank, and only the rows that hold a wanted rank, two per
-    probability, reach the driver.  Infinite values rank like any other.  Returns
+    row) are range-partitioned by (column, value) and written once.  Each partition sums its counts; the totals (one row a
+    column and partition) tell which partition holds a wanted rank, only those are read again, and of them
+    only the rows with a wanted rank, two per probability, reach the driver.  Infinite values rank like any other.  Returns
     {col: (values, min, max)}, Nones for a column without values.
     """
     names = list(cols)
@@ -196,24 +196,33 @@ def distributed_quantiles(df: DataFrame, cols: dict[str, list[float]]) -> dict[s
     entries = F.array(*[F.struct(F.lit(i).alias("i"), as_double(df, c).alias("x")) for i, c in enumerate(names)])
     counts = (df.select(F.inline(entries)).where("x is not null and not isnan(x)")
               .groupBy("i", "x").agg(F.count(F.lit(1)).alias("n")))
-    counts = cut_lineage(counts.repartitionByRange("i", "x").withColumn("pid", F.spark_partition_id()))
-    part = counts.groupBy("i", "pid").agg(F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    whole = {r["i"]: r for r in part.groupBy("i").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"),
-                                                      F.max("hi").alias("hi")).collect()}      # a row per column
+    counts = counts.repartitionByRange("i", "x").withColumn("pid", F.spark_partition_id()).sortWithinPartitions("i", "x")
+    counts = cut_lineage(counts)
+    part = (counts.groupBy("i", "pid").agg(F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+            .orderBy("i", "pid").collect())                       # a row for each column and partition that holds it
+    of = {i: [r for r in part if r["i"] == i] for i in {r["i"] for r in part}}
+    whole = {i: {"lo": min(r["lo"] for r in rs), "hi": max(r["hi"] for r in rs), "n": sum(r["n"] for r in rs)} for i, rs in of.items()}
     spots: dict[str, list[tuple[int, int, float]]] = {}
     for i, c in enumerate(names):
         last = whole[i]["n"] - 1 if i in whole else -1
         spots[c] = [(int(p * last), min(int(p * last) + 1, last), p * last - int(p * last)) for p in cols[c]] \
             if last >= 0 else []
-    wanted = sorted({(i, k) for i, c in enumerate(names) for spot in spots[c] for k in spot[:2]})
-    before = Window.partitionBy("i").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    first = part.select("i", "pid", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
-    upto = Window.partitionBy("i", "pid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counts.withColumn("run", F.sum("n").over(upto)).join(first, ["i", "pid"])
-              .select("i", "x", (F.col("off") + F.col("run")).alias("end"), "n"))
-    ranks = df.sparkSession.createDataFrame(wanted, "i int, k long")
-    at = {(r["i"], r["k"]): r["x"] for r in ranked.join(F.broadcast(ranks), "i")
-          .where("k >= end - n and k < end").select("i", "k", "x").collect()} if wanted else {}
+    wanted = []                                                   # (column, partition, rank in it, rank)
+    for i, k in sorted({(i, k) for i, c in enumerate(names) for spot in spots[c] for k in spot[:2]}):
+        rest = k
+        for r in of[i]:
+            if rest < r["n"]:
+                wanted.append((i, r["pid"], rest, k))
+                break
+            rest -= r["n"]
+    at = {}
+    if wanted:
+        ranks = df.sparkSession.createDataFrame(wanted, "i int, pid int, r long, k long")
+        upto = Window.partitionBy("i", "pid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # only the files of these partitions are read
+        held = counts.where(F.col("pid").isin(sorted({w[1] for w in wanted}))).join(F.broadcast(ranks.select("i", "pid").distinct()), ["i", "pid"])
+        found = held.withColumn("run", F.sum("n").over(upto)).join(F.broadcast(ranks), ["i", "pid"]).where("r >= run - n and r < run")
+        at = {(r["i"], r["k"]): r["x"] for r in found.select("i", "k", "x").collect()}
     out = {}
     for i, c in enumerate(names):
         vals: list[float | None] = [None] * len(cols[c])

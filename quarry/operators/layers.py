@@ -100,6 +100,12 @@ def coalesce_clashes(df: DataFrame, names: list[str], prefer: str = "_y", other:
     return df
 
 
+def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """Q9: the first ``n`` rows by ``order`` (NULLs last, then by all other columns): the same ones on every run."""
+    keys = [*order, *[c for c in df.columns if c not in order]]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys]).limit(n)
+
+
 def project(df: DataFrame, cols=None, registry_names: list[str] | None = None) -> DataFrame:
     """Q1: the requested columns that exist, in order; ``None`` -> every registry column present."""
     want = cols if cols is not None else (registry_names or [])

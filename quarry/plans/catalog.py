@@ -567,7 +567,7 @@ def m5_m6_importance(spark, sf_dir):
 # ---------------------------------------------------------------------------------------------
 # Projection, joins, unions, dedup
 # ---------------------------------------------------------------------------------------------
-from ..operators.layers import coalesce_clashes, dedup_first, join_chain, project, resolve_clashes, union_all  # noqa: E402,E501
+from ..operators.layers import coalesce_clashes, dedup_first, join_chain, preview, project, resolve_clashes, union_all  # noqa: E402,E501
 
 
 def _chain_tables(spark, sf_dir):
@@ -706,6 +706,28 @@ def s5_typed(spark, sf_dir):
     return round_doubles(t.select("o_orderkey", "o_totalprice", "note", F.col(IO.REJECT).isNotNull().alias("rejected")))
 
 
+@query("s10_base_table")
+def s10_base_table(spark, sf_dir):
+    """One base table, partitioned by segment, written and read back."""
+    path = scratch_path(spark, "base")
+    c = read_table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("segment"), "c_custkey", "c_name", "c_acctbal")
+    IO.write_table(c, path, ["segment"])
+    return round_doubles(spark.read.parquet(path).select("segment", "c_custkey", "c_name", "c_acctbal"))
+
+
+@query("q9_preview")
+def q9_preview(spark, sf_dir):
+    return round_doubles(preview(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority"),
+                                 20, ["o_orderpriority", "o_totalprice"]))
+
+
+@query("f4_override")
+def f4_override(spark, sf_dir):
+    """the same columns under overridden cleaners: a share read as a number, an amount kept as text."""
+    raw = listing_raw(spark, sf_dir).select("company", "issue_price", "net_worth", "allocation_qib", "pre_issue_promoter_holding")
+    return round_doubles(C.clean_df(raw, overrides={"allocation_qib": "text", "net_worth": "text", "issue_price": "number", "company": "text"}))
+
+
 @query("g2_groups")
 def g2_groups(spark, sf_dir):
     """Every feature group from one shared fit, long form (group, company, feature, value or label)."""

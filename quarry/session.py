@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +75,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written once as Parquet under the shared checkpoint dir and reread (survives executor loss).
+
+    An eager ``checkpoint()`` runs the plan twice, once to count and once to write; this runs it once, and readers
+    get column pruning and row-group statistics.  The folders are named ``quarry-stage-*`` and may be deleted when the
+    job has ended.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
