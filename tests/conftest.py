@@ -15,6 +15,7 @@ def spark():
     s = (SparkSession.builder.master("local[*]").appName("quarry-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")   # no call-site capture for every Column call
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quarry-test-ckpt-"))
          .getOrCreate())
