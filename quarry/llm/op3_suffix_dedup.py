@@ -303,7 +303,8 @@ def remove_repeats(docs: DataFrame, max_pieces: int = MAX_PIECES) -> DataFrame:
     runs = staged(_runs(d).groupBy("node").agg(F.first(F.struct("keys", "a", "b")).alias("r")), "lpf-runs")
     flat = runs.select("node", F.explode(F.arrays_zip("r.keys", "r.a", "r.b")).alias("x")).select(
         "node", F.col("x.keys").alias("key"), F.col("x.a").alias("a"), F.col("x.b").alias("b"))
-    again = flat.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # written, so that the join deals out both sides itself and the rows of a very common key can be split
+    again = staged(flat.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "lpf-again")
     cand = flat.join(again, "key").groupBy("node").agg(F.collect_list(F.struct("key", "a", "b")).alias("runs"))
     cand = staged(cand.join(nodes.select("node", "first_id"), "node"), "lpf-cand")
     may = member_filter(cand)

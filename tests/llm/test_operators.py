@@ -264,6 +264,16 @@ def test_lz(spark, docs, rows):
                      op10_lz.fingerprint(edited)))
     assert sorted((-1 if g.doc_id is None else g.doc_id, g.n_chars, g.edited_sha256, g.fingerprint, g.edited_fingerprint)
                   for g in got) == sorted(want)
+    # 128 minimum hashes estimate the likeness of the phrase sets: four standard errors are 0.18
+    jaccard = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    near = {}
+    for k, (i, t) in enumerate(data):
+        cut, after = len(t) // 3, data[(k + 1) % len(data)][1]
+        near.setdefault((-1 if i is None else i, op10_lz.fingerprint(t)), []).append(
+            (jaccard(phrases(t), phrases(t[:len(t) - cut] + after[:cut])), jaccard(phrases(t), phrases(after))))
+    for g in got:
+        assert any(abs(g.near_edited - a) < 0.18 and abs(g.near_next - b) < 0.18
+                   for a, b in near[-1 if g.doc_id is None else g.doc_id, g.fingerprint]), g.doc_id
     assert op10_lz.compare_with_next(empty(spark)).count() == 0
 
 
