@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.clean import collapse_ws
-from ..functions.text import canonical_category, first_signed_decimal, html_text, norm_category_text
+from ..functions.text import canonical_category, html_text, norm_category_text
 from ..session import cut_lineage
 from .html import followers, heading_text, parse_page, tables_of
 
@@ -442,7 +442,7 @@ def scan_pages(pages: DataFrame, keys: list[str], html: str = "html", path: str
     """One scan of all pages, written once, that gives sound pages and a quarantine of failed ones.
 
     The counts are observed by the job that writes.  ``path`` is a Parquet folder; without one the scan is a
-    reliable checkpoint.
+    stage in the checkpoint dir.
     """
     counts = Observation()
     s = pages.withColumn("_page", parse_page(html))

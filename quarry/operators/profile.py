@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,8 +130,8 @@ def sequential_iqr_filter(df: DataFrame, cols: list[str], factor: float = 1.0, f
     """Q7: IQR filter per column in turn, each bound refitted on the rows kept so far.
 
     A true data dependency: one small aggregation job per column.  The plan of
-    the result is the source plus k literal filters; lineage is cut with a
-    reliable checkpoint every ``checkpoint_every`` steps for long feature lists.
+    the result is the source plus k literal filters; lineage is cut by a
+    written stage every ``checkpoint_every`` steps for long feature lists.
     """
     cols = select_existing(df, cols)
     out = df.select(*[F.coalesce(as_double(df, c), F.lit(0.0)).alias(c) if fill_zero else as_double(df, c).alias(c)

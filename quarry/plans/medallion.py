@@ -67,8 +67,8 @@ def silver(bronze_df: DataFrame) -> DataFrame:
 
 
 def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
-    """Write a layer once: to ``path`` as Parquet, else a reliable checkpoint in the
-    cluster's checkpoint dir.  Cuts lineage (executor loss replays one layer only)."""
+    """Write a layer once as Parquet: to ``path``, else as a stage in the cluster's checkpoint dir.
+    Cuts lineage (executor loss replays one layer only)."""
     if path is None:
         return cut_lineage(df)
     df.write.mode("overwrite").parquet(path)
