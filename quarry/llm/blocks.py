@@ -4,6 +4,10 @@ Items that share a bucket key are joined into candidate clusters (a star per buc
 components), so pairs are never emitted.  A cluster is cut into chunks of bounded size, each pair of
 chunks is one group of a shuffle, and the pairs inside are compared as a matrix in the task; it returns
 one row per item and group: how many rows it links to there and the smallest linked item.
+
+``placed`` compares a cluster of several chunks bucket by bucket where that moves fewer rows: a long chain
+of buckets (each text near the next, none near all) then costs its buckets and not its length squared.
+A pair that shares several buckets counts in the first of them.
 """
 
 from __future__ import annotations
@@ -42,8 +46,50 @@ def chunk_pairs(items: DataFrame, sizes: DataFrame, max_items: int, max_size: in
     return (c.withColumn("i", F.least("mine", "_o")).withColumn("j", F.greatest("mine", "_o")).drop("_o", "chunks"))
 
 
+def placed(members: DataFrame, max_items: int, max_size: int, label: str) -> DataFrame:
+    """Add ``spots`` (the groups that compare a row: root, mine, chunks) and ``split`` to ``members(root, node, size, keys)``.
+
+    A cluster of one chunk is one group.  A larger one is ``split`` into its buckets when all their chunk pairs
+    together hold fewer rows than its own; both figures are plain sums over the slim table.
+    """
+    chunks = F.greatest(F.ceil(F.greatest(F.count(F.lit(1)) / max_items, F.sum("size") / max_size)), F.lit(1)).cast("long")
+    slim = members.select("root", "node", "size", "keys")
+    per = staged(slim.groupBy("root").agg(F.count(F.lit(1)).alias("m"), chunks.alias("chunks")), f"{label}-clusters")
+    by_key = slim.join(per.where("chunks > 1").select("root"), "root").select(
+        "root", "node", "size", F.explode(F.array_distinct("keys")).alias("key"))
+    per_key = staged(by_key.groupBy("root", "key").agg(F.count(F.lit(1)).alias("m"), chunks.alias("chunks")).where("m > 1"),
+                     f"{label}-buckets")
+    cost = per_key.groupBy("root").agg(F.sum(F.col("m") * F.col("chunks")).alias("by_key"))
+    mode = staged(per.join(cost, "root", "left").select(
+        "root", "chunks", F.coalesce(F.col("by_key") < F.col("m") * F.col("chunks"), F.lit(False)).alias("split")), f"{label}-mode")
+    spot = F.struct("root", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).alias("mine"), "chunks")
+    one = slim.join(mode.where("not split"), "root").select("node", F.array(spot).alias("spots"), "split")
+    buckets = per_key.join(mode.where("split").select("root"), "root").select("key", "chunks")
+    many = (by_key.select("node", "key").join(buckets, "key").withColumnRenamed("key", "root")
+            .groupBy("node").agg(F.collect_list(spot).alias("spots")).withColumn("split", F.lit(True)))   # one a bucket of the row
+    return members.join(one.unionByName(many), "node")
+
+
+def spread(items: DataFrame) -> DataFrame:
+    """Rows with ``spots`` -> a row per chunk pair: (root, i, j, mine, ...)."""
+    rest = [c for c in items.columns if c != "spots"]
+    c = items.select(*rest, F.explode("spots").alias("_s")).select(
+        *rest, F.col("_s.root").alias("root"), F.col("_s.mine").alias("mine"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s.chunks") - 1)).alias("_o"))
+    return c.withColumn("i", F.least("mine", "_o")).withColumn("j", F.greatest("mine", "_o")).drop("_o")
+
+
+def first_shared(keys: np.ndarray, key: int) -> np.ndarray:
+    """Pairs of rows of the bucket ``key`` that share no earlier bucket (``keys``: a row's buckets in band order)."""
+    band = int(np.flatnonzero((keys == key).any(axis=0))[0])
+    new = np.ones((len(keys), len(keys)), dtype=bool)
+    for k in range(band):
+        new &= keys[:, k, None] != keys[None, :, k]
+    return new
+
+
 def verify(groups: DataFrame, linked) -> DataFrame:
-    """Rows (root, i, j, mine, node, weight, data) -> ``VERIFIED``.
+    """Rows (root, i, j, mine, node, weight, data, and keys where a group is a bucket) -> ``VERIFIED``.
 
     ``linked(list of data)`` gives the boolean matrix of links between the items.
     """
@@ -55,6 +101,8 @@ def verify(groups: DataFrame, linked) -> DataFrame:
         weight = np.array([r[5] for r in rows], dtype=np.int64)
         link = linked([r[6] for r in rows])
         np.fill_diagonal(link, False)
+        if len(rows[0]) > 7 and rows[0][7] is not None:            # a bucket of a split cluster
+            link &= first_shared(np.array([r[7] for r in rows], dtype=np.int64), rows[0][0])
         if rows[0][1] != rows[0][2]:                               # two chunks: only pairs across them
             mine = np.array([r[3] for r in rows])
             link &= mine[:, None] != mine[None, :]
@@ -83,7 +131,7 @@ def verify(groups: DataFrame, linked) -> DataFrame:
         if out:
             yield _batch(out)
 
-    g = groups.select("root", "i", "j", "mine", "node", "weight", "data")
+    g = groups.select("root", "i", "j", "mine", "node", "weight", "data", *[c for c in groups.columns if c == "keys"])
     g = g.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
     return g.mapInArrow(run, VERIFIED)
 

@@ -4,11 +4,13 @@ Whole texts are lower-cased and split at ASCII white space into words; the set o
 shingles (all words, when there are fewer) is compared by Jaccard similarity, 0.8 or more is a link.
 Rows and bands follow from the wanted recall at the threshold.  Equal texts form one class first, so
 copies are compared once; band hashes are shuffled, texts sharing one become candidates, and every
-candidate cluster is verified exactly on its full shingle sets (see ``blocks``).
+candidate cluster, or each of its buckets where that moves fewer rows, is verified exactly on full shingle
+sets (see ``blocks``).
 
 Edge cases: NULL, empty or blank text has no shingles and links to nothing; repeated rows count as
 copies; NULL doc_ids take part and sort first as class ids only if all members are NULL; ties cannot
-occur (class ids are minima); an empty table gives an empty result; other columns are not read.
+occur (class ids are minima); a very long text is shingled whole, in one task;
+an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,8 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .blocks import candidate_clusters, chunk_pairs, summarise, verify
+from .blocks import candidate_clusters, placed, spread, summarise, verify
 from .common import fresh, hash_family, hash_words, member_filter, min_hash, mix, read, shingles, staged, text_chunks, text_or_empty
 
 THRESHOLD, WORDS = 0.8, 5
@@ -69,7 +72,7 @@ def _signed(docs: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
 
 
 def _sets(rows: DataFrame, n: int) -> DataFrame:
-    """Sorted distinct shingle hashes of each text as bytes."""
+    """Rows ending in a text -> the same with the text's sorted distinct shingle hashes as bytes (``data``)."""
     def run(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 128):               # sets are larger than texts: few at once
@@ -77,11 +80,10 @@ def _sets(rows: DataFrame, n: int) -> DataFrame:
                 data = []
                 for _, h, off in _shingled(part.column(part.num_columns - 1), n):
                     data += [np.unique(h[s:e]).tobytes() for s, e in zip(off, off[1:])]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(data, pa.binary())],
-                                                 names=["root", "node", "size", "weight", "data"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(data, pa.binary())], names=names)
 
-    return rows.select("root", "node", "size", "weight", "text").mapInArrow(
-        run, "root long, node long, size long, weight long, data binary")
+    names = [*rows.columns[:-1], "data"]
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("data", T.BinaryType())]))
 
 
 def jaccard_links(threshold: float):
@@ -110,8 +112,12 @@ def jaccard_links(threshold: float):
     return linked
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, recall: float = 0.999) -> DataFrame:
-    """One row per document: doc_id, node (its text's class), n_copies, component_id, n_links, kept."""
+def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, recall: float = 0.999,
+                 max_items: int = 512) -> DataFrame:
+    """One row per document: doc_id, node (its text's class), n_copies, component_id, n_links, kept.
+
+    ``max_items`` texts (or 1024 shingles for each of them) make a chunk of a comparison.
+    """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     d = d.select("doc_id", F.xxhash64("text").alias("node"), "text")
     signed = staged(_signed(d, *choose_bands(threshold, recall), n), "jac-signed")
@@ -119,12 +125,17 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS,
                                               F.first("n").alias("n"), F.first("bands").alias("bands")), "jac-nodes")
     clusters = candidate_clusters(nodes.where("n > 0").select("node", F.explode("bands").alias("key")), "jac-cand")
     members = staged(clusters.join(nodes, "node").select(
-        "root", "node", F.col("first_id").alias("doc_id"), F.col("n").alias("size"), F.col("n_copies").alias("weight")),
-        "jac-members")
+        "root", "node", F.col("first_id").alias("doc_id"), F.col("n").alias("size"), F.col("n_copies").alias("weight"),
+        F.col("bands").alias("keys")), "jac-members")
+    spots = staged(placed(members, max_items, max_items << 10, "jac").select(
+        "node", "doc_id", "weight", F.when(F.col("split"), F.col("keys")).alias("keys"), "spots"), "jac-spots")
     near = member_filter(members)
-    texts = d.where(near("node")).join(members, (d["node"] == members["node"]) & d["doc_id"].eqNullSafe(members["doc_id"])).select(
-        "root", members["node"], "size", "weight", "text")
-    links = verify(chunk_pairs(_sets(texts, n), members, 512, 1 << 19), jaccard_links(threshold))
+    # a text's first id picks its row; repeated rows go by the join's own keys, before their sets are made
+    plain = lambda df, *more: df.select("node", F.coalesce("doc_id", F.lit(0)).alias("id"),
+                                        F.col("doc_id").isNull().alias("none"), *more)
+    texts = plain(d.where(near("node")), "text").join(plain(spots, "weight", "keys", "spots"), ["node", "id", "none"])
+    texts = texts.dropDuplicates(["node", "id", "none"]).select("node", "weight", "keys", "spots", "text")
+    links = verify(spread(_sets(texts, n)), jaccard_links(threshold))
     per_node = summarise(nodes.select("node", "first_id", "n_copies", (F.col("n") == 0).alias("alone")), links, "jac")
     res = per_node.join(nodes.select("node", "n_copies"), "node")
     out = signed.select("doc_id", "node").join(res, "node")

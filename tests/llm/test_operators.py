@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from quarry.llm import (op1_secrets, op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity,
+from quarry.llm import (blocks, op1_secrets, op2_ngram_join, op3_suffix_dedup, op4_packing, op5_mixing, op6_toxicity,
                         op7_rans, op8_lattice, op9_html, op10_lz)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, task string"
@@ -54,6 +54,42 @@ def test_jaccard_join(spark, docs, rows):
     assert op2_ngram_join.jaccard_join(empty(spark)).count() == 0
 
 
+def test_jaccard_join_of_long_chains_and_large_clusters(spark):
+    r = random.Random(8)
+    stream = words(r, 1200).split()
+    chain = [" ".join(stream[12 * k:12 * k + 200]) for k in range(60)]            # each is near the next two at most
+    base = words(r, 200).split()
+    tight = [" ".join(base[:7 * k] + [f"new{k}"] + base[7 * k + 1:]) for k in range(20)]
+    texts = chain + tight + chain[:3]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(5, chain[5])] * 40, "doc_id long, text string")
+    grams = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    near = [[b for b in range(len(texts)) if b != a and len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])]
+            for a in range(len(texts))]
+    want = {a: len(n) + 40 * (a == 5 or 5 in n) for a, n in enumerate(near)}      # 40 repeated rows of document 5
+    for size in (2, 512):                          # clusters of many chunks, and of one
+        got = op2_ngram_join.jaccard_join(df, max_items=size).collect()
+        assert len(got) == len(texts) + 40
+        assert {g.doc_id: g.n_links for g in got} == want
+        assert {g.component_id for g in got if g.doc_id in range(60) or g.doc_id > 79} == {0}
+        assert {g.component_id for g in got if 60 <= g.doc_id < 80} == {60}
+
+
+def test_chains_are_compared_by_bucket(spark):
+    chain = [(1, k, 10, [k, -1 - k, 1000 + k // 2]) for k in range(200)] + [(1, 200 + k, 10, [k + 1, -300 - k, 5000 + k]) for k in range(199)]
+    tight = [(2, 1000 + k, 10, [10_000, 10_001, 10_002]) for k in range(100)]
+    m = spark.createDataFrame(chain + tight + [(3, 5000, 10, [9]), (3, 5001, 10, [9])],
+                              "root long, node long, size long, keys array<long>")
+    got = {r.node: r for r in blocks.placed(m, 10, 10_000, "test").collect()}
+    assert len(got) == 501
+    assert all(r.split == (r.root == 1) for r in got.values())
+    assert {s.chunks for r in got.values() if r.root == 1 for s in r.spots} == {1}
+    assert {(s.root, s.chunks) for r in got.values() if r.root == 2 for s in r.spots} == {(2, 10)}
+    pairs = blocks.spread(blocks.placed(m, 10, 10_000, "test").drop("root")).where("root = 2")
+    assert pairs.count() == 1000 and pairs.where("i > j or (mine <> i and mine <> j)").count() == 0
+    keys = np.array([[1, 5, 9], [1, 6, 9], [2, 5, 9]])
+    assert (blocks.first_shared(keys, 9) == np.array([[0, 0, 0], [0, 0, 1], [0, 1, 0]])).all()
+
+
 def test_suffix_dedup(spark, docs, rows):
     texts = [(i, (t or "").encode()) for i, t, *_ in rows]
     seen = {}
