@@ -50,7 +50,8 @@ def placed(members: DataFrame, max_items: int, max_size: int, label: str) -> Dat
     """Add ``spots`` (the groups that compare a row: root, mine, chunks) and ``split`` to ``members(root, node, size, keys)``.
 
     A cluster of one chunk is one group.  A larger one is ``split`` into its buckets when all their chunk pairs
-    together hold fewer rows than its own; both figures are plain sums over the slim table.
+    together hold fewer rows than its own; both figures are plain sums over the slim table.  Chunks of buckets
+    count down from -1, so a bucket's key that equals some cluster's id is no part of that cluster.
     """
     chunks = F.greatest(F.ceil(F.greatest(F.count(F.lit(1)) / max_items, F.sum("size") / max_size)), F.lit(1)).cast("long")
     slim = members.select("root", "node", "size", "keys")
@@ -62,11 +63,12 @@ def placed(members: DataFrame, max_items: int, max_size: int, label: str) -> Dat
     cost = per_key.groupBy("root").agg(F.sum(F.col("m") * F.col("chunks")).alias("by_key"))
     mode = staged(per.join(cost, "root", "left").select(
         "root", "chunks", F.coalesce(F.col("by_key") < F.col("m") * F.col("chunks"), F.lit(False)).alias("split")), f"{label}-mode")
-    spot = F.struct("root", F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks")).alias("mine"), "chunks")
-    one = slim.join(mode.where("not split"), "root").select("node", F.array(spot).alias("spots"), "split")
+    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("chunks"))
+    spot = lambda mine: F.struct("root", mine.alias("mine"), "chunks")
+    one = slim.join(mode.where("not split"), "root").select("node", F.array(spot(own)).alias("spots"), "split")
     buckets = per_key.join(mode.where("split").select("root"), "root").select("key", "chunks")
     many = (by_key.select("node", "key").join(buckets, "key").withColumnRenamed("key", "root")
-            .groupBy("node").agg(F.collect_list(spot).alias("spots")).withColumn("split", F.lit(True)))   # one a bucket of the row
+            .groupBy("node").agg(F.collect_list(spot(-1 - own)).alias("spots")).withColumn("split", F.lit(True)))   # one a bucket of the row
     return members.join(one.unionByName(many), "node")
 
 
@@ -76,6 +78,7 @@ def spread(items: DataFrame) -> DataFrame:
     c = items.select(*rest, F.explode("spots").alias("_s")).select(
         *rest, F.col("_s.root").alias("root"), F.col("_s.mine").alias("mine"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("_s.chunks") - 1)).alias("_o"))
+    c = c.withColumn("_o", F.when(F.col("mine") < 0, -1 - F.col("_o")).otherwise(F.col("_o")))
     return c.withColumn("i", F.least("mine", "_o")).withColumn("j", F.greatest("mine", "_o")).drop("_o")
 
 
