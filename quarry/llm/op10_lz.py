@@ -5,12 +5,14 @@ is hashed and reduced to a minimum-hash signature.  The share of equal positions
 estimates the likeness of the phrase sets, a stand-in for how well one text compresses the other.
 
 The query also fingerprints an edited text built from the next document in descending doc_id order.
-Neighbours meet without a global sort: doc_id quantiles cut the ids into buckets, and the first
-document of a bucket's successor travels along, so one shuffle places every pair.
+Rows are range-partitioned by doc_id, hash of the text and row number, so neither one doc_id nor one
+repeated row, however common, is a task's whole work.  Each task compares its rows in order and writes
+its first and last text beside its results; the last row of a task then meets the first of the next.
 
 Edge cases: NULL text counts as empty; an empty phrase set has its own constant fingerprint; documents
-that share a doc_id are ordered by text; a NULL doc_id comes last; a single document is its own
-successor; an empty table gives an empty result; other columns are not read.
+that share a doc_id are ordered by the hash of their text, repeated rows follow each other; a NULL doc_id
+comes last; a single document is its own successor; a very long text is parsed whole, in one task; an empty
+table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_family, min_hash, prefix_hash, range_hash, read, text_or_empty
+from .common import hash_family, min_hash, prefix_hash, range_hash, read, staged, text_or_empty
 
 HASHES = 128
 GROUP_CHARS = 1 << 20
@@ -83,84 +85,90 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.mean(a == b))
 
 
-OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-       "near_edited double, near_next double")
+RESULT = ("doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
+          "near_edited double, near_next double")
+STAGED = RESULT + ", part int, is_last boolean, text string"       # results, and the border texts of each task
+_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(),
+          pa.string()]
 
 
-def _compare(rows: list[tuple]) -> pa.RecordBatch:
-    """rows (doc_id, text, bucket, extra) in order -> results for all but the last."""
+def _batch(columns: list[list]) -> pa.RecordBatch:
+    names = [c.split()[0] for c in STAGED.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, _TYPES)], names=names[:len(columns)])
+
+
+def _compare(rows: list[tuple[int | None, str]]) -> list[list]:
+    """(doc_id, text) in order -> columns of ``RESULT`` for all but the last."""
     texts, ends, at = [], [], []
-    for k, (_, t, bucket, extra) in enumerate(rows):
+    for k, (_, t) in enumerate(rows):
         own = lz_phrases(t)
         at.append(len(texts))
         texts.append(t)
         ends.append(own)
-        if k + 1 < len(rows) and not extra:
+        if k + 1 < len(rows):
             cut = len(t) - len(t) // 3
             edited = t[:cut] + rows[k + 1][1][:len(t) // 3]
             texts.append(edited)
             ends.append(lz_phrases(edited, own[:int(np.searchsorted(own, cut, side="right"))]))
     sig = signatures(texts, ends)
     out: list[list] = [[] for _ in range(7)]
-    for k in range(len(rows) - 1):
-        doc_id, t, _, extra = rows[k]
-        if extra:
-            continue
+    for k, (doc_id, t) in enumerate(rows[:-1]):
         i, j = at[k], at[k + 1]
-        values = (doc_id, len(t), hashlib.sha256(texts[i + 1].encode("utf-8", "surrogatepass")).hexdigest(),
-                  sig[i].tobytes().hex(), sig[i + 1].tobytes().hex(), likeness(sig[i], sig[i + 1]),
-                  likeness(sig[i], sig[j]))
+        values = (doc_id, len(t), hashlib.sha256(texts[i + 1].encode("utf-8", "surrogatepass")).digest(),
+                  sig[i].tobytes(), sig[i + 1].tobytes(), likeness(sig[i], sig[i + 1]), likeness(sig[i], sig[j]))
         for col, v in zip(out, values):
             col.append(v)
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, types)],
-                                      names=[c.split()[0] for c in OUT.split(", ")])
-
-
-def compare_with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    return out
+
+
+def _in_order(batches):
+    """Sorted (doc_id, text) -> results of all rows but the task's last one, and its first and last row."""
+    part = TaskContext.get().partitionId()
+
+    def border(row, is_last):
+        return _batch([[row[0]], *[[None]] * 6, [part], [is_last], [row[1]]])
+
+    held: list[tuple] = []
+    chars = 0
+    for b in batches:
+        for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if not held:
+                yield border(row, False)
+            held.append(row)
+            chars += len(row[1])
+            if chars >= GROUP_CHARS and len(held) > 1:
+                done = _compare(held)
+                yield _batch([*done, *[[None] * (len(held) - 1)] * 3])
+                held, chars = held[-1:], len(row[1])
+    if len(held) > 1:
+        yield _batch([*_compare(held), *[[None] * (len(held) - 1)] * 3])
+    if held:
+        yield border(held[-1], True)
+
+
+def _across(batches):
+    """(doc_id, text, next text) -> results."""
+    for b in batches:
+        for doc_id, text, after in zip(*[c.to_pylist() for c in b.columns]):
+            yield _batch(_compare([(doc_id, text), (None, after)]))
+
+
+def compare_with_next(docs: DataFrame, tasks: int | None = None) -> DataFrame:
     """Fingerprints of each document, of its edited text, and the likeness to the next document."""
-    spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    d = d.withColumn("_key", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    n = buckets or 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = d.agg(F.percentile_approx("_key", [(i + 1) / n for i in range(n)], 100_000)).first()[0]  # n ids
-    bounds = np.unique(np.array(cuts or [0], dtype=np.int64))
-    if cuts:
-        bounds[-1] = d.agg(F.max("_key")).first()[0]
-    held = spark.sparkContext.broadcast(bounds)
-
-    @F.pandas_udf("bucket int, last boolean")
-    def place(key: pd.Series) -> pd.DataFrame:
-        b = np.searchsorted(held.value, key.to_numpy(), side="left")
-        return pd.DataFrame({"bucket": b.astype("int32"), "last": held.value[np.minimum(b, len(held.value) - 1)] == key})
-
-    d = d.withColumn("_p", place("_key"))
-    own, nxt = F.col("_p.bucket"), (F.col("_p.bucket") + 1) % F.lit(len(bounds))
-    spot = lambda b, extra: F.struct(b.cast("int").alias("bucket"), F.lit(extra).alias("extra"))
-    spots = F.when(F.col("_p.last"), F.array(spot(own, False), spot(nxt, True))).otherwise(F.array(spot(own, False)))
-    d = d.select("doc_id", "text", "_key", F.explode(spots).alias("_s"))
-    d = d.select("doc_id", "text", "_key", F.col("_s.bucket").alias("bucket"), F.col("_s.extra").alias("extra"))
-    d = d.repartition("bucket").sortWithinPartitions("bucket", "extra", F.col("_key").desc(), "text")
-
-    def run(batches):
-        held_rows: list[tuple] = []
-        chars = 0
-        for b in batches:
-            cols = [b.column(k) for k in range(4)]
-            for k in range(b.num_rows):
-                row = tuple(c[k].as_py() for c in cols)
-                if held_rows and held_rows[-1][2] != row[2]:       # the last row of a bucket is an extra one
-                    yield _compare(held_rows)
-                    held_rows, chars = [], 0
-                held_rows.append(row)
-                chars += len(row[1])
-                if chars >= GROUP_CHARS and len(held_rows) > 1:
-                    yield _compare(held_rows)
-                    held_rows, chars = held_rows[-1:], len(row[1])
-        if len(held_rows) > 1:
-            yield _compare(held_rows)
-
-    return d.select("doc_id", "text", "bucket", "extra").mapInArrow(run, OUT)
+    order = [F.col("doc_id").desc_nulls_last(), F.col("h"), F.col("row")]
+    d = d.withColumn("h", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    d = d.repartitionByRange(*([tasks] if tasks else []), *order).sortWithinPartitions(*order)
+    done = staged(d.select("doc_id", "text").mapInArrow(_in_order, STAGED), "lz-done")
+    first = done.where("part is not null and not is_last").select(F.col("part").alias("_to"), F.col("text").alias("after"))
+    last = done.where("part is not null and is_last").select("part", "doc_id", "text")
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    follow = last.select("part").select(                            # a number per task; after the last the first
+        "part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(every)).alias("to"))
+    seams = last.join(follow, "part").join(first, F.col("to") == F.col("_to")).select("doc_id", "text", "after")
+    columns = [c.split()[0] for c in RESULT.split(", ")]
+    out = done.where("part is null").select(*columns).unionByName(seams.mapInArrow(_across, RESULT))
+    return out.select(*[F.lower(F.hex(c)).alias(c) if out.schema[c].dataType.typeName() == "binary" else F.col(c) for c in columns])
 
 
 def op10_lz(spark, sf_dir: str) -> DataFrame:

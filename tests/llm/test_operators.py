@@ -291,8 +291,9 @@ def test_lz(spark, docs, rows):
     for t in ("", "a", "aaaaaaaaaa", "abababab", rows[0][1]):
         ends = op10_lz.lz_phrases(t)
         assert {t[a:b] for a, b in zip([0, *ends], ends)} == phrases(t)
-    data = sorted(((i, t or "") for i, t, *_ in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
-    got = op10_lz.compare_with_next(docs, buckets=5).collect()
+    h = {r.t: r.h for r in docs.selectExpr("coalesce(text, '') as t", "xxhash64(coalesce(text, '')) as h").collect()}
+    data = sorted(((i, t or "") for i, t, *_ in rows), key=lambda r: (r[0] is None, -(r[0] or 0), h[r[1]]))
+    got = op10_lz.compare_with_next(docs, tasks=5).collect()
     want = []
     for k, (i, t) in enumerate(data):
         cut = len(t) // 3
@@ -312,6 +313,26 @@ def test_lz(spark, docs, rows):
         assert any(abs(g.near_edited - a) < 0.18 and abs(g.near_next - b) < 0.18
                    for a, b in near[-1 if g.doc_id is None else g.doc_id, g.fingerprint]), g.doc_id
     assert op10_lz.compare_with_next(empty(spark)).count() == 0
+    one = op10_lz.compare_with_next(docs.where("doc_id = 0")).collect()
+    assert len(one) == 1 and one[0].near_next == 1.0                              # its own successor
+
+
+def test_lz_spreads_a_common_row(spark):
+    texts = [(7, "the same words again and again")] * 300 + [(7, f"words {k}") for k in range(30)] + [(9, "first"), (None, "last")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(6)
+    got = op10_lz.compare_with_next(df, tasks=8)
+    same = got.where("n_chars = 30").groupBy("near_next").count().collect()
+    assert sum(r["count"] for r in same) == 300 and {r["count"] for r in same if r.near_next == 1.0} == {299}
+    assert got.count() == len(texts)
+    h = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) as h").collect()}
+    data = sorted(texts, key=lambda r: (r[0] is None, -(r[0] or 0), h[r[1]]))
+    want = sorted(hashlib.sha256((t[:len(t) - len(t) // 3] + data[(k + 1) % len(data)][1][:len(t) // 3]).encode()).hexdigest()
+                  for k, (_, t) in enumerate(data))
+    assert sorted(r.edited_sha256 for r in got.collect()) == want
+    order = [df.doc_id.desc_nulls_last(), "h", "row"]
+    sizes = [r["count"] for r in df.selectExpr("doc_id", "xxhash64(text) as h", "monotonically_increasing_id() as row")
+             .repartitionByRange(8, *order).selectExpr("spark_partition_id() as p").groupBy("p").count().collect()]
+    assert max(sizes) < len(texts) / 3
 
 
 def test_secrets(spark):
