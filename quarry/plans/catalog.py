@@ -274,12 +274,17 @@ from .gold import FEATURE_GROUPS  # noqa: E402
 from .medallion import pages_to_silver  # noqa: E402
 
 
-def listing_pages(spark, sf_dir) -> DataFrame:
-    """Section pages for every customer.  The customer rows (small) are hash-partitioned
-    first so that rendering, parsing and extraction spread over all tasks."""
+def _customers(spark, sf_dir) -> DataFrame:
+    """The customer rows (small, often one row group), hash-partitioned so that rendering, parsing and
+    extraction spread over all tasks."""
     # sized by the cluster's cores, not by bytes: each small customer row becomes ~5 large pages
     n = max(2 * spark.sparkContext.defaultParallelism, 1)
-    return render_pages(read_table(spark, sf_dir, "customer").repartition(n, "c_custkey"))
+    return read_table(spark, sf_dir, "customer").repartition(n, "c_custkey")
+
+
+def listing_pages(spark, sf_dir) -> DataFrame:
+    """Section pages for every customer."""
+    return render_pages(_customers(spark, sf_dir))
 
 
 def _section(spark, sf_dir, s) -> DataFrame:
@@ -299,7 +304,7 @@ def x3_labels(spark, sf_dir):
         F.lit("<p>Net Assets : 5</p><p>EV/EBITDA : 12.5</p><p>Adjusted PAT : 9</p><p>EBITDA of the year</p><p>EBITDA : "), n.cast("string"),
         F.when(c % 2 == 0, F.concat(F.lit("</p><p>Total Assets : ₹ "), b)).otherwise(F.lit("</p><p>Assets n/a")),
         F.lit("</p><p>EBITDA margin (%) 7.5</p><p>Revenue : ₹ "), b, F.lit("</p><p>Revenue : 1</p><p>EPS (₹) -"), n.cast("string"), F.lit("</p>"))
-    pages = read_table(spark, sf_dir, "customer").select("c_custkey", html.alias("html"))
+    pages = _customers(spark, sf_dir).select("c_custkey", html.alias("html"))
     return round_doubles(C.clean_df(XT.extract_financials(pages, key="c_custkey").select(
         "c_custkey", "assets", "ebitda", "ebitda_margin", "pat", "revenue", "eps", "ev_ebitda"), keep=["c_custkey"]))
 
