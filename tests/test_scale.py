@@ -20,3 +20,23 @@ def test_x3_spreads_one_row_group(spark, tmp_dir):
     rows = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert sum(r["count"] for r in rows) == 2000
     assert max(r["count"] for r in rows) < 1000
+
+
+class _Tracked(dict):
+    alive, most = set(), 0
+
+
+def test_page_scan_holds_few_pages_at_once(monkeypatch):
+    def tracked(html):
+        d = _Tracked({k: [] for k in H.PAGE.names} | {"error": None, "strings": [html]})
+        _Tracked.alive.add(id(d))
+        weakref.finalize(d, _Tracked.alive.discard, id(d))
+        _Tracked.most = max(_Tracked.most, len(_Tracked.alive))
+        return d
+
+    monkeypatch.setattr(H, "scan_html", tracked)
+    n = 5 * H.PAGES_AT_ONCE + 3
+    out = H._scan_udf.func(pa.array([str(i) for i in range(n)]))
+    assert [r["strings"] for r in out.to_pylist()] == [[str(i)] for i in range(n)]
+    assert _Tracked.most <= H.PAGES_AT_ONCE + 1
+    assert len(H._scan_udf.func(pa.array([], pa.string()))) == 0
