@@ -8,7 +8,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .clean import _c, collapse_ws
+from .clean import _c, bind, collapse_ws
 
 # what is no text, in the order it is removed; a tag's quoted attribute values may hold any character
 _COMMENT = r"(?s)<!--.*?-->"
@@ -33,7 +33,6 @@ def decode_references(x) -> Column:
 
     The text is cut once at all references, so what a reference gives is never read as part of another one.
     """
-    s = _c(x)
     named = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
 
     def one(r):
@@ -42,9 +41,12 @@ def decode_references(x) -> Column:
                 .when(r.startswith("#"), _character(F.substring(r, 2, 8).cast("int")))
                 .otherwise(F.coalesce(F.try_element_at(named, r), F.concat(F.lit("&"), r, F.lit(";")))))
 
-    text = F.transform(F.regexp_extract_all(s, F.lit(_REFERENCE), F.lit(1)), one)
-    pieces = F.zip_with(F.split(s, _REFERENCE, -1), text, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(s.rlike(_REFERENCE), F.array_join(pieces, "")).otherwise(s)
+    def decoded(s):
+        text = F.transform(F.regexp_extract_all(s, F.lit(_REFERENCE), F.lit(1)), one)
+        pieces = F.zip_with(F.split(s, _REFERENCE, -1), text, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+        return F.when(s.rlike(_REFERENCE), F.array_join(pieces, "")).otherwise(s)
+
+    return bind(_c(x), decoded)
 
 
 def html_text(x) -> Column:
@@ -88,8 +90,10 @@ def canonical_category(x) -> Column:
 
     'QIB (Ex Anchor)' is tested before the anchor rule so it keeps its own key.
     """
-    raw = norm_category_text(x)
-    low = F.lower(raw)
+    return bind(norm_category_text(x), lambda raw: bind(F.lower(raw), lambda low: _category_rules(raw, low)))
+
+
+def _category_rules(raw: Column, low: Column) -> Column:
     has = low.contains
     ten_lakh = has("10l") | has("10 l") | has("10lac") | has("10 lakh")
     is_nii = has("non-institutional") | has("non institutional") | low.rlike(r"\bnii\b")

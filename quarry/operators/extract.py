@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.clean import collapse_ws
+from ..functions.clean import bind, collapse_ws
 from ..functions.text import canonical_category, html_text, norm_category_text
 from ..session import cut_lineage
 from .html import followers, heading_text, parse_page, tables_of
@@ -126,7 +126,7 @@ def label_table_pairs(tables: Column) -> Column:
     """(key, value) for every label/value row of every table, in document order."""
     return F.flatten(F.transform(tables, lambda t: F.transform(
         F.filter(t["rows"], lambda r: F.size(r["cells"]) >= 2),
-        lambda r: F.struct(_label_key(F.lower(r["cells"][0]["tight"])).alias("key"),
+        lambda r: F.struct(bind(F.lower(r["cells"][0]["tight"]), _label_key).alias("key"),
                            r["cells"][1]["tight"].alias("value")))))
 
 
@@ -147,9 +147,12 @@ LABEL_RX = (r"(?iu)(?<![\p{L}\p{N}_/&-])(?:" + _longest_first(OTHER_LABELS + [lb
 
 def label_pieces(text: Column) -> Column:
     """The text cut once at all labels: array<struct<label, rest>>, ``rest`` up to the next label."""
-    found = F.regexp_extract_all(text, F.lit(LABEL_RX), F.lit(0))
-    rest = F.slice(F.split(text, LABEL_RX, -1), F.lit(2), F.greatest(F.size(found), F.lit(0)))
-    return F.zip_with(found, rest, lambda a, b: F.struct(a.alias("label"), b.alias("rest")))
+    def cut(s):
+        return bind(F.regexp_extract_all(s, F.lit(LABEL_RX), F.lit(0)), lambda found: F.zip_with(
+            found, F.slice(F.split(s, LABEL_RX, -1), F.lit(2), F.greatest(F.size(found), F.lit(0))),
+            lambda a, b: F.struct(a.alias("label"), b.alias("rest"))))
+
+    return bind(text, cut)
 
 
 def label_fields(pieces: Column) -> dict[str, Column]:
@@ -202,8 +205,8 @@ def _trimmed(text: Column, pattern: str, trailer: str) -> Column:
     Every capture group here needs at least one character, so an empty group means "no match":
     one regex scan per field instead of a test plus an extract.
     """
-    g = F.regexp_extract(text, pattern, 1)
-    return F.when(g != "", F.trim(F.regexp_replace(collapse_ws(g), trailer, ""))).otherwise(F.lit(None).cast("string"))
+    return bind(F.regexp_extract(text, pattern, 1), lambda g: F.when(
+        g != "", F.trim(F.regexp_replace(collapse_ws(g), trailer, ""))).otherwise(F.lit(None).cast("string")))
 
 
 def objects_of_issue(page: Column) -> Column:
@@ -215,8 +218,7 @@ def objects_of_issue(page: Column) -> Column:
                 | ((f["kind"] == "li") & (F.length(t) > 5)))
 
     def named(h):
-        t = F.lower(heading_text(page, h, flat=True))
-        return t.contains("object") & t.contains("issue")
+        return bind(F.lower(heading_text(page, h, flat=True)), lambda t: t.contains("object") & t.contains("issue"))
 
     cands = F.transform(F.filter(page["headings"], named),
                         lambda h: F.transform(F.filter(followers(page, h), keep), lambda f: f["text"]))
@@ -252,8 +254,7 @@ def _norm(s: Column) -> Column:
 def gmp_table(page: Column, tables: Column) -> Column:
     """X11: first table after an h2/h3 mentioning 'gmp' and 'trend'; else by thead headers."""
     def named(h):
-        t = F.lower(heading_text(page, h))
-        return t.contains("gmp") & t.contains("trend")
+        return bind(F.lower(heading_text(page, h)), lambda t: t.contains("gmp") & t.contains("trend"))
 
     head = _first(F.filter(page["headings"], lambda h: h["tag"].isin("h2", "h3")), named)
     by_heading = _first(tables, lambda t: t["pos"] > head["open"])
@@ -262,8 +263,8 @@ def gmp_table(page: Column, tables: Column) -> Column:
         r = _first(t["rows"], lambda r: (r["group"] == "thead") & (r["group_no"] == 0))
         return F.transform(r["cells"], lambda c: _norm(c["text"]))
 
-    by_header = _first(tables, lambda t: F.coalesce(
-        F.array_contains(thead_headers(t), "gmp date") & F.array_contains(thead_headers(t), "gmp"), F.lit(False)))
+    by_header = _first(tables, lambda t: F.coalesce(bind(
+        thead_headers(t), lambda hs: F.array_contains(hs, "gmp date") & F.array_contains(hs, "gmp")), F.lit(False)))
     return F.coalesce(by_heading, by_header)
 
 
@@ -298,15 +299,15 @@ def extract_gmp(pages: DataFrame, key: str = "company", html: str = "html") -> D
     t = t.select(key, body.alias("_body"), date_i.alias("_di"), gmp_i.alias("_gi"))
 
     def cells(r):
-        tds = F.filter(r["cells"], lambda c: c["tag"] == "td")
-        ok = F.size(tds) > F.greatest(F.col("_di"), F.col("_gi"))
-        return F.when(ok, F.struct(F.try_element_at(tds, F.col("_di") + 1).alias("d"),
-                                   F.try_element_at(tds, F.col("_gi") + 1).alias("g")))
+        return bind(F.filter(r["cells"], lambda c: c["tag"] == "td"), lambda tds: F.when(
+            F.size(tds) > F.greatest(F.col("_di"), F.col("_gi")),
+            F.struct(F.try_element_at(tds, F.col("_di") + 1).alias("d"), F.try_element_at(tds, F.col("_gi") + 1).alias("g"))))
 
     def event(x):
         gmp_text = F.regexp_replace(collapse_ws(x["g"]["text"]), r"(\d),(?=\d)", "$1")
-        value = F.nullif(F.regexp_extract(gmp_text, r"([+-]?\d+(?:\.\d+)?)", 1), F.lit(""))
-        lbl = _gmp_label(F.transform(x["d"]["badges"], collapse_ws), collapse_ws(x["d"]["text"]))
+        value = bind(F.regexp_extract(gmp_text, r"([+-]?\d+(?:\.\d+)?)", 1), lambda v: F.nullif(v, F.lit("")))
+        lbl = bind(F.transform(x["d"]["badges"], collapse_ws), lambda badges: bind(
+            collapse_ws(x["d"]["text"]), lambda date_text: _gmp_label(badges, date_text)))
         return F.struct(lbl.alias("label"), value.alias("value"))
 
     pairs = F.transform(F.filter(F.transform("_body", cells), lambda x: x.isNotNull()), event)
@@ -325,12 +326,10 @@ def _header_row(t: Column) -> Column:
                        lambda r, i: F.struct(i.alias("idx"), F.transform(r["cells"], lambda c: c["flat"]).alias("headers")))
 
     def looks(h):
-        hs = h["headers"]
-        low = F.transform(hs, F.lower)
-        joined = F.array_join(low, " | ")
-        return (F.size(hs) > 0) & (
-            (F.exists(low, lambda x: x.contains("category")) & (F.size(hs) >= 2))
-            | joined.contains("subscription") | joined.contains("size") | joined.contains("%"))
+        low = F.transform(h["headers"], F.lower)
+        return bind(low, lambda hs: (F.size(hs) > 0) & (
+            (F.exists(hs, lambda x: x.contains("category")) & (F.size(hs) >= 2))
+            | bind(F.array_join(hs, " | "), lambda j: j.contains("subscription") | j.contains("size") | j.contains("%"))))
 
     return _first(cand, looks)
 
@@ -342,21 +341,19 @@ def _index_of(arr: Column, pred) -> Column:
 
 def header_tables(tables: Column) -> Column:
     """X16 for every table once: array<struct<rows, h, headers>> (shared by X17 and X18)."""
-    staged = F.transform(tables, lambda t: F.struct(t["rows"].alias("rows"), _header_row(t).alias("hdr")))
-    return F.transform(staged, lambda x: F.struct(
-        x["rows"].alias("rows"), x["hdr"]["idx"].alias("h"),
-        F.transform(x["hdr"]["headers"], F.lower).alias("headers")))
+    return F.transform(tables, lambda t: bind(_header_row(t), lambda hdr: F.struct(
+        t["rows"].alias("rows"), hdr["idx"].alias("h"), F.transform(hdr["headers"], F.lower).alias("headers"))))
 
 
 def _pairs_after_header(y: Column, prefix: str, skip: list[str]) -> Column:
     def pair(r):
-        cells = F.transform(r["cells"], lambda c: c["flat"])
-        ok = F.size(cells) > F.greatest(y["ci"], y["vi"])
-        cat = norm_category_text(F.try_element_at(cells, (y["ci"] + 1).cast("int")))
-        val = collapse_ws(F.try_element_at(cells, (y["vi"] + 1).cast("int")))
-        good = ok & (cat != "") & ~F.lower(cat).isin(skip) & (val != "")
-        return F.when(good, F.struct(F.concat(F.lit(prefix), canonical_category(cat)).alias("key"),
-                                     val.alias("value")))
+        cells = r["cells"]
+        cat = norm_category_text(F.try_element_at(cells, (y["ci"] + 1).cast("int"))["flat"])
+        val = collapse_ws(F.try_element_at(cells, (y["vi"] + 1).cast("int"))["flat"])
+        made = bind(F.struct(cat.alias("cat"), val.alias("val")), lambda p: F.when(
+            (p["cat"] != "") & ~F.lower(p["cat"]).isin(skip) & (p["val"] != ""),
+            F.struct(F.concat(F.lit(prefix), canonical_category(p["cat"])).alias("key"), p["val"].alias("value"))))
+        return F.when(F.size(cells) > F.greatest(y["ci"], y["vi"]), made)
 
     rows = F.slice(y["rows"], (y["h"] + 2).cast("int"), F.size(y["rows"]))
     out = F.filter(F.transform(rows, pair), lambda p: p.isNotNull())

@@ -40,3 +40,14 @@ def test_page_scan_holds_few_pages_at_once(monkeypatch):
     assert [r["strings"] for r in out.to_pylist()] == [[str(i)] for i in range(n)]
     assert _Tracked.most <= H.PAGES_AT_ONCE + 1
     assert len(H._scan_udf.func(pa.array([], pa.string()))) == 0
+
+
+def _copies(df, name):
+    return df._jdf.queryExecution().optimizedPlan().toString().count(name)
+
+
+def test_shared_steps_stand_once_in_the_plan(spark):
+    """A step that several branches read is worked out once: no copy of its expression for each reader."""
+    df = spark.createDataFrame([("x",)], "s string")
+    assert _copies(df.select(TX.canonical_category("s")), "lower(") <= 12             # of the text and of each slug
+    assert _copies(df.select(XT.label_pieces(TX.html_text("s"))), "(script|style|template)") == 1
