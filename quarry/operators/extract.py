@@ -435,18 +435,18 @@ class Scanned(NamedTuple):
     n_failed: int
 
 
-def scan_pages(pages: DataFrame, keys: list[str], html: str = "html", path: str | None = None) -> Scanned:
+def scan_pages(pages: DataFrame, keys: list[str], html: str = "html", path: str | None = None, by: str | None = None) -> Scanned:
     """One scan of all pages, written once, that gives sound pages and a quarantine of failed ones.
 
     The counts are observed by the job that writes.  ``path`` is a Parquet folder; without one the scan is a
-    stage in the checkpoint dir.
+    stage in the checkpoint dir, with a folder for each value of ``by``: a reader of one value skips the others.
     """
     counts = Observation()
     s = pages.withColumn("_page", parse_page(html))
     s = s.withColumn("error", page_error(F.col(html), F.col("_page"))).observe(
         counts, F.count(F.lit(1)).alias("n_pages"), F.count("error").alias("n_failed"))
     if path is None:
-        s = cut_lineage(s)
+        s = cut_lineage(s, by)
     else:
         s.write.mode("overwrite").parquet(path)
         s = pages.sparkSession.read.parquet(path)

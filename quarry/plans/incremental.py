@@ -98,7 +98,7 @@ def add_pages(pages: DataFrame, root: str) -> Batch:
     """Scan, extract and merge one batch of pages (segment, section, company, html); the newest state of the layer stays readable."""
     spark = pages.sparkSession
     pages = pages.where(F.col("section").isin(SECTIONS)).select(*KEY, "html")
-    scanned = scan_pages(dedup_first(pages, KEY), KEY)
+    scanned = scan_pages(dedup_first(pages, KEY), KEY, by="section")
     raw = raw_sections(scanned.pages, extra_keys=["segment"])
     new = cut_lineage(union_all([_as_map(df).withColumn("section", F.lit(s)) for s, df in raw.items()]).select("company", "fields", "segment", "section"))
     both = new.select(*KEY).unionByName(scanned.failures.select(*KEY))

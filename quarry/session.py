@@ -74,14 +74,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet under the shared checkpoint dir and reread (survives executor loss).
 
     An eager ``checkpoint()`` runs the plan twice, once to count and once to write; this runs it once, and readers
     get column pruning and row-group statistics.  The folders are named ``quarry-stage-*`` and may be deleted when the
-    job has ended.
+    job has ended.  ``by``: a column of few values other than NULL and '', whose rows are read apart later.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

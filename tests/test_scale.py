@@ -51,3 +51,16 @@ def test_shared_steps_stand_once_in_the_plan(spark):
     df = spark.createDataFrame([("x",)], "s string")
     assert _copies(df.select(TX.canonical_category("s")), "lower(") <= 12             # of the text and of each slug
     assert _copies(df.select(XT.label_pieces(TX.html_text("s"))), "(script|style|template)") == 1
+
+
+def test_incremental_sections_are_read_apart(spark):
+    pages = spark.createDataFrame([("sme", s, c, f"<p>{c}</p>") for s in XT.SECTIONS for c in ("a", "b")] + [("sme", "gmp", "c", "<p")],
+                                  "segment string, section string, company string, html string")
+    keys = ["segment", "section", "company"]
+    got = XT.scan_pages(dedup_first(pages, keys), keys, by="section")
+    assert (got.n_pages, got.n_failed) == (11, 1)
+    assert got.failures.count() == 1 and got.pages.count() == 10
+    one = got.pages.where(F.col("section") == "gmp")
+    assert {f.split("/")[-2] for f in got.pages.inputFiles()} >= {f"section={s}" for s in XT.SECTIONS}
+    assert "PartitionFilters: [isnotnull(section" in one._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["company"] for r in one.collect()) == ["a", "b"]
