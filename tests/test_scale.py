@@ -42,6 +42,24 @@ def test_page_scan_holds_few_pages_at_once(monkeypatch):
     assert len(H._scan_udf.func(pa.array([], pa.string()))) == 0
 
 
+def test_plain_markup_gives_what_the_parser_gives():
+    class Parser(H._Index):
+        def _plain(self, html):
+            return 0
+
+    page = ("<!DOCTYPE html><html><head><title>A &amp; B</title><script>if (a<b) x = '</p>';</script></head><body><h2>Key <b>x</b></h2>after<p>one</p>"
+            "<ul><li>two &nbsp;<li>three</ul><table class=\"t\"><thead><tr><th>h</th></tr></thead><tr><td>1<br/>2</td><td><span class='badge'>Open</span></td></tr></table>")
+    assert H._Index()._plain(page) == len(page)                # all of it without the parser
+    assert H.scan_html(page) == Parser().run(page).page()
+    bits = ["<", ">", "&amp;", "&", '"', "'", "<!--", "-->", "<!-- c -->", "<script>", "</script>", "</script >", "<style>", "</style>", "<title>", "</title>",
+            '<td class="a&lt;b">', "</td>", "</td x>", "<br/>", "<img src=x>", "text", "<tr>", "<table>", "</table>", "<p>", "<ul>", "<li>", "</ul>", "<h2>",
+            "</h2 >", "<!doctype>", "<?pi>", "<textarea>", "</textarea>", "<a b>", "&#65", "<div class='badge' id=\"k\">", "</div>", "<td a='1'b='2'>", "<İ>"]
+    rnd = random.Random(7)
+    for _ in range(3000):
+        h = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 14)))
+        assert H.scan_html(h) == Parser().run(h).page(), h
+
+
 def _copies(df, name):
     return df._jdf.queryExecution().optimizedPlan().toString().count(name)
 
