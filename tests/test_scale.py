@@ -82,3 +82,17 @@ def test_incremental_sections_are_read_apart(spark):
     assert {f.split("/")[-2] for f in got.pages.inputFiles()} >= {f"section={s}" for s in XT.SECTIONS}
     assert "PartitionFilters: [isnotnull(section" in one._jdf.queryExecution().executedPlan().toString()
     assert sorted(r["company"] for r in one.collect()) == ["a", "b"]
+
+
+def test_plain_leaves_cost_no_parser_calls():
+    """Elements that hold text only are taken in one step, whatever their number; nothing else is called for them."""
+    class Quiet(H._Index):
+        def handle_starttag(self, tag, attrs):
+            raise AssertionError(tag)
+        handle_endtag = handle_data = handle_starttag
+
+    page = "<table><tr>" + "<td class=\"x\">a &amp; b</td>" * 50 + "</tr></table><div><h2>k</h2><p>one</p><ul><li>two</li></ul></div>".replace("<h2>k</h2>", "<h2><i>k</h2>")
+    quiet = Quiet()
+    assert quiet._plain(page.replace("<i>", "")[:page.index("<div>")]) == page.index("<div>")
+    assert len(quiet.cells) == 50 and quiet.strings == ["a & b"] * 50
+    assert H.scan_html(page)["lis"] == [{"a": 52, "b": 53}]
