@@ -9,13 +9,15 @@ Pages are parsed by the Python UDF only where a structural read is needed
 
 from __future__ import annotations
 
+import json
+import re
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.clean import bind, collapse_ws
-from ..functions.text import canonical_category, html_text, norm_category_text
+from ..functions.text import canonical_of, html_text, norm_collapsed
 from ..session import cut_lineage
 from .html import followers, heading_text, parse_page, tables_of
 
@@ -136,37 +138,74 @@ def label_table_fields(pairs: Column) -> dict[str, Column]:
             for k in FINANCIAL_FIELDS}
 
 
-def _longest_first(patterns: list[str]) -> str:
-    return "|".join(sorted(patterns, key=lambda p: (-len(p), p)))
+def _alternatives(rx: str) -> list[str]:
+    """A label pattern without its leading group: one pattern for each way it begins."""
+    m = re.match(r"\(\?:([^)]*)\)(\?)?", rx)
+    return [rx] if m is None else [x + rx[m.end():] for x in m[1].split("|") + [""] * bool(m[2])]
 
 
+def _by_letter(patterns: list[str]) -> str:
+    """One pattern for all of them, longer ones first; those that begin with the same letter are tried at that letter only."""
+    ways = [w for p in sorted(patterns, key=lambda p: (-len(p), p)) for w in _alternatives(p)]
+    return "|".join(f"{a}(?:{'|'.join(w[1:] for w in ways if w[0].lower() == a)})" for a in dict.fromkeys(w[0].lower() for w in ways))
+
+
+_ALL_LABELS = OTHER_LABELS + [lb for lb, _ in FINANCIAL_FIELDS.values()]
 # a label starts where no word, slash or hyphen stands before it; longer labels are tried first
-LABEL_RX = (r"(?iu)(?<![\p{L}\p{N}_/&-])(?:" + _longest_first(OTHER_LABELS + [lb for lb, _ in FINANCIAL_FIELDS.values()])
-            + r")(?![\p{L}\p{N}_])")
+LABEL_RX = rf"(?iu)(?<![\p{{L}}\p{{N}}_/&-])(?:{_by_letter(_ALL_LABELS)})(?![\p{{L}}\p{{N}}_])"
+_OPEN, _SHUT = "\ufdd0", "\ufdd1"      # noncharacters, put around labels
 
 
 def label_pieces(text: Column) -> Column:
     """The text cut once at all labels: array<struct<label, rest>>, ``rest`` up to the next label."""
-    def cut(s):
+    def apart(s):
         return bind(F.regexp_extract_all(s, F.lit(LABEL_RX), F.lit(0)), lambda found: F.zip_with(
             found, F.slice(F.split(s, LABEL_RX, -1), F.lit(2), F.greatest(F.size(found), F.lit(0))),
             lambda a, b: F.struct(a.alias("label"), b.alias("rest"))))
 
-    return bind(text, cut)
+    def marked(s):
+        pieces = bind(F.split(F.regexp_replace(s, LABEL_RX, f"{_OPEN}$0{_SHUT}"), _OPEN, -1), lambda p: F.slice(p, F.lit(2), F.size(p)))
+        return F.transform(pieces, lambda p: bind(F.split(p, _SHUT, -1), lambda x: F.struct(x[0].alias("label"), x[1].alias("rest"))))
+
+    # one search for labels; two in a text that holds the marks itself
+    return bind(text, lambda s: F.when(s.contains(_OPEN) | s.contains(_SHUT), apart(s)).otherwise(marked(s))).alias("pieces")
+
+
+def _spellings(rx: str) -> list[str]:
+    """What a label pattern matches, in lower case and without white space."""
+    out = [""]
+    for optional, plain in re.findall(r"(\(\?:[^)]*\)\?|.\?)|(.)", re.sub(r"\\s[+*]", "", rx)):
+        bit = optional.removeprefix("(?:").removesuffix("?").removesuffix(")") if optional else plain
+        out = [x + bit for x in out] + (out if optional else [])
+    return [x.lower() for x in out]
+
+
+_FIELD_OF_LABEL = {x: k for k, (label, _) in reversed(FINANCIAL_FIELDS.items()) for x in _spellings(label)}
+
+
+def _field_of(label: Column) -> Column:
+    """The field a label names: by a look-up of its letters, by the patterns where it has other than plain ones."""
+    by_rx = None
+    for k, (rx, _) in FINANCIAL_FIELDS.items():
+        hit = label.rlike(rf"(?iu)^{rx}$")
+        by_rx = F.when(hit, F.lit(k)) if by_rx is None else by_rx.when(hit, F.lit(k))
+    known = F.from_json(F.lit(json.dumps(_FIELD_OF_LABEL)), "map<string,string>")
+    return F.when(label.rlike(r"[^\x00-\x7f]"), by_rx).otherwise(F.try_element_at(known, F.lower(F.translate(label, " \t\n\x0b\f\r", ""))))
 
 
 def label_fields(pieces: Column) -> dict[str, Column]:
-    """Per field the value behind the first of its labels that has one (``pieces`` should be a staged column)."""
+    """Per field the value behind the first of its labels that has one (``pieces``: ``labelled_pieces``, a staged column)."""
     out = {}
-    for key, (label, value) in FINANCIAL_FIELDS.items():
-        mine = F.filter(pieces, _labelled(rf"(?iu)^{label}$"))
-        values = F.transform(mine, _value_of("(?iu)^" + value))
+    for key, (_, value) in FINANCIAL_FIELDS.items():
+        values = F.transform(F.filter(pieces, _field_is("field", key)), _value_of("(?iu)^" + value))
         out[key] = F.try_element_at(F.filter(values, lambda v: v != ""), F.lit(1))
     return out
 
 
-def _labelled(rx: str):
-    return lambda p: p["label"].rlike(rx)
+def labelled_pieces(text: Column) -> Column:
+    """The pieces of the text whose label names a field: array<struct<field, rest>>."""
+    named = F.transform(label_pieces(text), lambda p: F.struct(bind(p["label"], _field_of).alias("field"), p["rest"].alias("rest")))
+    return F.filter(named, lambda p: p["field"].isNotNull())
 
 
 def _value_of(rx: str):
@@ -181,12 +220,12 @@ def extract_financials(pages: DataFrame, key: str = "company", html: str = "html
     read the pages twice).
     """
     page = F.col("_page") if "_page" in pages.columns else None
-    s1 = pages.select(key, html, *([page] if page is not None else []), label_pieces(html_text(html)).alias("_pieces"))
+    s1 = pages.select(key, html, *([page] if page is not None else []), labelled_pieces(html_text(html)).alias("_pieces"))
     s2 = s1.select(key, html, *([page] if page is not None else []),
                    F.struct(*[v.alias(k) for k, v in label_fields(F.col("_pieces")).items()]).alias("_rx"))
     none_hit = F.coalesce(*[F.col("_rx")[k] for k in FINANCIAL_FIELDS]).isNull()
     s3 = s2.select(key, "_rx", (F.when(none_hit, page) if page is not None else parse_page(F.when(none_hit, F.col(html)))).alias("_page"))
-    s4 = s3.select(key, "_rx", label_table_pairs(tables_of(F.col("_page"), "tight")).alias("_pairs"))
+    s4 = s3.select(key, "_rx", label_table_pairs(tables_of(F.col("_page"), "tight", groups=False)).alias("_pairs"))
     s5 = s4.select(key, "_rx", F.struct(*[v.alias(k) for k, v in label_table_fields(F.col("_pairs")).items()]).alias("_tb"))
     return s5.select(key, *[F.coalesce(F.col("_rx")[k], F.col("_tb")[k]).alias(k) for k in FINANCIAL_FIELDS])
 
@@ -199,16 +238,42 @@ def extract_performance(pages: DataFrame, key: str = "company", html: str = "htm
     return staged.select(key, *[_field(F.col("_text"), "(?iu)" + p).alias(k) for k, p in PERFORMANCE_PATTERNS.items()])
 
 
-def _trimmed(text: Column, pattern: str, trailer: str) -> Column:
-    """Group 1 of the first match, whitespace-collapsed, trailing section words cut; NULL if no match.
+def _trimmed(group: Column, trailer: str) -> Column:
+    """A captured group, whitespace-collapsed, trailing section words cut; NULL if it is empty.
 
-    Every capture group here needs at least one character, so an empty group means "no match":
-    one regex scan per field instead of a test plus an extract.
+    Every capture group here needs at least one character, so an empty group means "no match".
     """
-    return bind(F.regexp_extract(text, pattern, 1), lambda g: F.when(
+    return bind(group, lambda g: F.when(
         g != "", F.trim(F.regexp_replace(collapse_ws(g), trailer, ""))).otherwise(F.lit(None).cast("string")))
 
 
+# 'label : value' patterns, none of whose parts but the colon between them can hold a colon: (field, label, value)
+_LABELLED = [(k, *p.split(r"\s*:", 1)) for k, p in {**INFORMATION_PATTERNS, **DATE_PATTERNS}.items() if "<" not in p]
+
+
+def colon_pieces(text: Column) -> Column:
+    """The text behind each known label and colon, up to and with the next colon: array<struct<field, rest>>.
+
+    ``text``: visible text, whose white space is single spaces.
+    """
+    def field(piece):
+        e = None
+        for k, label, _ in _LABELLED:
+            spelled = label.replace(r"\s+", " ")
+            hit = piece.endswith(spelled + ":") | piece.endswith(spelled + " :")
+            e = F.when(hit, F.lit(k)) if e is None else e.when(hit, F.lit(k))
+        return e
+
+    found = bind(F.split(text, "(?<=:)", -1), lambda ps: F.zip_with(F.transform(ps, field), F.slice(ps, F.lit(2), F.size(ps)), lambda f, r: F.struct(f.alias("field"), r.alias("rest"))))
+    return F.filter(found, lambda p: p["field"].isNotNull() & p["rest"].isNotNull())
+
+
+def colon_field(pieces: Column, key: str, value: str) -> Column:
+    """The first value behind the field's label, '' for none: what a search of the whole text for label and value finds first."""
+    values = F.transform(F.filter(pieces, _field_is("field", key)), _value_of("^" + value))
+    return F.coalesce(F.try_element_at(F.filter(values, lambda v: v != ""), F.lit(1)), F.lit(""))
+
+
 def objects_of_issue(page: Column) -> Column:
     """All items after the first 'object ... issue' heading that has any."""
     def keep(f):
@@ -228,13 +293,13 @@ def objects_of_issue(page: Column) -> Column:
 def extract_information(pages: DataFrame, key: str = "company", html: str = "html",
                         with_objects: bool = True) -> DataFrame:
     """X7 + X8 merged (X9, dates win on clashes) + X10 objects."""
+    page = ["_page"] if with_objects else []
     given = [_page_column(pages, html).alias("_page")] if with_objects else []
-    staged = pages.select(key, *given, html_text(html).alias("_text"))
-    text = F.col("_text")
-    cols = {k: _trimmed(text, p, INFORMATION_TRAILER) for k, p in INFORMATION_PATTERNS.items()}
-    cols.update({k: _trimmed(text, p, DATE_TRAILER) for k, p in DATE_PATTERNS.items()})
-    out = staged.select(key, *[v.alias(k) for k, v in cols.items()],
-                        *(["_page"] if with_objects else []))
+    staged = pages.select(key, *given, html_text(html).alias("_text")).select(key, *page, "_text", colon_pieces(F.col("_text")).alias("_pieces"))
+    groups = {k: colon_field(F.col("_pieces"), k, value) for k, _, value in _LABELLED}
+    groups |= {k: F.regexp_extract("_text", p, 1) for k, p in DATE_PATTERNS.items() if k not in groups}
+    out = staged.select(key, *[_trimmed(groups[k], DATE_TRAILER if k in DATE_PATTERNS else INFORMATION_TRAILER).alias(k)
+                               for k in [*INFORMATION_PATTERNS, *DATE_PATTERNS]], *page)
     if with_objects:
         out = out.withColumn("object_of_issue", objects_of_issue(F.col("_page"))).drop("_page")
     return out
@@ -257,7 +322,7 @@ def gmp_table(page: Column, tables: Column) -> Column:
         return bind(F.lower(heading_text(page, h)), lambda t: t.contains("gmp") & t.contains("trend"))
 
     head = _first(F.filter(page["headings"], lambda h: h["tag"].isin("h2", "h3")), named)
-    by_heading = _first(tables, lambda t: t["pos"] > head["open"])
+    by_heading = bind(head["open"], lambda open_: _first(tables, lambda t: t["pos"] > open_))
 
     def thead_headers(t):
         r = _first(t["rows"], lambda r: (r["group"] == "thead") & (r["group_no"] == 0))
@@ -326,47 +391,48 @@ def _header_row(t: Column) -> Column:
                        lambda r, i: F.struct(i.alias("idx"), F.transform(r["cells"], lambda c: c["flat"]).alias("headers")))
 
     def looks(h):
-        low = F.transform(h["headers"], F.lower)
-        return bind(low, lambda hs: (F.size(hs) > 0) & (
-            (F.exists(hs, lambda x: x.contains("category")) & (F.size(hs) >= 2))
-            | bind(F.array_join(hs, " | "), lambda j: j.contains("subscription") | j.contains("size") | j.contains("%"))))
+        joined = F.lower(F.array_join(h["headers"], " | "))
+        return bind(joined, lambda j: (j.contains("category") & (F.size(h["headers"]) >= 2))
+                    | j.contains("subscription") | j.contains("size") | j.contains("%"))
 
     return _first(cand, looks)
 
 
 def _index_of(arr: Column, pred) -> Column:
     """0-based index of the first element satisfying ``pred``; NULL when none."""
-    return (F.nullif(F.array_position(F.transform(arr, pred), F.lit(True)), F.lit(0)) - 1).cast("int")
+    return _first(F.transform(arr, lambda x, i: F.when(pred(x), i)), lambda i: i.isNotNull())
 
 
 def header_tables(tables: Column) -> Column:
-    """X16 for every table once: array<struct<rows, h, headers>> (shared by X17 and X18)."""
-    return F.transform(tables, lambda t: bind(_header_row(t), lambda hdr: F.struct(
-        t["rows"].alias("rows"), hdr["idx"].alias("h"), F.transform(hdr["headers"], F.lower).alias("headers"))))
+    """X16 for every table once: array<struct<rows, header: struct<idx, headers>>> (shared by X17 and X18)."""
+    return F.transform(tables, lambda t: F.struct(t["rows"].alias("rows"), bind(_header_row(t), lambda h: F.when(h.isNotNull(), F.struct(
+        h["idx"].alias("idx"), F.transform(h["headers"], F.lower).alias("headers")))).alias("header")))
 
 
-def _pairs_after_header(y: Column, prefix: str, skip: list[str]) -> Column:
+def _pairs_after_header(table: Column, y: Column, prefix: str, skip: list[str]) -> Column:
     def pair(r):
         cells = r["cells"]
-        cat = norm_category_text(F.try_element_at(cells, (y["ci"] + 1).cast("int"))["flat"])
-        val = collapse_ws(F.try_element_at(cells, (y["vi"] + 1).cast("int"))["flat"])
+        # a cell's text has its whitespace collapsed already
+        cat = norm_collapsed(F.try_element_at(cells, (y["ci"] + 1).cast("int"))["flat"])
+        val = F.try_element_at(cells, (y["vi"] + 1).cast("int"))["flat"]
         made = bind(F.struct(cat.alias("cat"), val.alias("val")), lambda p: F.when(
             (p["cat"] != "") & ~F.lower(p["cat"]).isin(skip) & (p["val"] != ""),
-            F.struct(F.concat(F.lit(prefix), canonical_category(p["cat"])).alias("key"), p["val"].alias("value"))))
+            F.struct(F.concat(F.lit(prefix), canonical_of(norm_collapsed(p["cat"]))).alias("key"), p["val"].alias("value"))))
         return F.when(F.size(cells) > F.greatest(y["ci"], y["vi"]), made)
 
-    rows = F.slice(y["rows"], (y["h"] + 2).cast("int"), F.size(y["rows"]))
+    rows = F.slice(table["rows"], (table["header"]["idx"] + 2).cast("int"), F.size(table["rows"]))
     out = F.filter(F.transform(rows, pair), lambda p: p.isNotNull())
     return F.when(y["ci"].isNotNull() & y["vi"].isNotNull(), out)
 
 
 def _category_pairs(tables: Column, prefix: str, value_pred, skip: list[str]) -> Column:
     """Per table: rows after the header -> (prefix + canonical category, value); first non-empty table wins."""
-    located = F.transform(tables, lambda x: F.struct(
-        x["rows"].alias("rows"), x["h"].alias("h"),
-        _index_of(x["headers"], lambda h: h.contains("category")).alias("ci"),
-        _index_of(x["headers"], value_pred).alias("vi")))
-    per_table = F.transform(located, lambda y: _pairs_after_header(y, prefix, skip))
+    def pairs(x):
+        headers = x["header"]["headers"]
+        where = F.struct(_index_of(headers, lambda h: h.contains("category")).alias("ci"), _index_of(headers, value_pred).alias("vi"))
+        return bind(where, lambda y: _pairs_after_header(x, y, prefix, skip))
+
+    per_table = F.transform(tables, pairs)
     return F.coalesce(_first(per_table, lambda a: F.size(a) > 0), F.array().cast(_PAIRS))
 
 
@@ -398,7 +464,7 @@ def extract_subscription(pages: DataFrame, key: str = "company", html: str = "ht
     intermediate array is recomputed inside a lambda.
     """
     t = (pages.select(key, _page_column(pages, html).alias("_page"))
-         .select(key, tables_of(F.col("_page"), "flat").alias("_tables"))
+         .select(key, tables_of(F.col("_page"), "flat", groups=False).alias("_tables"))
          .select(key, header_tables(F.col("_tables")).alias("_tabs"))
          .select(key, subscription_pairs(F.col("_tabs")).alias("_sp"), allocation_pairs(F.col("_tabs")).alias("_ap")))
     return t.select(key, F.map_concat(_last_wins_map(F.col("_sp")), _last_wins_map(F.col("_ap"))).alias("fields"))

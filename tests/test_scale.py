@@ -96,3 +96,64 @@ def test_plain_leaves_cost_no_parser_calls():
     assert quiet._plain(page.replace("<i>", "")[:page.index("<div>")]) == page.index("<div>")
     assert len(quiet.cells) == 50 and quiet.strings == ["a & b"] * 50
     assert H.scan_html(page)["lis"] == [{"a": 52, "b": 53}]
+
+
+def test_character_names_are_looked_up_by_letter(spark):
+    """No look-up goes through all 2125 names: a page with references took most of its time there."""
+    df = spark.createDataFrame([("&copy;&nbsp;x &rarr; &Rarr; &bogus; &zwnj;y &#8377;",)], "s string")
+    assert df.select(TX.html_text("s")).first()[0] == "© x → ↠ &bogus; \u200cy ₹"
+    assert "[" not in TX._NAMED_BY_LETTER and max(len(v) for v in TX._NAMED_BY_LETTER.values()) < 300
+    assert sum(len(v) for v in TX._NAMED_BY_LETTER.values()) == len(TX._NAMED)
+
+
+def test_information_text_is_searched_once(spark, tmp_dir):
+    """Fields are read from the pieces between colons, equal to a search of the whole text for each field."""
+    spark.createDataFrame([("a", "<p>x</p>")], "company string, html string").write.parquet(tmp_dir + "/p")
+    plan = XT.extract_information(spark.read.parquet(tmp_dir + "/p"), with_objects=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(_text") <= 1
+    bits = ["IPO Category", "Exchange", "Issue Type", "Issue Price", "PE multiple", "Subscription", "Pre Issue Promoter Holding", "Post Issue Promoter Holding", "Date of DRHP", "IPO Open Date",
+            "IPO Close Date", "IPO Allotment Date", ":", ":", ":", " :", ": ", " ", " ", "12.5", "%", "times", "Market Capitalisation", "Initiation", "IPO Size", "NSE", "\u0085", "Read it"]
+    rnd = random.Random(5)
+    texts = [" ".join("".join(rnd.choice(bits) for _ in range(rnd.randint(1, 14))).split(" ")) for _ in range(1500)]
+    texts = [" ".join(t.split(" ")) for t in texts if "  " not in t and t == t.strip(" ")] + ["Exchange : NSE", "Exchange: BSE Issue Type : Fixed IPO Size x:", "x Exchange:: a"]
+    patterns = {**XT.INFORMATION_PATTERNS, **XT.DATE_PATTERNS}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", XT.colon_pieces(F.col("t")))
+    for r in df.select("t", *[F.struct(XT.colon_field(F.col("p"), k, v).alias("got"), F.regexp_extract("t", patterns[k], 1).alias("want")).alias(k) for k, _, v in XT._LABELLED]).collect():
+        for k, _, _ in XT._LABELLED:
+            assert r[k].got == r[k].want, (k, r.t)
+
+
+def test_labels_are_found_by_one_search(spark):
+    """One pattern search gives what a search and a split gave, also where the text holds the marks; labels name their fields."""
+    rx = r"(?iu)(?<![\p{L}\p{N}_/&-])(?:" + "|".join(sorted(XT._ALL_LABELS, key=lambda p: (-len(p), p))) + r")(?![\p{L}\p{N}_])"
+    bits = ["Total Assets", "Net Assets", "total  revenue", "EBITDA", " margin", "EV / EBITDA", "P/B", "PAT", "a", " ", " ", ":", "-", "/", "NAV", "Net Worth", "Non-current assets",
+            "Adj. EPS", "Market Capitalisatio", "a\u017f\u017fets", "ROE", "Debt to Equity", "Net Debt to EBITDA", "Average Net Worth", "\ufdd0", "\ufdd1", "12.5"]
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choice(bits[:-3] if rnd.random() < 0.9 else bits) for _ in range(rnd.randint(1, 12))) for _ in range(1500)]
+    found = F.regexp_extract_all("t", F.lit(rx), F.lit(0))
+    rests = F.slice(F.split("t", rx, -1), F.lit(2), F.greatest(F.size(found), F.lit(0)))
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", XT.label_pieces(F.col("t")).alias("got"), F.zip_with(found, rests, lambda a, b: F.struct(a.alias("label"), b.alias("rest"))).alias("want"))
+    for r in df.collect():
+        assert r.got == r.want, r.t
+    fields = df.select(F.explode("got.label").alias("label")).distinct().select("label", XT._field_of(F.col("label")).alias("got"), *[
+        F.col("label").rlike(rf"(?iu)^{label}$").alias(k) for k, (label, _) in XT.FINANCIAL_FIELDS.items()])
+    for r in fields.collect():
+        assert [r.got] == ([k for k in XT.FINANCIAL_FIELDS if r[k]] or [None]), r.label
+
+
+def test_spaces_as_before(spark):
+    """Text without odd spaces takes a shorter way to what ``btrim`` and the patterns give."""
+    from quarry.functions import clean as C
+    bits = [" ", "  ", "\t", "\n", "\x1c", "\u00a0", "\u2003", "\u3000", "₹", "a", "b", "-", "[●]", "NA", "*", "–", "•", "\u0085", "\x7f"]
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 7))) for _ in range(2500)] + [None, "", "None", "N/A", " - "]
+    trimmed = lambda x: F.btrim(x, F.lit(C._PY_SPACES))
+    collapsed = lambda x: trimmed(F.regexp_replace(x, r"(?U)\s+", " "))
+    t = F.col("t")
+    norm = collapsed(F.regexp_replace(F.regexp_replace(F.regexp_replace(collapsed(t), "\u00a0", " "), r"\*+", ""), r"^\s*[-–•]+", ""))
+    r = spark.createDataFrame([(x,) for x in texts], "t string").select(
+        "t", C.ustrip("t").alias("a"), trimmed(t).alias("a0"), C.collapse_ws("t").alias("b"), collapsed(t).alias("b0"), C.missing_to_null("t").alias("c"),
+        TX.norm_category_text("t").alias("d"), norm.alias("d0"), F.trim(F.regexp_replace("t", TX._SPACES, " ")).alias("e"), F.trim(F.regexp_replace("t", r"[\s\u00a0]+", " ")).alias("e0"))
+    for x in r.collect():
+        assert (x.a, x.b, x.d, x.e) == (x.a0, x.b0, x.d0, x.e0), repr(x.t)
+        assert x.c == (None if x.a0 is None or x.a0 in C.PLACEHOLDER_TOKENS else x.a0)
